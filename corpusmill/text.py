@@ -1,0 +1,22 @@
+"""Column helpers for text with the semantics of Python's string methods."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+#: White space at the ends as str.strip() sees it: Unicode white space and the four separators.
+_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+
+
+def strip(c: Column) -> Column:
+    return F.regexp_replace(c, _ENDS, "")
+
+
+def blank(c: Column) -> Column:
+    return F.coalesce(strip(c), F.lit("")) == ""
+
+
+def content_hash(c: Column) -> Column:
+    """SHA-256 of the stripped, lower-cased text."""
+    return F.sha2(F.lower(strip(c)), 256)
