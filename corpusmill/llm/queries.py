@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, license, media, mixing, tokenbin
+from . import bpe, chat, license, media, mixing, tokenbin, toxicity
 from .common import table
 
 
@@ -13,6 +13,11 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -36,7 +41,7 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op4_token_binary, op5_chat_format, op6_mix_sources, op7_license_scan, op9_media_columns)}
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_toxicity, op4_token_binary, op5_chat_format, op6_mix_sources, op7_license_scan, op9_media_columns)}
 
 _CONTROLS = r"\\|<\|im_start\|>|<\|im_end\|>|<\|system\|>|<\|user\|>|<\|assistant\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>"
 
