@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, license, media, mixing, tokenbin, toxicity
+from . import bpe, chat, license, media, mixing, simjoin, tokenbin, toxicity
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simjoin.components(table(spark, sf_dir, "documents"))
+
+
 def op4_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,11 +45,24 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_toxicity, op4_token_binary, op5_chat_format, op6_mix_sources, op7_license_scan, op9_media_columns)}
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_toxicity, op3_ngram_jaccard_join, op4_token_binary, op5_chat_format, op6_mix_sources, op7_license_scan, op9_media_columns)}
 
 _CONTROLS = r"\\|<\|im_start\|>|<\|im_end\|>|<\|system\|>|<\|user\|>|<\|assistant\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>"
 
+_SHINGLES = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS g FROM w),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN c a ON x = a.doc_id JOIN c b ON y = b.doc_id WHERE 100 * k >= 80 * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT DISTINCT doc_id AS d, doc_id AS m FROM documents UNION SELECT e.y, r.m FROM r JOIN e ON e.x = r.d)
+SELECT d.doc_id, coalesce(any_value(c.n), 0) AS n_shingles, min(r.m) AS component_id
+FROM documents d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN r ON r.d = d.doc_id GROUP BY d.doc_id"""
+
 ORACLE = {
+    "op3_ngram_jaccard_join": _SHINGLES,
     "op5_chat_format": f"""
 WITH rows_ AS (
   SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
