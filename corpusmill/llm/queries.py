@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, license, media, mixing, simjoin, tokenbin, toxicity
+from . import ann, bpe, chat, license, lm, media, mixing, simjoin, tokenbin, toxicity
 from .common import table
 
 
@@ -45,7 +45,15 @@ def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_toxicity, op3_ngram_jaccard_join, op4_token_binary, op5_chat_format, op6_mix_sources, op7_license_scan, op9_media_columns)}
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_encode_decode, op2_toxicity, op3_ngram_jaccard_join, op4_token_binary, op5_chat_format, op6_mix_sources, op7_license_scan, op8_lm_score, op9_media_columns, op10_ann_search)}
 
 _CONTROLS = r"\\|<\|im_start\|>|<\|im_end\|>|<\|system\|>|<\|user\|>|<\|assistant\|>|<\|end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>"
 
