@@ -5,13 +5,315 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import content_hash
+from .functions import render, rules
+from .functions.text import content_hash, strip
+from .operators import dialogue, neardup, records, report, sampling, score, validate
+from .plans import flows
+from .sources import files
 
+QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
 
-def clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", content_hash(F.col("text")).alias("h"))
-    return d.groupBy("lang", "h").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_hashes"))
 
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
 
-QUERIES = {"clean_summary": clean_summary}
-ORACLE = {"clean_summary": "SELECT lang, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_hashes FROM (SELECT lang, sha256(lower(trim(text, E' \\t\\n\\r\\x0b\\x0c'))) AS h, count(*) AS n FROM documents GROUP BY 1, 2) GROUP BY lang"}
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+_STRIP = "regexp_replace({}, '^[\\s\\x1c-\\x1f\\x0b]+|[\\s\\x1c-\\x1f\\x0b]+$', '', 'g')"
+_S = _STRIP.format("text")
+_HASH = f"sha256(lower({_S}))"
+
+
+@query(f"SELECT lang, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_hashes FROM (SELECT lang, {_HASH} AS h, count(*) AS n FROM documents GROUP BY 1, 2) GROUP BY lang")
+def clean_summary(spark, d):
+    rows = _t(spark, d, "documents").select("lang", content_hash(F.col("text")).alias("h"))
+    return rows.groupBy("lang", "h").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_hashes"))
+
+
+@query(f"SELECT doc_id, lang, h FROM (SELECT doc_id, lang, {_HASH} AS h, row_number() OVER (PARTITION BY {_HASH} ORDER BY doc_id) AS r FROM documents WHERE text IS NOT NULL) WHERE r = 1")
+def exact_dedup(spark, d):
+    rows = _t(spark, d, "documents").where("text is not null").select("doc_id", "lang", content_hash(F.col("text")).alias("h"))
+    return records.first_by(rows, F.col("h"), F.col("doc_id"))
+
+
+@query(f"""SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS malformed_removed, count(*) FILTER ({_S} = '') AS empty_removed, CAST(0 AS BIGINT) AS noise_removed,
+count(*) FILTER ({_S} <> '') - count(DISTINCT CASE WHEN {_S} <> '' THEN {_HASH} END) AS duplicates_removed, count(DISTINCT CASE WHEN {_S} <> '' THEN {_HASH} END) AS output_rows FROM documents""")
+def dedup_stats(spark, d):
+    t = F.col("text")
+    return records.cleaning_stats(_t(spark, d, "documents"), t.isNull(), strip(t) == "", F.lit(False), t)
+
+
+@query("SELECT doc_id, regexp_matches(lower(text), 'as an ai language model|licensed under|released under') AS attributed FROM documents")
+def attribution_filter(spark, d):
+    return _t(spark, d, "documents").select("doc_id", records.attributed(F.col("text"), ("as an ai language model", "licensed under", "released under")).alias("attributed"))
+
+
+@query(f"SELECT doc_id FROM documents WHERE length({_S}) >= 400")
+def min_length_filter(spark, d):
+    return records.min_length(_t(spark, d, "documents"), "text", 400).select("doc_id")
+
+
+@query()
+def near_dup_removed(spark, d):
+    rows = records.exact_dedup(_t(spark, d, "documents").select("doc_id", "lang", "text"), "text", "doc_id")
+    return neardup.leaders(rows, "doc_id", "lang", "text", 0.9)
+
+
+@query()
+def clean_validate_format(spark, d):
+    rows = _t(spark, d, "documents").select("doc_id", F.concat(F.lit("Write about "), "source").alias("instruction"), F.lit("").alias("input"), F.col("text").alias("output"), F.col("lang").alias("domain"))
+    return flows.clean_validate_format(rows, "doc_id")[0].select("doc_id", F.sha2("text", 256).alias("h"), F.length("text").alias("n_chars"))
+
+
+_CASES = [
+    (1, "hl7v2", "MSH|^~\\&|A|B|C|D|20200101||ADT^A01|1|P|2.3\nEVN|A01\nPID|1\nPV1|1"),
+    (2, "hl7v2", "MSH|^~\\&|A|B|C|D|20200101||ORU^R01|1|P|2.3\nPID|1\nOBX|1"),
+    (3, "hl7v2", "MSH|^~\\&|A|B|C|D|20200101||XYZ|1|P|2.3"),
+    (4, "xml", "<a><b>x</b></a>"),
+    (5, "xml", "<a><b></a>"),
+    (6, "xml", "<a/>trail"),
+    (7, "fhir", '{"resourceType":"Patient","id":"1"}'),
+    (8, "json", '{"id":1}'),
+    (9, "javascript", "function f(a) { return [a, '(']; }"),
+    (10, "javascript", "if (a { b(); }"),
+    (11, "javascript", "var k = 'it\\'s'; f(`${x}`)"),
+    (12, "javascript", "don't worry (it's closed"),
+    (13, "javascript", "apiKey = 'zq81-prod-77'"),
+    (14, "javascript", "select a from t where b = '' + x"),
+    (15, "javascript", "  "),
+    (16, "hl7v2", "MSH|^~\\"),
+]
+
+
+def _cases(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(_CASES, "id long, expected string, text string")
+
+
+_CASE_SQL = "(VALUES " + ", ".join(f"({i}, '{k}', E'" + t.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "')" for i, k, t in _CASES) + ") v(id, expected, text)"
+_TYPE = f"CASE WHEN starts_with({_S}, 'MSH|') THEN 'hl7v2' WHEN starts_with({_S}, '<') AND contains({_S}, '>') THEN 'xml' WHEN starts_with({_S}, '{{') AND json_valid({_S}) THEN CASE WHEN coalesce(json_extract_string({_S}, '$.resourceType'), '') <> '' THEN 'fhir' ELSE 'json' END ELSE 'javascript' END"
+
+
+@query(f"SELECT CAST(id AS BIGINT) AS id, {_TYPE} AS kind FROM {_CASE_SQL} UNION ALL SELECT -doc_id - 1, {_TYPE} FROM documents")
+def content_type(spark, d):
+    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), "text")
+    return _cases(spark).select("id", "text").unionByName(docs).select("id", validate.content_type(F.col("text")).alias("kind"))
+
+
+@query(f"""SELECT id, len(missing) = 0 AND starts_with(text, 'MSH|') AND length(text) >= 8 AS passed, CASE WHEN starts_with(text, 'MSH|') AND length(text) >= 8 THEN list_sort(missing) ELSE [] END AS missing FROM (
+SELECT CAST(id AS BIGINT) AS id, text, list_filter(CASE split_part(split_part(text, '|', 9), '^', 1) WHEN 'ADT' THEN ['MSH','EVN','PID','PV1'] WHEN 'ORU' THEN ['MSH','PID','OBR','OBX'] WHEN 'ORM' THEN ['MSH','PID','ORC'] WHEN 'SIU' THEN ['MSH','SCH','PID'] WHEN 'VXU' THEN ['MSH','PID','RXA'] ELSE ['MSH'] END, lambda x: NOT list_contains(list_transform(string_split(text, chr(10)), lambda y: left(y, 3)), x)) AS missing FROM {_CASE_SQL} WHERE expected = 'hl7v2')""")
+def hl7_structure(spark, d):
+    r = validate.hl7(F.col("text"))
+    need = F.array_sort(F.filter(F.split(F.regexp_extract(F.coalesce(r["error_detail"], F.lit("")), r"^Missing required segments for [^:]*: (.*)", 1), ", "), lambda x: x != ""))
+    return _cases(spark).where("expected = 'hl7v2'").select("id", r["passed"].alias("passed"), need.alias("missing"))
+
+
+@query()
+def js_balance(spark, d):
+    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), "text")
+    r = validate.javascript(F.col("text"))
+    return _cases(spark).select("id", "text").unionByName(docs).select("id", r["passed"].alias("passed"), r["error_detail"].alias("detail"))
+
+
+@query()
+def xml_wf(spark, d):
+    return _cases(spark).where("expected = 'xml'").select("id", validate.xml(F.col("text"))["passed"].alias("passed"))
+
+
+@query(f"SELECT CAST(id AS BIGINT) AS id, json_valid(text) AND coalesce(json_extract_string(CASE WHEN json_valid(text) THEN text ELSE '{{}}' END, '$.resourceType'), '') <> '' AS passed FROM {_CASE_SQL} WHERE expected IN ('fhir', 'json')")
+def fhir_structure(spark, d):
+    return _cases(spark).where("expected in ('fhir', 'json')").select("id", validate.fhir(F.col("text"))["passed"].alias("passed"))
+
+
+@query("SELECT doc_id, regexp_matches(text, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AS ssn, regexp_matches(text, '(?i)token = \"[0-9a-f]+\"') AS token FROM documents")
+def secret_flags(spark, d):
+    t = F.col("text")
+    return _t(spark, d, "documents").select("doc_id", t.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}").alias("ssn"), t.rlike('(?i)token = "[0-9a-f]+"').alias("token"))
+
+
+@query()
+def security_scan(spark, d):
+    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), "text")
+    r = validate.security(F.col("text"))
+    return _cases(spark).select("id", "text").unionByName(docs).select("id", r["passed"].alias("passed"), r["error_detail"].alias("detail"), r["line_number"].alias("line"))
+
+
+@query()
+def validation_report(spark, d):
+    return validate.report(_t(spark, d, "documents"), validate.example(F.col("text"), F.col("lang"))).select("total", "passed", "failed", F.to_json("errors_by_category").alias("errors"))
+
+
+@query()
+def unsafe_logs(spark, d):
+    return _t(spark, d, "documents").select("doc_id", validate.unsafe_log(F.col("text")).alias("unsafe"))
+
+
+@query("SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \\t\\n\\r\\f\\x0b]+', ' ', 'g'), '^ +| +$', '', 'g') AS text FROM pages")
+def html_regex_text(spark, d):
+    return _t(spark, d, "pages").select("page_id", files.html_plain(F.col("html")).alias("text"))
+
+
+@query()
+def html_block_text(spark, d):
+    return _t(spark, d, "pages").select("page_id", files.html_blocks(F.col("html")).alias("text"))
+
+
+@query("SELECT page_id, CASE WHEN contains(lower(substr(html, 1, 5000)), 'msh|') OR contains(lower(url), 'msh|') OR contains(lower(substr(html, 1, 5000)), 'hl7v2') OR contains(lower(url), 'hl7v2') OR contains(lower(substr(html, 1, 5000)), 'pid|') OR contains(lower(url), 'pid|') THEN 'hl7v2' WHEN contains(lower(substr(html, 1, 5000)), 'resourcetype') OR contains(lower(url), 'resourcetype') OR contains(lower(substr(html, 1, 5000)), 'fhir') OR contains(lower(url), 'fhir') THEN 'fhir' WHEN contains(lower(substr(html, 1, 5000)), 'http') OR contains(lower(url), 'http') OR contains(lower(substr(html, 1, 5000)), 'html') OR contains(lower(url), 'html') THEN 'web' WHEN contains(lower(substr(html, 1, 5000)), 'select ') OR contains(lower(url), 'select ') OR contains(lower(substr(html, 1, 5000)), 'table') OR contains(lower(url), 'table') THEN 'data' ELSE 'general' END AS domain FROM pages")
+def domain_detect(spark, d):
+    return _t(spark, d, "pages").select("page_id", rules.detect_domain(F.col("html"), F.col("url")).alias("domain"))
+
+
+@query("""SELECT source, string_agg(part, chr(10) || '---' || chr(10) ORDER BY doc_id) AS context, count(*) AS n_parts FROM (
+SELECT source, doc_id, substr(text, 1, 2000) AS part, coalesce(sum(length(substr(text, 1, 2000))) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM documents) WHERE before < 6000 GROUP BY source""")
+def context_pack(spark, d):
+    return files.context_pack(_t(spark, d, "documents"), "source", "doc_id", "text")
+
+
+def _turns(spark, d) -> DataFrame:
+    t = _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("t"))
+    return t.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("turns"))
+
+
+@query(f"SELECT conv_id, sha256(lower({_STRIP.format('t')})) AS h FROM (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS t FROM conversations GROUP BY conv_id)")
+def conv_hash(spark, d):
+    return _turns(spark, d).select("conv_id", records.conversation_hash(F.col("turns")).alias("h"))
+
+
+@query("SELECT conv_id, arg_max(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
+def last_assistant_turn(spark, d):
+    return _t(spark, d, "conversations").where("role = 'assistant'").groupBy("conv_id").agg(F.max_by("text", "turn").alias("answer"))
+
+
+@query()
+def conv_validate(spark, d):
+    r = validate.conversation(F.col("turns"), F.lit("hl7v2"))
+    return _turns(spark, d).select("conv_id", r["passed"].alias("passed"), r["error_type"].alias("error_type"), r["error_detail"].alias("detail"))
+
+
+@query("SELECT conv_id, '<|begin_of_text|>' || string_agg('<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) || text || '<|eot_id|>', '' ORDER BY turn) || '<|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) AS text FROM conversations GROUP BY conv_id")
+def render_llama(spark, d):
+    return _turns(spark, d).select("conv_id", render.inference_prompt(F.col("turns")).alias("text"))
+
+
+@query(f"SELECT conv_id, '<|im_start|>system' || chr(10) || '{render.SYSTEM}<|im_end|>' || chr(10) || string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
+def render_chatml(spark, d):
+    return _turns(spark, d).select("conv_id", render.dialogue(F.col("turns"), "chatml").alias("text"))
+
+
+@query(f"SELECT doc_id, '<|begin_of_text|><|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) || '{render.SYSTEM}<|eot_id|><|start_header_id|>user<|end_header_id|>' || chr(10) || chr(10) || source || CASE WHEN lang <> '' THEN chr(10) || chr(10) || lang ELSE '' END || '<|eot_id|><|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) || text || '<|eot_id|>' AS text FROM documents")
+def single_turn_render(spark, d):
+    return _t(spark, d, "documents").select("doc_id", render.single_turn(F.col("source"), F.col("lang"), F.col("text")).alias("text"))
+
+
+@query("SELECT doc_id, trim(source) AS prompt FROM documents")
+def prompt_extraction(spark, d):
+    text = render.single_turn(F.col("source"), F.lit(""), F.col("text"))
+    return _t(spark, d, "documents").select("doc_id", render.user_prompt(text).alias("prompt"))
+
+
+@query()
+def dialogue_parse(spark, d):
+    c = _t(spark, d, "conversations").where("role <> 'system'")
+    line = F.concat(F.upper("role"), F.lit(": "), "text")
+    texts = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
+    return dialogue.parse(texts, "conv_id", "text").select("conv_id", F.size("turns").alias("n_turns"), F.sha2(F.to_json("turns"), 256).alias("h"))
+
+
+_Q = f"least(1.0, greatest(0.0, 0.5 + CASE WHEN length({_S}) > 100 THEN 0.15 ELSE 0 END + CASE WHEN length({_S}) > 500 THEN 0.1 ELSE 0 END + CASE WHEN contains({_S}, '```') OR contains({_S}, 'function ') OR contains({_S}, 'def ') THEN 0.1 ELSE 0 END + CASE WHEN contains({_S}, '//') OR contains({_S}, '#') OR contains({_S}, '/*') THEN 0.1 ELSE 0 END - CASE WHEN length({_S}) < 50 THEN 0.2 ELSE 0 END))"
+
+
+@query(f"SELECT doc_id, CAST(round({_Q}, 6) AS DOUBLE) AS score FROM documents")
+def quality_score(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.round(score.quality(F.col("text"), F.lit(True)), 6).alias("score"))
+
+
+@query()
+def reward_score(spark, d):
+    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), "text")
+    return _cases(spark).select("id", "text").unionByName(docs).select("id", score.reward(F.col("text")).alias("reward"))
+
+
+@query("""SELECT source, arg_max(doc_id, (length(text), -doc_id)) AS chosen, arg_min(doc_id, (length(text), -doc_id)) AS rejected, max(length(text)) AS best, min(length(text)) AS worst FROM documents GROUP BY source HAVING count(*) >= 2 AND max(length(text)) > min(length(text))""")
+def best_of_n(spark, d):
+    rows = _t(spark, d, "documents").select("source", "doc_id", F.length("text").alias("score"))
+    return score.best_of(rows, "source", "doc_id", "score", "doc_id")
+
+
+@query(f"""WITH l AS (SELECT d.doc_id, trim(d.source) AS k, d.text, l.quality FROM documents d JOIN labels l USING (doc_id)),
+p AS (SELECT k, arg_min(text, doc_id) AS chosen FROM l WHERE quality = 1 AND k <> '' AND {_S} <> '' GROUP BY k)
+SELECT l.k AS prompt, sha256(p.chosen) AS chosen, sha256({_STRIP.format("l.text")}) AS rejected FROM l JOIN p USING (k) WHERE quality = 0 AND {_STRIP.format("l.text")} <> ''""")
+def preference_pairs(spark, d):
+    rows = _t(spark, d, "documents").join(_t(spark, d, "labels").select("doc_id", "quality"), "doc_id").select("doc_id", F.col("source").alias("instruction"), F.col("text").alias("output"), "quality")
+    p = score.preference_pairs(rows.where("quality = 1"), rows.where("quality = 0"), "doc_id")
+    return p.select("prompt", F.sha2("chosen", 256).alias("chosen"), F.sha2("rejected", 256).alias("rejected"))
+
+
+@query("SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS r, count(*) OVER () AS n FROM documents) WHERE r <= round_even(n * 0.2, 0)")
+def sample_20pct(spark, d):
+    return sampling.exact_fraction(_t(spark, d, "documents").select("doc_id"), "doc_id", 0.2)
+
+
+@query("SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) AS r FROM documents) WHERE r <= CASE lang WHEN 'en' THEN 60 WHEN 'de' THEN 20 WHEN 'fr' THEN 10 ELSE 0 END")
+def stratified_quota(spark, d):
+    return sampling.stratified(_t(spark, d, "documents").select("doc_id", "lang"), "doc_id", "lang", {"en": 60, "de": 20, "fr": 10})
+
+
+@query("SELECT source, target, CAST(target - have AS INTEGER) AS remaining, CAST(unnest(range(1, target - have + 1)) AS INTEGER) AS item FROM (SELECT source, 200 AS target, count(*) AS have FROM documents GROUP BY source) WHERE target > have")
+def quota_plan(spark, d):
+    docs = _t(spark, d, "documents").select("source")
+    return sampling.quota_plan(docs.distinct().withColumn("target", F.lit(200)), docs, ["source"])
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events e WHERE NOT EXISTS (SELECT 1 FROM events f WHERE f.user_id = e.user_id AND f.event_type = e.event_type AND f.value > 50)")
+def resume_anti(spark, d):
+    e = _t(spark, d, "events")
+    return sampling.not_done(e.select("user_id", "event_type").distinct(), e.where("value > 50"), ["user_id", "event_type"])
+
+
+@query("SELECT a.r_name || ' ' || b.n_name AS prompt FROM region a CROSS JOIN nation b")
+def template_cross(spark, d):
+    return _t(spark, d, "region").select("r_name").crossJoin(F.broadcast(_t(spark, d, "nation").select("n_name"))).select(F.concat("r_name", F.lit(" "), "n_name").alias("prompt"))
+
+
+@query()
+def template_fill(spark, d):
+    filled = rules.fill_template(F.lit("Convert {kind} to {kind} for {unit}"), {"kind": ("ADT", "ORU", "ORM"), "unit": ("ICU", "ER")}, F.col("doc_id"))
+    return _t(spark, d, "documents").select("doc_id", filled.alias("prompt"))
+
+
+@query("SELECT doc_id, replace(replace(text, 'the ', 'THE '), 'THE a', 'A') AS text FROM documents")
+def ordered_replacement(spark, d):
+    return _t(spark, d, "documents").select("doc_id", rules.replace_all(F.col("text"), (("the ", "THE "), ("THE a", "A"))).alias("text"))
+
+
+def _responses(spark, d) -> DataFrame:
+    return _t(spark, d, "events").select(F.col("event_type").alias("category"), F.when(F.col("value") > 5, "ok").otherwise("error").alias("status"), F.col("value").alias("latency_sec"), F.length("props").alias("response_length"), F.col("props").contains("1").alias("has_code"))
+
+
+_R = "(SELECT event_type AS category, CASE WHEN value > 5 THEN 'ok' ELSE 'error' END AS status, value AS latency_sec, length(props) AS response_length, contains(props, '1') AS has_code FROM events)"
+
+
+@query(f"SELECT category, count(*) AS n, count(*) FILTER (status = 'ok') AS n_ok, count(*) FILTER (status <> 'ok') AS n_err, round(avg(latency_sec) FILTER (status = 'ok'), 6) AS avg_latency, round(avg(response_length) FILTER (status = 'ok'), 6) AS avg_length, round(avg(CAST(has_code AS INTEGER)) FILTER (status = 'ok'), 6) AS code_rate, count(*) FILTER (status = 'ok' AND response_length < 300) AS n_short FROM {_R} GROUP BY category")
+def category_report(spark, d):
+    r = report.by_category(_responses(spark, d))
+    return r.withColumns({c: F.round(c, 6) for c in ("avg_latency", "avg_length", "code_rate")})
+
+
+@query(f"SELECT round(count(*) FILTER (has_code) / greatest(count(*), 1), 6) AS code, round(count(*) FILTER (status = 'ok' AND category = 'click') / greatest(count(*) FILTER (category = 'click'), 1), 6) AS ok_clicks FROM {_R}")
+def key_metrics(spark, d):
+    r = report.rates(_responses(spark, d), {"code": F.col("has_code"), "ok_clicks": F.col("status") == "ok"}, {"ok_clicks": ("click",)})
+    return r.select(F.round("code", 6).alias("code"), F.round("ok_clicks", 6).alias("ok_clicks"))
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (NOT contains(lower(text), 'the')) AS n_missing FROM documents")
+def containment_check(spark, d):
+    return report.missing_phrase(_t(spark, d, "documents"), "text", "the")
