@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, map_arrow, written
@@ -33,9 +33,9 @@ from .common import documents, map_arrow, written
 #: Leaders of a list, and the length from which it has them.
 WORDS, LEADERS, LONG_LIST = 5, 3, 8
 #: Counters of the sketch, and the count above chance from which a shingle is frequent. Only speed depends on them.
-COUNTERS, FREQUENT, PART = 1 << 22, 64, 1 << 16
-#: Ids up to which those needed for verification are broadcast; pairs in a task of it.
-BROADCAST_IDS, TASK_PAIRS = 2_000_000, 4000
+COUNTERS, FREQUENT, PART = 1 << 24, 24, 1 << 18
+#: Ids up to which those needed for verification are broadcast; pairs in a task of it; pairs of a set and a component that come first.
+BROADCAST_IDS, TASK_PAIRS, BEST = 2_000_000, 4000, 3
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -61,7 +61,7 @@ def prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The first n // 5 + 1 shingles in the common order."""
     if not len(s):
         return s
-    slot = s >> np.uint64(42)
+    slot = s >> np.uint64(40)
     late = (frequent[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return np.concatenate([s[~late], s[late]])[: len(s) // 5 + 1]
 
@@ -75,7 +75,7 @@ def frequent_slots(docs: DataFrame) -> np.ndarray:
         for b in batches:
             found = np.concatenate([np.zeros(0, np.uint64), *map(shingles, b.column(1).to_pylist())])
             n += len(found)
-            slot, k = np.unique((found >> np.uint64(42)).astype(np.int32), return_counts=True)
+            slot, k = np.unique((found >> np.uint64(40)).astype(np.int32), return_counts=True)
             total[slot] = np.minimum(total[slot].astype(np.int64) + k, 255)
         if n:
             parts = range(COUNTERS // PART)
@@ -88,16 +88,22 @@ def frequent_slots(docs: DataFrame) -> np.ndarray:
             for part, counts, k in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.uint8).astype(np.uint32)
                 n += k
-        yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int32()), "counts": pa.array([np.minimum(s, 1 << 31).astype("<u4").tobytes() for s in sums.values()], pa.binary()), "n": pa.array([n if i == 0 else 0 for i in range(len(sums))], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int32()), "counts": pa.array([s.astype("<u4").tobytes() for s in sums.values()], pa.binary()), "n": pa.array([n if i == 0 else 0 for i in range(len(sums))], pa.int64())})
 
     parts = COUNTERS // PART
     counts = map_arrow(documents(docs), count, "part int, counts binary, n long")
-    rows = map_arrow(counts.repartition(min(parts, 16), "part"), add, "part int, counts binary, n long", rows=64).collect()
-    least = FREQUENT + 2 * sum(r["n"] for r in rows) // COUNTERS
-    bits = np.zeros(COUNTERS, bool)
-    for r in rows:
-        bits[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["counts"], "<u4") >= least
-    return np.packbits(bits, bitorder="little")
+    summed = written(map_arrow(counts.repartition(min(parts, 16), "part"), add, "part int, counts binary, n long", rows=64), "sketch")
+    least = FREQUENT + 2 * (summed.agg(F.sum("n")).first()[0] or 0) // COUNTERS
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flags = [np.packbits(np.frombuffer(c, "<u4") >= least, bitorder="little").tobytes() for c in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(flags, pa.binary())], ["part", "flags"])
+
+    bits = np.zeros(COUNTERS // 8, np.uint8)
+    for r in map_arrow(summed.select("part", "counts"), flag, "part int, flags binary", rows=16).collect():  # 2 MB in all
+        bits[r["part"] * PART // 8 : (r["part"] + 1) * PART // 8] = np.frombuffer(r["flags"], np.uint8)
+    return bits
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -272,7 +278,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     side = max(1, int(np.ceil(np.sqrt(count / TASK_PAIRS))))
     at = lambda c, salt: F.pmod(F.xxhash64(F.lit(salt), c), F.lit(side)).cast("int")
     placed = pairs.select("x", "nx", "y", "ny", (at("x", 1) * side + at("y", 2)).alias("task"))
-    needs = placed.select("task", F.explode(F.array("x", "y")).alias("id")).distinct()
+    needs = placed.select("task", F.col("x").alias("id")).distinct().unionByName(placed.select("task", F.col("y").alias("id")).distinct()).distinct()
     ids = needs.select("id").distinct()
     few = 2 * count <= BROADCAST_IDS
     texts = documents(docs).join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
@@ -314,7 +320,7 @@ _LINK = "9 * both >= 4 * (nx + ny)"
 
 
 def derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
-    """pairs with `link`: true or false where the answers of a set highly similar to x or y decide it, else null."""
+    """pairs (and what they share) with `link`: true or false where the answers of a set highly similar to x or y decide it, else null."""
     both_ways = answers.select("x", "nx", "y", "ny", "both").unionByName(answers.select(F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("x").alias("y"), F.col("nx").alias("ny"), "both"))
     nearest = both_ways.where(_LINK).groupBy("x", "nx").agg(F.max(F.struct("both", "y", "ny")).alias("m"))
     near = nearest.select(F.col("x").alias("s"), F.col("nx").alias("ns"), F.col("m.y").alias("l"), F.col("m.ny").alias("nl"), F.col("m.both").alias("sl"))
@@ -324,9 +330,9 @@ def derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
         step = out.join(near.withColumnsRenamed({"s": s, "ns": ns}), [s, ns], "left").join(known.withColumnsRenamed({"o": o, "no": no}), ["l", "nl", o, no], "left")
         low = F.greatest("low", F.coalesce(F.col("lo") - (F.col("nl") - F.col("sl")), F.lit(0)))
         high = F.least("high", F.coalesce(F.col("lo") + (F.col(ns) - F.col("sl")), F.col("high")))
-        out = step.withColumn("low", low).withColumn("high", high).select("x", "nx", "y", "ny", "low", "high")
+        out = step.withColumn("low", low).withColumn("high", high).select("x", "nx", "y", "ny", "shared", "low", "high")
     need = 4 * (F.col("nx") + F.col("ny"))
-    return out.select("x", "nx", "y", "ny", F.when(9 * F.col("low") >= need, True).when(9 * F.col("high") < need, False).alias("link"))
+    return out.select("x", "nx", "y", "ny", "shared", F.when(9 * F.col("low") >= need, True).when(9 * F.col("high") < need, False).alias("link"))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -350,6 +356,14 @@ def connected(links: DataFrame) -> DataFrame:
         before = now
 
 
+def placed_in(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """pairs with the components cx and cy of their sets; a set in no link is its own."""
+    for side, name in (("x", "cx"), ("y", "cy")):
+        c = components.select(F.col("node").alias(side), F.col("component").alias(name))
+        pairs = pairs.join(c, side, "left").withColumn(name, F.coalesce(name, side))
+    return pairs
+
+
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
@@ -362,10 +376,19 @@ def components(docs: DataFrame) -> DataFrame:
     lists = index_lists(nodes)
     first = verified(docs, written(leader_pairs(lists), "pairs"))
     links = first.where(_LINK).select("x", "y")
-    open_ = derived(written(cross_pairs(lists, connected(links)), "pairs"), first)
-    open_ = written(open_, "open")
-    second = verified(docs, open_.where("link is null").select("x", "nx", "y", "ny"))
-    links = links.unionByName(open_.where("link").select("x", "y")).unionByName(second.where(_LINK).select("x", "y"))
+    known = written(connected(links), "components")
+    found = written(derived(written(cross_pairs(lists, known), "pairs"), first), "open")
+    links = links.unionByName(found.where("link").select("x", "y"))
+    open_ = placed_in(found.where("link is null"), known)
+    # one link joins two components, so that the likeliest pairs of a set and a component come first
+    best = lambda one, other: F.row_number().over(Window.partitionBy(one, other).orderBy(F.desc("shared"), "x", "y")) <= BEST
+    ranked = written(open_.withColumn("now", best("x", "cy") | best("y", "cx")).drop("cx", "cy"), "ranked")
+    pair = ["x", "nx", "y", "ny"]
+    second = verified(docs, ranked.where("now").select(pair))
+    links = links.unionByName(second.where(_LINK).select("x", "y"))
+    known = written(connected(links), "components")
+    third = verified(docs, written(placed_in(ranked.where("not now"), known).where("cx <> cy").select(pair), "pairs"))
+    links = links.unionByName(third.where(_LINK).select("x", "y"))
     same = usable.select("doc_id", "digest", "n").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id")
     classes = nodes.select("digest", "n", "node")
     twice = usable.select("doc_id", "digest", "n").join(same, "doc_id").join(classes, ["digest", "n"]).select(F.col("doc_id").alias("x"), F.col("node").alias("y"))
