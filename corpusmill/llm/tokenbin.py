@@ -35,19 +35,25 @@ SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 
 
 def encode(ids: np.ndarray) -> np.ndarray:
-    """Words of a sequence of ids (any unsigned 64-bit values); an empty sequence has none.
-
-    The selector at each place is the one that packs most ids; places are then followed from the first.
-    Where fewer ids remain than a selector holds, a selector of fewer ids is taken.
-    """
-    ids = np.ascontiguousarray(ids, np.uint64)
+    """Words of a sequence of ids (any unsigned 64-bit values); an empty sequence has none."""
+    return encode_many([ids])[0]
+
+
+def encode_many(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """Words of each sequence. The selector at each place is the one that packs most ids; places are then followed from the
+    first. Sequences are laid out with a stop between them that fits no selector, so that no word crosses it."""
+    if not parts:
+        return []
+    stops = np.cumsum([len(p) + 1 for p in parts]) - 1
+    ids = np.full(int(stops[-1]) + 1, np.uint64(2**64 - 1))
+    is_stop = np.zeros(len(ids), bool)
+    is_stop[stops] = True
+    ids[~is_stop] = np.concatenate([np.asarray(p, np.uint64) for p in parts])
     n = len(ids)
-    if not n:
-        return np.zeros(0, np.uint64)
     bits = np.frexp(ids.astype(np.float64))[1].astype(np.int16)  # 2**60 - 1 rounds up: it is escaped
     np.maximum(bits, 1, out=bits)
     best = np.full(n, -1, np.int8)
-    most, have = bits.copy(), 1  # most[i]: the largest of bits[i : i + have]
+    most, have = bits, 1  # most[i]: the largest of bits[i : i + have]
     for s in range(len(WIDTHS) - 1, -1, -1):
         k = int(COUNTS[s])
         if k > n:
@@ -56,14 +62,14 @@ def encode(ids: np.ndarray) -> np.ndarray:
             step = min(have, k - have)
             most = np.maximum(most[: len(most) - step], most[step:])
             have += step
-        fits = most <= WIDTHS[s]
-        best[: len(fits)][fits] = s
+        best[: len(most)][most <= WIDTHS[s]] = s
     step = np.where(best >= 0, COUNTS[best], 1).tolist()
     at, i = [], 0
     while i < n:
         at.append(i)
         i += step[i]
     at = np.array(at)
+    at = at[~is_stop[at]]
     sel = best[at]
     size = np.where(sel >= 0, 1, 2)
     place = np.cumsum(size) - size
@@ -79,7 +85,8 @@ def encode(ids: np.ndarray) -> np.ndarray:
         for k in range(int(COUNTS[s])):
             word |= ids[first + k] << np.uint64(k * int(WIDTHS[s]))
         out[place[here]] = word
-    return out
+    per = np.bincount(np.searchsorted(stops, at), size, len(parts)).astype(int)
+    return np.split(out, np.cumsum(per)[:-1])
 
 
 def decode(words: np.ndarray) -> np.ndarray:
@@ -125,17 +132,17 @@ class ByteEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = self.words
-        if len(words) > CACHE_WORDS:
+        if len(words) > CACHE_WORDS:  # what is met again soon comes back; one call takes all new words of a batch
             words.clear()
+        split = [SPLIT.findall(t) for t in texts]
+        if new := list({w for ws in split for w in ws if w not in words}):
+            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                words[w] = np.asarray(e.ids, "<u4").tobytes()
         out = []
-        for text in texts:
+        for text, found in zip(texts, split, strict=True):
             if any(s in text for s in self.special):
                 out.append(np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
                 continue
-            found = SPLIT.findall(text)
-            if new := list({w for w in found if w not in words}):
-                for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                    words[w] = np.asarray(e.ids, "<u4").tobytes()
             out.append(b"".join([words[w] for w in found]))
         return out
 
@@ -155,7 +162,7 @@ def packed(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
         enc, end = byte_encoder(path), end_id.to_bytes(4, "little")
         for b in batches:
             ids = [np.frombuffer(x + end, "<u4") for x in enc(b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array([encode(i).tobytes() for i in ids], pa.binary())], ["doc_id", "n_tokens", "words"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array([w.tobytes() for w in encode_many(ids)], pa.binary())], ["doc_id", "n_tokens", "words"])
 
     return map_arrow(documents(docs), run, PACKED)
 
