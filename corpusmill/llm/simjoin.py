@@ -10,7 +10,7 @@ A document's set is its distinct 5-word shingles, as 64-bit hashes. Equal sets a
 3. In each list the sets are first compared with a few leaders only. What leaders link is one component, and its sets
    needn't be compared with each other again.
 4. Then sets of different components that share a list are compared. How many prefix entries two sets share bounds their
-   intersection. Where a similar set's answer is known, theirs is derived: |x & y| lies between |l & y| - |l - x| and
+   intersection, and so do, in long lists, the bits in which their signatures differ. Where a similar set's answer is known, theirs is derived: |x & y| lies between |l & y| - |l - x| and
    |l & y| + |x - l|; only what that leaves open is looked up.
 5. Open pairs are verified on whole sets, in a grid of tasks, to each of which a set goes once at most.
 6. Components by alternating large-star and small-star steps.
@@ -34,6 +34,8 @@ from .common import documents, map_arrow, written
 WORDS, LEADERS, LONG_LIST = 5, 3, 8
 #: Counters of the sketch, and the count above chance from which a shingle is frequent. Only speed depends on them.
 COUNTERS, FREQUENT, PART = 1 << 24, 24, 1 << 18
+#: Bits of a set's signature.
+BITS = 512
 #: Ids up to which those needed for verification are broadcast; pairs in a task of it; pairs of a set and a component that come first.
 BROADCAST_IDS, TASK_PAIRS, BEST = 2_000_000, 4000, 3
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -66,6 +68,12 @@ def prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate([s[~late], s[late]])[: len(s) // 5 + 1]
 
 
+def signature(s: np.ndarray) -> bytes:
+    """The parity of the number of shingles that fall on each of BITS bits. Each bit in which two signatures differ stands
+    for at least one shingle that only one of the sets has."""
+    return np.packbits(np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
+
+
 def frequent_slots(docs: DataFrame) -> np.ndarray:
     """A bitmap of COUNTERS bits: where shingles counted over all documents exceed chance by FREQUENT."""
 
@@ -107,15 +115,15 @@ def frequent_slots(docs: DataFrame) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """A written table of doc_id, n, digest of the set (null: empty) and the prefix."""
+    """A written table of doc_id, n, digest of the set (null: empty), the prefix and the signature."""
     frequent = frequent_slots(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.array([prefix(s, frequent).tobytes() for s in sets], pa.binary())], ["doc_id", "n", "digest", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.array([prefix(s, frequent).tobytes() for s in sets], pa.binary()), pa.array([signature(s) for s in sets], pa.binary())], ["doc_id", "n", "digest", "prefix", "sign"])
 
-    return written(map_arrow(documents(docs), run, "doc_id long, n long, digest binary, prefix binary"), "fingerprints")
+    return written(map_arrow(documents(docs), run, "doc_id long, n long, digest binary, prefix binary, sign binary"), "fingerprints")
 
 
 LISTS = "shingle long, nodes binary, sizes binary, places binary"
@@ -232,28 +240,36 @@ def _counted(pairs: DataFrame) -> DataFrame:
     return p.where(9 * (F.col("shared") + F.greatest(rest("nx"), rest("ny"))) >= 4 * (F.col("nx") + F.col("ny")))
 
 
-def cross_pairs(lists: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs of each list whose components differ, counted over all lists that they share. Members of the list's largest component are only met from outside it."""
+def cross_pairs(lists: DataFrame, components: DataFrame, signs: DataFrame) -> DataFrame:
+    """Pairs of each list whose components differ, counted over all lists that they share. Members of the list's largest
+    component are only met from outside it. In long lists, pairs whose signatures (node, sign) differ in too many bits are
+    no links and aren't made: a set outside a group of near copies mostly isn't paired with its members."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             nodes = [np.frombuffer(x, "<i8") for x in b.column(1).to_pylist()]
             k = np.array([len(x) for x in nodes])
             if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), k)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate([np.frombuffer(x, "<i4") for x in b.column(2).to_pylist()]))], ["shingle", "node", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), k)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate([np.frombuffer(x, "<i4") for x in b.column(2).to_pylist()])), pa.array(np.repeat(k >= LONG_LIST, k))], ["shingle", "node", "n", "long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Pairs()
-        for _, starts, ends, cols in runs(batches, 4):
+        for _, starts, ends, cols in runs(batches, 5):
             for s, e in zip(starts, ends, strict=True):
                 x, n, c = cols[1][s:e], cols[2][s:e].astype(np.int64), cols[3][s:e]
                 kinds, own, size = np.unique(c, return_inverse=True, return_counts=True)
                 if len(kinds) == 1:
                     continue
                 largest = own == size.argmax()
+                if e - s >= LONG_LIST:  # without a signature (an id with several texts) nothing is ruled out
+                    has = np.array([g is not None for g in cols[4][s:e]])
+                    signs = np.frombuffer(b"".join(g or bytes(BITS // 8) for g in cols[4][s:e]), "<u8").reshape(e - s, -1)
                 for i in np.flatnonzero(~largest):
                     lo, hi = np.searchsorted(n, -(-4 * n[i] // 5)), np.searchsorted(n, 5 * n[i] // 4, side="right")
                     ok = (c[lo:hi] != c[i]) & (largest[lo:hi] | (np.arange(lo, hi) > i))
+                    if e - s >= LONG_LIST and has[i]:
+                        total = n[lo:hi] + n[i]
+                        ok &= ~has[lo:hi] | (9 * (total - np.bitwise_count(signs[lo:hi] ^ signs[i]).sum(axis=1, dtype=np.int64)) >= 8 * total)
                     if ok.any():
                         out.add(x[i], n[i], x[lo:hi][ok], n[lo:hi][ok])
                 if out.n > 300_000:
@@ -261,8 +277,9 @@ def cross_pairs(lists: DataFrame, components: DataFrame) -> DataFrame:
         yield from out.take()
 
     n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = map_arrow(lists, spread, "shingle long, node long, n int", rows=5000).join(components, "node", "left")
-    rows = rows.select("shingle", "node", "n", F.coalesce("component", "node").alias("component"))
+    of = signs.join(components, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "sign")
+    rows = map_arrow(lists, spread, "shingle long, node long, n int, long boolean", rows=5000).join(of, "node")
+    rows = rows.select("shingle", "node", "n", "component", F.when(F.col("long"), F.col("sign")).alias("sign"))
     rows = rows.repartition(n, "shingle").sortWithinPartitions("shingle", "n", "node")
     return _counted(map_arrow(rows, run, PAIRS, rows=50_000))
 
@@ -372,12 +389,12 @@ def components(docs: DataFrame) -> DataFrame:
     """
     prints = fingerprints(docs)
     usable = prints.where("digest is not null and doc_id is not null")
-    nodes = usable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"))
+    nodes = usable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"), F.first("sign").alias("sign"))
     lists = index_lists(nodes)
     first = verified(docs, written(leader_pairs(lists), "pairs"))
     links = first.where(_LINK).select("x", "y")
     known = written(connected(links), "components")
-    found = written(derived(written(cross_pairs(lists, known), "pairs"), first), "open")
+    found = written(derived(written(cross_pairs(lists, known, nodes.groupBy("node").agg(F.when(F.count("*") == 1, F.first("sign")).alias("sign"))), "pairs"), first), "open")
     links = links.unionByName(found.where("link").select("x", "y"))
     open_ = placed_in(found.where("link is null"), known)
     # one link joins two components, so that the likeliest pairs of a set and a component come first
