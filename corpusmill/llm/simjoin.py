@@ -7,8 +7,8 @@ A document's set is its distinct 5-word shingles, as 64-bit hashes. Equal sets a
    frequent shingles last; similar sets share a shingle among their first n // 5 + 1 (the prefix).
 2. Index lists: prefix entries (shingle, node, n, position) are sorted by shingle; lists with one entry go. Lists are kept
    sorted by size, so that a search skips the blocks whose size or position rules them out.
-3. In each list the sets are first compared with a few leaders only. What leaders link is one component, and its sets
-   needn't be compared with each other again.
+3. In each long list a set is first compared with those of a few leaders whose signatures are nearest to its own. What
+   leaders link is one component, and its sets needn't be compared with each other again.
 4. Then sets of different components that share a list are compared. How many prefix entries two sets share bounds their
    intersection, and so do, in long lists, the bits in which their signatures differ. Where a similar set's answer is known, theirs is derived: |x & y| lies between |l & y| - |l - x| and
    |l & y| + |x - l|; only what that leaves open is looked up.
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import documents, map_arrow, written
 
-#: Leaders of a list, and the length from which it has them.
-WORDS, LEADERS, LONG_LIST = 5, 3, 8
+#: Leaders of a list, those of them that a set is compared with, and the length from which signatures are used; a list of
+#: eight times that length has leaders.
+WORDS, LEADERS, NEAREST, LONG_LIST = 5, 64, 2, 8
 #: Counters of the sketch, and the count above chance from which a shingle is frequent. Only speed depends on them.
 COUNTERS, FREQUENT, PART = 1 << 24, 24, 1 << 18
 #: Bits of a set's signature.
@@ -126,6 +127,20 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return written(map_arrow(documents(docs), run, "doc_id long, n long, digest binary, prefix binary, sign binary"), "fingerprints")
 
 
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of values, which end where `ends` says (0 first), as binary."""
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype("<i8")), pa.py_buffer(values)]).cast(pa.binary())
+
+
+def _values(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column without nulls, and how many each row has."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    ends = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    values = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind) if ends[-1] > ends[0] else np.zeros(0, kind)
+    return values, np.diff(ends) // np.dtype(kind).itemsize
+
+
 LISTS = "shingle long, nodes binary, sizes binary, places binary"
 
 
@@ -141,10 +156,12 @@ def index_lists(nodes: DataFrame) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, starts, ends, cols in runs(batches, 4):
-            many = np.flatnonzero(ends - starts > 1)
-            if len(many):
-                cut = lambda c, t: pa.array([np.ascontiguousarray(cols[c][starts[i] : ends[i]], t).tobytes() for i in many], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(keys[many]), cut(1, "<i8"), cut(2, "<i4"), cut(3, "<i4")], ["shingle", "nodes", "sizes", "places"])
+            k = ends - starts
+            many = k > 1
+            if many.any():
+                rows, ends_ = np.repeat(many, k), np.append(0, np.cumsum(k[many]))
+                packed = lambda c, t: _binary(np.ascontiguousarray(cols[c][rows], t), ends_)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[many]), packed(1, "<i8"), packed(2, "<i4"), packed(3, "<i4")], ["shingle", "nodes", "sizes", "places"])
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = map_arrow(nodes.select("node", "n", "prefix"), spread, "shingle long, node long, n int, place int", rows=256)
@@ -159,7 +176,7 @@ def runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.nda
     def out(cols: list[np.ndarray]):
         key = cols[0]
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-        return key[starts], starts, np.append(starts[1:], len(key)), cols
+        return key[starts], starts, np.append(starts, len(key))[1:], cols
 
     for b in batches:
         if not b.num_rows:
@@ -191,7 +208,7 @@ class _Pairs:
         self.parts: list[np.ndarray] = []
         self.n = 0
 
-    def add(self, x: int, nx: int, y: np.ndarray, ny: np.ndarray) -> None:
+    def add(self, x: int | np.ndarray, nx: int | np.ndarray, y: np.ndarray, ny: np.ndarray) -> None:
         a = np.empty((len(y), 4), np.int64)
         low = y < x
         a[:, 0], a[:, 1] = np.where(low, y, x), np.where(low, ny, nx)
@@ -210,26 +227,61 @@ class _Pairs:
         self.parts, self.n = [], 0
 
 
-def leader_pairs(lists: DataFrame) -> DataFrame:
-    """The sets of each long list with its leaders: the LEADERS sets that come first in a seeded order of all sets."""
+def entries(lists: DataFrame, of: DataFrame, least: int = 2) -> DataFrame:
+    """Rows shingle, node, n, place, component, sign of the lists of at least that length, a list's rows together and in
+    order; `of` has the components and signatures. Lists that aren't long have no signatures."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            (x, k), (n, _), (p, _) = (_values(b.column(c), t) for c, t in ((1, "<i8"), (2, "<i4"), (3, "<i4")))
+            if len(k):
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), k)), pa.array(x), pa.array(n), pa.array(p), pa.array(np.repeat(k >= LONG_LIST, k))], ["shingle", "node", "n", "place", "long"])
+
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chosen = lists.where(F.octet_length("nodes") >= 8 * least) if least > 2 else lists
+    rows = map_arrow(chosen, spread, "shingle long, node long, n int, place int, long boolean", rows=5000).join(of, "node")
+    rows = rows.select("shingle", "node", "n", "place", "component", F.when(F.col("long"), F.col("sign")).alias("sign"))
+    return rows.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "node")
+
+
+def _signs(column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures as rows of 64-bit words, and which are there: an id with several texts has none, and isn't ruled out."""
+    has = np.array([g is not None for g in column])
+    return np.frombuffer(b"".join(g or bytes(BITS // 8) for g in column), "<u8").reshape(len(column), -1), has
+
+
+def leader_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
+    """The sets of each list of 8 * LONG_LIST or more, each with the NEAREST of its leaders, which are the LEADERS sets
+    that come first in a seeded order of all sets. Which leaders are taken touches speed only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Pairs()
-        for b in batches:
-            for nodes, sizes, places in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
-                if len(nodes) < 8 * LONG_LIST:
-                    continue
-                x, n, p = np.frombuffer(nodes, "<i8"), np.frombuffer(sizes, "<i4").astype(np.int64), np.frombuffer(places, "<i4").astype(np.int64)
-                first = np.argsort(_mixed(x.astype(np.uint64)))[:LEADERS]
-                for i in first:
-                    lo, hi = np.searchsorted(n, -(-4 * n[i] // 5)), np.searchsorted(n, 5 * n[i] // 4, side="right")  # blocks outside are skipped
-                    ok = _may(n[i], p[i], n[lo:hi], p[lo:hi]) & (x[lo:hi] != x[i])
-                    out.add(x[i], n[i], x[lo:hi][ok], n[lo:hi][ok])
-                if out.n > 300_000:
-                    yield from out.take()
+        for _, starts, ends, cols in runs(batches, 6):
+            for s, e in zip(starts, ends, strict=True):
+                x, n, p = cols[1][s:e], cols[2][s:e].astype(np.int64), cols[3][s:e].astype(np.int64)
+                first = np.argsort(_mixed(x.astype(np.uint64)), kind="stable")[:LEADERS]
+                signs, has = _signs(cols[5][s:e])
+                for a in range(0, e - s, 20_000):
+                    z = min(a + 20_000, e - s)
+                    far = np.full((len(first), z - a), np.inf)
+                    for k, i in enumerate(first):
+                        lo, hi = max(a, np.searchsorted(n, -(-4 * n[i] // 5))), min(z, np.searchsorted(n, 5 * n[i] // 4, side="right"))  # blocks outside are skipped
+                        if lo >= hi:
+                            continue
+                        total = n[lo:hi] + n[i]
+                        differ = np.bitwise_count(signs[lo:hi] ^ signs[i]).sum(axis=1, dtype=np.int64)
+                        ok = _may(n[i], p[i], n[lo:hi], p[lo:hi]) & (x[lo:hi] != x[i]) & (~has[lo:hi] | ~has[i] | (9 * (total - differ) >= 8 * total))
+                        far[k, lo - a : hi - a] = np.where(ok, differ / total, np.inf)
+                    near = np.argsort(far, axis=0, kind="stable")[:NEAREST]
+                    for k, i in enumerate(first):
+                        ok = ((near == k) & np.isfinite(far[k])).any(axis=0)
+                        if ok.any():
+                            out.add(x[i], n[i], x[a:z][ok], n[a:z][ok])
+                    if out.n > 300_000:
+                        yield from out.take()
         yield from out.take()
 
-    return map_arrow(lists, run, PAIRS, rows=20_000).select("x", "nx", "y", "ny").distinct()
+    return map_arrow(entries(lists, of, 8 * LONG_LIST), run, PAIRS, rows=50_000).select("x", "nx", "y", "ny").distinct()
 
 
 def _counted(pairs: DataFrame) -> DataFrame:
@@ -240,30 +292,25 @@ def _counted(pairs: DataFrame) -> DataFrame:
     return p.where(9 * (F.col("shared") + F.greatest(rest("nx"), rest("ny"))) >= 4 * (F.col("nx") + F.col("ny")))
 
 
-def cross_pairs(lists: DataFrame, components: DataFrame, signs: DataFrame) -> DataFrame:
+def cross_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
     """Pairs of each list whose components differ, counted over all lists that they share. Members of the list's largest
-    component are only met from outside it. In long lists, pairs whose signatures (node, sign) differ in too many bits are
+    component are only met from outside it. In long lists, pairs whose signatures differ in too many bits are
     no links and aren't made: a set outside a group of near copies mostly isn't paired with its members."""
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            nodes = [np.frombuffer(x, "<i8") for x in b.column(1).to_pylist()]
-            k = np.array([len(x) for x in nodes])
-            if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), k)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate([np.frombuffer(x, "<i4") for x in b.column(2).to_pylist()])), pa.array(np.repeat(k >= LONG_LIST, k))], ["shingle", "node", "n", "long"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Pairs()
-        for _, starts, ends, cols in runs(batches, 5):
-            for s, e in zip(starts, ends, strict=True):
-                x, n, c = cols[1][s:e], cols[2][s:e].astype(np.int64), cols[3][s:e]
-                kinds, own, size = np.unique(c, return_inverse=True, return_counts=True)
-                if len(kinds) == 1:
-                    continue
+        for _, starts, ends, cols in runs(batches, 6):
+            two = starts[ends - starts == 2]  # most lists
+            two = two[(cols[4][two] != cols[4][two + 1]) & (5 * cols[2][two].astype(np.int64) >= 4 * cols[2][two + 1].astype(np.int64))]
+            if len(two):
+                out.add(cols[1][two], cols[2][two], cols[1][two + 1], cols[2][two + 1])
+            mixed = (ends - starts > 2) & (np.minimum.reduceat(cols[4], starts) != np.maximum.reduceat(cols[4], starts)) if len(starts) else np.zeros(0, bool)
+            for s, e in zip(starts[mixed], ends[mixed], strict=True):
+                x, n, c = cols[1][s:e], cols[2][s:e].astype(np.int64), cols[4][s:e]
+                _, own, size = np.unique(c, return_inverse=True, return_counts=True)
                 largest = own == size.argmax()
-                if e - s >= LONG_LIST:  # without a signature (an id with several texts) nothing is ruled out
-                    has = np.array([g is not None for g in cols[4][s:e]])
-                    signs = np.frombuffer(b"".join(g or bytes(BITS // 8) for g in cols[4][s:e]), "<u8").reshape(e - s, -1)
+                if e - s >= LONG_LIST:
+                    signs, has = _signs(cols[5][s:e])
                 for i in np.flatnonzero(~largest):
                     lo, hi = np.searchsorted(n, -(-4 * n[i] // 5)), np.searchsorted(n, 5 * n[i] // 4, side="right")
                     ok = (c[lo:hi] != c[i]) & (largest[lo:hi] | (np.arange(lo, hi) > i))
@@ -274,14 +321,11 @@ def cross_pairs(lists: DataFrame, components: DataFrame, signs: DataFrame) -> Da
                         out.add(x[i], n[i], x[lo:hi][ok], n[lo:hi][ok])
                 if out.n > 300_000:
                     yield from out.take()
+            if out.n > 300_000:
+                yield from out.take()
         yield from out.take()
 
-    n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    of = signs.join(components, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "sign")
-    rows = map_arrow(lists, spread, "shingle long, node long, n int, long boolean", rows=5000).join(of, "node")
-    rows = rows.select("shingle", "node", "n", "component", F.when(F.col("long"), F.col("sign")).alias("sign"))
-    rows = rows.repartition(n, "shingle").sortWithinPartitions("shingle", "n", "node")
-    return _counted(map_arrow(rows, run, PAIRS, rows=50_000))
+    return _counted(map_arrow(entries(lists, of), run, PAIRS, rows=50_000))
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -391,10 +435,11 @@ def components(docs: DataFrame) -> DataFrame:
     usable = prints.where("digest is not null and doc_id is not null")
     nodes = usable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"), F.first("sign").alias("sign"))
     lists = index_lists(nodes)
-    first = verified(docs, written(leader_pairs(lists), "pairs"))
+    signs = written(nodes.groupBy("node").agg(F.when(F.count("*") == 1, F.first("sign")).alias("sign")), "signs")
+    first = verified(docs, written(leader_pairs(lists, signs.withColumn("component", F.col("node"))), "pairs"))
     links = first.where(_LINK).select("x", "y")
     known = written(connected(links), "components")
-    found = written(derived(written(cross_pairs(lists, known, nodes.groupBy("node").agg(F.when(F.count("*") == 1, F.first("sign")).alias("sign"))), "pairs"), first), "open")
+    found = written(derived(written(cross_pairs(lists, signs.join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "sign")), "pairs"), first), "open")
     links = links.unionByName(found.where("link").select("x", "y"))
     open_ = placed_in(found.where("link is null"), known)
     # one link joins two components, so that the likeliest pairs of a set and a component come first

@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -117,6 +118,13 @@ def test_simjoin(spark, odd, none, small, monkeypatch):
     assert simjoin.components(none).count() == 0
 
 
+def test_runs_over_batches():
+    keys = [[1, 1], [1], [1, 2, 2, 3], [3], [4], [5, 5]]
+    batches = (pa.RecordBatch.from_arrays([pa.array(k, pa.int64())], ["k"]) for k in keys)
+    found = [(int(k), int(e - s)) for ks, ss, es, _ in simjoin.runs(batches, 1) for k, s, e in zip(ks, ss, es, strict=True)]
+    assert found == [(1, 4), (2, 2), (3, 2), (4, 1), (5, 2)]
+
+
 def test_simple8b():
     r = np.random.default_rng(2)
     for bits in (1, 2, 5, 9, 16, 31, 59, 60, 61, 63):
