@@ -101,7 +101,7 @@ def frequent_slots(docs: DataFrame) -> np.ndarray:
 
     parts = COUNTERS // PART
     counts = map_arrow(documents(docs), count, "part int, counts binary, n long")
-    summed = written(map_arrow(counts.repartition(min(parts, 16), "part"), add, "part int, counts binary, n long", rows=64), "sketch")
+    summed = written(map_arrow(counts.repartition(min(parts, 16), "part"), add, "part int, counts binary, n long"), "sketch")
     least = FREQUENT + 2 * (summed.agg(F.sum("n")).first()[0] or 0) // COUNTERS
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +110,7 @@ def frequent_slots(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(flags, pa.binary())], ["part", "flags"])
 
     bits = np.zeros(COUNTERS // 8, np.uint8)
-    for r in map_arrow(summed.select("part", "counts"), flag, "part int, flags binary", rows=16).collect():  # 2 MB in all
+    for r in map_arrow(summed.select("part", "counts"), flag, "part int, flags binary").collect():  # 2 MB in all
         bits[r["part"] * PART // 8 : (r["part"] + 1) * PART // 8] = np.frombuffer(r["flags"], np.uint8)
     return bits
 
@@ -164,7 +164,7 @@ def index_lists(nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys[many]), packed(1, "<i8"), packed(2, "<i4"), packed(3, "<i4")], ["shingle", "nodes", "sizes", "places"])
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = map_arrow(nodes.select("node", "n", "prefix"), spread, "shingle long, node long, n int, place int", rows=256)
+    rows = map_arrow(nodes.select("node", "n", "prefix"), spread, "shingle long, node long, n int, place int")
     rows = rows.repartition(n, "shingle").sortWithinPartitions("shingle", "n", "node", "place")
     return written(map_arrow(rows, gather, LISTS, rows=50_000), "lists")
 
@@ -374,7 +374,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["x", "nx", "y", "ny", "both"])
 
-    return written(map_arrow(rows, run, "x long, nx int, y long, ny int, both int", rows=512), "verified")
+    return written(map_arrow(rows, run, "x long, nx int, y long, ny int, both int"), "verified")
 
 
 _LINK = "9 * both >= 4 * (nx + ny)"
