@@ -239,7 +239,7 @@ def unpack(blocks: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(flat[e - c : e].tobytes()) for e, c in zip(ends, counts, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=ids == _NULL), pa.array(ends - counts + start, pa.int64()), pa.array(counts, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return map_arrow(blocks, run, "doc_id long, start long, n_tokens long, ids_crc32 long", rows=32)
+    return map_arrow(blocks, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
