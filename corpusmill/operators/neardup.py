@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHINGLE = 5
+#: 64-bit words of a set's signature.
+SIGN_WORDS = 16
 
 
 def shingle_hashes(text: str) -> np.ndarray:
@@ -28,6 +30,12 @@ def shingle_hashes(text: str) -> np.ndarray:
     return np.unique(h)
 
 
+def signature(s: np.ndarray) -> list[int]:
+    """The parity of the number of hashes that fall on each bit; a bit that differs stands for a hash that only one set has."""
+    bits = SIGN_WORDS * 64
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view("<i8").tolist()
+
+
 def _table(df: DataFrame, kind: str) -> DataFrame:
     """df written to the session's checkpoint folder and read again."""
     spark = df.sparkSession
@@ -41,19 +49,24 @@ def similar_pairs(df: DataFrame, key: str, domain: str, text: str, threshold: fl
     """(i, j), i before j, of one domain with a Jaccard similarity of at least the threshold. No pair is missed.
 
     Sets with c shingles emit the c - ceil(t c) + 1 smallest hashes; sets that share none of these can't be similar.
+    Nor can those whose signatures differ in too many bits; only the others' sets are compared.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_hashes(t) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "domain", "s"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([signature(s) for s in sets], pa.list_(pa.int64()))], ["id", "domain", "s", "g"])
 
-    sets = _table(df.select(F.col(key).cast("long").alias("id"), F.col(domain).cast("string").alias("domain"), text).mapInArrow(run, "id long, domain string, s array<long>"), "sets")
+    sets = _table(df.select(F.col(key).cast("long").alias("id"), F.col(domain).cast("string").alias("domain"), text).mapInArrow(run, "id long, domain string, s array<long>, g array<long>"), "sets")
     p = sets.withColumn("c", F.size("s")).where("c > 0")
     first = p.select("id", "domain", "c", F.explode(F.slice("s", F.lit(1), (F.col("c") - F.ceil(F.lit(threshold) * F.col("c") - 1e-9) + 1).cast("int"))).alias("h"))
     a, b = first.alias("a"), first.alias("b")
     near = F.least("a.c", "b.c") >= threshold * F.greatest("a.c", "b.c")
     pairs = a.join(b, F.col("a.domain").eqNullSafe(F.col("b.domain")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & near).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
+    signs = lambda side: p.select(F.col("id").alias(side), F.col("c").alias(f"c{side}"), F.col("g").alias(f"g{side}"))
+    differ = sum((F.bit_count(F.col("gi")[k].bitwiseXOR(F.col("gj")[k])) for k in range(SIGN_WORDS)), F.lit(0))
+    total, most = F.col("ci") + F.col("cj"), (F.col("ci") + F.col("cj") - differ) / 2
+    pairs = pairs.join(signs("i"), "i").join(signs("j"), "j").where(most + 1e-6 >= threshold * (total - most)).select("i", "j")
     left, right = sets.select(F.col("id").alias("i"), F.col("s").alias("si")), sets.select(F.col("id").alias("j"), F.col("s").alias("sj"))
     both = F.size(F.array_intersect("si", "sj"))
     whole = pairs.join(left, "i").join(right, "j").select("i", "j", both.alias("o"), F.size("si").alias("a"), F.size("sj").alias("b"))
