@@ -7,7 +7,8 @@ The model reads subword ids (each word is split by longest match over the tokens
 probability is that of its class given the ids before it, times its share in the class; classes are of equal mass in the
 training corpus' id counts. Class probabilities come from one layer of causal attention over a window. Windows overlap; each
 token is scored once, in the first window that has it among its last STRIDE places (or in a text's first window).
-The network's weights are fitted on the driver on at most TRAIN_DOCS documents, taken by hash.
+The network's weights start from a fit on the driver to windows drawn from all places of all training texts. Then the executors
+train on every id of every training text, and what their tasks learnt is averaged.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
 from functools import lru_cache
 from pathlib import Path
 
@@ -28,7 +30,9 @@ from .bpe import byte_symbols
 from .common import documents, map_arrow, written
 
 FOLDS, HELD_OUT = 7, 2
-FREQUENT_WORDS, TRAIN_DOCS, TRAIN_CHARS, STEPS = 100_000, 1_500, 20_000, 900
+FREQUENT_WORDS, STEPS, BATCH = 100_000, 900, 96
+#: The pass over all training texts: windows of a step, the rate, ids that wait for steps at least, ids of a slice of the sums.
+PASS_BATCH, PASS_RATE, PASS_IDS, SLICE = 256, 0.003, 60_000, 256
 CLASSES, WIDTH, HIDDEN, WINDOW, STRIDE = 16, 16, 16, 16, 12
 CACHE_WORDS, LONGEST = 200_000, 8
 
@@ -125,34 +129,46 @@ class Attention:
         y -= np.log(np.exp(y).sum(axis=2, keepdims=True))
         return y, (x, q, k, v, a, c, h, z)
 
-    def train(self, texts: list[np.ndarray], end: int, steps: int = STEPS, batch: int = 96, rate: float = 0.01, seed: int = 5) -> None:
-        """Adam on random windows of the id sequences (each with the end before and after it)."""
+    def step(self, ids: np.ndarray, goal: np.ndarray, rate: float, held: dict) -> None:
+        """One step of Adam towards the next ids (goal) of rows of WINDOW ids; held keeps the moments between steps.
+
+        Of the embedding, only the rows of the ids are moved.
+        """
+        p = self.p
+        y, (x, q, k, v, a, c, h, z) = self.forward(ids)
+        flat = lambda t: t.reshape(-1, t.shape[-1])
+        dy = np.exp(y)
+        flat(dy)[np.arange(ids.size), self.kind[goal.ravel()]] -= 1
+        dy /= np.float32(ids.size)
+        dz = dense(dy, p["w2"].T) * (z > 0)
+        dh = dense(dz, p["w1"].T)
+        dc = dense(dh, p["o"].T)
+        da = dc @ v.transpose(0, 2, 1)
+        da = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
+        dq, dk, dv = da @ k, da.transpose(0, 2, 1) @ (q * np.float32(WIDTH**0.5)), a.transpose(0, 2, 1) @ dc
+        dx = dh + dense(dq, p["q"].T) + dense(dk, p["k"].T) + dense(dv, p["v"].T)
+        order = np.argsort(ids, axis=None, kind="stable")
+        own, at = np.unique(ids.ravel()[order], return_index=True)
+        g = {"e": np.add.reduceat(flat(dx)[order], at, axis=0), "pos": dx.sum(0), "q": flat(x).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv), "o": flat(c).T @ flat(dh), "w1": flat(h).T @ flat(dz), "b1": flat(dz).sum(0), "w2": flat(z).T @ flat(dy), "b2": flat(dy).sum(0)}
+        n = held["n"] = held.get("n", 0) + 1
+        for name, d in g.items():
+            m1, m2 = held.setdefault(name, (np.zeros_like(p[name]), np.zeros_like(p[name])))
+            rows = own if name == "e" else slice(None)
+            m1[rows] = f1 = 0.9 * m1[rows] + 0.1 * d
+            m2[rows] = f2 = 0.99 * m2[rows] + 0.01 * d * d
+            p[name][rows] -= (rate * (f1 / (1 - 0.9**n)) / (np.sqrt(f2 / (1 - 0.99**n)) + 1e-8)).astype(np.float32)
+
+    def train(self, texts: list[np.ndarray], end: int, steps: int = STEPS, batch: int = BATCH, rate: float = 0.01, seed: int = 5) -> None:
+        """Steps on random windows of the id sequences (each with the end before and after it)."""
         flat = np.concatenate([np.concatenate([[end], t]) for t in texts] + [[end] * (WINDOW + 1)]).astype(np.int64)
-        r, p = np.random.default_rng(seed), self.p
-        m1, m2 = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
+        self.fit(np.lib.stride_tricks.sliding_window_view(flat, WINDOW + 1), steps, batch, rate, seed)
+
+    def fit(self, windows: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = 0.01, seed: int = 5) -> None:
+        """Steps on random rows of windows (WINDOW + 1 ids each), with a falling rate."""
+        r, held = np.random.default_rng(seed), {}
         for step in range(1, steps + 1):
-            at = r.integers(0, len(flat) - WINDOW, batch)
-            ids = flat[at[:, None] + np.arange(WINDOW)]
-            y, (x, q, k, v, a, c, h, z) = self.forward(ids)
-            dy = np.exp(y)
-            np.put_along_axis(dy, to := self.kind[flat[at[:, None] + 1 + np.arange(WINDOW)]][..., None], np.take_along_axis(dy, to, 2) - 1, 2)
-            dy /= np.float32(batch * WINDOW)
-            dz = (dy @ p["w2"].T) * (z > 0)
-            dh = dz @ p["w1"].T
-            dc = dh @ p["o"].T
-            da = dc @ v.transpose(0, 2, 1)
-            da = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-            dq, dk, dv = da @ k, da.transpose(0, 2, 1) @ (q * np.float32(WIDTH**0.5)), a.transpose(0, 2, 1) @ dc
-            dx = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-            flat2 = lambda t: t.reshape(-1, t.shape[-1])
-            de = np.zeros_like(p["e"])
-            np.add.at(de, ids.ravel(), flat2(dx))
-            g = {"e": de, "pos": dx.sum(0), "q": flat2(x).T @ flat2(dq), "k": flat2(x).T @ flat2(dk), "v": flat2(x).T @ flat2(dv), "o": flat2(c).T @ flat2(dh), "w1": flat2(h).T @ flat2(dz), "b1": flat2(dz).sum(0), "w2": flat2(z).T @ flat2(dy), "b2": flat2(dy).sum(0)}
-            now = rate * (1 - step / (steps + 1))
-            for name, d in g.items():
-                m1[name] = 0.9 * m1[name] + 0.1 * d
-                m2[name] = 0.99 * m2[name] + 0.01 * d * d
-                p[name] -= (now * (m1[name] / (1 - 0.9**step)) / (np.sqrt(m2[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+            own = windows[r.integers(0, len(windows), batch)]
+            self.step(own[:, :-1], own[:, 1:], rate * (1 - step / (steps + 1)), held)
 
     def score(self, texts: list[np.ndarray], end: int) -> np.ndarray:
         """log10 probability of each id sequence and its end."""
@@ -227,6 +243,96 @@ def id_counts(words: DataFrame, path: str, end: int, n_docs: int) -> np.ndarray:
     return out
 
 
+def start_windows(train: DataFrame, path: str, end: int, n_all: int, wanted: int = STEPS * BATCH) -> np.ndarray:
+    """About `wanted` windows of WINDOW + 1 ids, from places of all training texts that the rows' hashes draw evenly."""
+    rate = min(4.0, wanted / max(1, n_all))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok = subwords(path)
+        for b in batches:
+            out = []
+            for t, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                r = np.random.default_rng(h & (1 << 64) - 1)
+                ws = t.encode().lower().split()
+                for i in r.integers(0, len(ws) + 1, r.poisson(rate * (len(ws) + 1))):
+                    ids = np.concatenate([[end] * int(i == 0), tok(ws[i : i + WINDOW + 1]), [end] * (WINDOW + 1)])
+                    out.append(ids[: WINDOW + 1].astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
+
+    hashed = train.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
+    got = map_arrow(hashed, run, "ids binary").toArrow()["ids"].to_pylist()
+    return np.sort(np.array(got, f"S{4 * (WINDOW + 1)}")).view("<i4").reshape(len(got), WINDOW + 1).astype(np.int64)
+
+
+def learn(model: Attention, train: DataFrame, path: str, end: int) -> int:
+    """One pass of the model over every id of every training text, on the executors; returns the number of ids predicted.
+
+    Each task goes on from the model given, over the whole texts of its partition. Then what the tasks changed is averaged: of an id's
+    embedding by how often the tasks had the id, of the other weights by the tasks' ids. The sums are made by shuffle, in slices.
+    """
+    handle = train.sparkSession.sparkContext.broadcast(model)
+    n, rest = len(model.kind), [k for k in model.p if k != "e"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, tok, r, held, seen, total = handle.value, subwords(path), np.random.default_rng(7), {}, np.zeros(n), 0
+        own = copy(start)
+        own.p = {k: v.copy() for k, v in start.p.items()}
+        waiting, size, tail = [], 1, np.full(WINDOW + 1, end)
+
+        def steps(windows: np.ndarray) -> None:
+            for k in np.array_split(r.permutation(len(windows)), -(-len(windows) // PASS_BATCH)):
+                own.step(windows[k, :-1], windows[k, 1:], PASS_RATE, held)
+
+        def cut(last: bool) -> None:
+            nonlocal waiting, size, tail
+            flat = np.concatenate([tail[-1:], *waiting])
+            k = (len(flat) - 1) // WINDOW
+            if k:
+                steps(flat[np.arange(k)[:, None] * WINDOW + np.arange(WINDOW + 1)])
+            left = flat[k * WINDOW :]
+            tail = np.concatenate([tail, flat[1 : k * WINDOW + 1]])[-WINDOW - 1 :]
+            if last and len(left) > 1:  # the last window reaches back to ids that were predicted before
+                steps(np.concatenate([tail, left[1:]])[None, -WINDOW - 1 :])
+            waiting, size = [left[1:]], len(left)
+
+        for b in batches:
+            for t in b.column(1).to_pylist():
+                ids = np.append(tok(t.encode().lower().split()), end)
+                seen += np.bincount(ids, minlength=n)
+                total += len(ids)
+                waiting.append(ids)
+                size += len(ids)
+                if size > PASS_IDS:
+                    cut(False)
+        if total:
+            cut(True)
+            moved = np.concatenate([(own.p["e"] - start.p["e"]) * seen[:, None], seen[:, None]], 1)
+            for i in range(0, n, SLICE):
+                if seen[i : i + SLICE].any():
+                    yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int64()), "sums": pa.array([moved[i : i + SLICE].tobytes()], pa.binary())})
+            other = np.concatenate([*((own.p[k] - start.p[k]).ravel() * float(total) for k in rest), [total]])
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([-1], pa.int64()), "sums": pa.array([other.astype(float).tobytes()], pa.binary())})
+
+    def added(t: pa.Table) -> pa.Table:
+        parts = sorted(t["sums"].to_pylist())
+        return pa.table({"slice": t["slice"][:1], "sums": pa.array([np.sum([np.frombuffer(x) for x in parts], axis=0).tobytes()], pa.binary())})
+
+    sums = written(map_arrow(train.select("doc_id", "text"), run, "slice long, sums binary"), "learnt").groupBy("slice").applyInArrow(added, "slice long, sums binary")
+    total = 0
+    for i, x in ((r["slice"], np.frombuffer(bytes(r["sums"]))) for r in sums.collect()):
+        if i >= 0:
+            x = x.reshape(-1, WIDTH + 1)
+            model.p["e"][i : i + SLICE] += (x[:, :-1] / np.maximum(x[:, -1:], 1)).astype(np.float32)
+        else:
+            total, at = int(x[-1]), 0
+            for k in rest:
+                d = x[at : at + model.p[k].size] / total
+                model.p[k] += d.reshape(model.p[k].shape).astype(np.float32)
+                at += d.size
+    handle.unpersist()
+    return total
+
+
 PARTIAL = "doc_id long, n_tokens long, known long, logs double, score double, rare binary"
 
 
@@ -244,12 +350,12 @@ def scores(docs: DataFrame, path: str) -> DataFrame:
     n_all, v_all = r["n"] + n_docs, r["v"] + (n_docs > 0)
     end = subwords(path).end
     frequent = {bytes(x["word"]): x["n"] for x in words.orderBy(F.desc("n"), "hash").limit(FREQUENT_WORDS).collect()}
-    share = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_000)) < F.lit(int(3e6 * TRAIN_DOCS / max(1, n_docs)))  # more than is needed
-    sample = train.where(share).orderBy(F.xxhash64("doc_id", F.length("text"))).select(F.substring("text", 1, TRAIN_CHARS).alias("text")).limit(TRAIN_DOCS).toArrow()["text"].to_pylist()
     model = Attention(id_counts(words, path, end, n_docs))
-    texts = [subwords(path)(t.encode().lower().split()) for t in sample]
-    if any(len(t) for t in texts):
-        model.train(texts, end)
+    if r["n"]:
+        start = start_windows(train, path, end, n_all)
+        if len(start):
+            model.fit(start)
+        learn(model, train, path, end)
     handle = docs.sparkSession.sparkContext.broadcast((model, {w: (float(np.log10(c + 1))) for w, c in frequent.items()}))
     end_log = float(np.log10(n_docs + 1))
 

@@ -233,6 +233,21 @@ def test_attention_gradient_and_windows():
     assert np.allclose(np.exp(y).sum(axis=2), 1, atol=1e-4)
 
 
+def test_lm_learns_from_every_id(spark):
+    rows = [(1, "some plain words " * 1500 + "late zebra quokka " * 40), (2, ""), (3, "short"), (4, "other words again " * 30), (5, None)]
+    docs, tok = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), lm.subwords(BYTE_BPE)
+    ids = [np.append(tok((t or "").encode().lower().split()), tok.end) for _, t in rows]
+    for parts in (1, 3):
+        model = lm.Attention(np.ones(tok.end + 1))
+        before = model.p["e"].copy()
+        assert lm.learn(model, docs.repartition(parts), BYTE_BPE, tok.end) == sum(map(len, ids))
+        moved = (model.p["e"] != before).any(axis=1)
+        assert moved[np.concatenate(ids)].all() and moved.sum() == len(np.unique(np.concatenate(ids)))
+        assert all(np.isfinite(x).all() for x in model.p.values())
+    windows = lm.start_windows(docs, BYTE_BPE, tok.end, sum(len((t or "").split()) + 1 for _, t in rows))
+    assert windows.shape[1] == lm.WINDOW + 1 and set(np.concatenate(ids)) == set(np.unique(windows))
+
+
 def test_media(odd, none):
     got = {(r["doc_id"], r["n_bytes"]): r for r in media.digests(odd).collect()}
     for i, t in texts_of(odd):
