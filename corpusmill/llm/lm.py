@@ -33,8 +33,8 @@ FOLDS, HELD_OUT = 7, 2
 FREQUENT_WORDS, STEPS, BATCH = 100_000, 900, 96
 #: The pass over all training texts: windows of a step, the rate, ids that wait for steps at least, ids of a slice of the sums.
 PASS_BATCH, PASS_RATE, PASS_IDS, SLICE = 256, 0.003, 60_000, 256
-CLASSES, WIDTH, HIDDEN, WINDOW, STRIDE = 16, 16, 16, 16, 12
-CACHE_WORDS, LONGEST = 200_000, 8
+CLASSES, WIDTH, HIDDEN, WINDOW, STRIDE = 32, 16, 32, 24, 16
+CACHE_WORDS = 200_000
 
 
 def fold(doc_id: F.Column) -> F.Column:
@@ -50,19 +50,21 @@ class Subwords:
     def __init__(self, path: str):
         vocab = json.loads(Path(path).read_text(encoding="utf-8"))["model"]["vocab"]
         byte = {c: b for b, c in enumerate(byte_symbols())}
-        self.vocab = {bytes(byte[c] for c in t): i.to_bytes(4, "little") for t, i in vocab.items() if len(t) <= LONGEST}
+        self.vocab = {bytes(byte[c] for c in t): i.to_bytes(4, "little") for t, i in vocab.items()}
+        lengths = sorted({len(t) for t in self.vocab}, reverse=True)
+        self.tries = [[k for k in lengths if k <= left] for left in range(lengths[0] + 1)]  # by the bytes that are left
         self.end = max(vocab.values()) + 1
         self.words: dict[bytes, bytes] = {}
 
     def word(self, word: bytes) -> bytes:
-        get, w, out, i = self.vocab.get, b" " + word, b"", 0
-        n = len(w)
+        get, tries, w, out, i = self.vocab.get, self.tries, b" " + word, b"", 0
+        n, most = len(w), len(tries) - 1
         while i < n:
-            j = i + LONGEST
-            while (t := get(w[i:j])) is None:
-                j = min(j, n) - 1
+            for k in tries[min(n - i, most)]:
+                if (t := get(w[i : i + k])) is not None:
+                    break
             out += t
-            i = j
+            i += k
         return out
 
     def __call__(self, words: list[bytes], keep=None) -> np.ndarray:

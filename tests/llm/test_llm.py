@@ -233,6 +233,22 @@ def test_attention_gradient_and_windows():
     assert np.allclose(np.exp(y).sum(axis=2), 1, atol=1e-4)
 
 
+def test_lm_vocabulary_and_context():
+    tok = lm.subwords(BYTE_BPE)
+    vocab = json.loads(Path(BYTE_BPE).read_text(encoding="utf-8"))["model"]["vocab"]
+    symbols = bpe.byte_symbols()
+    assert len(tok.vocab) == len(vocab)
+    for t in vocab:
+        if t[0] == symbols[32] and symbols[32] not in t[1:]:  # a word of its own
+            assert tok([bytes(symbols.index(c) for c in t[1:])]).tolist() == [vocab[t]]
+    assert tok([b"x" + b"-" * 300]).nbytes and lm.CLASSES >= 32 and lm.HIDDEN >= 32
+    m = lm.Attention(np.ones(50))
+    seq = np.arange(1, 24) % 50
+    other = np.append(49, seq[1:])
+    y, z = (m.forward(np.append(0, s)[None])[0][0, -1] for s in (seq, other))
+    assert len(seq) + 1 == lm.WINDOW and not np.array_equal(y, z)  # 22 places further back
+
+
 def test_lm_learns_from_every_id(spark):
     rows = [(1, "some plain words " * 1500 + "late zebra quokka " * 40), (2, ""), (3, "short"), (4, "other words again " * 30), (5, None)]
     docs, tok = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), lm.subwords(BYTE_BPE)
