@@ -1,7 +1,7 @@
 """Toxicity scores: gradient-boosted trees over dense features, with isotonic calibration.
 
 The lexicon (words and word beginnings that mark toxic texts) is learnt from document frequencies over all labelled
-training rows. Features: lexicon densities, nearness of lexicon words to second-person words, capitals, punctuation and
+training rows; every unit that passes the test for it is kept. Features: lexicon densities, nearness of lexicon words to second-person words, capitals, punctuation and
 obfuscation rates. The trees are fitted in numpy on at most SAMPLE rows, taken by hash; a quarter of those is kept for the
 calibration. Scores depend on nothing but the text.
 """
@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow
+from .common import documents, map_arrow, written
 
-#: Labelled rows the trees and the calibration see at most; units looked at and kept; label rows that are broadcast at most.
-SAMPLE, CANDIDATES, LEXICON, BROADCAST_LABELS = 40_000, 20_000, 1_500, 2_000_000
+#: Labelled rows the trees and the calibration see at most; label rows that are broadcast at most.
+SAMPLE, BROADCAST_LABELS = 40_000, 2_000_000
 FOLDS = 5
 BEGINNINGS = (4, 5, 6)
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+(?:['@$*!][0-9a-z\x80-\xff]+)*")
@@ -150,21 +150,26 @@ def fold(doc_id: F.Column) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def _counted(docs: DataFrame, wanted: dict[bytes, int] | None) -> DataFrame:
-    """Document frequencies of units by (unit, n); of all units, or of those wanted."""
+def _counted(docs: DataFrame) -> DataFrame:
+    """Document frequencies of all units in toxic and in clean rows, by (unit, t, c)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: tuple[Counter[bytes], Counter[bytes]] = Counter(), Counter()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for toxic, counts in enumerate(held):
+                none, n = pa.array(np.zeros(len(counts), np.int64)), pa.array(counts.values(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), n if toxic else none, none if toxic else n], ["unit", "t", "c"])
+                counts.clear()
+
         for b in batches:
-            for text in b.column(1).to_pylist():
-                found = units(set(WORD.findall(text.lower().encode())))
-                held.update(found if wanted is None else [u for u in found if u in wanted])
-            if len(held) > 300_000:
-                yield pa.RecordBatch.from_pydict({"unit": pa.array(held.keys(), pa.binary()), "n": pa.array(held.values(), pa.int64())})
-                held.clear()
-        yield pa.RecordBatch.from_pydict({"unit": pa.array(held.keys(), pa.binary()), "n": pa.array(held.values(), pa.int64())})
+            for text, toxic in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                held[toxic != 0].update(units(set(WORD.findall(text.lower().encode()))))
+            if len(held[0]) + len(held[1]) > 300_000:
+                yield from out()
+        yield from out()
 
-    return map_arrow(docs, run, "unit binary, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    return map_arrow(docs, run, "unit binary, t long, c long").groupBy("unit").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -174,15 +179,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     small = F.broadcast if n_labels <= BROADCAST_LABELS else (lambda x: x)
     rows = documents(docs)
     join = lambda k: rows.join(small(k), rows["doc_id"] == k["id"])
-    toxic, clean = join(known.where("toxic = 1")).select("doc_id", "text"), join(known.where("toxic = 0")).select("doc_id", "text")
-    most = _counted(toxic, None).orderBy(F.desc("n"), "unit").limit(CANDIDATES).collect()
-    have = {bytes(r["unit"]): r["n"] for r in most}
-    other = {bytes(r["unit"]): r["n"] for r in _counted(clean, have).collect()}
     sample = join(known).select("doc_id", "text", "toxic", F.xxhash64("doc_id").alias("h"))
     if n_labels > SAMPLE:  # twice the share that is needed, by hash, before the exact cut
         sample = sample.where(F.pmod("h", F.lit(1_000_000)) < F.lit(int(2e6 * SAMPLE / n_labels)))
     n_toxic, n_clean = (max(r, 1) for r in _class_sizes(known))
-    model = Model(lexicon=_lexicon(have, other, n_toxic, n_clean))
+    counted = _counted(join(known).select("doc_id", "text", "toxic"))
+    model = Model(lexicon=_lexicon(counted, n_toxic, n_clean))
     width = len(model.features(""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,17 +212,15 @@ def _class_sizes(known: DataFrame) -> tuple[int, int]:
     return r["t"] or 0, r["n"] - (r["t"] or 0)
 
 
-def _lexicon(have: dict[bytes, int], other: dict[bytes, int], n_toxic: int, n_clean: int) -> dict[bytes, float]:
-    """Units 20 times as frequent in toxic rows, beyond what chance gives among all candidates (a likelihood-ratio test of
-    the unit's toxic rows against the share of toxic rows), best first."""
-    p, found = n_toxic / (n_toxic + n_clean), {}
-    for u, t in have.items():
-        c = other.get(u, 0)
-        w = float(np.log((t + 0.5) / (n_toxic + 1)) - np.log((c + 0.5) / (n_clean + 1)))
-        ratio = t * np.log(t / ((t + c) * p)) + (c * np.log(c / ((t + c) * (1 - p))) if c else 0.0)
-        if w >= np.log(20) and ratio >= np.log(CANDIDATES) + 2:
-            found[u] = w
-    return dict(sorted(found.items(), key=lambda x: (-x[1] * have[x[0]] ** 0.5, x[0]))[:LEXICON])
+def _lexicon(counted: DataFrame, n_toxic: int, n_clean: int) -> dict[bytes, float]:
+    """Units 20 times as frequent in toxic rows, beyond what chance gives among all units of toxic rows (a likelihood-ratio
+    test of the unit's toxic rows against the share of toxic rows)."""
+    units = written(counted.where("t > 0"), "units")
+    tests, p, t, c = max(1, units.count()), n_toxic / (n_toxic + n_clean), F.col("t"), F.col("c")
+    weight = F.ln((t + 0.5) / (n_toxic + 1)) - F.ln((c + 0.5) / (n_clean + 1))
+    ratio = t * F.ln(t / ((t + c) * p)) + F.when(c > 0, c * F.ln(c / ((t + c) * (1 - p)))).otherwise(0.0)
+    found = units.select("unit", weight.alias("w")).where((weight >= float(np.log(20))) & (ratio >= float(np.log(tests) + 2)))
+    return {bytes(r["unit"]): r["w"] for r in found.collect()}
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

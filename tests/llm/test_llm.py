@@ -82,6 +82,16 @@ def test_toxicity(spark, odd, none):
     assert (np.diff(rate) > 0).all() and (np.diff(y) >= 0).all()
 
 
+def test_toxicity_lexicon_is_whole(spark):
+    """More common units than were once looked at, and more abusive words than were once kept."""
+    plain = " ".join(hashlib.md5(str(i).encode()).hexdigest()[:8] for i in range(7000))
+    bad = [f"zx{i}qu" for i in range(2000)]
+    rows = [(i, plain + (" " + " ".join(bad) if i % 10 == 0 else ""), int(i % 5 == 0)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic")).lexicon
+    assert all(b"=" + w.encode() in lexicon for w in bad) and not any(b"=" + w.encode() in lexicon for w in plain.split())
+
+
 def components(rows):
     sets = [set(simjoin.shingles(t).tolist()) for _, t in rows]
     root = {i: i for i, _ in rows if i is not None}
