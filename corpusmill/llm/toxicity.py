@@ -1,8 +1,8 @@
 """Toxicity scores: gradient-boosted trees over dense features, with isotonic calibration.
 
 The lexicon (words and word beginnings that mark toxic texts) is learnt from document frequencies over all labelled
-training rows; every unit that passes the test for it is kept. Features: lexicon densities, nearness of lexicon words to second-person words, capitals, punctuation and
-obfuscation rates. The trees are fitted in numpy on at most SAMPLE rows, taken by hash; a quarter of those is kept for the
+training rows; every unit that passes the test for it is kept. Features: lexicon densities, nearness of lexicon words to
+second-person words, capitals, punctuation and obfuscation rates. The trees are fitted in numpy on at most SAMPLE rows, taken by hash; a quarter of those is kept for the
 calibration. Scores depend on nothing but the text.
 """
 
@@ -43,6 +43,15 @@ def units(words: set[bytes]) -> set[bytes]:
     return out
 
 
+def nearest(a: list[int], b: list[int]) -> int:
+    """The smallest distance of a place of a to one of b, both rising; 999 if either is empty."""
+    if not a or not b:
+        return 999
+    x, y = np.array(a), np.array(b)
+    k = np.searchsorted(y, x)
+    return int(min(np.abs(x - y[np.minimum(k, len(y) - 1)]).min(), np.abs(x - y[np.maximum(k - 1, 0)]).min()))
+
+
 @dataclass
 class Model:
     lexicon: dict[bytes, float] = field(default_factory=dict)
@@ -57,7 +66,7 @@ class Model:
         weight = self.weights(set(words))
         at = [i for i, w in enumerate(words) if w in weight] if weight else []
         seconds = [i for i, w in enumerate(words) if w in SECOND]
-        near = min((abs(i - j) for i in at for j in seconds[:64]), default=999) if len(at) < 64 else 1
+        near = nearest(at, seconds)
         best = sorted(weight.values(), reverse=True)
         letters = len(raw) - len(raw.translate(None, LOWER + UPPER))
         capitals = len(raw) - len(raw.translate(None, UPPER))

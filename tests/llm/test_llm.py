@@ -82,6 +82,17 @@ def test_toxicity(spark, odd, none):
     assert (np.diff(rate) > 0).all() and (np.diff(y) >= 0).all()
 
 
+def test_toxicity_nearness_in_long_texts():
+    model = toxicity.Model(lexicon={b"=moron": 4.0})
+    near = lambda t: model.features(t)[8]
+    assert near("you x x x x " * 80 + "x " * 2000 + "moron x you") == 1 / 3  # beside the 81st 'you'
+    assert near("moron x x " * 100) == 1 / 1000  # many hits, no second person
+    r = random.Random(4)
+    for _ in range(200):
+        a, b = (sorted(r.sample(range(900), r.randrange(90))) for _ in "ab")
+        assert toxicity.nearest(a, b) == min((abs(i - j) for i in a for j in b), default=999)
+
+
 def test_toxicity_lexicon_is_whole(spark):
     """More common units than were once looked at, and more abusive words than were once kept."""
     plain = " ".join(hashlib.md5(str(i).encode()).hexdigest()[:8] for i in range(7000))
