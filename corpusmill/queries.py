@@ -126,7 +126,8 @@ def js_balance(spark, d):
 
 @query()
 def xml_wf(spark, d):
-    return _cases(spark).where("expected = 'xml'").select("id", validate.xml(F.col("text"))["passed"].alias("passed"))
+    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    return _cases(spark).where("expected = 'xml'").select("id", "text").unionByName(docs).select("id", validate.xml(F.col("text"))["passed"].alias("passed"))
 
 
 @query(f"SELECT CAST(id AS BIGINT) AS id, json_valid(text) AND coalesce(json_extract_string(CASE WHEN json_valid(text) THEN text ELSE '{{}}' END, '$.resourceType'), '') <> '' AS passed FROM {_CASE_SQL} WHERE expected IN ('fhir', 'json')")

@@ -153,6 +153,13 @@ def test_stream(spark, tmp_path):
     assert sorted(seen) == [False, True]
 
 
+def test_xml_wf_reads_all_documents(spark, tmp_path):
+    texts = ["<a><b/></a>", "<a>" + "<b/>" * 3000 + "</c>", "plain", "", None, " <x>y</x>"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["id"]: r["passed"] for r in entry.queries()["xml_wf"](spark, str(tmp_path)).collect()}
+    assert got == {4: True, 5: False, 6: False, -1: True, -2: False, -3: False, -4: False, -5: False, -6: True}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
