@@ -5,8 +5,9 @@ rendered; what a turn adds is the difference of two consecutive outputs, and the
 comes from rendering the turn once more with a probe in place of the text. A template whose output for k + 1 turns
 doesn't begin with its output for k turns rewrites history; it is detected and reported.
 
-Rows of a conversation are read in order from sorted partitions, so that no conversation is held as a whole: prefixes
-restart at the last turn after WINDOW turns if the template is found to add the same to the shorter prefix.
+Rows of a conversation are read in order from sorted partitions. Of a template that is declared to be turn-local (its attribute
+turn_local is true: what a turn adds depends on no turn before the last), prefixes restart at the last turn after WINDOW turns if it is
+found to add the same to the shorter prefix, so that no conversation is held as a whole. Of others, all prefixes are rendered whole.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ def marked(turns: list[Turn]) -> str:
     return "".join(f"<|im_start|>{escape(r).replace(chr(10), chr(92) + 'n')}\n{escape(t)}<|im_end|>\n" for r, t in turns)
 
 
+marked.turn_local = True
 _PIECE = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
 
 
@@ -70,6 +72,7 @@ class Renderer:
 
     def __init__(self, template: Template, window: int = WINDOW):
         self.template, self.window = template, window
+        self.local = getattr(template, "turn_local", False)
         self.turns: list[Turn] = []
         self.out = ""
         self.offset = 0  # where the last output ends
@@ -94,7 +97,7 @@ class Renderer:
         start, end = (len(head), len(added) - len(tail)) if found and added.startswith(head) and added.endswith(tail) else (0, 0)
         self.turns, self.out = turns, out
         self.offset += len(added)
-        if len(turns) > self.window and not self.rewrites:
+        if self.local and len(turns) > self.window and not self.rewrites:
             short = self.template(turns[-1:])
             two = self.template(turns[-2:])
             if two.endswith(added) and two == self.template(turns[-2:-1]) + added:

@@ -179,6 +179,17 @@ def test_chat(spark):
     assert [old.push("user", "a")[0], old.rewrites, old.push("user", "b")[1:], old.rewrites] == ["1|a", False, (0, 0), True]
 
 
+def test_chat_late_rewrites(spark):
+    def last_50(turns):
+        return "".join(f"{r}: {t}\n" for r, t in turns[-50:])
+
+    renderer = chat.Renderer(last_50)
+    seen = [(renderer.push("user", f"t{k}"), renderer.rewrites)[1] for k in range(60)]
+    assert seen == [False] * 50 + [True] * 10
+    rows = spark.createDataFrame([(1, k, "user", f"t{k}") for k in range(60)], "conv_id long, turn long, role string, text string")
+    assert chat.format_turns(rows, last_50).where("rewrites").count() == 10 and chat.format_turns(rows).where("rewrites").count() == 0
+
+
 def test_mixing(spark, odd, none):
     r = random.Random(4)
     rows = [(i, "w " * r.randrange(200), r.choice(["a", "a", "a", "b", "c", "d", None])) for i in range(3000)] + [(9000, "", "z"), (9001, None, "z")]
