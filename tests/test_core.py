@@ -1,10 +1,16 @@
 import itertools
+import os
 import random
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from corpusmill import queries as core
 from corpusmill.functions import render, rules
 from corpusmill.operators import dialogue, neardup, records, sampling, score, validate
 from corpusmill.plans import config
@@ -163,3 +169,17 @@ def test_xml_wf_reads_all_documents(spark, tmp_path):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("left", [(), ("corpus_pipeline.py",), ("corpusmill/llm/__pycache__/x.pyc",)])
+def test_entry_without_the_llm_folder(tmp_path, left):
+    """The other queries register in a copy of the repository without that folder, whatever was left beside it."""
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "corpusmill", tmp_path / "corpusmill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    for name in left:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("from corpusmill.llm import bpe\n")
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), [k for k in e.queries() if k[:2] == 'op' or k == 'pipeline'])"
+    said = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
+    assert said.stdout.split()[2:] == ["[]"] and int(said.stdout.split()[0]) == len(core.QUERIES), said.stderr
