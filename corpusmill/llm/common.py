@@ -20,18 +20,18 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, kind: str) -> str:
-    """A fresh path in the folder that all executors share (spark.checkpoint.dir).
-
-    Where the setting is absent, as in tests, a folder under /tmp/checkpoints is set.
-    """
+    """A fresh path in the folder that all executors share (spark.checkpoint.dir)."""
     base = checkpointed(spark)
     return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
 def checkpointed(spark: SparkSession) -> str:
-    """The session's checkpoint folder, set where it is unset."""
+    """The session's checkpoint folder. Where it is unset, as in tests, a local session gets one of this machine; on a cluster
+    that is an error, as executors wouldn't see each other's files."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "/tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -44,17 +44,26 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, kind)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that written() made, once nothing reads them any more; other tables are left alone."""
+    for t in tables:
+        if path := getattr(t, "_written_to", None):
+            at = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = 1024) -> DataFrame:
-    """mapInArrow with small batches, so that a few very long texts can't fill a worker.
-
-    Spark reads the batch limits of the session when the plan is made for execution; they are lowered here, never raised.
-    """
-    conf = df.sparkSession.conf
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20)):
-        now = int(str(conf.get(key)).rstrip("bB"))
-        if not 0 < now <= most:
-            conf.set(key, str(most))
-    return df.mapInArrow(fn, schema)
+    """mapInArrow with batches of `rows` rows at most, so that what a function makes of a batch stays small. Spark itself ends
+    a batch at spark.sql.execution.arrow.maxBytesPerBatch; no setting of the session is touched."""
+
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, max(1, b.num_rows), rows):
+                yield b.slice(at, rows)
+
+    return df.mapInArrow(lambda batches: fn(small(batches)), schema)

@@ -5,15 +5,19 @@ A document's set is its distinct 5-word shingles, as 64-bit hashes. Equal sets a
 
 1. A sketch of hashed shingle counts marks frequent shingles (a bitmap of fixed size). All sets are put in one order,
    frequent shingles last; similar sets share a shingle among their first n // 5 + 1 (the prefix).
-2. Index lists: prefix entries (shingle, node, n, position) are sorted by shingle; lists with one entry go. Lists are kept
-   sorted by size, so that a search skips the blocks whose size or position rules them out.
-3. In each long list a set is first compared with those of a few leaders whose signatures are nearest to its own. What
+2. Index lists: prefix entries (shingle, node, n, position, the shingle before) are sorted by shingle; lists with one entry
+   go. Lists are kept sorted by size, so that a search skips the blocks whose size rules them out; long lists are dealt to
+   tasks in blocks of SPLIT entries.
+3. Two sets meet at the first shingle that they share. What follows its positions bounds their intersection, and so do the
+   bits in which their signatures differ. Where the shingles before are equal too, it isn't their first: they met before.
+   So a pair comes about once for each run of shingles that two sets share, and not once for each shingle.
+4. In each long list a set is first compared with those of a few leaders whose signatures are nearest to its own. What
    leaders link is one component, and its sets needn't be compared with each other again.
-4. Then sets of different components that share a list are compared. How many prefix entries two sets share bounds their
-   intersection, and so do, in long lists, the bits in which their signatures differ. Where a similar set's answer is known, theirs is derived: |x & y| lies between |l & y| - |l - x| and
-   |l & y| + |x - l|; only what that leaves open is looked up.
-5. Open pairs are verified on whole sets, in a grid of tasks, to each of which a set goes once at most.
-6. Components by alternating large-star and small-star steps.
+5. Then sets of different components that meet in a list are compared. Where a similar set's answer is known, theirs is
+   derived: |x & y| lies between |l & y| - |l - x| and |l & y| + |x - l|; only what that leaves open is looked up.
+6. Open pairs are verified on whole sets, in a grid of tasks, to each of which a set goes once at most; one side's sets are
+   held, the other's pass by.
+7. Components by alternating large-star and small-star steps.
 
 No step gathers a list's pairs, links or components on the driver, and none caps a list.
 """
@@ -25,20 +29,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow, written
+from .common import discard, documents, map_arrow, written
 
-#: Leaders of a list, those of them that a set is compared with, and the length from which signatures are used; a list of
-#: eight times that length has leaders.
-WORDS, LEADERS, NEAREST, LONG_LIST = 5, 64, 2, 8
+#: Leaders of a list, those of them that a set is compared with, the length from which a list is searched set by set, eight
+#: times which it has leaders, and the entries of a list that go to one task.
+WORDS, LEADERS, NEAREST, LONG_LIST, SPLIT = 5, 64, 2, 8, 100_000
 #: Counters of the sketch, and the count above chance from which a shingle is frequent. Only speed depends on them.
 COUNTERS, FREQUENT, PART = 1 << 24, 24, 1 << 18
-#: Bits of a set's signature.
-BITS = 512
-#: Ids up to which those needed for verification are broadcast; pairs in a task of it; pairs of a set and a component that come first.
-BROADCAST_IDS, TASK_PAIRS, BEST = 2_000_000, 4000, 3
+#: Bits of a set's signature: the power of two from its size on, within these.
+LEAST_BITS, MOST_BITS = 512, 4096
+#: Ids up to which those needed for verification are broadcast; pairs in a task of it; pairs that are looked at together.
+BROADCAST_IDS, TASK_PAIRS, TOGETHER = 2_000_000, 256, 1 << 20
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -69,10 +73,28 @@ def prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate([s[~late], s[late]])[: len(s) // 5 + 1]
 
 
+def width(n: np.ndarray) -> np.ndarray:
+    """Bits of the signature of sets of these sizes."""
+    return np.clip(2 ** np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), LEAST_BITS, MOST_BITS)
+
+
 def signature(s: np.ndarray) -> bytes:
-    """The parity of the number of shingles that fall on each of BITS bits. Each bit in which two signatures differ stands
-    for at least one shingle that only one of the sets has."""
-    return np.packbits(np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
+    """The parity of the number of shingles that fall on each bit. Each bit in which two signatures differ stands for at
+    least one shingle that only one of the sets has. Halves laid over each other (by exclusive or) are a signature of half
+    the bits."""
+    bits = int(width(len(s)))
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def folded(signs: list[bytes | None], bits: int) -> np.ndarray:
+    """Signatures of that many bits or more as rows of 64-bit words, laid over each other to that many bits (None: zeros)."""
+    out = np.zeros((len(signs), bits // 64), np.uint64)
+    size = np.array([len(g) if g is not None else 0 for g in signs], np.int64)
+    for k in np.unique(size[size > 0]):
+        own = np.flatnonzero(size == k)
+        words = np.frombuffer(b"".join([signs[i] for i in own]), "<u8").reshape(len(own), -1, bits // 64)
+        out[own] = np.bitwise_xor.reduce(words, axis=1)
+    return out
 
 
 def frequent_slots(docs: DataFrame) -> np.ndarray:
@@ -112,6 +134,7 @@ def frequent_slots(docs: DataFrame) -> np.ndarray:
     bits = np.zeros(COUNTERS // 8, np.uint8)
     for r in map_arrow(summed.select("part", "counts"), flag, "part int, flags binary").collect():  # 2 MB in all
         bits[r["part"] * PART // 8 : (r["part"] + 1) * PART // 8] = np.frombuffer(r["flags"], np.uint8)
+    discard(summed)
     return bits
 
 
@@ -141,51 +164,62 @@ def _values(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return values, np.diff(ends) // np.dtype(kind).itemsize
 
 
-LISTS = "shingle long, nodes binary, sizes binary, places binary"
+LISTS = "shingle long, nodes binary, sizes binary, places binary, befores binary"
 
 
 def index_lists(nodes: DataFrame) -> DataFrame:
-    """Lists of two nodes or more, by shingle, sorted by size and node."""
+    """Lists of two nodes or more, by shingle, sorted by size and node. `befores` has the shingle before it in the prefix (at
+    place 0, none: 0)."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             first = [np.frombuffer(p, "<i8") for p in b.column(2).to_pylist()]
             k = np.array([len(p) for p in first], np.int64)
             if k.sum():
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), k)), pa.array(np.repeat(b.column(1).to_numpy(), k).astype(np.int32)), pa.array(np.concatenate([np.arange(x) for x in k]).astype(np.int32))], ["shingle", "node", "n", "place"])
+                flat = np.concatenate(first)
+                place = np.arange(len(flat)) - np.repeat(np.cumsum(k) - k, k)
+                before = np.where(place > 0, np.append(0, flat[:-1]), 0)
+                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), k)), pa.array(np.repeat(b.column(1).to_numpy(), k).astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(before)], ["shingle", "node", "n", "place", "before"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, starts, ends, cols in runs(batches, 4):
+        for keys, starts, ends, cols in runs(batches, 5):
             k = ends - starts
             many = k > 1
             if many.any():
                 rows, ends_ = np.repeat(many, k), np.append(0, np.cumsum(k[many]))
                 packed = lambda c, t: _binary(np.ascontiguousarray(cols[c][rows], t), ends_)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[many]), packed(1, "<i8"), packed(2, "<i4"), packed(3, "<i4")], ["shingle", "nodes", "sizes", "places"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[many]), packed(1, "<i8"), packed(2, "<i4"), packed(3, "<i4"), packed(4, "<i8")], ["shingle", "nodes", "sizes", "places", "befores"])
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = map_arrow(nodes.select("node", "n", "prefix"), spread, "shingle long, node long, n int, place int")
+    rows = map_arrow(nodes.select("node", "n", "prefix"), spread, "shingle long, node long, n int, place int, before long")
     rows = rows.repartition(n, "shingle").sortWithinPartitions("shingle", "n", "node", "place")
     return written(map_arrow(rows, gather, LISTS, rows=50_000), "lists")
 
 
-def runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Whole runs of rows with an equal first column, over sorted batches: keys, starts and ends in the columns given."""
+def runs(batches: Iterator[pa.RecordBatch], width: int, keys: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Whole runs of rows with equal first columns (`keys` of them), over sorted batches: keys (of the first column), starts
+    and ends in the columns given."""
     held: list[list[np.ndarray]] = []
 
+    def cuts(cols: list[np.ndarray]) -> np.ndarray:
+        new = np.zeros(len(cols[0]), bool)
+        new[:1] = True
+        for c in cols[:keys]:
+            new[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(new)
+
     def out(cols: list[np.ndarray]):
-        key = cols[0]
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-        return key[starts], starts, np.append(starts, len(key))[1:], cols
+        starts = cuts(cols)
+        return cols[0][starts], starts, np.append(starts, len(cols[0]))[1:], cols
 
     for b in batches:
         if not b.num_rows:
             continue
         cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(width)]
-        if held and cols[0][-1] == held[0][0][-1]:
+        edge = int(cuts(cols)[-1])
+        if held and not edge and all(c[0] == h[-1] for c, h in zip(cols[:keys], held[0][:keys], strict=True)):
             held.append(cols)
             continue
-        edge = int(np.searchsorted(cols[0], cols[0][-1], side="left")) if cols[0][0] != cols[0][-1] else 0
         held.append([c[:edge] for c in cols])
         yield out([np.concatenate([h[k] for h in held]) for k in range(width)])
         held = [[c[edge:] for c in cols]]
@@ -198,56 +232,91 @@ def _may(nx, px, ny, py):
     return (5 * np.minimum(nx, ny) >= 4 * np.maximum(nx, ny)) & (9 * np.minimum(nx - px, ny - py) >= 4 * (nx + ny))
 
 
-PAIRS = "x long, nx int, y long, ny int, shared int"
+PAIRS = "x long, nx int, y long, ny int, far float"
 
 
 class _Pairs:
-    """Collects pairs, adds up how often each comes, and gives batches."""
+    """Collects pairs and gives batches without repeats. The set that comes first in a seeded order of all sets, as leaders
+    do, is x. `far` is the share of the bits that differ in both sizes (1: not known)."""
 
     def __init__(self):
         self.parts: list[np.ndarray] = []
         self.n = 0
 
-    def add(self, x: int | np.ndarray, nx: int | np.ndarray, y: np.ndarray, ny: np.ndarray) -> None:
-        a = np.empty((len(y), 4), np.int64)
-        low = y < x
+    def add(self, x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray, far: np.ndarray) -> None:
+        a = np.empty((len(y), 5), np.int64)
+        hx, hy = _mixed(x.astype(np.uint64)), _mixed(y.astype(np.uint64))
+        low = (hy < hx) | ((hy == hx) & (ny < nx))
         a[:, 0], a[:, 1] = np.where(low, y, x), np.where(low, ny, nx)
         a[:, 2], a[:, 3] = np.where(low, x, y), np.where(low, nx, ny)
+        a[:, 4] = far.astype(np.float32).view(np.int32)
         self.parts.append(a)
         self.n += len(a)
 
-    def take(self) -> Iterator[pa.RecordBatch]:
-        if self.n:
-            a = np.concatenate(self.parts)
-            a = a[np.lexsort(a.T[::-1])]
-            first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]).any(axis=1)]))
-            k = np.diff(np.append(first, len(a)))
-            a = a[first]
-            yield pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1].astype(np.int32)), pa.array(a[:, 2]), pa.array(a[:, 3].astype(np.int32)), pa.array(k.astype(np.int32))], ["x", "nx", "y", "ny", "shared"])
-        self.parts, self.n = [], 0
+    def take(self, least: int = 0) -> Iterator[pa.RecordBatch]:
+        if self.n > least:
+            a = np.unique(np.concatenate(self.parts), axis=0)
+            self.parts, self.n = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1].astype(np.int32)), pa.array(a[:, 2]), pa.array(a[:, 3].astype(np.int32)), pa.array(a[:, 4].astype(np.int32).view(np.float32))], ["x", "nx", "y", "ny", "far"])
 
 
-def entries(lists: DataFrame, of: DataFrame, least: int = 2) -> DataFrame:
-    """Rows shingle, node, n, place, component, sign of the lists of at least that length, a list's rows together and in
-    order; `of` has the components and signatures. Lists that aren't long have no signatures."""
+#: Columns of an entry: what it is found by, and what its set is like. `guest`: from another block of a list that is split.
+ENTRY = ("shingle", "block", "node", "n", "place", "before", "guest", "component", "sign")
+
+
+def entries(lists: DataFrame, of: DataFrame, leaders: bool) -> DataFrame:
+    """Rows of ENTRY, a block's rows together and in order; `of` has the components and signatures.
+
+    For leaders, of the lists of 8 * LONG_LIST or more: a list's leaders are guests in each of its blocks. Else, of all
+    lists: the sets that aren't of a split list's largest component are guests in its other blocks.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            (x, k), (n, _), (p, _) = (_values(b.column(c), t) for c, t in ((1, "<i8"), (2, "<i4"), (3, "<i4")))
-            if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), k)), pa.array(x), pa.array(n), pa.array(p), pa.array(np.repeat(k >= LONG_LIST, k))], ["shingle", "node", "n", "place", "long"])
+            shingle = b.column(0).to_numpy()
+            (x, k), (n, _), (p, _), (q, _) = (_values(b.column(c), t) for c, t in ((1, "<i8"), (2, "<i4"), (3, "<i4"), (4, "<i8")))
+            if not len(k):
+                continue
+            at = np.arange(len(x)) - np.repeat(np.cumsum(k) - k, k)
+            cols = [np.repeat(shingle, k), (at // SPLIT).astype(np.int32), x, n, p, q, np.zeros(len(x), bool), np.repeat(-(-k // SPLIT), k).astype(np.int32)]
+            more = [cols]
+            if leaders:
+                for s, e in zip(np.cumsum(k) - k, np.cumsum(k), strict=True):
+                    first = s + np.argsort(_mixed(x[s:e].astype(np.uint64)), kind="stable")[:LEADERS]
+                    cols[6][first] = True
+                    for c in range(1, int(cols[7][s])):
+                        more.append([v[first] for v in cols])
+                        more[-1][1] = (more[-1][1] + c) % cols[7][s]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([m[c] for m in more])) for c in range(8)], ["shingle", "block", "node", "n", "place", "before", "guest", "blocks"])
 
     parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chosen = lists.where(F.octet_length("nodes") >= 8 * least) if least > 2 else lists
-    rows = map_arrow(chosen, spread, "shingle long, node long, n int, place int, long boolean", rows=5000).join(of, "node")
-    rows = rows.select("shingle", "node", "n", "place", "component", F.when(F.col("long"), F.col("sign")).alias("sign"))
-    return rows.repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "node")
-
-
-def _signs(column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures as rows of 64-bit words, and which are there: an id with several texts has none, and isn't ruled out."""
-    has = np.array([g is not None for g in column])
-    return np.frombuffer(b"".join(g or bytes(BITS // 8) for g in column), "<u8").reshape(len(column), -1), has
+    chosen = lists.where(F.octet_length("nodes") >= 8 * 8 * LONG_LIST) if leaders else lists
+    rows = map_arrow(chosen, spread, "shingle long, block int, node long, n int, place int, before long, guest boolean, blocks int", rows=5000).join(of, "node")
+    if not leaders and (lists.agg(F.max(F.octet_length("nodes"))).first()[0] or 0) > 8 * SPLIT:
+        counts = rows.where("blocks > 1").groupBy("shingle", "component").agg(F.count("*").alias("k"))
+        largest = counts.groupBy("shingle").agg(F.max_by("component", F.struct("k", "component")).alias("largest"))  # a row for SPLIT entries at most
+        out = rows.where("blocks > 1").join(largest, "shingle").where("component <> largest").drop("largest")
+        other = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda c: c != F.col("block"))
+        rows = rows.unionByName(out.withColumn("block", F.explode(other)).withColumn("guest", F.lit(True)))
+    return rows.select(*ENTRY).repartition(parts, "shingle", "block").sortWithinPartitions("shingle", "block", "n", "node")
+
+
+def _meet(px: np.ndarray, qx: np.ndarray, py: np.ndarray, qy: np.ndarray) -> np.ndarray:
+    """Whether two sets' common shingle, with these places and shingles before, may be their first."""
+    return (px == 0) | (py == 0) | (qx != qy)
+
+
+def _far(nx: np.ndarray, gx: list, ny: np.ndarray, gy: list) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of sizes and signatures: whether these leave room for a link, and the share of bits that differ (1: of an id
+    with several texts, which has no signature and isn't ruled out)."""
+    differ, known, bits = np.zeros(len(nx), np.int64), np.ones(len(nx), bool), width(np.minimum(nx, ny))
+    for w in np.unique(bits):
+        own = np.flatnonzero(bits == w)
+        a, b = [gx[i] for i in own], [gy[i] for i in own]
+        known[own] = [u is not None and v is not None for u, v in zip(a, b, strict=True)]
+        differ[own] = np.bitwise_count(folded(a, int(w)) ^ folded(b, int(w))).sum(axis=1, dtype=np.int64)
+    total = nx + ny
+    return ~known | (9 * (total - differ) >= 8 * total), np.where(known, differ / np.maximum(total, 1), 1.0)
 
 
 def leader_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
@@ -256,90 +325,93 @@ def leader_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Pairs()
-        for _, starts, ends, cols in runs(batches, 6):
+        for _, starts, ends, cols in runs(batches, len(ENTRY), 2):
             for s, e in zip(starts, ends, strict=True):
-                x, n, p = cols[1][s:e], cols[2][s:e].astype(np.int64), cols[3][s:e].astype(np.int64)
-                first = np.argsort(_mixed(x.astype(np.uint64)), kind="stable")[:LEADERS]
-                signs, has = _signs(cols[5][s:e])
-                for a in range(0, e - s, 20_000):
-                    z = min(a + 20_000, e - s)
-                    far = np.full((len(first), z - a), np.inf)
-                    for k, i in enumerate(first):
-                        lo, hi = max(a, np.searchsorted(n, -(-4 * n[i] // 5))), min(z, np.searchsorted(n, 5 * n[i] // 4, side="right"))  # blocks outside are skipped
-                        if lo >= hi:
-                            continue
-                        total = n[lo:hi] + n[i]
-                        differ = np.bitwise_count(signs[lo:hi] ^ signs[i]).sum(axis=1, dtype=np.int64)
-                        ok = _may(n[i], p[i], n[lo:hi], p[lo:hi]) & (x[lo:hi] != x[i]) & (~has[lo:hi] | ~has[i] | (9 * (total - differ) >= 8 * total))
-                        far[k, lo - a : hi - a] = np.where(ok, differ / total, np.inf)
-                    near = np.argsort(far, axis=0, kind="stable")[:NEAREST]
-                    for k, i in enumerate(first):
-                        ok = ((near == k) & np.isfinite(far[k])).any(axis=0)
-                        if ok.any():
-                            out.add(x[i], n[i], x[a:z][ok], n[a:z][ok])
-                    if out.n > 300_000:
-                        yield from out.take()
+                x, n, p, q, lead, sign = (cols[c][s:e] for c in (2, 3, 4, 5, 6, 8))
+                n = n.astype(np.int64)
+                first = np.flatnonzero(lead)
+                far = np.full((len(first), e - s), np.inf)
+                for k, i in enumerate(first):
+                    lo, hi = np.searchsorted(n, -(-4 * n[i] // 5)), np.searchsorted(n, 5 * n[i] // 4, side="right")  # blocks outside are skipped
+                    at = lo + np.flatnonzero(_may(n[i], p[i], n[lo:hi], p[lo:hi]) & (x[lo:hi] != x[i]))
+                    if len(at):
+                        ok, share = _far(np.full(len(at), n[i]), [sign[i]] * len(at), n[at], sign[at])
+                        far[k, at] = np.where(ok, share, np.inf)
+                near = np.argsort(far, axis=0, kind="stable")[:NEAREST]
+                for k, i in enumerate(first):
+                    at = np.flatnonzero(((near == k) & np.isfinite(far[k])).any(axis=0) & _meet(p[i], q[i], p, q))
+                    if len(at):
+                        out.add(np.full(len(at), x[i]), np.full(len(at), n[i]), x[at], n[at], far[k, at])
+                yield from out.take(300_000)
         yield from out.take()
 
-    return map_arrow(entries(lists, of, 8 * LONG_LIST), run, PAIRS, rows=50_000).select("x", "nx", "y", "ny").distinct()
-
-
-def _counted(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs that their number of shared prefix entries leaves open: what is shared, and all that follows the
-    prefix of the set whose prefix ends first, is the most that two sets can have in common."""
-    p = pairs.groupBy("x", "nx", "y", "ny").agg(F.sum("shared").alias("shared"))
-    rest = lambda n: F.col(n) - F.floor(F.col(n) / 5) - 1
-    return p.where(9 * (F.col("shared") + F.greatest(rest("nx"), rest("ny"))) >= 4 * (F.col("nx") + F.col("ny")))
+    return map_arrow(entries(lists, of, True), run, PAIRS, rows=50_000).select("x", "nx", "y", "ny").distinct()
 
 
 def cross_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
-    """Pairs of each list whose components differ, counted over all lists that they share. Members of the list's largest
-    component are only met from outside it. In long lists, pairs whose signatures differ in too many bits are
-    no links and aren't made: a set outside a group of near copies mostly isn't paired with its members."""
+    """Pairs of each list whose components differ, that sizes, positions and signatures leave room for, in the lists where
+    they may meet first. Members of a long list's largest component are only met from outside it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Pairs()
-        for _, starts, ends, cols in runs(batches, 6):
-            two = starts[ends - starts == 2]  # most lists
-            two = two[(cols[4][two] != cols[4][two + 1]) & (5 * cols[2][two].astype(np.int64) >= 4 * cols[2][two + 1].astype(np.int64))]
-            if len(two):
-                out.add(cols[1][two], cols[2][two], cols[1][two + 1], cols[2][two + 1])
-            mixed = (ends - starts > 2) & (np.minimum.reduceat(cols[4], starts) != np.maximum.reduceat(cols[4], starts)) if len(starts) else np.zeros(0, bool)
-            for s, e in zip(starts[mixed], ends[mixed], strict=True):
-                x, n, c = cols[1][s:e], cols[2][s:e].astype(np.int64), cols[4][s:e]
+
+        def look(cols: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> None:
+            """Pairs of rows i and j."""
+            n, p, q, c = cols[3].astype(np.int64), cols[4], cols[5], cols[7]
+            ok = (c[i] != c[j]) & ~(cols[6][i] & cols[6][j]) & _meet(p[i], q[i], p[j], q[j]) & _may(n[i], p[i], n[j], p[j])
+            i, j = i[ok], j[ok]
+            if len(i):
+                ok, far = _far(n[i], cols[8][i], n[j], cols[8][j])
+                i, j = i[ok], j[ok]
+                out.add(cols[2][i], n[i], cols[2][j], n[j], far[ok])
+
+        for _, starts, ends, cols in runs(batches, len(ENTRY), 2):
+            if not len(starts):
+                continue
+            mixed = np.minimum.reduceat(cols[7], starts) != np.maximum.reduceat(cols[7], starts)
+            # short lists, all at once: each row with those after it, up to the size that is too large
+            short = mixed & (ends - starts < 8 * LONG_LIST)
+            rows = np.flatnonzero(np.repeat(short, ends - starts))
+            run_of = np.repeat(np.arange(len(starts)), ends - starts)
+            key = (run_of << 32) + cols[3]
+            last = np.searchsorted(key, (run_of[rows] << 32) + np.minimum(5 * cols[3][rows].astype(np.int64) // 4, (1 << 32) - 1), side="right")
+            k = last - rows - 1
+            ends_ = np.cumsum(k)
+            at = 0
+            while at < len(rows):
+                z = max(at + 1, int(np.searchsorted(ends_, (ends_[at - 1] if at else 0) + TOGETHER)))
+                i = np.repeat(rows[at:z], k[at:z])
+                j = i + 1 + np.arange(len(i)) - np.repeat(ends_[at:z] - k[at:z] - (ends_[at - 1] if at else 0), k[at:z])
+                look(cols, i, j)
+                yield from out.take(300_000)
+                at = z
+            for s, e in zip(starts[mixed & ~short], ends[mixed & ~short], strict=True):
+                n, c = cols[3][s:e].astype(np.int64), cols[7][s:e]
                 _, own, size = np.unique(c, return_inverse=True, return_counts=True)
                 largest = own == size.argmax()
-                if e - s >= LONG_LIST:
-                    signs, has = _signs(cols[5][s:e])
                 for i in np.flatnonzero(~largest):
                     lo, hi = np.searchsorted(n, -(-4 * n[i] // 5)), np.searchsorted(n, 5 * n[i] // 4, side="right")
-                    ok = (c[lo:hi] != c[i]) & (largest[lo:hi] | (np.arange(lo, hi) > i))
-                    if e - s >= LONG_LIST and has[i]:
-                        total = n[lo:hi] + n[i]
-                        ok &= ~has[lo:hi] | (9 * (total - np.bitwise_count(signs[lo:hi] ^ signs[i]).sum(axis=1, dtype=np.int64)) >= 8 * total)
-                    if ok.any():
-                        out.add(x[i], n[i], x[lo:hi][ok], n[lo:hi][ok])
-                if out.n > 300_000:
-                    yield from out.take()
-            if out.n > 300_000:
-                yield from out.take()
+                    j = lo + np.flatnonzero(largest[lo:hi] | (np.arange(lo, hi) > i))
+                    look(cols, np.full(len(j), s + i), s + j)
+                    yield from out.take(300_000)
         yield from out.take()
 
-    return _counted(map_arrow(entries(lists, of), run, PAIRS, rows=50_000))
+    return map_arrow(entries(lists, of, False), run, PAIRS, rows=50_000).distinct()
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (written) with `both`, the size of their intersection on whole sets.
 
     Pairs are dealt to a grid of tasks by the hash of either side, so that a set that is in many pairs goes to a row or a
-    column of the grid, and not once for each pair.
+    column of the grid, and not once for each pair. A task holds the sets of its x, and reads those of its y one by one, each
+    before its pairs.
     """
     spark = docs.sparkSession
     count = pairs.count()
     side = max(1, int(np.ceil(np.sqrt(count / TASK_PAIRS))))
     at = lambda c, salt: F.pmod(F.xxhash64(F.lit(salt), c), F.lit(side)).cast("int")
     placed = pairs.select("x", "nx", "y", "ny", (at("x", 1) * side + at("y", 2)).alias("task"))
-    needs = placed.select("task", F.col("x").alias("id")).distinct().unionByName(placed.select("task", F.col("y").alias("id")).distinct()).distinct()
+    needs = placed.select("task", F.lit(0).alias("kind"), F.col("x").alias("id")).unionByName(placed.select("task", F.lit(1).alias("kind"), F.col("y").alias("id"))).distinct()
     ids = needs.select("id").distinct()
     few = 2 * count <= BROADCAST_IDS
     texts = documents(docs).join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
@@ -351,26 +423,33 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     found = map_arrow(texts, sets, "id long, n int, items binary").join(F.broadcast(needs) if few else needs, "id")
     blank = lambda t: F.lit(None).cast(t)
-    rows = found.select("task", F.lit(0).alias("kind"), F.col("id").alias("x"), F.col("n").alias("nx"), blank("long").alias("y"), blank("int").alias("ny"), "items")
-    rows = rows.unionByName(placed.select("task", F.lit(1).alias("kind"), "x", "nx", "y", "ny", blank("binary").alias("items")))
+    rows = found.select("task", "kind", "id", "n", F.lit(0).alias("pair"), blank("long").alias("x"), blank("int").alias("nx"), "items")
+    rows = rows.unionByName(placed.select("task", F.lit(1).alias("kind"), F.col("y").alias("id"), F.col("ny").alias("n"), F.lit(1).alias("pair"), "x", "nx", blank("binary").alias("items")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "task").sortWithinPartitions("task", "kind")
+    rows = rows.repartition(n, "task").sortWithinPartitions("task", "kind", "id", "pair")
+
+    def common(a: np.ndarray, c: np.ndarray) -> int:
+        if len(a) > len(c):
+            a, c = c, a
+        i = np.searchsorted(c, a)
+        return int((c[np.minimum(i, len(c) - 1)] == a).sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, held = None, {}
+        task, held, own, now = None, {}, {}, None  # an id with several texts has several sets, even of one size
         for b in batches:
             out: list[tuple[int, int, int, int, int]] = []
-            for t, kind, x, nx, y, ny, items in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for t, kind, i, n, pair, x, nx, items in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if t != task:
-                    task, held = t, {}
+                    task, held, own, now = t, {}, {}, None
                 if kind == 0:
-                    held[x, nx] = np.frombuffer(items, "<u8")
-                elif (x, nx) in held and (y, ny) in held:
-                    a, c = held[x, nx], held[y, ny]
-                    if len(a) > len(c):
-                        a, c = c, a
-                    i = np.searchsorted(c, a)
-                    out.append((x, nx, y, ny, int((c[np.minimum(i, len(c) - 1)] == a).sum())))
+                    held.setdefault((i, n), []).append(np.frombuffer(items, "<u8"))
+                    continue
+                if i != now:
+                    now, own = i, {}
+                if not pair:
+                    own.setdefault(n, []).append(np.frombuffer(items, "<u8"))
+                elif (x, nx) in held and n in own:
+                    out.append((x, nx, i, n, max(common(u, v) for u in held[x, nx] for v in own[n])))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["x", "nx", "y", "ny", "both"])
 
@@ -381,7 +460,7 @@ _LINK = "9 * both >= 4 * (nx + ny)"
 
 
 def derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
-    """pairs (and what they share) with `link`: true or false where the answers of a set highly similar to x or y decide it, else null."""
+    """pairs with `link`: true or false where the answers of a set highly similar to x or y decide it, else null."""
     both_ways = answers.select("x", "nx", "y", "ny", "both").unionByName(answers.select(F.col("y").alias("x"), F.col("ny").alias("nx"), F.col("x").alias("y"), F.col("nx").alias("ny"), "both"))
     nearest = both_ways.where(_LINK).groupBy("x", "nx").agg(F.max(F.struct("both", "y", "ny")).alias("m"))
     near = nearest.select(F.col("x").alias("s"), F.col("nx").alias("ns"), F.col("m.y").alias("l"), F.col("m.ny").alias("nl"), F.col("m.both").alias("sl"))
@@ -391,9 +470,9 @@ def derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
         step = out.join(near.withColumnsRenamed({"s": s, "ns": ns}), [s, ns], "left").join(known.withColumnsRenamed({"o": o, "no": no}), ["l", "nl", o, no], "left")
         low = F.greatest("low", F.coalesce(F.col("lo") - (F.col("nl") - F.col("sl")), F.lit(0)))
         high = F.least("high", F.coalesce(F.col("lo") + (F.col(ns) - F.col("sl")), F.col("high")))
-        out = step.withColumn("low", low).withColumn("high", high).select("x", "nx", "y", "ny", "shared", "low", "high")
+        out = step.withColumn("low", low).withColumn("high", high).select("x", "nx", "y", "ny", "far", "low", "high")
     need = 4 * (F.col("nx") + F.col("ny"))
-    return out.select("x", "nx", "y", "ny", "shared", F.when(9 * F.col("low") >= need, True).when(9 * F.col("high") < need, False).alias("link"))
+    return out.select("x", "nx", "y", "ny", "far", F.when(9 * F.col("low") >= need, True).when(9 * F.col("high") < need, False).alias("link"))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -410,7 +489,8 @@ def connected(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = written(small, "edges")
+        before_, edges = edges, written(small, "edges")
+        discard(before_)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
@@ -436,25 +516,30 @@ def components(docs: DataFrame) -> DataFrame:
     nodes = usable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"), F.first("sign").alias("sign"))
     lists = index_lists(nodes)
     signs = written(nodes.groupBy("node").agg(F.when(F.count("*") == 1, F.first("sign")).alias("sign")), "signs")
-    first = verified(docs, written(leader_pairs(lists, signs.withColumn("component", F.col("node"))), "pairs"))
+    pair = ["x", "nx", "y", "ny"]
+    near = written(leader_pairs(lists, signs.withColumn("component", F.col("node"))), "pairs")
+    first = verified(docs, near)
     links = first.where(_LINK).select("x", "y")
     known = written(connected(links), "components")
-    found = written(derived(written(cross_pairs(lists, signs.join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "sign")), "pairs"), first), "open")
-    links = links.unionByName(found.where("link").select("x", "y"))
-    open_ = placed_in(found.where("link is null"), known)
-    # one link joins two components, so that the likeliest pairs of a set and a component come first
-    best = lambda one, other: F.row_number().over(Window.partitionBy(one, other).orderBy(F.desc("shared"), "x", "y")) <= BEST
-    ranked = written(open_.withColumn("now", best("x", "cy") | best("y", "cx")).drop("cx", "cy"), "ranked")
-    pair = ["x", "nx", "y", "ny"]
-    second = verified(docs, ranked.where("now").select(pair))
+    cross = written(cross_pairs(lists, signs.join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "sign")), "pairs")
+    derived_ = written(derived(cross, first), "open")
+    links = links.unionByName(derived_.where("link").select("x", "y"))
+    # one link joins two components, so that each set's likeliest pair comes first
+    open_ = derived_.where("link is null").select(*pair, "far")
+    both_ways = open_.select(F.col("x").alias("s"), F.col("nx").alias("ns"), F.struct("far", *pair).alias("p")).unionByName(open_.select(F.col("y").alias("s"), F.col("ny").alias("ns"), F.struct("far", *pair).alias("p")))
+    likeliest = written(both_ways.groupBy("s", "ns").agg(F.min("p").alias("p")).select("p.*").distinct(), "likeliest")
+    second = verified(docs, likeliest.select(pair))
     links = links.unionByName(second.where(_LINK).select("x", "y"))
-    known = written(connected(links), "components")
-    third = verified(docs, written(placed_in(ranked.where("not now"), known).where("cx <> cy").select(pair), "pairs"))
-    links = links.unionByName(third.where(_LINK).select("x", "y"))
+    now = written(connected(links), "components")
+    left = written(placed_in(open_.join(likeliest.select(pair), pair, "left_anti"), now).where("cx <> cy").drop("cx", "cy"), "pairs")
+    rest = written(derived(left, first.unionByName(second)), "open")
+    third = verified(docs, rest.where("link is null").select(pair))
+    links = links.unionByName(rest.where("link").select("x", "y")).unionByName(third.where(_LINK).select("x", "y"))
     same = usable.select("doc_id", "digest", "n").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id")
     classes = nodes.select("digest", "n", "node")
     twice = usable.select("doc_id", "digest", "n").join(same, "doc_id").join(classes, ["digest", "n"]).select(F.col("doc_id").alias("x"), F.col("node").alias("y"))
     found = connected(links.unionByName(twice))
+    discard(lists, signs, near, first, known, cross, derived_, likeliest, second, now, left, rest, third)
     rows = prints.select("doc_id", "n", "digest").join(classes, ["digest", "n"], "left").join(found, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))

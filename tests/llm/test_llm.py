@@ -121,7 +121,8 @@ def components(rows):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_simjoin(spark, odd, none, small, monkeypatch):
-    if small:  # every list is long, every shingle frequent, the grid has many tasks
+    if small:  # every list is long and split, every shingle frequent, the grid has many tasks
+        monkeypatch.setattr(simjoin, "SPLIT", 5)
         monkeypatch.setattr(simjoin, "LONG_LIST", 2)
         monkeypatch.setattr(simjoin, "FREQUENT", 2)
         monkeypatch.setattr(simjoin, "TASK_PAIRS", 5)
@@ -139,6 +140,51 @@ def test_simjoin(spark, odd, none, small, monkeypatch):
     assert simjoin.components(none).count() == 0
 
 
+def test_signatures_bound_what_sets_share():
+    r = np.random.default_rng(6)
+    for n in (1, 5, 300, 700, 1500, 3000, 9000):
+        x = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[: -max(1, n // 15)], r.integers(0, 2**63, n // 12 + 1).astype(np.uint64)]))
+        z = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+        for b, near in ((x, True), (y, n > 20), (z, False)):
+            ok, far = simjoin._far(np.array([len(x)]), [simjoin.signature(x)], np.array([len(b)]), [simjoin.signature(b)])
+            both = len(np.intersect1d(x, b))
+            assert far[0] * (len(x) + len(b)) <= len(x) + len(b) - 2 * both + 1e-3
+            if 100 * both >= 80 * (len(x) + len(b) - both):
+                assert ok[0]
+            if near:
+                assert ok[0]
+        assert n < 5 or not ok[0]  # other sets of these sizes are ruled out
+
+
+def test_derived_answers(spark):
+    """What derivation decides agrees with the sets; what is far and near from a known neighbour is decided."""
+    r = random.Random(8)
+    sets = {i: set(r.sample(range(400), r.randrange(60, 90))) for i in range(4)}
+    for i in range(4, 24):
+        sets[i] = set(sets[i % 4]) ^ set(r.sample(range(400), r.randrange(5)))
+    row = lambda i, j: (i, len(sets[i]), j, len(sets[j]))
+    pairs = list(itertools.combinations(sets, 2))
+    known = [p for p in pairs if p[0] < 4]
+    answers = spark.createDataFrame([(*row(i, j), len(sets[i] & sets[j])) for i, j in known], "x long, nx int, y long, ny int, both int")
+    rest = spark.createDataFrame([(*row(i, j), 0.5) for i, j in pairs if i >= 4], "x long, nx int, y long, ny int, far float")
+    got = simjoin.derived(rest, answers).collect()
+    assert len(got) == len(pairs) - len(known)
+    for x in got:
+        a, b = sets[x["x"]], sets[x["y"]]
+        assert x["link"] is None or x["link"] == (100 * len(a & b) >= 80 * len(a | b))
+    assert sum(x["link"] is not None for x in got) > len(got) / 2
+
+
+def test_verified_holds_sets_of_one_side(spark):
+    texts = [(i, " ".join(f"w{(i * 7 + k) % 40}" for k in range(30))) for i in range(12)] + [(3, "other words of the same id are another text")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    sets = [(i, set(simjoin.shingles(t).tolist())) for i, t in texts]
+    pairs = [(i, len(a), j, len(b), len(a & b)) for (i, a), (j, b) in itertools.permutations(sets, 2) if i != j]
+    got = simjoin.verified(docs, spark.createDataFrame([p[:4] for p in pairs], "x long, nx int, y long, ny int").distinct())
+    assert Counter(map(tuple, got.collect())) == Counter(set(pairs))
+
+
 def test_runs_over_batches():
     keys = [[1, 1], [1], [1, 2, 2, 3], [3], [4], [5, 5]]
     batches = (pa.RecordBatch.from_arrays([pa.array(k, pa.int64())], ["k"]) for k in keys)
