@@ -10,6 +10,7 @@ over shards, blocks and places. Spark's committer makes rewriting after a lost e
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,11 +30,26 @@ PACKED = "doc_id long, n_tokens long, words binary"
 BLOCK = "shard int, block long, n_tokens long, doc_ids binary, counts binary, offsets binary, words binary"
 #: Documents and bytes after which a block is closed.
 BLOCK_DOCS, BLOCK_BYTES = 256, 1 << 20
-CACHE_WORDS = 200_000
+#: Words of a generation of the cache; two are kept.
+CACHE_WORDS = 250_000
 #: The library's byte-level splitting rule (a fixed value of the file format).
 SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 
+def _latin(kind: str) -> str:
+    """The characters below 256 of a Unicode class, for a character class."""
+    return "".join(re.escape(chr(c)) for c in range(256) if regex.fullmatch(kind, chr(c)))
+
+
+def _latin_split() -> re.Pattern[str]:
+    """SPLIT for texts of characters below 256, which the faster library reads."""
+    letter, number, space = _latin(r"\p{L}"), _latin(r"\p{N}"), _latin(r"\s")
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
+
+
+SPLIT_LATIN = _latin_split()
+
+
 def encode(ids: np.ndarray) -> np.ndarray:
     """Words of a sequence of ids (any unsigned 64-bit values); an empty sequence has none."""
     return encode_many([ids])[0]
@@ -89,17 +105,25 @@ def encode_many(parts: list[np.ndarray]) -> list[np.ndarray]:
     return np.split(out, np.cumsum(per)[:-1])
 
 
-def decode(words: np.ndarray) -> np.ndarray:
-    """Ids of whole words, all selectors at once."""
+def decode(words: np.ndarray, offsets: np.ndarray | None = None) -> np.ndarray:
+    """Ids of whole words, all selectors at once. After an escape comes a raw word, which may look like any selector; where the
+    offsets of documents are given, only the words of those with an escape are read one after the other."""
     words = np.ascontiguousarray(words, np.uint64)
     if not len(words):
         return np.zeros(0, np.uint64)
     sel = (words >> np.uint64(60)).astype(np.int64)
-    if (sel == ESCAPE).any():  # a raw word may look like any selector: heads are found one after the other
-        head, i, found = np.zeros(len(words), bool), 0, sel.tolist()
-        while i < len(found):
-            head[i] = True
-            i += 2 if found[i] == ESCAPE else 1
+    escapes = np.flatnonzero(sel == ESCAPE)
+    if len(escapes):
+        starts = np.zeros(1, np.int64) if offsets is None else np.unique(offsets.astype(np.int64))
+        head, ends = np.ones(len(words), bool), np.append(starts, len(words))[1:]
+        for d in np.unique(np.searchsorted(starts, escapes, side="right") - 1):
+            i, found = int(starts[d]), sel[starts[d] : ends[d]].tolist()
+            at = 0
+            while at < len(found):
+                if found[at] == ESCAPE:
+                    head[i + at + 1] = False
+                    at += 1
+                at += 1
         heads = np.flatnonzero(head)
     else:
         heads = np.arange(len(words))
@@ -119,31 +143,55 @@ def decode(words: np.ndarray) -> np.ndarray:
 
 
 class ByteEncoder:
-    """A byte-level tokenizer file, with the ids of words met before kept: words are what the library splits first."""
+    """A byte-level tokenizer file, read by the library, with the ids of words met before kept: words are what it splits first."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        from .bpe import byte_symbols
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.space = self.symbols[32]
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def split(self, text: str) -> list[str]:
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return SPLIT.findall(text)
+        return SPLIT_LATIN.findall(text)
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word: the library's model reads a character for each byte."""
+        symbols = word.replace(" ", self.space) if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.symbols)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], "<u4").tobytes()
+
+    def _known(self, found: list[str]) -> list[bytes]:
+        words, old = self.words, self.old
+        try:
+            return [words[w] for w in found]
+        except KeyError:
+            for w in found:
+                if w not in words:
+                    words[w] = old[w] if w in old else self.word(w)
+            out = [words[w] for w in found]
+            if len(words) > CACHE_WORDS:  # words that are met again soon come back from the generation before
+                self.words, self.old = {}, words
+            return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = self.words
-        if len(words) > CACHE_WORDS:  # what is met again soon comes back; one call takes all new words of a batch
-            words.clear()
-        split = [SPLIT.findall(t) for t in texts]
-        if new := list({w for ws in split for w in ws if w not in words}):
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                words[w] = np.asarray(e.ids, "<u4").tobytes()
         out = []
-        for text, found in zip(texts, split, strict=True):
+        for text in texts:
             if any(s in text for s in self.special):
                 out.append(np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            out.append(b"".join([words[w] for w in found]))
+            else:
+                out.append(b"".join(self._known(self.split(text))))
         return out
 
 
@@ -202,14 +250,16 @@ _NULL = -(1 << 63)
 
 
 def write(docs: DataFrame, path: str, out: str, end_id: int = 0, shards: int | None = None) -> None:
-    """Writes the token-id files of all documents, ascending by doc_id (null first; of equal ids, by content)."""
+    """Writes the token-id files of all documents, ascending by doc_id (null first, by hash; of equal ids, by content)."""
     spark = docs.sparkSession
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = sorted(set(docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
     rows = packed(docs, path, end_id)
-    shard = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
-    shard = F.when(F.col("doc_id").isNull(), 0).otherwise(shard).cast("int")
-    dealt = rows.select(shard.alias("shard"), "doc_id", "n_tokens", "words").repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "n_tokens", "words")
+    size = docs.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("none")).first()
+    first = max(1, -(-size["none"] * n // max(1, size["n"])))  # shards of rows without an id, which come first, by hash
+    shard = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
+    shard = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("words"), F.lit(first))).otherwise(shard + first).cast("int")
+    dealt = rows.select(shard.alias("shard"), "doc_id", "n_tokens", "words").repartitionById(first + len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "n_tokens", "words")
     map_arrow(dealt, _blocks, BLOCK).write.parquet(out)
 
 
@@ -232,9 +282,9 @@ def unpack(blocks: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for start, ids, counts, _, words in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
+            for start, ids, counts, offsets, words in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 ids, counts = np.frombuffer(ids, "<i8"), np.frombuffer(counts, "<u8").astype(np.int64)
-                flat = decode(np.frombuffer(words, "<u8")).astype("<u4")
+                flat = decode(np.frombuffer(words, "<u8"), np.frombuffer(offsets, "<u8")).astype("<u4")
                 ends = np.cumsum(counts)
                 crc = [zlib.crc32(flat[e - c : e].tobytes()) for e, c in zip(ends, counts, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=ids == _NULL), pa.array(ends - counts + start, pa.int64()), pa.array(counts, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
@@ -242,6 +292,12 @@ def unpack(blocks: DataFrame) -> DataFrame:
     return map_arrow(blocks, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def document(block: dict, k: int) -> np.ndarray:
+    """Ids of document k of one block, decoded from its own words alone."""
+    offsets, words = np.frombuffer(block["offsets"], "<u8").astype(int), np.frombuffer(block["words"], "<u8")
+    return decode(words[offsets[k] : offsets[k + 1] if k + 1 < len(offsets) else len(words)])
+
+
 def round_trip(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
     """Writes the files into the shared folder and returns what unpack() reads from them.
 
