@@ -1,9 +1,11 @@
 """Approximate nearest neighbours: an inverted file of coarse centroids with product-quantised residuals.
 
-Centroids and codebooks are fitted on at most SAMPLE vectors, taken by hash; every vector is indexed. Lists longer than
-CELL are dealt over several cells by hash, so that a list with a third of all rows is many tasks' work. A query goes to
-the cells of the lists it probes; there, asymmetric distance tables pick the RERANK best, and their inner products are
-computed exactly, in double precision, on the original vectors.
+Centroids and codebooks are fitted on at most SAMPLE vectors, taken by hash; every vector is indexed. There are about as many
+lists as the square root of the vectors. Lists are put together into cells of CELL vectors or so, each a task's work, and
+longer lists are dealt over several cells by hash. How many lists a query probes is found on the sample: as few as give the
+recall that is asked for there (vectors without clusters need more than half of the lists; clustered ones few). In each cell
+that has some of its lists, asymmetric distance tables over all of them pick the query's RERANK best, whose inner products are
+computed exactly, in double precision, on the original vectors. A recall of 1 probes all lists and computes all products.
 """
 
 from __future__ import annotations
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, written
 
-SAMPLE, LISTS, PROBE_SHARE, PARTS, CODES, CELL, RERANK, TOP = 20_000, 64, 0.8, 8, 256, 4096, 256, 20
+SAMPLE, PARTS, CODES, CELL, RERANK, TOP = 20_000, 16, 256, 16_384, 256, 20
+#: Lists at most; the recall that the number of probed lists gives on the sample; its queries for that; queries scored together.
+MOST_LISTS, RECALL, TRIALS, BLOCK = 1024, 0.95, 256, 64
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -36,8 +40,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarray
     for _ in range(rounds):
         near = nearest(x, c)
         n = np.bincount(near, minlength=len(c))
-        s = np.zeros_like(c)
-        np.add.at(s, near, x)
+        s = np.stack([np.bincount(near, v, len(c)) for v in x.T], 1)
         c[n > 0] = s[n > 0] / n[n > 0, None]
         if (n == 0).any():
             c[n == 0] = x[r.integers(0, len(x), int((n == 0).sum()))]
@@ -45,7 +48,8 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarray
 
 
 def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return ((c**2).sum(axis=1) - 2 * (x @ c.T)).argmin(axis=1)
+    half = (c**2).sum(axis=1) / 2
+    return np.concatenate([np.zeros(0, np.int64), *((half - x[i : i + 4096] @ c.T).argmin(axis=1) for i in range(0, len(x), 4096))])
 
 
 class Quantiser:
@@ -63,34 +67,74 @@ class Quantiser:
         rest = x - self.coarse[which]
         return which, np.stack([nearest(rest[:, s], b) for s, b in zip(self.slices, self.books, strict=True)], 1).astype(np.uint8)
 
-    def approximate(self, q: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
-        """Inner products of queries with coded vectors of one list, from one table a query and slice."""
-        out = np.repeat((q @ self.coarse[which])[:, None], len(codes), axis=1)
-        for j, (s, b) in enumerate(zip(self.slices, self.books, strict=True)):
-            out += (q[:, s] @ b.T)[:, codes[:, j]]
+    def probed(self, q: np.ndarray, probes: int) -> np.ndarray:
+        """The lists of each query, by the inner product with their centroids."""
+        return np.argsort(-(q @ self.coarse.T), axis=1, kind="stable")[:, :probes]
+
+    def tables(self, q: np.ndarray) -> np.ndarray:
+        """Inner products of queries with the codes of each slice."""
+        return np.stack([np.pad((q[:, s] @ b.T).astype(np.float32), ((0, 0), (0, CODES - len(b)))) for s, b in zip(self.slices, self.books, strict=True)], 1)
+
+    def approximate(self, q: np.ndarray, which: int, codes: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Inner products of queries with coded vectors of one list."""
+        out = np.repeat((q @ self.coarse[which]).astype(np.float32)[:, None], len(codes), axis=1)
+        for j in range(codes.shape[1]):
+            out += tables[:, j][:, codes[:, j]]
         return out
 
+    def probes_for(self, sample: np.ndarray, recall: float, top: int) -> int:
+        """As few lists as hold that share of the `top` best of some of the sample's vectors among the sample."""
+        k = len(self.coarse)
+        if recall >= 1 or len(sample) <= top:
+            return k
+        q = sample[:: max(1, len(sample) // TRIALS)][:TRIALS]
+        which, place = nearest(sample, self.coarse), np.argsort(self.probed(q, k), axis=1)
+        found = np.zeros(k)
+        for i in range(len(q)):
+            score = sample @ q[i]
+            best = np.argsort(-score, kind="stable")[1 : top + 1]  # the first is the vector itself, or its copy
+            found += np.bincount(place[i, which[best]], minlength=k)
+        return int(np.searchsorted(np.cumsum(found) / found.sum(), recall)) + 1
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return np.asarray(flat, np.float64).reshape(len(column), -1)
 
 
-def search(vectors: DataFrame, every: int = 20, top: int = TOP) -> DataFrame:
+def cells_of(counts: dict[int, int], lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each list, its first cell and how many it has. Short lists share cells, in order, up to CELL vectors."""
+    first, many, cell, held = np.zeros(lists, np.int64), np.ones(lists, np.int64), 0, 0
+    for k in range(lists):
+        n = counts.get(k, 0)
+        if held and held + n > CELL:
+            cell, held = cell + 1, 0
+        first[k], many[k] = cell, max(1, -(-n // CELL))
+        held += n
+        if many[k] > 1:
+            cell, held = cell + int(many[k]), 0
+    return first, many
+
+
+def search(vectors: DataFrame, every: int = 20, top: int = TOP, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id and score for the rows whose id is divisible by `every`, against all other ids.
 
     Rows that don't take part (see usable()) are neither queries nor candidates. Equal scores rank by smaller id. Rows with a
-    query's id aren't its candidates; of a repeated query id, one row asks. Without candidates a query has no rows.
+    query's id aren't its candidates. Of rows that share a query's id, the one with the smallest vector (as a list) asks; of
+    candidates that share an id, the one with the best score counts. Without candidates a query has no rows. With a recall
+    of 1 the result is exact.
     """
     spark = vectors.sparkSession
     rows = usable(vectors)
-    got = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
+    n_rows = rows.count()
+    got = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(SAMPLE).select("embedding").toArrow()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not got.num_rows:
         return empty
-    quantiser = Quantiser(_matrix(got["embedding"].combine_chunks()), LISTS)
+    sample = _matrix(got["embedding"].combine_chunks())
+    quantiser = Quantiser(sample, min(MOST_LISTS, max(1, int(np.sqrt(n_rows)))))
     n_lists = len(quantiser.coarse)
-    probes = max(1, min(n_lists, int(np.ceil(PROBE_SHARE * n_lists))))
+    probes = quantiser.probes_for(sample, recall, top)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -99,62 +143,72 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(which.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary())], ["vec_id", "embedding", "list", "codes"])
 
     indexed = written(map_arrow(rows, index, "vec_id long, embedding array<double>, list int, codes binary"), "index")
-    cells = np.ones(n_lists, int)
-    for r in indexed.groupBy("list").count().collect():  # LISTS rows at most
-        cells[r["list"]] = -(-r["count"] // CELL)
-    first = np.cumsum(cells) - cells
+    first, many = cells_of({r["list"]: r["count"] for r in indexed.groupBy("list").count().collect()}, n_lists)  # MOST_LISTS rows at most
+    n_cells = int((first + many).max())
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            best = np.argsort(-(_matrix(b.column(1)) @ quantiser.coarse.T), axis=1, kind="stable")[:, :probes]
-            to = [np.concatenate([first[w] + np.arange(cells[w]) for w in ws]) for ws in best]
-            pick = np.repeat(np.arange(b.num_rows), [len(t) for t in to])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(to).astype(np.int32)), b.column(0).take(pa.array(pick)), b.column(1).take(pa.array(pick))], ["cell", "id", "embedding"])
+            near = quantiser.probed(_matrix(b.column(1)), probes)
+            to = [np.unique(np.concatenate([first[w], *(first[k] + np.arange(1, many[k]) for k in w[many[w] > 1])])) for w in near]
+            pick = pa.array(np.repeat(np.arange(b.num_rows), [len(t) for t in to]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(to).astype(np.int32)), b.column(0).take(pick), b.column(1).take(pick)], ["cell", "id", "embedding"])
 
-    deal = F.element_at(F.array(*[F.lit(int(x)) for x in first]), F.col("list") + 1) + F.pmod(F.xxhash64("vec_id"), F.element_at(F.array(*[F.lit(int(x)) for x in cells]), F.col("list") + 1).cast("long")).cast("int")
+    at = lambda x: F.element_at(F.array(*[F.lit(int(v)) for v in x]), F.col("list") + 1)
+    deal = at(first) + F.pmod(F.xxhash64("vec_id"), at(many).cast("long")).cast("int")
     placed = indexed.select(deal.cast("int").alias("cell"), F.lit(0).alias("kind"), F.col("vec_id").alias("id"), "embedding", "codes", "list")
-    asked = indexed.where(F.col("vec_id") % every == 0).select("vec_id", "embedding").dropDuplicates(["vec_id"])
+    asked = indexed.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = map_arrow(asked, probe, "cell int, id long, embedding array<double>", rows=200).select("cell", F.lit(1).alias("kind"), "id", "embedding", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("int").alias("list"))
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(cells.sum()) // 4)
-    together = placed.unionByName(asked).repartition(n, "cell").sortWithinPartitions("cell", "kind", "id")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_cells)
+    together = placed.unionByName(asked).repartition(n, "cell").sortWithinPartitions("cell", "kind", "list", "id", "embedding")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, ids, xs, codes, which = None, [], [], [], 0
+        cell, parts = None, ([], [], [], [])  # ids, vectors, codes and lists of the cell, in order of the lists
         for b in batches:
             at, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
             edges = np.flatnonzero((at[1:] != at[:-1]) | (kind[1:] != kind[:-1])) + 1
             for s, e in zip([0, *edges], [*edges, b.num_rows], strict=True):
                 if e <= s:
                     continue
-                own, x = b.column(2)[s:e].to_numpy(), _matrix(b.column(3)[s:e])
                 if at[s] != cell:
-                    cell, ids, xs, codes = at[s], [], [], []
+                    cell, parts = at[s], ([], [], [], [])
+                own, x = b.column(2)[s:e].to_numpy(), _matrix(b.column(3)[s:e])
                 if kind[s] == 0:
-                    which = b.column(5)[int(s)].as_py()
-                    ids.append(own)
-                    xs.append(x)
-                    codes.append(np.frombuffer(b"".join(b.column(4)[s:e].to_pylist()), np.uint8).reshape(e - s, -1))
-                elif ids:
-                    ids, xs, codes = ([np.concatenate(v)] for v in (ids, xs, codes))
-                    yield _best(quantiser, which, own, x, ids[0], xs[0], codes[0], top)
-
-    found = map_arrow(together, look, "query_id long, vec_id long, score double")
+                    for part, v in zip(parts, (own, x, np.frombuffer(b"".join(b.column(4)[s:e].to_pylist()), np.uint8).reshape(e - s, -1), b.column(5)[s:e].to_numpy()), strict=True):
+                        part.append(v)
+                elif parts[0]:
+                    parts = tuple([np.concatenate(v)] for v in parts)
+                    for i in range(0, e - s, BLOCK):
+                        yield _best(quantiser, own[i : i + BLOCK], x[i : i + BLOCK], *(v[0] for v in parts), probes, top, len(parts[0][0]) if recall >= 1 else RERANK)
+
+    found = map_arrow(together, look, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _best(quantiser: Quantiser, which: int, own: np.ndarray, q: np.ndarray, ids: np.ndarray, xs: np.ndarray, codes: np.ndarray, top: int) -> pa.RecordBatch:
-    """The best of one cell for each query: by table, then exactly. Rows of the cell ascend by id, and sorts are stable."""
-    out: list[list[np.ndarray]] = [[], [], []]
-    near = quantiser.approximate(q, which, codes)
+def _best(quantiser: Quantiser, own: np.ndarray, q: np.ndarray, ids: np.ndarray, xs: np.ndarray, codes: np.ndarray, lists: np.ndarray, probes: int, top: int, shortlist: int) -> pa.RecordBatch:
+    """The best of one cell for each query: by tables over the lists that it probes, then exactly."""
+    near = np.full((len(q), len(ids)), -np.inf, np.float32)
+    probed = np.zeros((len(q), len(quantiser.coarse)), bool)
+    np.put_along_axis(probed, quantiser.probed(q, probes), True, axis=1)
+    tables = quantiser.tables(q)
+    edges = np.flatnonzero(lists[1:] != lists[:-1]) + 1
+    for s, e in zip([0, *edges], [*edges, len(ids)], strict=True):
+        ask = np.flatnonzero(probed[:, lists[s]])
+        if len(ask):
+            near[ask, s:e] = quantiser.approximate(q[ask], lists[s], codes[s:e], tables[ask])
     near[own[:, None] == ids[None, :]] = -np.inf
+    out: list[list[np.ndarray]] = [[], [], []]
     for i, query in enumerate(q):
-        pick = np.argsort(-near[i], kind="stable")[:RERANK] if len(ids) > RERANK else np.arange(len(ids))
-        pick = np.sort(pick[near[i, pick] > -np.inf])
+        pick = np.flatnonzero(near[i] > -np.inf)
+        if len(pick) > shortlist:
+            least = np.partition(near[i], -shortlist)[-shortlist]
+            over = np.flatnonzero(near[i] > least)  # of equal ones, such as copies of a vector, the smaller ids
+            pick = np.concatenate([over, np.flatnonzero(near[i] == least)[: shortlist - len(over)]])
         score = (xs[pick] * query).sum(axis=1)
-        order = np.lexsort((ids[pick], -score))[:top]
+        order = np.lexsort((ids[pick], -score))
+        order = order[np.sort(np.unique(ids[pick][order], return_index=True)[1])][:top]  # an id's best alone
         for column, v in zip(out, (np.full(len(order), own[i]), ids[pick][order], score[order]), strict=True):
             column.append(v)
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
