@@ -1,14 +1,19 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree. DataFrame functions only.
 
-Each source's documents are dealt by hash into blocks, and its target is met in whole blocks: every block is taken
-`floor(target / size)` times, and the blocks of a seeded permutation once more until the rest of the target is reached; the
-block in which it is reached is taken document by document. The blocks then go to output shards by a binary tree. In each
-node the blocks that go left are the first half of a seeded permutation of all the node's blocks, whatever their source; so
-the sources' quotas are drawn from the multivariate hypergeometric distribution, add up exactly, and are disjoint. Within
-a shard, rows are put into a seeded order.
+1. Each source's documents are dealt by hash into blocks, and its target is met in takings of blocks: every block is taken
+   `floor(target / size)` times, and the blocks of a seeded permutation once more until the rest of the target is reached; the
+   block in which it is reached is taken document by document, in a taking of its own. So a source has an exact number of
+   takings, its block quota.
+2. The quotas are split among the output shards by a binary tree. A node has as many slots as its sources' quotas add up to;
+   which of them go left is drawn without replacement: the first half of a seeded permutation of the slots, of which only
+   the source is known. How many slots of each source go left is then a draw from the multivariate hypergeometric
+   distribution. The leaves are quotas of each shard and source that add up exactly.
+3. Each source's takings are permuted once more, and each shard draws its quota of them, one shard after the other: its
+   takings are disjoint from all other shards', and two takings of a block are drawn like any others.
+4. Within a shard, the documents of its takings are put into a seeded order.
 
 Nothing here gathers a source: documents are summed by block before they are summed by source, and only the table of
-blocks (at most BLOCKS a source) is ordered.
+blocks (at most BLOCKS a source) and its takings are ordered.
 """
 
 from __future__ import annotations
@@ -35,10 +40,13 @@ def _draw(*of: Column) -> Column:
     return F.xxhash64(F.lit(SEED), *of)
 
 
+def _block(doc_id: Column) -> Column:
+    return F.pmod(_draw(F.lit("block"), doc_id.cast("long")), F.lit(BLOCKS)).cast("int")
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and block, without the text. Repeated rows fall into the same block."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"))
-    return d.withColumn("block", F.pmod(_draw(F.lit("block"), "doc_id"), F.lit(BLOCKS)).cast("int"))
+    """doc_id, source, size, block and a mark of the text, without the text. Repeated rows fall into the same block."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), _block(F.col("doc_id")).alias("block"), F.xxhash64("text").alias("mark"))
 
 
 def targets(blocks: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -62,59 +70,112 @@ def targets(blocks: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: floa
     return s.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def planned(docs: DataFrame, shards: int = SHARDS, **how) -> tuple[DataFrame, DataFrame]:
-    """Of the blocks: source, block, times (whole takings), once_more, part (words to take besides), targets and shard."""
+def planned(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
+    """Of the documents: sized(), as a table. Of the blocks: source, block, words, targets, times (whole takings), and part (words
+    to take besides)."""
     rows = written(sized(docs), "sizes")
     blocks = rows.groupBy("source", "block").agg(F.sum("size").cast("long").alias("words"))
     by_source = targets(blocks, **how).withColumnRenamed("source", "s")
     b = blocks.join(by_source, F.col("source").eqNullSafe(F.col("s"))).select("source", "block", "words", "source_size", "target")
     times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    b = b.withColumn("times", times).withColumn("rest", F.round(F.col("target") - F.col("times") * F.col("source_size")).cast("long"))
+    b = b.withColumn("times", F.when(F.col("words") > 0, times).otherwise(0)).withColumn("rest", F.round(F.col("target") - times * F.col("source_size")).cast("long"))
     order = Window.partitionBy("source").orderBy(_draw(F.lit("order"), "source", "block"), "block")
     b = b.withColumn("before", F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     b = b.withColumn("part", F.greatest(F.lit(0), F.least("words", F.col("rest") - F.col("before")))).drop("before", "rest")
-    return rows, split(b, shards)
+    return rows, b
+
+
+def takings(plan: DataFrame) -> DataFrame:
+    """source, block and taking (from 1): a row for each time that a block is taken, the last one being the part."""
+    n = (F.col("times") + (F.col("part") > 0).cast("int")).cast("int")
+    return plan.where(n > 0).select("source", "block", F.explode(F.sequence(F.lit(1), n)).alias("taking"))
 
 
-def split(blocks: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Deals blocks to shards; a level of the tree halves every node's shards. Nodes with one shard are leaves."""
-    b = blocks.withColumn("lo", F.lit(0)).withColumn("hi", F.lit(shards))
+def quotas(counts: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """source, shard and quota from (source, n): the splitting tree. Each level halves every node's shards and gives the left
+    half its share of the node's slots; nodes with one shard are leaves. The quotas of a source add up to n."""
+    b = counts.where("n > 0").select("source", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("slot")).withColumn("lo", F.lit(0)).withColumn("hi", F.lit(shards))
     level = 0
     while (1 << level) < shards:
-        node = Window.partitionBy("lo", "hi").orderBy(_draw(F.lit(level), "source", "block"), F.asc_nulls_last("source"), "block")
+        node = Window.partitionBy("lo", "hi").orderBy(_draw(F.lit("split"), F.lit(level), "source", "slot"), F.asc_nulls_last("source"), "slot")
         mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
         left = F.floor(F.count(F.lit(1)).over(Window.partitionBy("lo", "hi")) * (mid - F.col("lo")) / (F.col("hi") - F.col("lo")))
         go = (F.row_number().over(node) <= left) & (mid > F.col("lo"))
         b = b.withColumn("go", go).withColumn("mid", mid)
-        b = b.select(*[c for c in b.columns if c not in ("lo", "hi", "go", "mid")], F.when(F.col("go") | (F.col("mid") == F.col("lo")), F.col("lo")).otherwise(F.col("mid")).alias("lo"), F.when(F.col("go"), F.col("mid")).otherwise(F.col("hi")).alias("hi"))
+        b = b.select("source", "slot", F.when(F.col("go") | (F.col("mid") == F.col("lo")), F.col("lo")).otherwise(F.col("mid")).alias("lo"), F.when(F.col("go"), F.col("mid")).otherwise(F.col("hi")).alias("hi"))
         level += 1
-    return b.withColumnRenamed("lo", "shard").drop("hi")
+    return b.groupBy("source", F.col("lo").alias("shard")).agg(F.count("*").alias("quota"))
+
+
+def drawn(taken: DataFrame, quota: DataFrame) -> DataFrame:
+    """taken with the shard of each taking: shards draw their quotas from a seeded permutation of the source's takings."""
+    ends = F.sum("quota").over(Window.partitionBy("source").orderBy("shard"))
+    cuts = quota.withColumn("end", ends).groupBy(F.col("source").alias("s")).agg(F.array_sort(F.collect_list(F.struct("end", "shard"))).alias("cuts"))  # SHARDS entries at most
+    place = F.row_number().over(Window.partitionBy("source").orderBy(_draw(F.lit("taking"), "source", "block", "taking"), "block", "taking"))
+    at = taken.withColumn("place", place).join(cuts, F.col("source").eqNullSafe(F.col("s")))
+    return at.select("source", "block", "taking", F.filter("cuts", lambda c: c["end"] >= F.col("place"))[0]["shard"].alias("shard"))
+
+
+def dealt_plan(docs: DataFrame, shards: int, **how) -> tuple[DataFrame, DataFrame]:
+    """Of the documents: sized(), as a table. Of the blocks, as a table: s, b (source and block), source_size, target, times, part,
+    whole (whether the part is the whole block), cut (whether it is neither that nor nothing), and the shard of each taking."""
+    rows, plan = planned(docs, **how)
+    plan = written(plan, "plan")
+    taken = takings(plan)
+    dealt = drawn(taken, quotas(taken.groupBy("source").agg(F.count("*").alias("n")), shards))
+    of = dealt.groupBy(F.col("source").alias("ds"), F.col("block").alias("db")).agg(F.array_sort(F.collect_list(F.struct("taking", "shard"))).alias("dealt"))  # 2 at most
+    p = plan.join(of, F.col("source").eqNullSafe(F.col("ds")) & (F.col("block") == F.col("db")), "left")
+    shard = F.coalesce(F.transform("dealt", lambda x: x["shard"]), F.array().cast("array<int>"))
+    return rows, written(p.select(F.col("source").alias("s"), F.col("block").alias("b"), "source_size", "target", "times", "part", (F.col("part") == F.col("words")).cast("int").alias("whole"), ((F.col("part") > 0) & (F.col("part") < F.col("words"))).alias("cut"), shard.alias("dealt")), "dealt")
+
+
+def _copied(d: DataFrame, positive: Column, size: Column, mark: Column) -> DataFrame:
+    """d (documents joined with dealt_plan()) with `m`: copies, and of each copy its shard and its place in the shard's order.
+
+    Only the rows of the one block a source is cut in are ordered, to the nearer side of its target.
+    """
+    ends = Window.partitionBy("s", "b").orderBy(_draw(F.lit("row"), "doc_id"), "doc_id", "_size", "_mark").rowsBetween(Window.unboundedPreceding, 0)
+    cut = d.where("cut").withColumn("_size", size).withColumn("_mark", mark).withColumn("_end", F.sum("_size").over(ends))
+    near = (F.col("_end") - F.col("part") <= F.col("part") - (F.col("_end") - F.col("_size"))) & (F.col("_size") > 0)
+    cut = cut.withColumn("_more", near.cast("int")).drop("_size", "_mark", "_end")
+    d = d.where("not cut").withColumn("_more", F.col("whole")).unionByName(cut)
+    copies = F.when(positive, F.col("times") + F.col("_more")).otherwise(0).cast("int")
+    shards = F.slice("dealt", F.lit(1), copies)
+    return d.withColumn("m", F.struct(copies.alias("copies"), shards.alias("shards"), F.transform(shards, lambda x, i: _draw(F.lit("place"), "doc_id", i)).alias("places")))
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, **how) -> DataFrame:
-    """doc_id, size, source_size, target, copies (0 to 2), taken and shard of every row.
+    """doc_id, size, source_size, target, copies (0 to 2), taken, source, and shards and places (of each copy, its shard and its
+    number in the seeded order of that shard's rows) of every row.
 
-    Only the rows of the one block a source is cut in are ordered, to the nearer side of its target. Texts without words
-    are never taken; a source without words has the target 0; a null source is a source, the last; a repeated row is a
-    document of its own. An empty table gives no rows.
+    Texts without words are never taken; a source without words has the target 0; a null source is a source, the last; a
+    repeated row is a document of its own. An empty table gives no rows.
     """
-    rows, plan = planned(docs, shards, **how)
-    whole = (F.col("part") == F.col("words")).cast("int")
-    plan = plan.withColumn("whole", F.when(F.col("words") > 0, whole).otherwise(0)).withColumn("cut", (F.col("part") > 0) & (F.col("whole") == 0))
-    p = plan.select(F.col("source").alias("s"), F.col("block").alias("b"), "source_size", "target", "times", "whole", "cut", "part", "shard")
-    d = rows.join(p, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
-    ends = Window.partitionBy("source", "block").orderBy(_draw(F.lit("row"), "doc_id"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    cut = d.where("cut").withColumn("end", F.sum("size").over(ends))
-    near = F.col("end") - F.col("part") <= F.col("part") - (F.col("end") - F.col("size"))
-    cut = cut.withColumn("more", near.cast("int")).drop("end")
-    d = d.where("not cut").withColumn("more", F.col("whole")).unionByName(cut)
-    copies = F.when(F.col("size") > 0, F.col("times") + F.col("more")).otherwise(0)
-    return d.select("doc_id", "size", "source_size", "target", copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "shard", "source")
-
-
-def mixture(docs: DataFrame, shards: int = SHARDS, **how) -> DataFrame:
-    """The mix itself: a row for each copy taken, shard by shard in a seeded order: shard, doc_id, copy."""
-    m = mix(docs, shards, **how).where("copies > 0").select("shard", "doc_id", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    rows, plan = dealt_plan(docs, shards, **how)
+    d = rows.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
+    d = _copied(d, F.col("size") > 0, F.col("size"), F.col("mark"))
+    return d.select("doc_id", "size", "source_size", "target", "m.copies", (F.size("m.shards") * F.col("size")).cast("long").alias("taken"), "source", "m.shards", "m.places")
+
+
+def mixed_documents(docs: DataFrame, shards: int = SHARDS, **how) -> DataFrame:
+    """The rows of docs, all columns, as often as mix() takes them, by shard in each shard's seeded order. Rows get their copies
+    through their block, not through their id: null and repeated ids are rows like others."""
+    _, plan = dealt_plan(docs, shards, **how)
+    d = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").alias("t"))
+    d = d.join(plan, F.col("source").eqNullSafe(F.col("s")) & (_block(F.col("doc_id")) == F.col("b")))
+    d = _copied(d, F.coalesce(F.col("t").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)), size_of(F.col("t")), F.xxhash64("t"))
+    out = d.where("m.copies > 0").select("row", F.explode(F.arrays_zip("m.shards", "m.places")).alias("at"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    m = m.withColumn("place", _draw(F.lit("shuffle"), "doc_id", "copy"))
-    return m.repartition(n, "shard", F.pmod("place", F.lit(max(1, n // shards)))).sortWithinPartitions("shard", "place", "doc_id", "copy").drop("place")
+    part = ((F.col("at.places") / F.lit(2.0**64) + 0.5) * max(1, n // shards)).cast("int")  # a range of places
+    return out.repartition(n, "at.shards", part).sortWithinPartitions("at.shards", "at.places").select("row.*")
+
+
+def mixture(mixed: DataFrame) -> DataFrame:
+    """The mix itself, from mix(): a row for each copy, shard by shard in the seeded order of each: shard, place, doc_id, copy.
+
+    A shard's rows are dealt to several tasks by ranges of their places.
+    """
+    m = mixed.where("copies > 0").select("doc_id", F.posexplode(F.arrays_zip("shards", "places")).alias("copy", "at"))
+    m = m.select(F.col("at.shards").alias("shard"), F.col("at.places").alias("place"), "doc_id", (F.col("copy") + 1).alias("copy"))
+    n = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return m.repartitionByRange(n, "shard", "place").sortWithinPartitions("shard", "place", "doc_id", "copy")

@@ -34,7 +34,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "shard")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "shards", "places")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
