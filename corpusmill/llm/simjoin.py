@@ -513,7 +513,7 @@ def components(docs: DataFrame) -> DataFrame:
     """
     prints = fingerprints(docs)
     usable = prints.where("digest is not null and doc_id is not null")
-    nodes = usable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"), F.first("sign").alias("sign"))
+    nodes = written(usable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.first("prefix").alias("prefix"), F.first("sign").alias("sign")), "nodes")
     lists = index_lists(nodes)
     signs = written(nodes.groupBy("node").agg(F.when(F.count("*") == 1, F.first("sign")).alias("sign")), "signs")
     pair = ["x", "nx", "y", "ny"]
