@@ -261,10 +261,58 @@ def test_mixing(spark, odd, none):
         capped |= over
     for k, (size, taken, target, source_size) in by.items():
         assert size == source_size and target == pytest.approx(want[k]) and abs(taken - target) <= 200
-    assert Counter(map(tuple, got)) == Counter(map(tuple, mixing.mix(docs.repartition(7)).collect()))
-    shards = Counter(x["shard"] for x in got)
-    assert set(shards) == set(range(mixing.SHARDS)) and mixing.mixture(docs).count() == sum(x["copies"] for x in got)
-    assert mixing.mix(odd).count() == odd.count() and mixing.mix(none).count() == 0
+    assert Counter(map(repr, got)) == Counter(map(repr, mixing.mix(docs.repartition(7)).collect()))
+    shards = Counter(k for x in got for k in x["shards"])
+    assert set(shards) == set(range(mixing.SHARDS)) and all(len(x["shards"]) == len(x["places"]) == x["copies"] for x in got)
+    m = [tuple(r) for r in mixing.mixture(mixing.mix(docs)).collect()]
+    assert Counter(k for k, *_ in m) == shards and Counter(i for _, _, i, _ in m) == Counter({x["doc_id"]: x["copies"] for x in got if x["copies"]})
+    assert mixing.mix(odd).count() == odd.count() and mixing.mix(none).count() == 0 and mixing.mixed_documents(none).count() == 0
+
+
+def test_mixing_quotas(spark):
+    """Leaves add up exactly, shards are of one size, and the left half of a tree is a draw without replacement."""
+    n = {"a": 700, "b": 200, None: 100, "d": 1}
+    counts = spark.createDataFrame(list(n.items()), "source string, n long")
+    for shards in (1, 2, 5, 8):
+        got = mixing.quotas(counts, shards).collect()
+        by_source, by_shard = Counter(), Counter()
+        for r in got:
+            by_source[r["source"]] += r["quota"]
+            by_shard[r["shard"]] += r["quota"]
+        assert by_source == n and set(by_shard) == set(range(shards)) and max(by_shard.values()) - min(by_shard.values()) <= 2
+    one = {r["source"]: r["quota"] for r in mixing.quotas(counts, 2).where("shard = 0").collect()}
+    for source, total in n.items():  # within six deviations of the hypergeometric distribution
+        p, size = total / 1001, 500
+        assert abs(one.get(source, 0) - size * p) <= 6 * math.sqrt(size * p * (1 - p) * (1001 - size) / 1000) + 1
+    taken = spark.createDataFrame([("a", b, t) for b in range(30) for t in (1, 2)], "source string, block int, taking int")
+    quota = spark.createDataFrame([("a", 0, 25), ("a", 1, 0), ("a", 2, 35)], "source string, shard int, quota long")
+    dealt = mixing.drawn(taken, quota).collect()
+    assert Counter(r["shard"] for r in dealt) == {0: 25, 2: 35} and len({(r["block"], r["taking"]) for r in dealt}) == 60
+    assert any(len({r["shard"] for r in dealt if r["block"] == b}) == 2 for b in range(30))  # copies of a block may part
+
+
+def test_mixing_against_a_loop(spark):
+    """What is taken, and that rows get their copies whatever their ids are."""
+    r = random.Random(9)
+    rows = [(None if i % 7 == 0 else i // 2, f"t{i} " + "w " * r.randrange(40), r.choice(["a", "a", "b", None]), "x") for i in range(900)] + [(3, None, "a", "x"), (4, " ", "b", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string").withColumn("row", F.lit(1)).withColumn("m", F.lit(2))
+    mixed = mixing.mix(docs).collect()
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert Counter(x["doc_id"] for x in got) == Counter({k: sum(x["copies"] for x in mixed if x["doc_id"] == k) for k in {x["doc_id"] for x in mixed}}) - Counter()
+    words = Counter()
+    for x in got:
+        words[x["source"]] += len((x["text"] or "").split())
+    for source in ("a", "b", None):
+        own = [x for x in mixed if x["source"] == source]
+        assert words[source] == sum(x["taken"] for x in own) and abs(words[source] - own[0]["target"]) <= 41
+        blocks = {}
+        for x in own:  # rows of an id are in one block: taken equally often, unless it is cut
+            blocks.setdefault(x["doc_id"], set()).add(x["copies"] if x["size"] else None)
+        assert sum(len(v - {None}) > 1 for v in blocks.values()) <= 2
+    again = mixing.mixed_documents(docs.repartition(5)).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
 
 
 def test_license(odd, none):
@@ -357,6 +405,57 @@ def test_media(odd, none):
     assert media.tensors([np.zeros((media.POOLS, media.BANDS))]).type.shape == [media.POOLS, media.BANDS]
 
 
+def test_document_of_a_block():
+    r = np.random.default_rng(4)
+    parts = [r.integers(0, 2 ** int(b), n).astype(np.uint64) for b, n in ((5, 40), (63, 9), (1, 0), (61, 30), (16, 300))]
+    words = tokenbin.encode_many(parts)
+    ends = np.cumsum([len(w) for w in words])
+    offsets = (ends - [len(w) for w in words]).astype("<u8")
+    block = {"offsets": offsets.tobytes(), "words": np.concatenate(words).tobytes()}
+    assert (tokenbin.decode(np.concatenate(words), offsets) == np.concatenate(parts)).all()
+    assert all((tokenbin.document(block, k) == p).all() for k, p in enumerate(parts))
+
+
+def test_byte_encoder_on_odd_strings():
+    """Both splitting patterns, the cache over its generations, and the byte symbols, against the library on whole texts."""
+    r = random.Random(3)
+    latin = "ab'sre vtm ld²½ªµ\x85\xa0\t\n\x1c\x1d\x7f\xad09_-é×"
+    texts = ["".join(r.choice(a) for _ in range(r.randrange(25))) for a in (latin, latin + "日🙂İſ　\u2028") for _ in range(4000)]
+    enc, tok = tokenbin.ByteEncoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    assert enc(texts) == want
+    enc.words, enc.old = {}, enc.words
+    assert enc(texts) == want
+
+
+def test_ann_recall_and_exactness(spark):
+    """Thousands of vectors without clusters: the recall of the default, and equality of a recall of 1, copies and all."""
+    r = np.random.default_rng(5)
+    x = r.standard_normal((3000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1000:1400] = x[20]  # more copies than a shortlist
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = {}
+    for q in range(0, 3000, 60):
+        score = (x * x[q]).sum(axis=1)
+        score[q] = -np.inf
+        want[q] = np.lexsort((np.arange(3000), -score))[:20].tolist()
+    for recall in (ann.RECALL, 1.0):
+        got = {}
+        for row in ann.search(df, every=60, recall=recall).orderBy("query_id", "rank").collect():
+            got.setdefault(row["query_id"], []).append(row["vec_id"])
+        share = sum(len(set(got[q]) & set(w)) for q, w in want.items()) / (20 * len(want))
+        assert share >= 0.9 and got[1020] == want[1020]
+    assert got == want  # exact
+
+
+def test_ann_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 0.5]), (1, [1.0, 0.0]), (1, [3.0, 0.0]), (2, [0.0, 1.0])]
+    for order in (rows, rows[::-1]):
+        got = [tuple(r) for r in ann.search(spark.createDataFrame(order, "vec_id long, embedding array<double>")).orderBy("rank").collect()]
+        assert got == [(0, 1, 1, 1.5), (0, 2, 2, 0.5)]  # the smaller vector asks, the better one answers
+
+
 def test_ann(spark):
     r = np.random.default_rng(3)
     x = np.round(r.standard_normal((700, 8)), 2)
@@ -393,6 +492,23 @@ def test_pipeline(spark, tmp_path):
     assert len(corpus_pipeline.STAGES) == 4
 
 
+def test_pipeline_edges(spark, odd, none, tmp_path):
+    """Null and repeated ids, null texts, ties, clashing columns and empty tables go through all stages."""
+    spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for docs in (odd, none):
+        kept = docs
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, kept, str(tmp_path)).cache()
+            assert kept.columns == docs.columns
+        assert corpus_pipeline.encoded(spark, kept, str(tmp_path)).count() == kept.count()
+    one = corpus_pipeline.one_of_each_group(spark, odd, str(tmp_path)).collect()
+    ids = [r["doc_id"] for r in one]
+    assert ids.count(None) == 1 and len(set(ids)) == len(ids)  # six and seven are equal, as are the rows of four
+    assert Counter(ids) == Counter({c for i, _, c in components(texts_of(odd)) if i is not None}) + Counter([None])
+    two = spark.createDataFrame([(5, "b words here", 1), (5, "a words here", 2), (5, None, 3)], "doc_id long, text string, k int")
+    assert [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, two, str(tmp_path)).collect()] == [(5, "a words here", 2)]
+
+
 def test_registered():
     assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
     assert set(queries.ORACLE) <= set(queries.QUERIES)
