@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm import bpe, mixing, simjoin, toxicity
@@ -16,20 +16,20 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the group's smallest id. Documents without an id stay;
-    of rows that share an id, one stays."""
+    """One document of each group of near duplicates, that with the group's smallest id. Documents without an id stay; of rows
+    that share an id, the first by text (null last) and then by the hash of the whole row stays."""
     kept = simjoin.components(docs).where("doc_id = component_id").select("doc_id").distinct()
     one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
     repeated = one.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id")
-    again = one.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.join(repeated, "doc_id", "left_anti").unionByName(again).unionByName(docs.where("doc_id is null")).select(docs.columns)
+    row = F.struct(*docs.columns)
+    again = one.join(repeated, "doc_id", "left_semi").select("doc_id", "text", row.alias("_row"), F.xxhash64(*docs.columns).alias("_h"))
+    again = again.withColumn("_r", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text"), "_h"))).where("_r = 1").select("_row.*")
+    return one.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(again).unionByName(docs.where("doc_id is null"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them (up to twice, under the same id)."""
-    m = mixing.mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("copies")).withColumnRenamed("doc_id", "taken_id")
-    rows = docs.join(m, F.col("doc_id").eqNullSafe(F.col("taken_id")))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    """The documents as often as the mix takes them (up to twice, under the same id), by shard in each shard's seeded order."""
+    return mixing.mixed_documents(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
