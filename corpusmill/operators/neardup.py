@@ -1,21 +1,32 @@
-"""Exact near-duplicate removal on character shingles: a prefix-filter join, then greedy leaders in input order."""
+"""Exact near-duplicate removal on character shingles: a rarest-first prefix join, then greedy leaders in input order.
+
+1. A sketch of fixed size counts shingles; each set is put in one order, rare shingles first. Sets with a Jaccard similarity
+   of t share one of their first c - ceil(t c) + 1 (the prefix).
+2. Prefix entries of one domain and shingle meet in an equi-join. A pair comes about only where the shingle may be the first
+   that both have (the shingles before it differ), and sizes and places leave room for the similarity.
+3. Signatures rule out most of what isn't similar; sets are made again, and compared, for the rest alone.
+4. Where lists are long, rows that no earlier row of their lists can remove are settled first, with what they remove, so that
+   a large group of near copies is compared with one row and not all with all.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import discard, stored
+
 SHINGLE = 5
-#: 64-bit words of a set's signature.
-SIGN_WORDS = 16
+#: 64-bit words of a set's signature; counters of the sketch; entries of a list from which heads are settled first, and how
+#: often. The last three touch speed only.
+SIGN_WORDS, COUNTERS, LONG_LIST, ROUNDS = 64, 1 << 20, 256, 3
 
 
-def shingle_hashes(text: str) -> np.ndarray:
+def shingle_hashes(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the character 5-grams of the stripped, lower-cased text; shorter texts are one."""
     t = (text or "").strip().lower()
     if not t:
@@ -36,41 +47,116 @@ def signature(s: np.ndarray) -> list[int]:
     return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view("<i8").tolist()
 
 
-def _table(df: DataFrame, kind: str) -> DataFrame:
-    """df written to the session's checkpoint folder and read again."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    path = f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _slots(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
-def similar_pairs(df: DataFrame, key: str, domain: str, text: str, threshold: float = 0.9) -> DataFrame:
-    """(i, j), i before j, of one domain with a Jaccard similarity of at least the threshold. No pair is missed.
-
-    Sets with c shingles emit the c - ceil(t c) + 1 smallest hashes; sets that share none of these can't be similar.
-    Nor can those whose signatures differ in too many bits; only the others' sets are compared.
-    """
+def _frequencies(rows: DataFrame) -> np.ndarray:
+    """For each counter, the binary logarithm of how many sets have a shingle on it: COUNTERS bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.uint32)
         for b in batches:
-            sets = [shingle_hashes(t) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([signature(s) for s in sets], pa.list_(pa.int64()))], ["id", "domain", "s", "g"])
-
-    sets = _table(df.select(F.col(key).cast("long").alias("id"), F.col(domain).cast("string").alias("domain"), text).mapInArrow(run, "id long, domain string, s array<long>, g array<long>"), "sets")
-    p = sets.withColumn("c", F.size("s")).where("c > 0")
-    first = p.select("id", "domain", "c", F.explode(F.slice("s", F.lit(1), (F.col("c") - F.ceil(F.lit(threshold) * F.col("c") - 1e-9) + 1).cast("int"))).alias("h"))
-    a, b = first.alias("a"), first.alias("b")
-    near = F.least("a.c", "b.c") >= threshold * F.greatest("a.c", "b.c")
-    pairs = a.join(b, F.col("a.domain").eqNullSafe(F.col("b.domain")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id")) & near).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
-    signs = lambda side: p.select(F.col("id").alias(side), F.col("c").alias(f"c{side}"), F.col("g").alias(f"g{side}"))
-    differ = sum((F.bit_count(F.col("gi")[k].bitwiseXOR(F.col("gj")[k])) for k in range(SIGN_WORDS)), F.lit(0))
-    total, most = F.col("ci") + F.col("cj"), (F.col("ci") + F.col("cj") - differ) / 2
-    pairs = pairs.join(signs("i"), "i").join(signs("j"), "j").where(most + 1e-6 >= threshold * (total - most)).select("i", "j")
-    left, right = sets.select(F.col("id").alias("i"), F.col("s").alias("si")), sets.select(F.col("id").alias("j"), F.col("s").alias("sj"))
-    both = F.size(F.array_intersect("si", "sj"))
-    whole = pairs.join(left, "i").join(right, "j").select("i", "j", both.alias("o"), F.size("si").alias("a"), F.size("sj").alias("b"))
-    return whole.where(F.col("o") / (F.col("a") + F.col("b") - F.col("o")) >= threshold).select("i", "j")
+            for t in b.column(2).to_pylist():
+                np.add.at(total, _slots(shingle_hashes(t)), 1)
+        parts = total.reshape(64, -1)
+        yield pa.RecordBatch.from_pydict({"part": pa.array(range(64), pa.int32()), "counts": pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary())})
+
+    def add(t: pa.Table) -> pa.Table:
+        total = sum((np.frombuffer(c, "<u4").astype(np.uint64) for c in t["counts"].to_pylist()), np.zeros(COUNTERS // 64, np.uint64))
+        return pa.table({"part": t["part"][:1], "bits": pa.array([np.ceil(np.log2(total + 1)).astype(np.uint8).tobytes()], pa.binary())})
+
+    out = np.zeros((64, COUNTERS // 64), np.uint8)
+    for r in rows.mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(add, "part int, bits binary").collect():  # 1 MB in all
+        out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def _least(c: Column, threshold: float) -> Column:
+    return F.ceil(F.lit(threshold) * c - 1e-9)
+
+
+def _may(a: str, b: str, threshold: float) -> Column:
+    """Whether sizes and places of a first common shingle leave room for the similarity."""
+    ca, cb, pa_, pb = (F.col(f"{s}.{x}") for x in ("c", "place") for s in (a, b))
+    need = threshold / (1 + threshold) * (ca + cb) - 1e-6
+    return (F.least(ca, cb) >= threshold * F.greatest(ca, cb)) & (F.least(ca - pa_, cb - pb) >= need) & ((pa_ == 0) | (pb == 0) | (F.col(f"{a}.before") != F.col(f"{b}.before")))
+
+
+class _Join:
+    """The tables of one join: entries (dom, h, id, c, place, before) and signatures."""
+
+    def __init__(self, df: DataFrame, key: str, domain: str, text: str, threshold: float):
+        self.threshold = threshold
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.rows = df.select(F.col(key).cast("long").alias("id"), F.coalesce(F.concat(F.lit("="), F.col(domain).cast("string")), F.lit("")).alias("dom"), F.col(text).alias("text")).repartition(parts, "id")  # shingling is the work: one task a file would be too few
+        frequency = _frequencies(self.rows)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, 1024):
+                    part = b.slice(at, 1024)
+                    sets = [shingle_hashes(t) for t in part.column(2).to_pylist()]
+                    first = [s[np.argsort(frequency[_slots(s)], kind="stable")[: len(s) - int(np.ceil(threshold * len(s) - 1e-9)) + 1]].view(np.int64) if len(s) else s.view(np.int64) for s in sets]
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array([signature(s) for s in sets], pa.list_(pa.int64()))], ["id", "dom", "c", "first", "sign"])
+
+        self.prints = stored(self.rows.mapInArrow(run, "id long, dom string, c int, first array<long>, sign array<long>"), "prints")
+        before = F.concat(F.array(F.lit(0).cast("long")), F.slice("first", F.lit(1), F.greatest(F.size("first") - 1, F.lit(0))))
+        at = self.prints.where("c > 0").select("dom", "id", "c", F.posexplode(F.arrays_zip("first", before.alias("before"))).alias("place", "e"))
+        self.entries = at.select("dom", F.col("e.first").alias("h"), "id", "c", "place", F.col("e.before").alias("before"))
+
+    def candidates(self, entries: DataFrame) -> DataFrame:
+        """(i, j), i before j, of all lists."""
+        a, b = entries.alias("a"), entries.alias("b")
+        on = (F.col("a.dom") == F.col("b.dom")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id"))
+        return a.join(b, on & _may("a", "b", self.threshold)).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
+
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (i, j) whose similarity reaches the threshold."""
+        t = self.threshold
+        sign = lambda side: self.prints.select(F.col("id").alias(side), F.col("c").alias(f"c{side}"), F.col("sign").alias(f"g{side}"))
+        differ = F.aggregate(F.zip_with("gi", "gj", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+        total, most = F.col("ci") + F.col("cj"), (F.col("ci") + F.col("cj") - differ) / 2
+        open_ = stored(pairs.join(sign("i"), "i").join(sign("j"), "j").where(most + 1e-6 >= t * (total - most)).select("i", "j"), "open")
+        needed = open_.select(F.col("i").alias("id")).unionByName(open_.select(F.col("j").alias("id"))).distinct()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for at in range(0, b.num_rows, 256):
+                    part = b.slice(at, 256)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(x).view(np.int64) for x in part.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
+
+        sets = self.rows.join(needed, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, s array<long>")
+        left, right = sets.select(F.col("id").alias("i"), F.col("s").alias("si")), sets.select(F.col("id").alias("j"), F.col("s").alias("sj"))
+        both = F.size(F.array_intersect("si", "sj"))
+        whole = open_.join(left, "i").join(right, "j").select("i", "j", both.alias("o"), F.size("si").alias("a"), F.size("sj").alias("b"))
+        out = stored(whole.where(F.col("o") / (F.col("a") + F.col("b") - F.col("o")) >= t).select("i", "j"), "similar")
+        discard(open_)
+        return out
+
+
+def similar_pairs(df: DataFrame, key: str, domain: str, text: str, threshold: float = 0.9) -> DataFrame:
+    """(i, j), i before j, of one domain with a Jaccard similarity of at least the threshold. No pair is missed; blank texts
+    are in none."""
+    join = _Join(df, key, domain, text, threshold)
+    return join.similar(join.candidates(join.entries))
+
+
+def _settled(join: _Join, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entries that are left, rows that go), after settling the rows that come first in each of their lists: nothing can
+    remove them, and they remove what is similar to them."""
+    head = F.min(F.struct("id", "c", "place", "before")).alias("head")
+    lists = stored(entries.groupBy("dom", "h").agg(head, F.count("*").alias("k")).where("k > 1").drop("k"), "lists")
+    on = entries.join(lists, ["dom", "h"])
+    first = stored(on.groupBy("id").agg(F.bool_and(F.col("id") == F.col("head.id")).alias("is_first")).where("is_first").select("id"), "first")
+    met = on.where("id <> head.id").join(first.select(F.col("id").alias("of")), F.col("head.id") == F.col("of"), "left_semi")
+    a, b = met.select("head.*").columns, ("c", "place", "before")
+    met = met.select(F.struct(*[F.col(f"head.{x}").alias(x) for x in a]).alias("a"), F.struct("id", *b).alias("b"))
+    gone = stored(join.similar(met.where(_may("a", "b", join.threshold)).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()).select(F.col("j").alias("d")).distinct(), "gone")
+    done = gone.select(F.col("d").alias("id")).unionByName(first)
+    left = stored(entries.join(done, "id", "left_anti"), "entries")
+    discard(lists, first, entries)
+    return left, gone
 
 
 def leaders(df: DataFrame, key: str, domain: str, text: str, threshold: float = 0.9) -> DataFrame:
@@ -78,13 +164,24 @@ def leaders(df: DataFrame, key: str, domain: str, text: str, threshold: float =
 
     Rounds: rows without an undecided or staying earlier neighbour stay, their later neighbours go; until none is undecided.
     """
-    open_ = _table(similar_pairs(df, key, domain, text, threshold), "pairs")
-    gone = None
+    join = _Join(df, key, domain, text, threshold)
+    entries, gone = join.entries, []
+    for _ in range(ROUNDS):
+        longest = entries.groupBy("dom", "h").count().agg(F.max("count")).first()[0] or 0
+        if longest < LONG_LIST:
+            break
+        entries, more = _settled(join, entries)
+        gone.append(more)
+    open_ = join.similar(join.candidates(entries))
     while not open_.isEmpty():
         later = open_.select(F.col("j").alias("n")).distinct()
         stay = open_.select(F.col("i").alias("n")).distinct().join(later, "n", "left_anti")
-        drop = _table(open_.join(stay, open_["i"] == stay["n"], "left_semi").select(F.col("j").alias("d")).distinct(), "gone")
-        gone = drop if gone is None else gone.unionByName(drop)
-        open_ = _table(open_.join(drop, open_["i"] == drop["d"], "left_anti").join(drop, open_["j"] == drop["d"], "left_anti"), "pairs")
-    empty = df.sparkSession.createDataFrame([], "d long")
-    return (empty if gone is None else gone).select(F.col("d").alias(key)).distinct()
+        drop = stored(open_.join(stay, open_["i"] == stay["n"], "left_semi").select(F.col("j").alias("d")).distinct(), "gone")
+        gone.append(drop)
+        before, open_ = open_, stored(open_.join(drop, open_["i"] == drop["d"], "left_anti").join(drop, open_["j"] == drop["d"], "left_anti"), "pairs")
+        discard(before)
+    discard(join.prints, entries)
+    out = df.sparkSession.createDataFrame([], "d long")
+    for g in gone:
+        out = out.unionByName(g)
+    return out.select(F.col("d").alias(key)).distinct()
