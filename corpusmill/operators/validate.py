@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import xml.etree.ElementTree as ET
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from ..functions.text import blank, strip
 
@@ -28,7 +29,15 @@ ALLOWED_NEAR = (
     r"SSN|MRN|PID|HL7|FHIR|segment|message",
     r"YOUR_|REPLACE_|EXAMPLE_|PLACEHOLDER|TODO|INSERT|CHANGE_ME|your[_-]?(?:access|api|auth|fhir|endpoint)|xxxx|XYZ123|abc123|abcdef|secureP@ss|samplePass|secureSecret|test[_-]?password|my[_-]?(?:password|secret|custom)|client[_-]?(?:secret|id)|\"password\"|\"secret\"|\"username\"|DriverManager|JDBC|Bearer\s+token|Authorization.*Bearer",
 )
-LOG_LEAKS = tuple(p + r"\([^)]*patient\.(?:ssn|name|mrn|dob|social|address|phone)" for p in (r"console\.log", "print", r"logger\.\w+", r"System\.out\.println", r"log\.(?:info|debug|warn|error)", "printf?")) + (r"console\.log\([^)]*\b(?:ssn|socialSecurity|social_security)\b",)
+LOG_LEAKS = (
+    r"console\.log\([^)]*patient\.(ssn|name|mrn|dob|social|address|phone)",
+    r"print\([^)]*patient\.(ssn|name|mrn|dob|social|address|phone)",
+    r"logger\.\w+\([^)]*patient\.(ssn|name|mrn|dob|social|address|phone)",
+    r"System\.out\.println\([^)]*patient\.(ssn|name|mrn|dob|social|address|phone)",
+    r"log\.(info|debug|warn|error)\([^)]*patient\.(ssn|name|mrn|dob|social|address|phone)",
+    r"printf?\([^)]*patient\.(ssn|name|mrn|dob|social|address|phone)",
+    r"console\.log\([^)]*\b(ssn|socialSecurity|social_security)\b",
+)
 BYPASS = ("math", "general_knowledge", "casual", "reasoning", "general_coding")
 
 RESULT = "struct<passed:boolean,error_type:string,error_detail:string,line_number:int>"
@@ -67,23 +76,57 @@ def brackets_left(text: Column) -> Column:
     return F.when(kept == "", "").otherwise(F.aggregate(F.split(kept, ""), F.lit(""), lambda s, c: F.when(c == "", s).otherwise(step(s, c))))
 
 
-def javascript(text: Column) -> Column:
+_LIVE = re.compile(r"\\(?:.|\Z)|'(?:[^'\\]|\\.)*(?:'|\\?\Z)|\"(?:[^\"\\]|\\.)*(?:\"|\\?\Z)|`(?:[^`\\]|\\.)*(?:`|\\?\Z)|[()\[\]{}]", re.DOTALL)
+
+
+def first_unmatched(text: str) -> int:
+    """Where the first closing bracket without its opening one stands; -1 without one."""
+    stack = []
+    for m in _LIVE.finditer(text):
+        c = m[0]
+        if c in "([{":
+            stack.append(c)
+        elif c in ")]}":
+            if not stack or stack.pop() != "([{"[")]}".index(c)]:
+                return m.start()
+    return -1
+
+
+@F.pandas_udf(StructType().add("at", IntegerType()).add("line", IntegerType()))
+def _unmatched(texts: pd.Series) -> pd.DataFrame:
+    """For the rows that fail alone: the others are null, and aren't looked at."""
+    at = [None if t is None else first_unmatched(t) for t in texts]
+    return pd.DataFrame({"at": pd.array(at, "Int32"), "line": pd.array([None if i is None else t.count("\n", 0, i) + 1 for t, i in zip(texts, at, strict=True)], "Int32")})
+
+
+def javascript(text: Column, places: bool = True) -> Column:
+    """Bracket balance. `places`: whether errors tell the character and the line, for which failing texts go to Python."""
     left = brackets_left(text)
-    return F.when(left == "", _ok()).when(left.startswith("!"), _bad("syntax", F.concat(F.lit("Unmatched bracket "), F.substring(left, 2, 1)))).otherwise(_bad("syntax", F.concat(F.lit("Unclosed brackets: "), left)))
+    closer, unclosed = F.substring(left, 2, 1), _bad("syntax", F.concat(F.lit("Unclosed brackets: "), left))
+    if not places:
+        return F.when(left == "", _ok()).when(left.startswith("!"), _bad("syntax", F.concat(F.lit("Unmatched '"), closer, F.lit("'")))).otherwise(unclosed)
+    where = _unmatched(F.when(left.startswith("!"), text))
+    return F.when(left == "", _ok()).when(left.startswith("!"), _bad("syntax", F.concat(F.lit("Unmatched '"), closer, F.lit("' at position "), where["at"].cast("string")), where["line"])).otherwise(unclosed)
+
+
+def _entity(*_) -> None:
+    raise ValueError("entities of a text's own, or unknown ones, aren't read")
+
+
+def xml_error(text: str) -> str | None:
+    """Why a text isn't well-formed; a document type is read, but no entity that it declares, as those could grow without limit."""
+    parser = expat.ParserCreate()
+    parser.EntityDeclHandler = parser.SkippedEntityHandler = _entity
+    try:
+        parser.Parse(text, True)
+    except (expat.ExpatError, ValueError) as e:
+        return str(e)
+    return None
 
 
 @F.pandas_udf(StringType())
 def _xml_error(texts: pd.Series) -> pd.Series:
-    def one(t: str) -> str | None:
-        if "<!DOCTYPE" in t or "<!ENTITY" in t:
-            return "Document type declarations aren't read"
-        try:
-            ET.fromstring(t)
-        except (ET.ParseError, ValueError) as e:
-            return str(e)
-        return None
-
-    return texts.map(one, na_action="ignore")
+    return texts.map(xml_error, na_action="ignore")
 
 
 def xml(text: Column) -> Column:
@@ -112,12 +155,12 @@ def fhir(text: Column) -> Column:
 
 
 def line_of(text: Column, pattern: str) -> Column:
-    return F.size(F.split(F.regexp_extract(text, rf"(?i)^([\s\S]*?)(?:{pattern})", 1), "\n"))
+    return F.size(F.split(F.regexp_extract(text, rf"(?id)^([\s\S]*?)(?:{pattern})", 1), "\n"))
 
 
 def security(text: Column, secrets: Sequence[tuple[str, str]] = SECRETS, allowed: Sequence[str] = ALLOWED_NEAR) -> Column:
     """The first rule that hits: SQL built by concatenation, then secrets whose first match has no allowed text within 40 characters."""
-    out = F.when(text.rlike(f"(?i){SQL_CONCATENATION}"), _bad("security", "Possible SQL injection", line_of(text, SQL_CONCATENATION)))
+    out = F.when(text.rlike(f"(?id){SQL_CONCATENATION}"), _bad("security", "Possible SQL injection", line_of(text, SQL_CONCATENATION)))
     allow = "(?i)" + "|".join(f"(?:{a})" for a in allowed)
     for pattern, what in secrets:
         near = F.regexp_extract(text, rf"(?i)[\s\S]{{0,40}}?(?:{pattern})[\s\S]{{0,40}}", 0)
@@ -129,31 +172,68 @@ def unsafe_log(text: Column) -> Column:
     return reduce(lambda a, b: a | b, [text.rlike(f"(?i){p}") for p in LOG_LEAKS])
 
 
-def by_content(text: Column) -> Column:
-    kind = content_type(text)
-    return F.when(kind == "hl7v2", hl7(text)).when(kind == "xml", xml(text)).when(kind == "fhir", fhir(text)).when(kind == "json", _ok()).otherwise(javascript(text))
+#: What is put after texts that leak, and marks of code, without which a text isn't scanned.
+LOG_WARNING = "\n\n> **Warning:** this code may write personal identifiers to a log. Mask them first."
+CODE_MARKS = ("```", "function ", "def ", "class ")
+
+
+def log_scan(text: Column, warning: str = LOG_WARNING, marks: Sequence[str] = CODE_MARKS) -> Column:
+    """struct(is_safe, text): texts that look like code and leak get the warning after them."""
+    code = reduce(lambda a, b: a | b, [text.contains(m) for m in marks])
+    leaks = F.coalesce(code & unsafe_log(text), F.lit(False))
+    return F.struct((~leaks).alias("is_safe"), F.when(leaks, F.concat(text, F.lit(warning))).otherwise(text).alias("text"))
+
+
+def by_content(text: Column, kind: Column | None = None, places: bool = True) -> Column:
+    kind = content_type(text) if kind is None else kind
+    return F.when(kind == "hl7v2", hl7(text)).when(kind == "xml", xml(text)).when(kind == "fhir", fhir(text)).when(kind == "json", _ok()).otherwise(javascript(text, places))
 
 
-def example(output: Column, domain: Column, bypass: Sequence[str] = BYPASS) -> Column:
+def example(output: Column, domain: Column, bypass: Sequence[str] = BYPASS, places: bool = True) -> Column:
+    """One expression for use in any plan; validated() computes each part once, which is faster on whole tables."""
     sec = security(output)
-    return F.when(blank(output), _bad("structure", "Empty output")).when(~sec["passed"], sec).when(F.coalesce(domain, F.lit("")).isin(*bypass), _ok()).otherwise(by_content(output))
+    return F.when(blank(output), _bad("structure", "Empty output")).when(~sec["passed"], sec).when(F.coalesce(domain, F.lit("")).isin(*bypass), _ok()).otherwise(by_content(output, places=places))
+
+
+def validated(df: DataFrame, output: str, domain: str, to: str = "_r", bypass: Sequence[str] = BYPASS, places: bool = True) -> DataFrame:
+    """df with the result of example() in a column. Each check is a column of its own that later ones read, and is made only
+    for the rows that come to it: those that aren't blank, then those that aren't by-passed, then those of its kind."""
+    t = F.col(output)
+    at = lambda c: F.col(f"{to}_{c}")
+    first = df.withColumn(f"{to}_blank", blank(t)).withColumn(f"{to}_skip", F.coalesce(F.col(domain), F.lit("")).isin(*bypass))
+    first = first.withColumn(f"{to}_sec", F.when(~at("blank"), security(t)))
+    go = ~at("blank") & at("sec")["passed"] & ~at("skip")
+    first = first.withColumn(f"{to}_kind", F.when(go, content_type(t)))
+    first = first.withColumn(f"{to}_left", F.when(at("kind") == "javascript", brackets_left(t)))
+    bad = at("left").startswith("!")
+    if places:
+        first = first.withColumn(f"{to}_where", _unmatched(F.when(bad, t)))
+        text = F.concat(F.lit("Unmatched '"), F.substring(at("left"), 2, 1), F.lit("' at position "), at("where")["at"].cast("string"))
+        unmatched = _bad("syntax", text, at("where")["line"])
+    else:
+        unmatched = _bad("syntax", F.concat(F.lit("Unmatched '"), F.substring(at("left"), 2, 1), F.lit("'")))
+    script = F.when(at("left") == "", _ok()).when(bad, unmatched).otherwise(_bad("syntax", F.concat(F.lit("Unclosed brackets: "), at("left"))))
+    kinds = F.when(at("kind") == "hl7v2", hl7(t)).when(at("kind") == "xml", xml(F.when(at("kind") == "xml", t))).when(at("kind") == "fhir", fhir(t)).when(at("kind") == "json", _ok()).otherwise(script)
+    result = F.when(at("blank"), _bad("structure", "Empty output")).when(~at("sec")["passed"], at("sec")).when(at("skip"), _ok()).otherwise(kinds)
+    parts = [f"{to}_{c}" for c in ("blank", "skip", "sec", "kind", "left", *(["where"] if places else []))]
+    return first.withColumn(to, result).drop(*parts)
 
 
 def conversation(turns: Column, domain: Column, bypass: Sequence[str] = (*BYPASS, "conversation")) -> Column:
     last = F.try_element_at(F.filter(turns, lambda t: t["role"] == "assistant"), F.lit(-1))["content"]
     failed = F.try_element_at(F.filter(F.transform(turns, lambda t: security(F.coalesce(t["content"], F.lit("")))), lambda r: ~r["passed"]), F.lit(1))
-    return F.when(F.coalesce(F.size(turns), F.lit(0)) < 2, _bad("structure", "Fewer than two turns")).when(blank(last), _bad("structure", "No assistant answer")).when(failed.isNotNull(), failed).when(F.coalesce(domain, F.lit("")).isin(*bypass), _ok()).otherwise(example(last, domain))
+    return F.when(F.coalesce(F.size(turns), F.lit(0)) < 2, _bad("structure", "Fewer than two turns")).when(blank(last), _bad("structure", "No assistant answer")).when(failed.isNotNull(), failed).when(F.coalesce(domain, F.lit("")).isin(*bypass), _ok()).otherwise(example(last, domain, places=False))
 
 
-def split(df: DataFrame, result: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows that pass, and rows that fail with their error as _validation_error."""
-    r = df.withColumn("_r", result)
-    error = F.struct(F.col("_r.error_type").alias("type"), F.col("_r.error_detail").alias("detail"), F.col("_r.line_number").alias("line"))
-    return r.where("_r.passed").drop("_r"), r.where("not _r.passed").withColumn("_validation_error", error).drop("_r")
+def split(df: DataFrame, result: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that pass, and rows that fail with their error as _validation_error; `result` is the column that validated() adds."""
+    error = F.struct(F.col(f"{result}.error_type").alias("type"), F.col(f"{result}.error_detail").alias("detail"), F.col(f"{result}.line_number").alias("line"))
+    return df.where(f"{result}.passed").drop(result), df.where(f"not {result}.passed").withColumn("_validation_error", error).drop(result)
 
 
-def report(df: DataFrame, result: Column) -> DataFrame:
-    """total, passed, failed and a map of errors by category."""
-    by = df.select(result.alias("r")).groupBy(F.col("r.error_type").alias("k")).agg(F.count("*").alias("n"))
-    pairs = F.filter(F.collect_list(F.struct("k", "n")), lambda x: x["k"].isNotNull())
-    return by.agg(F.sum("n").alias("total"), F.sum(F.when(F.col("k").isNull(), F.col("n")).otherwise(0)).alias("passed"), F.sum(F.when(F.col("k").isNotNull(), F.col("n")).otherwise(0)).alias("failed"), F.map_from_entries(pairs).alias("errors_by_category"))
+def report(df: DataFrame, result: str) -> DataFrame:
+    """total, passed, failed and a map of errors by category, of rows with a result column."""
+    by = df.groupBy(F.col(f"{result}.error_type").alias("k")).agg(F.count("*").alias("n"))
+    pairs = F.array_sort(F.filter(F.collect_list(F.struct("k", "n")), lambda x: x["k"].isNotNull()))
+    count = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    return by.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), count(F.col("k").isNull()).alias("passed"), count(F.col("k").isNotNull()).alias("failed"), F.map_from_entries(pairs).alias("errors_by_category"))

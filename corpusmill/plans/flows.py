@@ -20,6 +20,6 @@ def clean(df: DataFrame, key: str, threshold: float = 0.9) -> DataFrame:
 
 def clean_validate_format(df: DataFrame, key: str, template: str = "llama", threshold: float = 0.9) -> tuple[DataFrame, DataFrame]:
     """(key and text of the rows that pass, rows that fail with their errors)."""
-    passed, failed = validate.split(clean(df, key, threshold), validate.example(F.col("output"), F.col("domain")))
+    passed, failed = validate.split(validate.validated(clean(df, key, threshold), "output", "domain"), "_r")
     cot = F.col("cot_trace") if "cot_trace" in df.columns else None
     return passed.select(key, render.single_turn(F.col("instruction"), F.col("input"), F.col("output"), cot, template).alias("text")), failed
