@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ def conversation_ok(turns: Column) -> Column:
 
 
 def conversation_hash(turns: Column) -> Column:
-    return content_hash(F.array_join(F.transform(turns, lambda t: F.coalesce(t["content"], F.lit(""))), "\n"))
+    return content_hash(conversation_text(turns))
 
 
 def is_empty(instruction: Column, output: Column) -> Column:
@@ -42,6 +43,30 @@ def attributed(text: Column, patterns: Sequence[str] = ATTRIBUTION) -> Column:
     return F.lower(text).rlike("|".join(f"(?:{p})" for p in patterns))
 
 
+def conversation_text(turns: Column) -> Column:
+    return F.array_join(F.transform(turns, lambda t: F.coalesce(t["content"], F.lit(""))), "\n")
+
+
+def conversation_attributed(turns: Column, patterns: Sequence[str] = ATTRIBUTION) -> Column:
+    """attributed() over the contents of all turns, joined by line feeds."""
+    return attributed(conversation_text(turns), patterns)
+
+
+def last_content(turns: Column, role: str = "user") -> Column:
+    """Content of the last turn of a role; empty without one."""
+    return F.coalesce(F.try_element_at(F.filter(turns, lambda t: t["role"] == role), F.lit(-1))["content"], F.lit(""))
+
+
+def conversation_from_json(line: Column) -> Column:
+    """The turns of a JSON record as array<struct<role,content>>: null for less than two turns, or a turn that isn't an object
+    or lacks a key. A null content is empty; other contents are their text."""
+    v = F.try_parse_json(line)
+    turns = F.try_variant_get(v, "$.turns", "array<map<string,variant>>")
+    whole = F.forall(turns, lambda t: t.isNotNull() & F.map_contains_key(t, "role") & F.map_contains_key(t, "content"))
+    text = lambda x: F.coalesce(F.try_variant_get(x, "$", "string"), F.lit(""))
+    return F.when((F.size(turns) >= 2) & whole, F.transform(turns, lambda t: F.struct(text(t["role"]).alias("role"), text(t["content"]).alias("content"))))
+
+
 def first_by(df: DataFrame, key: Column, *order: Column) -> DataFrame:
     """The first row of each key; rows of a null key all stay. One shuffle of the key, with no group held in memory."""
     rank = F.row_number().over(Window.partitionBy("_key").orderBy(*order))
@@ -49,10 +74,23 @@ def first_by(df: DataFrame, key: Column, *order: Column) -> DataFrame:
     return keyed.where("_key is not null").withColumn("_rank", rank).where("_rank = 1").drop("_rank", "_key").unionByName(keyed.where("_key is null").drop("_key"))
 
 
+def capped(df: DataFrame, key: str, n: int, *order: str) -> DataFrame:
+    """The first n rows of each key in an order; tasks rank and cut before the shuffle, so that no key is gathered."""
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+
 def exact_dedup(df: DataFrame, text: str, *order: str) -> DataFrame:
     return first_by(df, content_hash(F.col(text)), *map(F.col, order))
 
 
+def concatenated(*frames: DataFrame) -> DataFrame:
+    """All rows of several frames with src_ord, a frame's place, for a stable order with the frames' own order columns;
+    columns that a frame lacks are null."""
+    out = [f.withColumn("src_ord", F.lit(k)) for k, f in enumerate(frames)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
+
+
 def min_length(df: DataFrame, text: str, least: int = 20) -> DataFrame:
     return df.where(F.length(strip(F.col(text))) >= least)
 

@@ -15,6 +15,19 @@ def by_category(df: DataFrame, category: str = "category", ok: Column | None = N
     return df.groupBy(category).agg(F.count("*").alias("n"), F.count_if(good).alias("n_ok"), F.count_if(~good).alias("n_err"), mean(F.col("latency_sec")).alias("avg_latency"), mean(F.col("response_length").cast("double")).alias("avg_length"), mean(F.col("has_code").cast("double")).alias("code_rate"), F.count_if(good & (F.col("response_length") < short)).alias("n_short"))
 
 
+def counted(df: DataFrame, *by: str) -> DataFrame:
+    """Rows per key (files or records per domain, scenario, standard)."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"))
+
+
+def overall(df: DataFrame, ok: Column | None = None) -> DataFrame:
+    """One row: all rows, good rows, and the averages over the good ones (null without any): latency, response length,
+    completion tokens and the percentage with code."""
+    good = F.col("status") == "ok" if ok is None else ok
+    mean = lambda c: F.avg(F.when(good, F.col(c).cast("double")))
+    return df.agg(F.count("*").alias("n"), F.count_if(good).alias("n_ok"), mean("latency_sec").alias("avg_latency"), mean("response_length").alias("avg_length"), mean("completion_tokens").alias("avg_tokens"), (mean("has_code") * 100).alias("code_pct"))
+
+
 def rates(df: DataFrame, flags: Mapping[str, Column], groups: Mapping[str, Sequence[str]], category: str = "category") -> DataFrame:
     """For each metric, the share of rows of its categories that have its flag; 0 without rows."""
     sums = []

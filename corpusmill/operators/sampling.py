@@ -15,37 +15,68 @@ def order_key(seed: int, key: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def exact_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
-    """round(fraction * n) rows without replacement (halves to even), ranked inside hash buckets first.
+def first_in_order(df: DataFrame, key: str, wanted: DataFrame | int, by: str | None = None, seed: int = 42) -> DataFrame:
+    """The first `wanted` rows in the seeded order, of all rows or of each value of `by` (wanted: by and n, one row each).
 
-    A threshold hash is found from bucket counts, so that only one bucket is sorted.
+    Rows are counted by hash bucket; whole buckets are taken up to the one that a group is cut in, and only rows of such a
+    bucket (one of 4,096) are ranked. So no group is sorted as a whole, and no task has more than a bucket's rows.
     """
-    bucket = F.substring(order_key(seed, key), 1, 3)
-    marked = df.withColumn("_b", bucket)
-    counts = marked.groupBy("_b").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    before = F.coalesce(F.sum("n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    plan = counts.select(F.col("_b").alias("b"), (F.bround(total * F.lit(fraction), 0) - before).cast("long").alias("left"), "n").where("left > 0")
-    rows = marked.join(F.broadcast(plan), F.col("_b") == F.col("b"))  # at most 4,096 buckets
+    groups = [] if by is None else [by]
+    marked = df.withColumn("_b", F.substring(order_key(seed, key), 1, 3))
+    counts = marked.groupBy(*groups, "_b").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    plan = counts.withColumn("_before", before)  # at most 4,096 rows a group
+    plan = plan.withColumn("_want", F.lit(wanted)) if by is None else plan.join(wanted.select(by, F.col("n").alias("_want")), by)
+    plan = plan.where("_want > _before").select(*[F.col(g).alias("_g") for g in groups], F.col("_b").alias("_c"), (F.col("_want") - F.col("_before")).alias("_left"), F.col("_n"))
+    on = F.col("_b") == F.col("_c")
+    rows = marked.join(plan, on if by is None else on & F.col(by).eqNullSafe(F.col("_g")))
+    rank = F.row_number().over(Window.partitionBy(*groups, "_b").orderBy(order_key(seed, key), key))
+    whole = rows.where("_left >= _n").select(df.columns)
+    return whole.unionByName(rows.where("_left < _n").withColumn("_r", rank).where("_r <= _left").select(df.columns))
+
+
+def exact_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+    """round(fraction * n) rows without replacement (halves to even)."""
+    n = df.agg(F.bround(F.count("*") * F.lit(fraction), 0).cast("long")).first()[0]
+    return first_in_order(df, key, n, seed=seed)
+
+
+def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """All rows in a seeded order, by a range-partitioned sort."""
+    return df.orderBy(order_key(seed, key), key)
+
+
+def numbered(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """df with `place`, the number of a row in the seeded order (from 1): the rows of the hash buckets before its own, and its
+    rank in that."""
+    marked = df.withColumn("_b", F.substring(order_key(seed, key), 1, 3))
+    counts = marked.groupBy("_b").agg(F.count("*").alias("_n"))
+    before = counts.select(F.col("_b").alias("_c"), F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # 4,096 rows
     rank = F.row_number().over(Window.partitionBy("_b").orderBy(order_key(seed, key), key))
-    whole = rows.where("left >= n").select(df.columns)
-    return whole.unionByName(rows.where("left < n").withColumn("_r", rank).where("_r <= left").select(df.columns))
+    return marked.withColumn("_r", rank).join(F.broadcast(before), F.col("_b") == F.col("_c")).select(*df.columns, (F.col("_before") + F.col("_r")).alias("place"))
+
+
+def top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
+    """The first n rows of an order: each task keeps n rows at most."""
+    return df.orderBy(*order).limit(n)
 
 
 def stratified(df: DataFrame, key: str, stratum: str, quotas: dict[str, int], seed: int = 42) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(stratum).orderBy(order_key(seed, key), key))
-    quota = F.element_at(F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv]), F.col(stratum))
-    return df.where(F.col(stratum).isin(*quotas)).withColumn("_r", rank).where(F.col("_r") <= quota).drop("_r")
+    """Of each stratum, as many rows as its quota, the first in the seeded order."""
+    wanted = df.sparkSession.createDataFrame(list(quotas.items()), f"`{stratum}` string, n long")
+    return first_in_order(df.where(F.col(stratum).isin(*quotas)), key, F.broadcast(wanted), stratum, seed)
 
 
-def cycled(df: DataFrame, key: str, n: int) -> DataFrame:
-    """n rows: the rows in key order again and again, or the first n."""
+def cycled(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """n rows: each row floor(n / rows) times, and those that come first in the seeded order once more; of fewer rows wanted,
+    only the latter. `copy` counts from 1."""
     total = df.count()
     if not total:
-        return df
-    rank = F.row_number().over(Window.orderBy(key))
-    times = F.floor((F.lit(n - 1) - (F.col("_r") - 1)) / total) + 1
-    return df.withColumn("_r", rank).where(F.col("_r") <= n).withColumn("copy", F.explode(F.sequence(F.lit(1), times.cast("int")))).drop("_r")
+        return df.withColumn("copy", F.lit(1))
+    more = first_in_order(df, key, n % total, seed=seed).withColumn("copy", F.lit(n // total + 1))
+    if n < total:
+        return more
+    return df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(n // total)))).unionByName(more)
 
 
 def quota_plan(targets: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,10 +92,10 @@ def not_done(plan: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def balanced(keys: DataFrame, total: int, key: str) -> DataFrame:
-    """total over the keys in equal parts, what is over to the first."""
+    """total over the keys in equal parts, what is over to the first. Keys are a table of kinds, not of rows."""
     n = keys.count()
-    rank = F.row_number().over(Window.orderBy(key))
-    return keys.withColumn("quota", (F.lit(total // max(n, 1)) + F.when(rank <= total % max(n, 1), 1).otherwise(0)).cast("int"))
+    extra = keys.orderBy(key).limit(total % max(n, 1)).select(F.col(key).alias("_k"), F.lit(1).alias("_more"))
+    return keys.join(extra, F.col(key).eqNullSafe(F.col("_k")), "left").withColumn("quota", (F.lit(total // max(n, 1)) + F.coalesce("_more", F.lit(0))).cast("int")).drop("_k", "_more")
 
 
 def route(complexity: Column, primary: str, bulk: str | None) -> Column:

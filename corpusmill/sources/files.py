@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import io
+import warnings
 from collections.abc import Sequence
 from html.parser import HTMLParser
 
@@ -10,23 +12,51 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.rules import detect_domain, glob_match
+from ..functions.rules import detect_domain, glob_match, matches_any
 from ..functions.text import blank, strip
+from ..operators.records import capped
+
+
+def present(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The files and folders that paths and globs stand for, each path's sorted; a warning for each path without any."""
+    out: list[str] = []
+    for p in [paths] if isinstance(paths, str) else paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+        if not found:
+            warnings.warn(f"no file: {p}", stacklevel=2)
+        out += sorted(f.getPath().toString() for f in found or ())
+    return out
 
 
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
-    """Every line: the raw line, its record, and its state (blank, malformed, ok). Lines that aren't objects are malformed.
+    """Every line: its place, the raw line, its record, and its state (blank, malformed, ok). Lines that aren't objects are
+    malformed; files that aren't there are left out with a warning.
 
-    Lines are read as text, so that blank ones count and unknown keys survive in the raw line.
+    The place is file_ord (of the file among the paths given), block (where its part of the file starts) and row_ord; ordered by
+    these three, lines are as in the input, whatever the number of tasks. Lines are read as text, so that blank ones count and
+    unknown keys survive in the raw line.
     """
-    lines = spark.read.text(paths).select("value", F.input_file_name().alias("file"))
+    found = present(spark, paths)
+    empty = f"file string, file_ord int, block long, row_ord long, raw string, state string, record struct<{schema}>"
+    if not found:
+        return spark.createDataFrame([], empty)
+    lines = spark.read.text(found).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row_ord"))
+    name = lambda p: F.regexp_replace(p, "^file:/*", "/")  # noqa: E731  a path has one or three slashes after its scheme
+    places = F.transform(F.array(*map(F.lit, found)), name)
+    at = F.array_position(F.transform(places, lambda p: F.startswith(name(F.col("file")), p)), True) - 1  # a folder's files share its place
     v = F.try_parse_json(F.col("value"))
     state = F.when(blank(F.col("value")), "blank").when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), "malformed").otherwise("ok")
-    return lines.select("file", F.col("value").alias("raw"), state.alias("state"), F.from_json("value", schema).alias("record"))
+    return lines.select("file", at.cast("int").alias("file_ord"), "block", "row_ord", F.col("value").alias("raw"), state.alias("state"), F.from_json("value", schema).alias("record"))
+
 
+#: Columns that order the rows of read_jsonl() as they were read.
+INPUT_ORDER = ("file_ord", "file", "block", "row_ord")
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.json(path)
+
+def write_jsonl(df: DataFrame, path: str, nulls: bool = False) -> None:
+    """A JSON line for each row, not escaped beyond what JSON needs; null fields are left out unless they are asked for."""
+    df.write.option("ignoreNullFields", str(not nulls).lower()).json(path)
 
 
 def write_raw(df: DataFrame, path: str, raw: str = "raw") -> None:
@@ -70,6 +100,24 @@ def html_blocks(html: pd.Series) -> pd.Series:
     return html.map(one, na_action="ignore")
 
 
+@F.pandas_udf(StringType())
+def pdf_text(content: pd.Series) -> pd.Series:
+    """The pages' texts with a blank line between them, blank pages left out. Empty where no PDF library is installed."""
+    try:
+        from pypdf import PdfReader
+    except ImportError:
+        return content.map(lambda _: "", na_action="ignore")
+
+    def one(b: bytes) -> str:
+        try:
+            pages = [p.extract_text() or "" for p in PdfReader(io.BytesIO(b)).pages]
+        except Exception:  # noqa: BLE001  whatever a damaged file raises
+            return ""
+        return "\n\n".join(p for p in pages if p.strip())
+
+    return content.map(one, na_action="ignore")
+
+
 def is_openapi(text: Column, sniff: int | None = None) -> Column:
     """openapi, swagger, or info with paths; over the whole text unless `sniff` characters are asked for."""
     v = F.try_parse_json(F.substring(text, 1, sniff) if sniff else text)
@@ -103,27 +151,31 @@ def openapi_summary(text: Column) -> Column:
 def read_docs(spark: SparkSession, root: str, least: int = 20) -> DataFrame:
     """path, domain (first folder below the root) and text of the files of a tree, by their suffix; short texts go.
 
-    Formats that need a library that isn't installed (PDF) give an empty text, and so no row.
+    PDF files without a PDF library give an empty text, and so no row.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     below = F.regexp_extract("path", r"(?:^|/)" + root.strip("/").rsplit("/", 1)[-1] + r"/(.*)", 1)
     suffix = F.lower(F.regexp_extract("path", r"\.([^./]+)\z", 1))
     raw = F.decode("content", "utf-8")
-    text = F.when(suffix.isin("html", "htm"), html_blocks(F.when(suffix.isin("html", "htm"), raw))).when((suffix == "json") & is_openapi(raw), openapi_summary(raw)).when(suffix == "pdf", "").otherwise(raw)
+    text = F.when(suffix.isin("html", "htm"), html_blocks(F.when(suffix.isin("html", "htm"), raw))).when((suffix == "json") & is_openapi(raw), openapi_summary(raw)).when(suffix == "pdf", pdf_text(F.when(suffix == "pdf", F.col("content")))).otherwise(raw)
     return files.select("path", F.split_part(below, F.lit("/"), F.lit(1)).alias("domain"), text.alias("text")).where(F.length(strip(F.col("text"))) >= least)
 
 
+def fallback_instruction(given: Column, domain: Column, path: Column) -> Column:
+    """The instruction given, or one made of the domain and the path where it is blank."""
+    return F.when(~blank(given), given).otherwise(F.format_string("Explain this %s file: %s", domain, path))
+
+
 def scan_repos(spark: SparkSession, root: str, patterns: Sequence[str], per_repo: int = 500, largest: int = 100_000, private: Sequence[str] = ()) -> DataFrame:
     """Files of checked-out repositories by glob, without tool folders, private data or large files; per repository the
     first by path, up to a limit."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where((F.col("length") <= largest) & ~F.col("path").rlike(r"/(?:\.git|node_modules|__pycache__|\.idea)/") & glob_match(F.col("path"), patterns))
     repo = F.split_part(F.regexp_extract("path", r"(?:^|/)" + root.strip("/").rsplit("/", 1)[-1] + r"/(.*)", 1), F.lit("/"), F.lit(1))
     rows = files.select("path", repo.alias("source_repo"), F.decode("content", "utf-8").alias("output"))
-    rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("source_repo").orderBy("path"))).where(F.col("r") <= per_repo).drop("r")
-    for p in private:
-        rows = rows.where(~F.col("output").rlike(f"(?i){p}"))
+    rows = capped(rows, "source_repo", per_repo, "path")
+    rows = rows.where(~matches_any(F.col("output"), private))
     domain = detect_domain(F.col("output"), F.col("path"))
-    return rows.where(F.length(strip(F.col("output"))) >= 20).withColumn("domain", domain).withColumn("instruction", F.format_string("Explain this %s file: %s", "domain", "path"))
+    return rows.where(F.length(strip(F.col("output"))) >= 20).withColumn("domain", domain).withColumn("instruction", fallback_instruction(F.lit(None).cast("string"), F.col("domain"), F.col("path")))
 
 
 def context_pack(df: DataFrame, domain: str, order: str, text: str, each: int = 2000, stop: int = 6000) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators import validate
 
 def validated(stream: DataFrame, output: str = "output", domain: str = "domain") -> DataFrame:
     """A stream of records with their result; stateless, so that it fits any sink."""
-    return stream.withColumn("validation", validate.example(F.col(output), F.col(domain)))
+    return validate.validated(stream, output, domain, "validation")
 
 
 def first_seen(stream: DataFrame, text: str, time: str, delay: str = "1 hour") -> DataFrame:
@@ -32,4 +32,9 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
 
 
 def read_parquet_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+    """Parquet files as they arrive in a folder; of a single file's path, that file."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        return reader.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
+    return reader.parquet(path)
