@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import sql
 from .functions import render, rules
-from .functions.text import content_hash, strip
-from .operators import dialogue, neardup, records, report, sampling, score, validate
+from .functions.text import content_hash, jaccard, strip, truncated
+from .operators import dialogue, neardup, records, report, sampling, score, synthesis, validate
 from .plans import flows
 from .sources import files
+from .sources.tables import checkpoint_dir
+from .streaming import events as stream_events
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(equivalent: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
+        if equivalent:
+            ORACLE[f.__name__] = equivalent
         return f
 
     return add
@@ -29,9 +34,8 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-_STRIP = "regexp_replace({}, '^[\\s\\x1c-\\x1f\\x0b]+|[\\s\\x1c-\\x1f\\x0b]+$', '', 'g')"
-_S = _STRIP.format("text")
-_HASH = f"sha256(lower({_S}))"
+_S = sql.strip("text")
+_HASH = sql.content_hash("text")
 
 
 @query(f"SELECT lang, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_hashes FROM (SELECT lang, {_HASH} AS h, count(*) AS n FROM documents GROUP BY 1, 2) GROUP BY lang")
@@ -53,9 +57,13 @@ def dedup_stats(spark, d):
     return records.cleaning_stats(_t(spark, d, "documents"), t.isNull(), strip(t) == "", F.lit(False), t)
 
 
-@query("SELECT doc_id, regexp_matches(lower(text), 'as an ai language model|licensed under|released under') AS attributed FROM documents")
+_PHRASES = ("licensed under", "released under", *records.ATTRIBUTION)
+
+
+@query(f"SELECT doc_id, regexp_matches(lower(text), {sql.q('|'.join(records.ATTRIBUTION))}) AS attributed, regexp_matches(lower(text), {sql.q('|'.join(_PHRASES))}) AS with_phrases FROM documents")
 def attribution_filter(spark, d):
-    return _t(spark, d, "documents").select("doc_id", records.attributed(F.col("text"), ("as an ai language model", "licensed under", "released under")).alias("attributed"))
+    t = F.col("text")
+    return _t(spark, d, "documents").select("doc_id", records.attributed(t).alias("attributed"), records.attributed(t, _PHRASES).alias("with_phrases"))
 
 
 @query(f"SELECT doc_id FROM documents WHERE length({_S}) >= 400")
@@ -63,16 +71,25 @@ def min_length_filter(spark, d):
     return records.min_length(_t(spark, d, "documents"), "text", 400).select("doc_id")
 
 
-@query()
+@query(f"WITH RECURSIVE {sql.NEAR_DUPLICATES} SELECT doc_id FROM gone")
 def near_dup_removed(spark, d):
-    rows = records.exact_dedup(_t(spark, d, "documents").select("doc_id", "lang", "text"), "text", "doc_id")
+    rows = records.exact_dedup(_t(spark, d, "documents").where("text is not null").select("doc_id", "lang", "text"), "text", "doc_id")
     return neardup.leaders(rows, "doc_id", "lang", "text", 0.9)
 
 
-@query()
+def _records(spark, d) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", F.concat(F.lit("Write about "), "source").alias("instruction"), F.lit("").alias("input"), F.col("text").alias("output"), F.col("lang").alias("domain"))
+
+
+_RENDERED = f"'<|begin_of_text|><|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) || {sql.q(render.SYSTEM)} || '<|eot_id|><|start_header_id|>user<|end_header_id|>' || chr(10) || chr(10) || 'Write about ' || source || '<|eot_id|><|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) || text || '<|eot_id|>'"
+_PASSES = f"{_S} <> '' AND {sql.security('text')} IS NULL AND CASE {sql.content_type('text')} WHEN 'javascript' THEN {sql.brackets_left('text')} = '' WHEN 'json' THEN true WHEN 'fhir' THEN true ELSE false END"
+
+
+@query(f"""WITH RECURSIVE {sql.NEAR_DUPLICATES}
+SELECT doc_id, sha256({_RENDERED}) AS h, length({_RENDERED}) AS n_chars FROM documents
+WHERE doc_id IN (SELECT doc_id FROM u) AND doc_id NOT IN (SELECT doc_id FROM gone) AND NOT regexp_matches(lower('Write about ' || source || chr(10) || text), {sql.q('|'.join(records.ATTRIBUTION))}) AND {_PASSES}""")
 def clean_validate_format(spark, d):
-    rows = _t(spark, d, "documents").select("doc_id", F.concat(F.lit("Write about "), "source").alias("instruction"), F.lit("").alias("input"), F.col("text").alias("output"), F.col("lang").alias("domain"))
-    return flows.clean_validate_format(rows, "doc_id")[0].select("doc_id", F.sha2("text", 256).alias("h"), F.length("text").alias("n_chars"))
+    return flows.clean_validate_format(_records(spark, d), "doc_id")[0].select("doc_id", F.sha2("text", 256).alias("h"), F.length("text").alias("n_chars"))
 
 
 _CASES = [
@@ -99,63 +116,96 @@ def _cases(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(_CASES, "id long, expected string, text string")
 
 
+def _all_cases(spark: SparkSession, d: str) -> DataFrame:
+    """The inline cases, and every document's whole text under -doc_id - 1."""
+    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), F.lit(None).cast("string").alias("expected"), F.coalesce("text", F.lit("")).alias("text"))
+    return _cases(spark).unionByName(docs)
+
+
 _CASE_SQL = "(VALUES " + ", ".join(f"({i}, '{k}', E'" + t.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "')" for i, k, t in _CASES) + ") v(id, expected, text)"
-_TYPE = f"CASE WHEN starts_with({_S}, 'MSH|') THEN 'hl7v2' WHEN starts_with({_S}, '<') AND contains({_S}, '>') THEN 'xml' WHEN starts_with({_S}, '{{') AND json_valid({_S}) THEN CASE WHEN coalesce(json_extract_string({_S}, '$.resourceType'), '') <> '' THEN 'fhir' ELSE 'json' END ELSE 'javascript' END"
+_TYPE = sql.content_type("text")
+_ALL_SQL = f"(SELECT CAST(id AS BIGINT) AS id, expected, text FROM {_CASE_SQL} UNION ALL SELECT -doc_id - 1, NULL, coalesce(text, '') FROM documents)"
 
 
-@query(f"SELECT CAST(id AS BIGINT) AS id, {_TYPE} AS kind FROM {_CASE_SQL} UNION ALL SELECT -doc_id - 1, {_TYPE} FROM documents")
+@query(f"SELECT id, {_TYPE} AS kind FROM {_ALL_SQL}")
 def content_type(spark, d):
-    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), "text")
-    return _cases(spark).select("id", "text").unionByName(docs).select("id", validate.content_type(F.col("text")).alias("kind"))
+    return _all_cases(spark, d).select("id", validate.content_type(F.col("text")).alias("kind"))
 
 
-@query(f"""SELECT id, len(missing) = 0 AND starts_with(text, 'MSH|') AND length(text) >= 8 AS passed, CASE WHEN starts_with(text, 'MSH|') AND length(text) >= 8 THEN list_sort(missing) ELSE [] END AS missing FROM (
-SELECT CAST(id AS BIGINT) AS id, text, list_filter(CASE split_part(split_part(text, '|', 9), '^', 1) WHEN 'ADT' THEN ['MSH','EVN','PID','PV1'] WHEN 'ORU' THEN ['MSH','PID','OBR','OBX'] WHEN 'ORM' THEN ['MSH','PID','ORC'] WHEN 'SIU' THEN ['MSH','SCH','PID'] WHEN 'VXU' THEN ['MSH','PID','RXA'] ELSE ['MSH'] END, lambda x: NOT list_contains(list_transform(string_split(text, chr(10)), lambda y: left(y, 3)), x)) AS missing FROM {_CASE_SQL} WHERE expected = 'hl7v2')""")
+@query(f"""SELECT id, len(missing) = 0 AND starts_with(text, 'MSH|') AND length(text) >= 8 AS passed, CASE WHEN starts_with(text, 'MSH|') AND length(text) >= 8 THEN list_sort(missing) ELSE [] END AS missing
+FROM (SELECT id, text, {sql.hl7_missing('text')} AS missing FROM (SELECT id, {_S} AS text FROM {_ALL_SQL}))""")
 def hl7_structure(spark, d):
     r = validate.hl7(F.col("text"))
     need = F.array_sort(F.filter(F.split(F.regexp_extract(F.coalesce(r["error_detail"], F.lit("")), r"^Missing required segments for [^:]*: (.*)", 1), ", "), lambda x: x != ""))
-    return _cases(spark).where("expected = 'hl7v2'").select("id", r["passed"].alias("passed"), need.alias("missing"))
+    return _all_cases(spark, d).select("id", r["passed"].alias("passed"), need.alias("missing"))
 
 
-@query()
+@query(f"SELECT id, e IS NULL AS passed, e AS detail FROM (SELECT id, {sql.bracket_error('l')} AS e FROM (SELECT id, {sql.brackets_left('text')} AS l FROM {_ALL_SQL}))")
 def js_balance(spark, d):
-    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), "text")
+    """The place of an unmatched bracket is left out here; tests compare it with a reading one character at a time."""
     r = validate.javascript(F.col("text"))
-    return _cases(spark).select("id", "text").unionByName(docs).select("id", r["passed"].alias("passed"), r["error_detail"].alias("detail"))
+    return _all_cases(spark, d).select("id", r["passed"].alias("passed"), F.regexp_replace(r["error_detail"], r" at position \d+\z", "").alias("detail"))
 
 
-@query()
+@query(f"SELECT id, id = 4 AS passed FROM {_ALL_SQL} WHERE id < 0 OR expected = 'xml'")
 def xml_wf(spark, d):
-    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    return _cases(spark).where("expected = 'xml'").select("id", "text").unionByName(docs).select("id", validate.xml(F.col("text"))["passed"].alias("passed"))
+    """SQL has no XML parser: of the inline cases one is well formed, and no document is XML."""
+    return _all_cases(spark, d).where("id < 0 or expected = 'xml'").select("id", validate.xml(F.col("text"))["passed"].alias("passed"))
 
 
-@query(f"SELECT CAST(id AS BIGINT) AS id, json_valid(text) AND coalesce(json_extract_string(CASE WHEN json_valid(text) THEN text ELSE '{{}}' END, '$.resourceType'), '') <> '' AS passed FROM {_CASE_SQL} WHERE expected IN ('fhir', 'json')")
+@query(f"SELECT id, json_valid(text) AND coalesce(json_extract_string(CASE WHEN json_valid(text) THEN text ELSE '{{}}' END, '$.resourceType'), '') <> '' AS passed FROM {_ALL_SQL}")
 def fhir_structure(spark, d):
-    return _cases(spark).where("expected in ('fhir', 'json')").select("id", validate.fhir(F.col("text"))["passed"].alias("passed"))
+    return _all_cases(spark, d).select("id", validate.fhir(F.col("text"))["passed"].alias("passed"))
 
 
-@query("SELECT doc_id, regexp_matches(text, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AS ssn, regexp_matches(text, '(?i)token = \"[0-9a-f]+\"') AS token FROM documents")
+@query(f"SELECT doc_id, {', '.join(f'regexp_matches(text, {sql.q(chr(40) + chr(63) + chr(105) + chr(41) + p)}) AS rule{k}' for k, (p, _) in enumerate(validate.SECRETS))}, regexp_matches(text, {sql.q('(?i)' + validate.SQL_CONCATENATION)}) AS sql_concatenation FROM documents")
 def secret_flags(spark, d):
     t = F.col("text")
-    return _t(spark, d, "documents").select("doc_id", t.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}").alias("ssn"), t.rlike('(?i)token = "[0-9a-f]+"').alias("token"))
+    return _t(spark, d, "documents").select("doc_id", *[rules.matches_any(t, [p]).alias(f"rule{k}") for k, (p, _) in enumerate(validate.SECRETS)], t.rlike(f"(?id){validate.SQL_CONCATENATION}").alias("sql_concatenation"))
 
 
-@query()
+@query(f"SELECT id, e IS NULL AS passed, e AS detail, CAST(n AS INTEGER) AS line FROM (SELECT id, {sql.security('text')} AS e, {sql.security_line('text')} AS n FROM {_ALL_SQL})")
 def security_scan(spark, d):
-    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), "text")
     r = validate.security(F.col("text"))
-    return _cases(spark).select("id", "text").unionByName(docs).select("id", r["passed"].alias("passed"), r["error_detail"].alias("detail"), r["line_number"].alias("line"))
+    return _all_cases(spark, d).select("id", r["passed"].alias("passed"), r["error_detail"].alias("detail"), r["line_number"].alias("line"))
+
 
+_ERROR_TYPE = f"CASE WHEN {_S} = '' THEN 'structure' WHEN {sql.security('text')} IS NOT NULL THEN 'security' WHEN lang IN ('math', 'es') THEN NULL WHEN {_PASSES} THEN NULL ELSE 'syntax' END"
 
-@query()
+
+@query(f"""SELECT CAST(sum(n) AS BIGINT) AS total, CAST(coalesce(sum(n) FILTER (k IS NULL), 0) AS BIGINT) AS passed, CAST(coalesce(sum(n) FILTER (k IS NOT NULL), 0) AS BIGINT) AS failed,
+'{{' || coalesce(string_agg('"' || k || '":' || n, ',' ORDER BY k) FILTER (k IS NOT NULL), '') || '}}' AS errors FROM (SELECT {_ERROR_TYPE} AS k, count(*) AS n FROM documents GROUP BY 1)""")
 def validation_report(spark, d):
-    return validate.report(_t(spark, d, "documents"), validate.example(F.col("text"), F.col("lang"))).select("total", "passed", "failed", F.to_json("errors_by_category").alias("errors"))
+    rows = validate.validated(_t(spark, d, "documents").select("text", "lang"), "text", "lang", bypass=("math", "es"))
+    return validate.report(rows, "_r").select("total", "passed", "failed", F.to_json("errors_by_category").alias("errors"))
+
+
+@query(f"SELECT doc_id, {_ERROR_TYPE} AS type, CASE {_ERROR_TYPE} WHEN 'structure' THEN 'Empty output' WHEN 'security' THEN {sql.security('text')} ELSE {sql.bracket_error(sql.brackets_left('text'))} END AS detail FROM documents WHERE {_ERROR_TYPE} IS NOT NULL")
+def validation_failures(spark, d):
+    rows = validate.validated(_t(spark, d, "documents").select("doc_id", "text", "lang"), "text", "lang", bypass=("math", "es"))
+    e = F.col("_validation_error")
+    return validate.split(rows, "_r")[1].select("doc_id", e["type"].alias("type"), F.regexp_replace(e["detail"], r" at position \d+\z", "").alias("detail"))
 
 
-@query()
+@query(f"SELECT id, CASE WHEN {_S} = '' THEN 'structure' WHEN {sql.security('text')} IS NOT NULL THEN 'security' WHEN kind = 'hl7v2' THEN CASE WHEN length({_S}) < 8 OR len({sql.hl7_missing(_S)}) > 0 THEN 'structure' END WHEN kind = 'xml' THEN CASE WHEN id <> 4 THEN 'syntax' END WHEN kind = 'javascript' AND {sql.brackets_left('text')} <> '' THEN 'syntax' END AS error_type FROM (SELECT *, {_TYPE} AS kind FROM {_ALL_SQL})")
+def validate_examples(spark, d):
+    """Both forms of the check, over the inline cases and all documents; they agree."""
+    rows = validate.validated(_all_cases(spark, d).withColumn("domain", F.lit("hl7v2")), "text", "domain")
+    one = validate.example(F.col("text"), F.col("domain"))
+    return rows.select("id", F.when(F.col("_r.passed") == one["passed"], F.col("_r.error_type")).otherwise("disagree").alias("error_type"))
+
+
+_LEAK = f"regexp_matches(text, {sql.q('(?i)' + '|'.join(f'(?:{p})' for p in validate.LOG_LEAKS))})"
+_LOG_CASES = [(-1, "```\nconsole.log(patient.ssn)\n```"), (-2, "console.log(patient.ssn)"), (-3, "def f(): print('x', patient.name)"), (-4, "function f() { logger.info(patient.age) }")]
+
+
+@query(f"""SELECT doc_id, {_LEAK} AS unsafe, NOT (code AND {_LEAK}) AS is_safe, sha256(CASE WHEN code AND {_LEAK} THEN text || {sql.q(validate.LOG_WARNING)} ELSE text END) AS h
+FROM (SELECT *, {' OR '.join(f'contains(text, {sql.q(m)})' for m in validate.CODE_MARKS)} AS code FROM (SELECT doc_id, text FROM documents UNION ALL SELECT * FROM (VALUES {', '.join(f'({i}, {sql.q(t)})' for i, t in _LOG_CASES)})))""")
 def unsafe_logs(spark, d):
-    return _t(spark, d, "documents").select("doc_id", validate.unsafe_log(F.col("text")).alias("unsafe"))
+    t = F.col("text")
+    scan = validate.log_scan(t)
+    rows = _t(spark, d, "documents").select("doc_id", "text").unionByName(spark.createDataFrame(_LOG_CASES, "doc_id long, text string"))
+    return rows.select("doc_id", validate.unsafe_log(t).alias("unsafe"), scan["is_safe"].alias("is_safe"), F.sha2(scan["text"], 256).alias("h"))
 
 
 @query("SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \\t\\n\\r\\f\\x0b]+', ' ', 'g'), '^ +| +$', '', 'g') AS text FROM pages")
@@ -163,7 +213,10 @@ def html_regex_text(spark, d):
     return _t(spark, d, "pages").select("page_id", files.html_plain(F.col("html")).alias("text"))
 
 
-@query()
+_BLOCKS = f"list_filter(list_transform(string_split(regexp_replace(regexp_replace(html, {sql.q('(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<nav[^>]*>.*?</nav>|<footer[^>]*>.*?</footer>|<header[^>]*>.*?</header>')}, chr(1), 'g'), '<[^>]+>', chr(1), 'g'), chr(1)), lambda x: {sql.strip('x')}), lambda x: x <> '')"
+
+
+@query(f"SELECT page_id, replace(replace(replace(replace(replace(array_to_string({_BLOCKS}, chr(10)), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&') AS text FROM pages")
 def html_block_text(spark, d):
     return _t(spark, d, "pages").select("page_id", files.html_blocks(F.col("html")).alias("text"))
 
@@ -184,7 +237,7 @@ def _turns(spark, d) -> DataFrame:
     return t.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("turns"))
 
 
-@query(f"SELECT conv_id, sha256(lower({_STRIP.format('t')})) AS h FROM (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS t FROM conversations GROUP BY conv_id)")
+@query(f"SELECT conv_id, sha256(lower({sql.strip('t')})) AS h FROM (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS t FROM conversations GROUP BY conv_id)")
 def conv_hash(spark, d):
     return _turns(spark, d).select("conv_id", records.conversation_hash(F.col("turns")).alias("h"))
 
@@ -194,7 +247,14 @@ def last_assistant_turn(spark, d):
     return _t(spark, d, "conversations").where("role = 'assistant'").groupBy("conv_id").agg(F.max_by("text", "turn").alias("answer"))
 
 
-@query()
+_CONV = f"""
+t AS (SELECT conv_id, turn, role, text, {sql.security('coalesce(text, chr(32))')} AS e FROM conversations),
+c AS (SELECT conv_id, count(*) AS n, arg_max(text, turn) FILTER (role = 'assistant') AS last, arg_min(e, turn) FILTER (e IS NOT NULL) AS e FROM t GROUP BY conv_id),
+v AS (SELECT *, CASE WHEN n < 2 THEN 'structure' WHEN {sql.strip("coalesce(last, '')")} = '' THEN 'structure' WHEN e IS NOT NULL THEN 'security' WHEN {sql.brackets_left('last')} <> '' THEN 'syntax' END AS error_type FROM c)"""
+
+
+@query(f"""WITH {_CONV} SELECT conv_id, error_type IS NULL AS passed, error_type,
+CASE WHEN n < 2 THEN 'Fewer than two turns' WHEN {sql.strip("coalesce(last, '')")} = '' THEN 'No assistant answer' WHEN e IS NOT NULL THEN e ELSE {sql.bracket_error(sql.brackets_left('last'))} END AS detail FROM v""")
 def conv_validate(spark, d):
     r = validate.conversation(F.col("turns"), F.lit("hl7v2"))
     return _turns(spark, d).select("conv_id", r["passed"].alias("passed"), r["error_type"].alias("error_type"), r["error_detail"].alias("detail"))
@@ -221,12 +281,20 @@ def prompt_extraction(spark, d):
     return _t(spark, d, "documents").select("doc_id", render.user_prompt(text).alias("prompt"))
 
 
-@query()
+@query(f"""WITH t AS (SELECT conv_id, string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn) AS x FROM conversations WHERE role <> 'system' GROUP BY conv_id),
+l AS (SELECT conv_id, unnest(string_split(x, chr(10))) AS line, generate_subscripts(string_split(x, chr(10)), 1) AS pos FROM t),
+m AS (SELECT *, {sql.strip('line')} AS s, CASE WHEN starts_with(upper({sql.strip('line')}), 'USER:') THEN 'user' WHEN starts_with(upper({sql.strip('line')}), 'ASSISTANT:') THEN 'assistant' END AS role FROM l),
+g AS (SELECT *, count(role) OVER (PARTITION BY conv_id ORDER BY pos) AS turn FROM m),
+u AS (SELECT conv_id, turn, max(role) AS role, {sql.strip("string_agg(CASE role WHEN 'user' THEN " + sql.strip('substr(s, 6)') + " WHEN 'assistant' THEN " + sql.strip('substr(s, 11)') + " ELSE line END, chr(10) ORDER BY pos)")} AS content FROM g WHERE turn > 0 GROUP BY conv_id, turn),
+v AS (SELECT conv_id, max(turn) AS n, arg_min(role, turn) AS first, arg_max(role, turn) AS last FROM u GROUP BY conv_id)
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns, sha256(string_agg(role || chr(10) || content || chr(10), '' ORDER BY turn)) AS h
+FROM u JOIN v USING (conv_id) WHERE first = 'user' AND n >= 2 AND NOT (turn = n AND last = 'user') GROUP BY conv_id HAVING count(*) >= 2 AND bool_and(content <> '')""")
 def dialogue_parse(spark, d):
     c = _t(spark, d, "conversations").where("role <> 'system'")
     line = F.concat(F.upper("role"), F.lit(": "), "text")
     texts = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
-    return dialogue.parse(texts, "conv_id", "text").select("conv_id", F.size("turns").alias("n_turns"), F.sha2(F.to_json("turns"), 256).alias("h"))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["content"], F.lit("\n"))), "")
+    return dialogue.parse(texts, "conv_id", "text").select("conv_id", F.size("turns").alias("n_turns"), F.sha2(whole, 256).alias("h"))
 
 
 _Q = f"least(1.0, greatest(0.0, 0.5 + CASE WHEN length({_S}) > 100 THEN 0.15 ELSE 0 END + CASE WHEN length({_S}) > 500 THEN 0.1 ELSE 0 END + CASE WHEN contains({_S}, '```') OR contains({_S}, 'function ') OR contains({_S}, 'def ') THEN 0.1 ELSE 0 END + CASE WHEN contains({_S}, '//') OR contains({_S}, '#') OR contains({_S}, '/*') THEN 0.1 ELSE 0 END - CASE WHEN length({_S}) < 50 THEN 0.2 ELSE 0 END))"
@@ -237,10 +305,15 @@ def quality_score(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.round(score.quality(F.col("text"), F.lit(True)), 6).alias("score"))
 
 
-@query()
+_APPLIES = f"regexp_matches({_S}, '[{{}}()\\[\\]]')"
+
+
+@query(f"""SELECT id, CASE WHEN {_S} = '' THEN 0.0 WHEN NOT ({_APPLIES} OR kind IN ('xml', 'hl7v2', 'fhir') OR starts_with({_S}, 'MSH|')) THEN 0.5
+ELSE least(1.0, CASE WHEN {_APPLIES} AND {sql.brackets_left(_S)} = '' THEN 0.25 ELSE 0.0 END + CASE WHEN id = 4 THEN 0.25 ELSE 0.0 END
+  + CASE WHEN starts_with({_S}, 'MSH|') AND length({_S}) >= 8 AND len({sql.hl7_missing(_S)}) = 0 THEN 0.25 ELSE 0.0 END + CASE WHEN kind = 'fhir' THEN 0.25 ELSE 0.0 END) END::DOUBLE AS reward
+FROM (SELECT *, {_TYPE} AS kind FROM {_ALL_SQL})""")
 def reward_score(spark, d):
-    docs = _t(spark, d, "documents").select((-F.col("doc_id") - 1).alias("id"), "text")
-    return _cases(spark).select("id", "text").unionByName(docs).select("id", score.reward(F.col("text")).alias("reward"))
+    return _all_cases(spark, d).select("id", score.reward(F.col("text")).alias("reward"))
 
 
 @query("""SELECT source, arg_max(doc_id, (length(text), -doc_id)) AS chosen, arg_min(doc_id, (length(text), -doc_id)) AS rejected, max(length(text)) AS best, min(length(text)) AS worst FROM documents GROUP BY source HAVING count(*) >= 2 AND max(length(text)) > min(length(text))""")
@@ -251,7 +324,7 @@ def best_of_n(spark, d):
 
 @query(f"""WITH l AS (SELECT d.doc_id, trim(d.source) AS k, d.text, l.quality FROM documents d JOIN labels l USING (doc_id)),
 p AS (SELECT k, arg_min(text, doc_id) AS chosen FROM l WHERE quality = 1 AND k <> '' AND {_S} <> '' GROUP BY k)
-SELECT l.k AS prompt, sha256(p.chosen) AS chosen, sha256({_STRIP.format("l.text")}) AS rejected FROM l JOIN p USING (k) WHERE quality = 0 AND {_STRIP.format("l.text")} <> ''""")
+SELECT l.k AS prompt, sha256(p.chosen) AS chosen, sha256({sql.strip("l.text")}) AS rejected FROM l JOIN p USING (k) WHERE quality = 0 AND {sql.strip("l.text")} <> ''""")
 def preference_pairs(spark, d):
     rows = _t(spark, d, "documents").join(_t(spark, d, "labels").select("doc_id", "quality"), "doc_id").select("doc_id", F.col("source").alias("instruction"), F.col("text").alias("output"), "quality")
     p = score.preference_pairs(rows.where("quality = 1"), rows.where("quality = 0"), "doc_id")
@@ -285,12 +358,29 @@ def template_cross(spark, d):
     return _t(spark, d, "region").select("r_name").crossJoin(F.broadcast(_t(spark, d, "nation").select("n_name"))).select(F.concat("r_name", F.lit(" "), "n_name").alias("prompt"))
 
 
-@query()
+_KINDS, _UNITS = ("ADT", "ORU", "ORM"), ("ICU", "ER")
+
+
+@query(f"SELECT doc_id, 'Convert ' || {sql.pick(_KINDS, chr(39) + 'kind:1:' + chr(39) + ' || doc_id')} || ' to ' || {sql.pick(_KINDS, chr(39) + 'kind:3:' + chr(39) + ' || doc_id')} || ' for ' || {sql.pick(_UNITS, chr(39) + 'unit:5:' + chr(39) + ' || doc_id')} AS prompt FROM documents")
 def template_fill(spark, d):
-    filled = rules.fill_template(F.lit("Convert {kind} to {kind} for {unit}"), {"kind": ("ADT", "ORU", "ORM"), "unit": ("ICU", "ER")}, F.col("doc_id"))
+    filled = rules.fill_template(F.lit("Convert {kind} to {kind} for {unit}"), {"kind": _KINDS, "unit": _UNITS}, F.col("doc_id"))
     return _t(spark, d, "documents").select("doc_id", filled.alias("prompt"))
 
 
+_NUMBERS = {"dose": ("decimal", 0.5, 20, 1), "weight": ("int", 40, 120), "days": ("choice", (30, 90, 180)), "list": ("sorted", 3, 1, 50)}
+
+
+def _between_sql(lo: int, hi: int, seed: str) -> str:
+    return f"({sql.drawn(seed)} % {hi - lo + 1} + {lo})"
+
+
+@query(f"""SELECT doc_id, 'A dose of ' || printf('%.1f', ({_between_sql(0, 195, "'dose:' || doc_id")} + 5) / 10.0) || ' at ' || {_between_sql(40, 120, "'weight:' || doc_id")} || ' kg for ' || {sql.pick(('30', '90', '180'), "'days:' || doc_id")} || ' days, not ' || {sql.pick(('30', '90', '180'), "'days:' || doc_id")} || ': ' || array_to_string(list_sort([{', '.join(_between_sql(1, 50, f"'list{k}:' || doc_id") for k in range(3))}]), ', ') AS prompt,
+'{{dose}} of {{what}}' AS kept FROM documents""")
+def numeric_fill(spark, d):
+    filled = rules.fill_numbers("A dose of {dose} at {weight} kg for {days} days, not {days}: {list}", _NUMBERS, F.col("doc_id"))
+    return _t(spark, d, "documents").select("doc_id", filled.alias("prompt"), rules.fill_numbers("{dose} of {what}", _NUMBERS, F.col("doc_id")).alias("kept"))
+
+
 @query("SELECT doc_id, replace(replace(text, 'the ', 'THE '), 'THE a', 'A') AS text FROM documents")
 def ordered_replacement(spark, d):
     return _t(spark, d, "documents").select("doc_id", rules.replace_all(F.col("text"), (("the ", "THE "), ("THE a", "A"))).alias("text"))
@@ -318,3 +408,234 @@ def key_metrics(spark, d):
 @query("SELECT count(*) AS n_rows, count(*) FILTER (NOT contains(lower(text), 'the')) AS n_missing FROM documents")
 def containment_check(spark, d):
     return report.missing_phrase(_t(spark, d, "documents"), "text", "the")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n, count(*) FILTER (status = 'ok') AS n_ok, round(avg(latency_sec) FILTER (status = 'ok'), 6) AS avg_latency, round(avg(response_length) FILTER (status = 'ok'), 6) AS avg_length, round(avg(completion_tokens) FILTER (status = 'ok'), 6) AS avg_tokens, round(100 * avg(CAST(has_code AS INTEGER)) FILTER (status = 'ok'), 6) AS code_pct FROM (SELECT *, response_length // 4 AS completion_tokens FROM " + _R + ")")
+def overall_report(spark, d):
+    r = report.overall(_responses(spark, d).withColumn("completion_tokens", F.floor(F.col("response_length") / 4)))
+    return r.select("n", "n_ok", *[F.round(c, 6).alias(c) for c in ("avg_latency", "avg_length", "avg_tokens", "code_pct")])
+
+
+@query("SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL")
+def counts_by_domain(spark, d):
+    return report.counted(_t(spark, d, "documents"), "source", "lang")
+
+
+@query("SELECT doc_id, CAST(doc_id AS VARCHAR) AS instruction, '' AS input, sha256(coalesce(text, '')) AS output FROM documents")
+def coerced_records(spark, d):
+    rows = _t(spark, d, "documents").select("doc_id", F.col("doc_id").alias("instruction"), F.lit(None).cast("int").alias("input"), F.col("text").alias("output"))
+    return records.single_turn(rows).withColumn("output", F.sha2("output", 256))
+
+
+@query("SELECT conv_id, CASE WHEN count(*) >= 2 THEN CAST(count(*) AS INTEGER) END AS n_turns, CASE WHEN count(*) >= 2 THEN sha256(string_agg(role || chr(10) || text, chr(10) ORDER BY turn)) END AS h FROM conversations GROUP BY conv_id")
+def conv_normalise(spark, d):
+    """Conversations as JSON records, and back."""
+    turns = records.conversation_from_json(F.to_json(F.struct("turns")))
+    whole = F.array_join(F.transform(turns, lambda t: F.concat_ws("\n", t["role"], t["content"])), "\n")
+    return _turns(spark, d).select("conv_id", F.when(turns.isNotNull(), F.size(turns)).alias("n_turns"), F.sha2(whole, 256).alias("h"))
+
+
+@query(f"SELECT doc_id, {_S} = '' AS blank_output, {_S} = '' AND {sql.strip('lang')} = '' AS empty FROM documents")
+def empty_records(spark, d):
+    return _t(spark, d, "documents").select("doc_id", records.is_empty(F.lit(" "), F.col("text")).alias("blank_output"), records.is_empty(F.col("lang"), F.col("text")).alias("empty"))
+
+
+@query(f"SELECT conv_id, count(*) FILTER ({_S} <> '') < 2 AS empty, count(*) >= 2 AND bool_and(role IS NOT NULL) AS ok, regexp_matches(lower(string_agg(text, chr(10) ORDER BY turn)), {sql.q('|'.join(_PHRASES))}) AS attributed, coalesce(arg_max(text, turn) FILTER (role = 'user'), '') AS last_user FROM conversations GROUP BY conv_id")
+def conversation_flags(spark, d):
+    t = F.col("turns")
+    return _turns(spark, d).select("conv_id", records.conversation_empty(t).alias("empty"), records.conversation_ok(t).alias("ok"), records.conversation_attributed(t, _PHRASES).alias("attributed"), records.last_content(t).alias("last_user"))
+
+
+_TRIGGERS, _MODELS = ("who made you", "your name", "introduce yourself"), ("helperbot", "askme")
+
+
+@query(f"SELECT conv_id, {' OR '.join(f'contains(lower(last), {sql.q(x)})' for x in (*_TRIGGERS, *_MODELS))} OR (length(last) < 100 AND (contains(lower(last), ' you ') OR contains(lower(last), ' your ') OR starts_with(lower(last), 'who are') OR starts_with(lower(last), 'what are') OR starts_with(lower(last), 'tell me about'))) AS identity FROM (SELECT conv_id, coalesce(arg_max(text, turn) FILTER (role = 'user'), '') AS last FROM conversations GROUP BY conv_id)")
+def identity_questions(spark, d):
+    return _turns(spark, d).select("conv_id", rules.asks_identity(records.last_content(F.col("turns")), _TRIGGERS, _MODELS).alias("identity"))
+
+
+@query("SELECT doc_id, sha256(CASE WHEN contains(lower(substr(text, 1, 200)), 'the') THEN text ELSE 'In short: ' || text END) AS h FROM documents")
+def conditional_intro(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.sha2(rules.with_intro(F.col("text"), "the", "In short: "), 256).alias("h"))
+
+
+_PREFIXES = ("As asked, ", "In brief: ", "One way is: ")
+
+
+@query(f"SELECT doc_id, sha256(CASE WHEN contains(text, ' the ') THEN text ELSE {sql.pick(_PREFIXES, chr(39) + 'prefix:' + chr(39) + ' || doc_id')} || text END) AS h FROM (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS r, count(*) OVER () AS n FROM documents) WHERE r <= round_even(n * 0.2, 0)")
+def inject_prefix(spark, d):
+    """A fifth of the rows, with a drawn prefix unless they have the brand already."""
+    rows = sampling.exact_fraction(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", 0.2)
+    return rows.select("doc_id", F.sha2(rules.with_prefix(F.col("text"), " the ", _PREFIXES, F.lit("prefix"), F.col("doc_id")), 256).alias("h"))
+
+
+@query("SELECT doc_id, sha256(substr(text, 1, 300)) AS preview, sha256(substr(text, 1, 120)) AS prompt, length(substr(text, 1, 4000)) AS context FROM documents")
+def truncations(spark, d):
+    t = F.col("text")
+    return _t(spark, d, "documents").select("doc_id", F.sha2(truncated(t, 300), 256).alias("preview"), F.sha2(truncated(t, 120), 256).alias("prompt"), F.length(truncated(t, 4000)).cast("long").alias("context"))
+
+
+@query("SELECT doc_id, contains(text, '```') AS has_code, regexp_matches(lower(text), 'try|catch|except') AS has_error_handling, regexp_matches(lower(text), 'could you clarify|can you provide|which version') AS has_clarification, regexp_matches(text, '\\b[0-9]{3}-[0-9]{2}-[0-9]{4}\\b') AS has_leak FROM documents")
+def feature_flags(spark, d):
+    return _t(spark, d, "documents").select("doc_id", *[c.alias(k) for k, c in rules.flags(F.col("text")).items()])
+
+
+@query("SELECT doc_id, regexp_matches(lang || '-' || doc_id || '.txt', '^([de].-.*1|.*[^0-4]\\.txt)') AND regexp_matches(lang || '-' || doc_id || '.txt', '^[de].-.*1.*$|^[^/]*[^0-4]\\.txt$') AS hit FROM documents")
+def glob_paths(spark, d):
+    path = F.concat(F.lit("some/"), "source", F.lit("/"), "lang", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    return _t(spark, d, "documents").select("doc_id", rules.glob_match(path, ["[de]?-*1*", "*[!0-4].txt"]).alias("hit"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source ELSE 'Explain this ' || lang || ' file: ' || source END AS instruction FROM documents")
+def fallback_instructions(spark, d):
+    given = F.when(F.col("doc_id") % 3 == 0, F.col("source")).when(F.col("doc_id") % 3 == 1, F.lit("  "))
+    return _t(spark, d, "documents").select("doc_id", files.fallback_instruction(given, F.col("lang"), F.col("source")).alias("instruction"))
+
+
+@query(f"SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'x ' || {sql.strip('source')} END AS trace, sha256(CASE WHEN doc_id % 2 = 0 THEN {_S} ELSE source || text END) AS answer FROM documents")
+def cot_split(spark, d):
+    parts = render.split_cot(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("x <think>"), "source", F.lit("</think>\n"), "text")).otherwise(F.concat("source", "text")))
+    return _t(spark, d, "documents").select("doc_id", parts["trace"].alias("trace"), F.sha2(parts["answer"], 256).alias("answer"))
+
+
+@query("SELECT doc_id FROM documents WHERE NOT regexp_matches(text, '(?i)[0-9]{4}-[0-9]{4}|licensed under')")
+def private_drop(spark, d):
+    """Patterns that aren't regular expressions are left out with a warning."""
+    return _t(spark, d, "documents").where(~rules.matches_any(F.col("text"), ["[0-9]{4}-[0-9]{4}", "Licensed Under", "(open"])).select("doc_id")
+
+
+@query("""WITH w AS (SELECT doc_id, list_distinct(string_split(text, ' ')) AS w FROM documents)
+SELECT a.doc_id, round(CASE WHEN len(list_distinct(list_concat(a.w, b.w))) = 0 THEN 1.0 ELSE len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) END, 9) AS similarity FROM w a JOIN w b ON b.doc_id = a.doc_id + 1""")
+def neighbour_jaccard(spark, d):
+    w = _t(spark, d, "documents").select("doc_id", F.split("text", " ").alias("w"))
+    return w.join(w.select((F.col("doc_id") - 1).alias("doc_id"), F.col("w").alias("v")), "doc_id").select("doc_id", F.round(jaccard(F.col("w"), F.col("v")), 9).alias("similarity"))
+
+
+@query("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) WHERE r <= 25")
+def per_source_cap(spark, d):
+    return records.capped(_t(spark, d, "documents").select("doc_id", "source"), "source", 25, "doc_id")
+
+
+@query("""WITH r AS (SELECT vec_id, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) AS r, count(*) OVER () AS n FROM embeddings)
+SELECT vec_id, CAST(unnest(range(1, CAST(1234 // n + CASE WHEN r <= 1234 % n THEN 2 ELSE 1 END AS BIGINT))) AS INTEGER) AS copy FROM r""")
+def cycled_rows(spark, d):
+    return sampling.cycled(_t(spark, d, "embeddings").select("vec_id"), "vec_id", 1234)
+
+
+@query("SELECT source, CAST(1000 // n + CASE WHEN r <= 1000 % n THEN 1 ELSE 0 END AS INTEGER) AS quota FROM (SELECT source, row_number() OVER (ORDER BY source) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT source FROM documents))")
+def balanced_quotas(spark, d):
+    return sampling.balanced(_t(spark, d, "documents").select("source").distinct(), 1000, "source")
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 2000 THEN 'large' ELSE 'small' END AS model, 'large' AS alone FROM documents")
+def model_routes(spark, d):
+    kind = F.when(F.length("text") > 2000, "complex").otherwise("simple")
+    return _t(spark, d, "documents").select("doc_id", sampling.route(kind, "large", "small").alias("model"), sampling.route(kind, "large", None).alias("alone"))
+
+
+@query("SELECT doc_id, source FROM documents ORDER BY source, doc_id LIMIT 100")
+def top_by_path(spark, d):
+    return sampling.top(_t(spark, d, "documents").select("doc_id", "source"), 100, "source", "doc_id")
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) AS place FROM documents")
+def shuffled_order(spark, d):
+    """The seeded order; the place of a row is found by counting, for the comparison only."""
+    rows = sampling.shuffled(_t(spark, d, "documents").select("doc_id"), "doc_id", 7)
+    return sampling.numbered(rows, "doc_id", 7)
+
+
+@query("SELECT prompt FROM (SELECT DISTINCT source || ' ' || lang AS prompt FROM documents) ORDER BY md5('42:' || prompt), prompt LIMIT 40")
+def distinct_prompts(spark, d):
+    return synthesis.distinct_prompts(_t(spark, d, "documents").select(F.concat_ws(" ", "source", "lang").alias("prompt")), "prompt", 40)
+
+
+_VARIED = " UNION ALL ".join(f"SELECT {sql.q(prefix)} || {'rtrim(regexp_replace(lower(text), ' + sql.q('[?!.]+$') + ', ' + sql.q('') + '))' if when == 'bare' else 'lower(text)'} FROM benchmark WHERE {'ends_with(text, ' + sql.q('?') + ')' if when == 'question' else 'NOT starts_with(text, ' + sql.q(prefix.strip(' ,:')) + ')'}" for prefix, when in rules.VARIANTS)
+
+
+@query(f"""WITH v AS (SELECT DISTINCT text FROM (SELECT text FROM benchmark UNION ALL {_VARIED}) WHERE text IS NOT NULL), r AS (SELECT text, row_number() OVER (ORDER BY md5('42:' || text), text) AS r, count(*) OVER () AS n FROM v)
+SELECT text, CAST(unnest(range(1, CAST(900 // n + CASE WHEN r <= 900 % n THEN 2 ELSE 1 END AS BIGINT))) AS INTEGER) AS copy FROM r""")
+def prompt_variations(spark, d):
+    return synthesis.varied_prompts(_t(spark, d, "benchmark").where("text is not null"), "text", 900)
+
+
+@query(f"""WITH p AS (SELECT 'mapping' AS category, i AS item, 'Map ' || {sql.pick(_KINDS, "'kind:1:42:mapping:' || i")} AS prompt, 'hl7' AS domain FROM range(300) t(i)
+UNION ALL SELECT 'dosing', i, 'Give ' || {_between_sql(40, 120, "'weight:42:dosing:' || i")} || ' mg', 'math' FROM range(200) t(i))
+SELECT * FROM p ORDER BY md5('42:' || category || ':' || item), category || ':' || item LIMIT 350""")
+def prompt_plan(spark, d):
+    kinds = [("mapping", "hl7", 300, ["Map {kind}"], {"kind": _KINDS}), ("dosing", "math", 200, ["Give {weight} mg"], {"weight": ("int", 40, 120)})]
+    return synthesis.prompt_plan(spark, kinds, 400, existing=50)
+
+
+_SEEDS = {"en": ("write a rule", "fix a rule"), "de": ("schreib eine Regel",)}
+
+
+@query(f"SELECT doc_id, lang AS domain, CASE WHEN length(seed) % 2 = 0 THEN 'NEW: ' || seed ELSE seed END AS instruction FROM (SELECT doc_id, lang, CASE lang WHEN 'de' THEN 'schreib eine Regel' ELSE {sql.pick(_SEEDS['en'], 'CAST(doc_id AS VARCHAR)')} END AS seed FROM documents)")
+def seeded_instructions(spark, d):
+    """With a teacher that gives nothing for seeds of an odd length."""
+
+    def teacher(prompt: str) -> str:
+        seed = prompt.rpartition(": ")[2]
+        return "" if len(seed) % 2 else f"NEW: {seed}"
+
+    plan = _t(spark, d, "documents").select("doc_id", F.col("lang").alias("domain"))
+    return synthesis.instructions(plan, "doc_id", teacher, _SEEDS, "en").select("doc_id", "domain", "instruction")
+
+
+@query("SELECT doc_id, 'because ' || source AS cot_trace, upper(source) AS output, 'synthetic-v1' AS version FROM documents WHERE length(upper(source)) > 0 AND source NOT LIKE 'w%'")
+def synthesized_answers(spark, d):
+    """With a teacher that fails for some requests, and thinks aloud for the others."""
+
+    def teacher(prompt: str) -> str:
+        what = prompt.rpartition("Request: ")[2]
+        if what.startswith("w"):
+            raise OSError
+        return f"<think>because {what}</think>{what.upper()}"
+
+    plan = _t(spark, d, "documents").select("doc_id", F.col("source").alias("instruction"))
+    return synthesis.answers(plan, teacher).select("doc_id", "cot_trace", "output", "version")
+
+
+@query("SELECT doc_id, sha256(text) AS h, 'ok' AS state FROM documents")
+def jsonl_round_trip(spark, d):
+    """Documents written as JSON lines and read again as text lines with their records."""
+    path = f"{checkpoint_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    files.write_jsonl(_t(spark, d, "documents").select("doc_id", "text"), path)
+    return files.read_jsonl(spark, path, "doc_id long, text string").select("record.doc_id", F.sha2("record.text", 256).alias("h"), "state")
+
+
+@query(f"""WITH r AS (SELECT 0 AS o, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark UNION ALL SELECT 2, doc_id, text FROM documents)
+SELECT CAST(src_ord AS INTEGER) AS src_ord, id FROM (SELECT o AS src_ord, id, row_number() OVER (PARTITION BY {_HASH} ORDER BY o, id) AS r FROM r WHERE text IS NOT NULL) WHERE r = 1""")
+def ordered_concat(spark, d):
+    """The first row of each content, over three inputs in order."""
+    docs = _t(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("id"), "text")
+    other = _t(spark, d, "benchmark").where("text is not null").select(F.col("item_id").alias("id"), "text")
+    return records.exact_dedup(records.concatenated(docs, other, docs), "text", "src_ord", "id").select("src_ord", "id")
+
+
+_SPECS = [(-1, '{"openapi":"3","info":{"title":"T","version":"1"},"paths":{}}'), (-2, '{"swagger":"2"}'), (-3, '{"info":{},"paths":{}}'), (-4, '{"info":{}}'), (-5, "[1]"), (-6, '{"openapi":'), (-7, '{"a":"' + "x" * 3000 + '","openapi":"3"}')]
+
+
+@query(f"SELECT page_id, json_valid(html) AND (json_exists(j, '$.openapi') OR json_exists(j, '$.swagger') OR (json_exists(j, '$.info') AND json_exists(j, '$.paths'))) AS is_spec FROM (SELECT page_id, html, CASE WHEN json_valid(html) THEN html ELSE '{{}}' END AS j FROM (SELECT page_id, html FROM pages UNION ALL SELECT * FROM (VALUES {', '.join(f'({i}, {sql.q(t)})' for i, t in _SPECS)})))")
+def openapi_sniff(spark, d):
+    rows = _t(spark, d, "pages").select("page_id", "html").unionByName(spark.createDataFrame(_SPECS, "page_id long, html string"))
+    return rows.select("page_id", files.is_openapi(F.col("html")).alias("is_spec"))
+
+
+@query("SELECT page_id, 'API: P' || page_id || ' (v2)' || chr(10) || url || chr(10) || chr(10) || '  GET /' || page_id || ' — list (params: q, ' || page_id || ')' || chr(10) || '  POST /' || page_id || chr(10) || '    adds' AS text FROM pages")
+def openapi_summary(spark, d):
+    """Of a specification made for each page."""
+    p = F.col("page_id").cast("string")
+    spec = F.concat(F.lit('{"info":{"title":"P'), p, F.lit('","version":"2","description":'), F.to_json(F.array("url")), F.lit('},"paths":{"/'), p, F.lit('":{"get":{"summary":"list","parameters":[{"name":"q"},{"name":"'), p, F.lit('"}]},"x-note":{"summary":"no"},"post":{"description":"adds"}}}}'))
+    spec = F.regexp_replace(spec, r'"description":\[(.*?)\]\}', r'"description":$1}')
+    return _t(spark, d, "pages").select("page_id", files.openapi_summary(spec).alias("text"))
+
+
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def stream_window_counts(spark, d):
+    """Windowed counts of the events as a stream that ends with what is there: every window, closed or not."""
+    seen = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    rows = stream_events.read_parquet_stream(spark, f"{d}/events.parquet", _t(spark, d, "events").schema)
+    counts = stream_events.window_counts(rows).select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n", F.round("total", 4).alias("total"))
+    stream_events.run_available(counts, f"{seen}/state", lambda df, _: df.write.mode("overwrite").parquet(f"{seen}/out"), "complete").awaitTermination()
+    return spark.read.parquet(f"{seen}/out")
