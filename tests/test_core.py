@@ -1,9 +1,11 @@
+import hashlib
 import itertools
 import os
 import random
 import shutil
 import subprocess
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from corpusmill import queries as core
 from corpusmill.functions import render, rules
-from corpusmill.operators import dialogue, neardup, records, sampling, score, validate
+from corpusmill.operators import dialogue, neardup, records, sampling, score, synthesis, validate
 from corpusmill.plans import config
 from corpusmill.sources import files
 
@@ -180,6 +182,180 @@ def test_entry_without_the_llm_folder(tmp_path, left):
     for name in left:
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_text("from corpusmill.llm import bpe\n")
-    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), [k for k in e.queries() if k[:2] == 'op' or k == 'pipeline'])"
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), [k for k in e.queries() if k[:2] == 'op' and k[2:3].isdigit() or k == 'pipeline'])"
     said = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
     assert said.stdout.split()[2:] == ["[]"] and int(said.stdout.split()[0]) == len(core.QUERIES), said.stderr
+
+
+def test_bracket_places(spark):
+    r = random.Random(11)
+    texts = ["".join(r.choice("([{}])'\"`\\ax\n") for _ in range(r.randrange(18))) for _ in range(800)] + ["a\n)", "\\", "'(", "({\n]"]
+
+    def place(text):
+        stack, quote, skip = [], "", False
+        for i, c in enumerate(text):
+            if skip:
+                skip = False
+            elif c == "\\":
+                skip = True
+            elif quote:
+                quote = "" if c == quote else quote
+            elif c in "'\"`":
+                quote = c
+            elif c in "([{":
+                stack.append(c)
+            elif c in ")]}" and (not stack or stack.pop() != "([{"[")]}".index(c)]):
+                return i
+        return -1
+
+    assert [validate.first_unmatched(t) for t in texts] == [place(t) for t in texts]
+    got = values(spark, validate.javascript(F.col("t")), texts)
+    for t, x in zip(texts, got, strict=True):
+        at = place(t)
+        if at >= 0:
+            assert x["error_detail"] == f"Unmatched '{t[at]}' at position {at}" and x["line_number"] == t[:at].count("\n") + 1
+        else:
+            assert x["passed"] == balance(t) and x["line_number"] is None
+
+
+def test_validated_agrees_with_example(spark):
+    texts = ["", "  ", "f(", "f(x)", "a\n)", "<a/>", "<a></b>", "<!DOCTYPE a><a/>", "<a><![CDATA[<!DOCTYPE x>]]></a>", '<!DOCTYPE a [<!ENTITY b "c">]><a>&b;</a>', '{"resourceType":"A"}', '{"a":1}', "MSH|^~\\&|A", "password = 'zq81kk'", None]
+    rows = spark.createDataFrame([(i, t, d) for i, t in enumerate(texts) for d in ("hl7v2", "math", None)], "i int, t string, d string")
+    both = validate.validated(rows, "t", "d").withColumn("one", validate.example(F.col("t"), F.col("d"))).collect()
+    assert all(r["_r"] == r["one"] for r in both)
+    passed = {r["t"]: r["_r"]["passed"] for r in both if r["d"] is None}
+    assert passed["<!DOCTYPE a><a/>"] and passed["<a><![CDATA[<!DOCTYPE x>]]></a>"] and not passed[texts[9]] and not passed[None]
+    ok, bad = validate.split(validate.validated(rows, "t", "d"), "_r")
+    assert ok.columns == rows.columns and ok.count() + bad.count() == rows.count()
+    total = validate.report(validate.validated(rows.where("false"), "t", "d"), "_r").first()
+    assert tuple(total)[:3] == (0, 0, 0)
+
+
+def test_similar_pairs_settled_first(spark, monkeypatch):
+    """Groups of near copies with long lists, against all pairs in order."""
+    monkeypatch.setattr(neardup, "LONG_LIST", 4)
+    r = random.Random(6)
+    base = ["".join(r.choice("abcdefg ") for _ in range(200)) for _ in range(3)]
+    rows = [(i, None if i % 3 == 0 else "p", t if r.random() < 0.2 else t[: (k := r.randrange(200))] + "x" + t[k + 1 :]) for i, t in enumerate(base * 14)] + [(90, "p", None), (91, "p", " "), (92, "p", "ab"), (93, "p", "ab")]
+    sets = {i: set(neardup.shingle_hashes(t).tolist()) for i, _, t in rows}
+    gone, pairs = set(), set()
+    for (i, d, _), (j, e, _) in itertools.combinations(rows, 2):
+        if d == e and sets[i] and sets[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.9:
+            pairs.add((i, j))
+            if i not in gone and j not in gone:
+                gone.add(j)
+    df = spark.createDataFrame(rows, "id long, domain string, text string")
+    assert {tuple(x) for x in neardup.similar_pairs(df, "id", "domain", "text").collect()} == pairs
+    assert {x["id"] for x in neardup.leaders(df, "id", "domain", "text").collect()} == gone and gone
+    assert neardup.leaders(df.where("id < 0"), "id", "domain", "text").count() == 0
+
+
+def test_orders_and_quotas(spark):
+    df = spark.range(500).withColumnRenamed("id", "k").withColumn("g", F.when(F.col("k") % 50 == 0, "b").when(F.col("k") < 480, "a"))
+    order = sorted(range(500), key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
+    for n in (0, 1, 77, 500, 900):
+        assert {x["k"] for x in sampling.first_in_order(df, "k", n).collect()} == set(order[:n])
+    got = sampling.stratified(df, "k", "g", {"a": 30, "b": 100}).collect()
+    own = {g: [k for k in order if (("b" if k % 50 == 0 else "a") if k < 480 or k % 50 == 0 else None) == g] for g in "ab"}
+    assert {g: {x["k"] for x in got if x["g"] == g} for g in "ab"} == {"a": set(own["a"][:30]), "b": set(own["b"])}
+    assert [x["k"] for x in sampling.numbered(df, "k").orderBy("place").collect()] == order == [x["k"] for x in sampling.shuffled(df, "k").collect()]
+    for n in (3, 500, 1203):
+        copies = Counter(x["k"] for x in sampling.cycled(df, "k", n).collect())
+        assert sum(copies.values()) == n and copies == Counter({k: n // 500 + (i < n % 500) for i, k in enumerate(order)})
+    assert sampling.cycled(df.where("k < 0"), "k", 5).count() == 0
+    keys = spark.createDataFrame([("b",), ("a",), (None,)], "x string")
+    assert {x["x"]: x["quota"] for x in sampling.balanced(keys, 8, "x").collect()} == {None: 3, "a": 3, "b": 2}
+
+
+def test_sources_in_order(spark, tmp_path):
+    for name, lines in (("b", ['{"k":1}', "", '{"k":2}']), ("a", ['{"k":3}', "[1]"])):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(lines) + "\n")
+    with pytest.warns(UserWarning, match="no file"):
+        rows = files.read_jsonl(spark, [f"{tmp_path}/b.jsonl", f"{tmp_path}/none.jsonl", f"{tmp_path}/a.jsonl"], "k int")
+    assert [(x["state"], x["record"] and x["record"]["k"]) for x in rows.orderBy(*files.INPUT_ORDER).collect()] == [("ok", 1), ("blank", None), ("ok", 2), ("ok", 3), ("malformed", None)]
+    assert [x["file_ord"] for x in rows.orderBy(*files.INPUT_ORDER).collect()] == [0, 0, 0, 1, 1]
+    globbed = files.read_jsonl(spark, f"{tmp_path}/*.jsonl", "k int").where("state = 'ok'").orderBy(*files.INPUT_ORDER).collect()
+    assert [x["record"]["k"] for x in globbed] == [3, 1, 2]
+    with pytest.warns(UserWarning, match="no file"):
+        assert files.read_jsonl(spark, f"{tmp_path}/none", "k int").count() == 0
+    out = spark.createDataFrame([(1, None)], "a int, b string")
+    files.write_jsonl(out, f"{tmp_path}/x")
+    files.write_jsonl(out, f"{tmp_path}/y", nulls=True)
+    assert [x["value"] for x in spark.read.text(f"{tmp_path}/x").collect()] == ['{"a":1}'] and [x["value"] for x in spark.read.text(f"{tmp_path}/y").collect()] == ['{"a":1,"b":null}']
+    (tmp_path / "d/e").mkdir(parents=True)
+    (tmp_path / "d/e/x.pdf").write_bytes(b"%PDF-1.4 damaged")
+    (tmp_path / "d/e/y.txt").write_text("a text that is long enough")
+    assert [x["path"].rsplit("/", 1)[-1] for x in files.read_docs(spark, f"{tmp_path}/d").collect()] == ["y.txt"]
+
+
+def test_repositories(spark, tmp_path):
+    for name, text in (("one/a.py", "x = 1  # some code here"), ("one/b.py", "y = 2  # some code here"), ("one/.git/c.py", "z = 3  # some code here"), ("two/a.py", "my secret key: 12345678901"), ("two/b.js", "var a = 1; // some code here"), ("two/short.py", "x")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text)
+    with pytest.warns(UserWarning, match="left out"):
+        got = files.scan_repos(spark, str(tmp_path), ["*.py", "[a-b].js"], private=["SECRET key", "(open"]).collect()
+    assert sorted(x["path"].rsplit("/", 2)[-2] + "/" + x["path"].rsplit("/", 1)[-1] for x in got) == ["one/a.py", "one/b.py", "two/b.js"]
+    assert len(files.scan_repos(spark, str(tmp_path), ["*.py"], per_repo=1, private=["secret"]).collect()) == 1
+    assert all(x["instruction"].startswith("Explain this ") for x in got)
+
+
+def test_conversations_from_json(spark):
+    lines = ['{"turns":[{"role":"user","content":"a"},{"role":"assistant","content":null}]}', '{"turns":[{"role":"user","content":"a"}]}', '{"turns":[{"role":"user"},{"role":"assistant","content":"b"}]}', '{"turns":["x","y"]}', '{"turns":3}', "{", '{"turns":[{"role":"user","content":1},{"role":"user","content":"b","more":2}]}']
+    got = values(spark, records.conversation_from_json(F.col("t")), lines)
+    assert [g and [(t["role"], t["content"]) for t in g] for g in got] == [[("user", "a"), ("assistant", "")], None, None, None, None, None, [("user", "1"), ("user", "b")]]
+    turns = F.from_json("t", "array<struct<role:string,content:string>>")
+    conv = ['[{"role":"user","content":"a"},{"role":"user","content":"B"},{"role":"assistant","content":" "}]', "[]", None]
+    assert values(spark, records.last_content(turns), conv) == ["B", "", ""]
+    assert values(spark, records.conversation_empty(turns), conv)[:2] == [False, True]
+    assert values(spark, records.conversation_attributed(turns, ["a\nb"]), conv)[:2] == [True, False]
+
+
+def test_dialogue_edges(spark):
+    texts = ["USER: a\nASSISTANT: b\nUSER:", "USER: a\nASSISTANT:\nUSER: c", "user: a\n assistant: b \n\nmore\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = {r["id"]: [(t["role"], t["content"]) for t in r["turns"]] for r in dialogue.parse(df, "id", "t").collect()}
+    assert got == {0: [("user", "a"), ("assistant", "b")], 2: [("user", "a"), ("assistant", "b\n\nmore")]}
+
+
+def test_synthesis(spark):
+    calls = {"n": 0}
+
+    def flaky(prompt):
+        calls["n"] += 1
+        if calls["n"] % 2:
+            raise OSError
+        return f"<think>t</think> {prompt.rpartition(': ')[2]} "
+
+    plan = spark.createDataFrame([(1, "ask"), (2, "tell")], "k int, instruction string").coalesce(1)
+    assert [(x["output"], x["cot_trace"], x["version"]) for x in synthesis.answers(plan, flaky).orderBy("k").collect()] == [("ask", "t", "synthetic-v1"), ("tell", "t", "synthetic-v1")]
+    assert synthesis.answers(plan, lambda p: "x" * 100, least=100).count() == 0 and synthesis.answers(plan, lambda p: "x" * 101, least=100).count() == 2
+    shape = "k int, domain string, scenario_type string, description string, outline array<struct<role:string,summary:string>>"
+    scenes = spark.createDataFrame([(1, "d", "fix", "a bug", [("user", "asks"), ("assistant", "helps")]), (2, "d", "fix", "none", [("user", "asks")])], shape)
+
+    def talk(prompt):
+        return "USER: hi\nASSISTANT: hello\nUSER: bye" if "  ASSISTANT: helps" in prompt else "nothing"
+
+    got = synthesis.conversations(scenes, "k", talk).collect()
+    assert [(x["k"], x["scenario_type"], len(x["turns"]), x["version"]) for x in got] == [(1, "fix", 2, "conversation-v1")]
+    kinds = [("a", "x", 30, ["{p} one", "{p} two"], {"p": ("1", "2")}), ("b", "y", 30, ["{n"], {"n": ("int", 1, 2)})]
+    rows = synthesis.prompt_plan(spark, kinds, 50, existing=10).collect()
+    assert len(rows) == 40 and {x["prompt"] for x in rows} <= {"1 one", "2 one", "1 two", "2 two", "{n"}
+    assert synthesis.prompt_plan(spark, kinds, 5, existing=10).count() == 0
+
+
+def test_numbers_and_variations(spark):
+    rules_ = {"a": ("int", 3, 5), "b": ("choice", (10, 20)), "c": ("decimal", 0.5, 1.5, 2), "d": ("sorted", 4, 1, 9)}
+    got = [x.split("|") for x in values(spark, rules.fill_numbers("{a}|{a}|{b}|{c}|{d}", rules_, F.col("i")), ["x"] * 200)]
+    assert all(p[0] == p[1] and p[0] in "345" and p[2] in ("10", "20") and 0.5 <= float(p[3]) <= 1.5 and len(p[3]) == 4 for p in got)
+    assert all((n := [int(x) for x in p[4].split(", ")]) == sorted(n) and len(n) == 4 for p in got) and len({p[0] for p in got}) == 3
+    assert values(spark, rules.variations(F.col("t")), ["Who?", "Say it.", None])[:2] == [["Who?", "Say, who?", "I wonder, who?", "Quick question: who?", "Please who"], ["Say it.", "Please say it"]]
+
+
+def test_windows_and_first_seen(spark, tmp_path):
+    from corpusmill.streaming import events
+
+    spark.createDataFrame([("A ", "2024-01-01 00:10:00"), ("a", "2024-01-01 00:20:00"), ("b", "2024-01-01 00:30:00")], "t string, at string").selectExpr("t", "cast(at as timestamp) as at").coalesce(1).write.parquet(f"{tmp_path}/in")
+    seen = []
+    s = events.first_seen(events.read_parquet_stream(spark, f"{tmp_path}/in", "t string, at timestamp"), "t", "at")
+    events.run_available(s, f"{tmp_path}/cp", lambda df, _: seen.extend(r["t"].strip().lower() for r in df.collect())).awaitTermination()
+    assert sorted(seen) == ["a", "b"]
