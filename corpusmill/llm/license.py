@@ -19,18 +19,64 @@ from .common import documents, map_arrow
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-#: Opening sentences of licence notices in common use (fixed values), with their labels.
+#: Licence texts and notices in common use (fixed values), with their labels.
 NOTICES = (
     ("mit", "Released under the MIT License."),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial
+portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS
+BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("apache-2", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in
+writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
+express or implied. See the License for the specific language governing permissions and limitations under the License."""),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("gpl-3", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS
+FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public
+License along with this program. If not, see https://www.gnu.org/licenses/."""),
+    ("gpl-2", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."""),
+    ("lgpl-3", """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("agpl-3", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public
+License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("mpl-2", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
+with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
+the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its
+contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE
+IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR
+DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE
+AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE
+OF THIS SOFTWARE."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for
+any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial
+applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be
+misrepresented; you must not claim that you wrote the original software."""),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+non-commercial, and by any means."""),
 )
 MIN_RUN, MAX_GAP, MIN_COVER, MIN_WORDS = 3, 6, 0.75, 12
 
@@ -137,7 +183,8 @@ class Scanner:
         return out
 
     def spans(self, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """(notice, first word, end, words covered) of chained runs, the longest chain of each place and notice."""
+        """(notice, first word, end, words covered) of chained runs. A notice's open chain takes a run that goes on after it,
+        with a gap of MAX_GAP words or fewer in the text and in the notice; other runs further on close it and open another."""
         open_: dict[int, tuple[int, int, int, int]] = {}  # notice: first, end in the text, end in the notice, covered
         done = []
         for first, length, state in runs:
@@ -164,8 +211,13 @@ class Scanner:
         found = []
         for k, f, e, cover in self.spans(self.runs(words, hits)):
             if cover >= min(MIN_WORDS, MIN_COVER * self.sizes[k]):
-                found.append((self.labels[k], f, e, min(1.0, cover / self.sizes[k])))
-        return len(words), self.base(words, hits), found
+                found.append((cover, self.labels[k], f, e, min(1.0, cover / self.sizes[k])))
+        # licences share sentences: a span yields to one of another label that covers more of the same words
+        kept: list[tuple[str, int, int, float]] = []
+        for _, label, f, e, share in sorted(found, key=lambda x: (-x[0], -x[4], x[1:])):
+            if all(label == other or 2 * (min(e, z) - max(f, a)) < e - f for other, a, z, _ in kept):
+                kept.append((label, f, e, share))
+        return len(words), self.base(words, hits), sorted(kept, key=lambda x: (x[1], x[0], x[2]))
 
 
 @lru_cache(maxsize=1)
