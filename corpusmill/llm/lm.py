@@ -3,10 +3,12 @@
 Counts cover all training documents. Words that a bounded table of frequent words doesn't have are counted and scored by a
 shuffle join on 64-bit word hashes, so that no vocabulary is held by a task or the driver.
 
-The model reads subword ids (each word is split by longest match over the tokens of a byte-level tokenizer file, with a space before it). A token's
-probability is that of its class given the ids before it, times its share in the class; classes are of equal mass in the
-training corpus' id counts. Class probabilities come from one layer of causal attention over a window. Windows overlap; each
-token is scored once, in the first window that has it among its last STRIDE places (or in a text's first window).
+The model reads subword ids: each word, with a space before it, is split by longest match over the single bytes and the pieces
+of a byte-level tokenizer file that are most frequent in the training texts, CLASSES * MEMBERS in all with the end. Pieces are put
+in the order of their bytes and cut into classes; a piece's probability is that of its class, times its own in the class, both
+softmax layers over what one layer of causal attention and a hidden layer make of the ids before it. So every piece has a
+probability of its own in each context. Windows overlap; each id is scored once, in the first window that has it among its
+last STRIDE places (or in a text's first window).
 The network's weights start from a fit on the driver to windows drawn from all places of all training texts. Then the executors
 train on every id of every training text, and what their tasks learnt is averaged.
 """
@@ -14,8 +16,9 @@ train on every id of every training text, and what their tasks learnt is average
 from __future__ import annotations
 
 import json
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from copy import copy
 from functools import lru_cache
 from pathlib import Path
@@ -33,7 +36,9 @@ FOLDS, HELD_OUT = 7, 2
 FREQUENT_WORDS, STEPS, BATCH = 100_000, 900, 96
 #: The pass over all training texts: windows of a step, the rate, ids that wait for steps at least, ids of a slice of the sums.
 PASS_BATCH, PASS_RATE, PASS_IDS, SLICE = 256, 0.003, 60_000, 256
-CLASSES, WIDTH, HIDDEN, WINDOW, STRIDE = 32, 16, 32, 24, 16
+CLASSES, MEMBERS, WIDTH, HIDDEN, WINDOW, STRIDE = 32, 32, 24, 48, 24, 16
+#: Windows that go through the network together when texts are scored.
+CHUNK = 64
 CACHE_WORDS = 200_000
 
 
@@ -41,31 +46,42 @@ def fold(doc_id: F.Column) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
+def file_tokens(path: str) -> list[bytes]:
+    """The tokens of a byte-level tokenizer file, as bytes."""
+    vocab = json.loads(Path(path).read_text(encoding="utf-8"))["model"]["vocab"]
+    byte = {c: b for b, c in enumerate(byte_symbols())}
+    return [bytes(byte[c] for c in t) for t in vocab]
+
+
 class Subwords:
-    """Ids of lower-cased words, by longest match over the tokens of a byte-level tokenizer file, a space before each word.
+    """Ids of lower-cased words, a space before each, by longest match over pieces, which are numbered in the order of their bytes.
 
-    The id of the end is the number of ids of the file.
+    All single bytes are pieces. The id of the end is the number of pieces.
     """
 
-    def __init__(self, path: str):
-        vocab = json.loads(Path(path).read_text(encoding="utf-8"))["model"]["vocab"]
-        byte = {c: b for b, c in enumerate(byte_symbols())}
-        self.vocab = {bytes(byte[c] for c in t): i.to_bytes(4, "little") for t, i in vocab.items()}
-        lengths = sorted({len(t) for t in self.vocab}, reverse=True)
-        self.tries = [[k for k in lengths if k <= left] for left in range(lengths[0] + 1)]  # by the bytes that are left
-        self.end = max(vocab.values()) + 1
+    def __init__(self, pieces: Iterable[bytes]):
+        self.pieces = sorted({*pieces, *(bytes([b]) for b in range(256))})
+        self.end = len(self.pieces)
+        self.root: dict = {}
+        for i, t in enumerate(self.pieces):
+            node = self.root
+            for c in t:
+                node = node.setdefault(c, {})
+            node[-1] = i
         self.words: dict[bytes, bytes] = {}
 
     def word(self, word: bytes) -> bytes:
-        get, tries, w, out, i = self.vocab.get, self.tries, b" " + word, b"", 0
-        n, most = len(w), len(tries) - 1
+        w, root, out, i = b" " + word, self.root, [], 0
+        n = len(w)
         while i < n:
-            for k in tries[min(n - i, most)]:
-                if (t := get(w[i : i + k])) is not None:
-                    break
-            out += t
-            i += k
-        return out
+            node, j = root, i
+            while j < n and (node := node.get(w[j])) is not None:
+                j += 1
+                if -1 in node:
+                    last, end = node[-1], j
+            out.append(last)
+            i = end
+        return array("i", out).tobytes()
 
     def __call__(self, words: list[bytes], keep=None) -> np.ndarray:
         """Ids of the words in order. Words in `keep` (all, if it is None) stay in the cache."""
@@ -82,9 +98,9 @@ class Subwords:
         return np.frombuffer(b"".join(parts), "<i4")
 
 
-@lru_cache(maxsize=2)
-def subwords(path: str) -> Subwords:
-    return Subwords(path)
+@lru_cache(maxsize=4)
+def subwords(pieces: tuple[bytes, ...]) -> Subwords:
+    return Subwords(pieces)
 
 
 def dense(x: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -93,23 +109,23 @@ def dense(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 class Attention:
-    """One layer of causal self-attention and a hidden layer that give class probabilities for the next id."""
+    """One layer of causal self-attention and a hidden layer, then classes of ids and their members, for the next id."""
 
     def __init__(self, counts: np.ndarray, seed: int = 3):
         n = len(counts)
-        order = np.argsort(-counts, kind="stable")
-        mass = np.cumsum(counts[order] + 1.0) / (counts.sum() + n)
-        self.kind = np.empty(n, np.int64)
-        self.kind[order] = np.minimum((mass * CLASSES).astype(int), CLASSES - 1)
-        total = np.bincount(self.kind, counts + 1.0, CLASSES)
-        self.share = np.log((counts + 1.0) / total[self.kind])  # of an id in its class
+        size = CLASSES * MEMBERS
+        total = np.zeros(size)
+        total[:n] = counts + 1.0
+        total = total.reshape(CLASSES, MEMBERS)
         r = np.random.default_rng(seed)
-        w = lambda *s: (r.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-        self.p = {"e": w(n, WIDTH) * np.float32(np.sqrt(n) * 0.1), "pos": w(WINDOW, WIDTH) * np.float32(0.3), "q": w(WIDTH, WIDTH), "k": w(WIDTH, WIDTH), "v": w(WIDTH, WIDTH), "o": w(WIDTH, WIDTH), "w1": w(WIDTH, HIDDEN), "b1": np.zeros(HIDDEN, np.float32), "w2": w(HIDDEN, CLASSES), "b2": np.log(np.maximum(total / total.sum(), 1e-9)).astype(np.float32)}
+        w = lambda *s: (r.standard_normal(s) / np.sqrt(s[-2])).astype(np.float32)
+        log = lambda x: np.log(np.maximum(x, 1e-9)).astype(np.float32)
+        of = np.maximum(total.sum(1, keepdims=True), 1e-9)
+        self.p = {"e": w(size, WIDTH) * np.float32(np.sqrt(size) * 0.1), "pos": w(WINDOW, WIDTH) * np.float32(0.3), "q": w(WIDTH, WIDTH), "k": w(WIDTH, WIDTH), "v": w(WIDTH, WIDTH), "o": w(WIDTH, WIDTH), "w1": w(WIDTH, HIDDEN), "b1": np.zeros(HIDDEN, np.float32), "w2": w(HIDDEN, CLASSES) * np.float32(0.3), "b2": log(total.sum(1) / total.sum()), "u": w(CLASSES, HIDDEN, MEMBERS) * np.float32(0.3), "ub": log(total / of)}
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
     def forward(self, ids: np.ndarray, first: int = 0) -> tuple:
-        """Log class probabilities after each place from `first` on of each row of ids (rows of WINDOW)."""
+        """Log class probabilities after each place from `first` on of each row of ids (rows of WINDOW), and what led to them."""
         p = self.p
         x = p["e"][ids]
         x += p["pos"]
@@ -131,27 +147,70 @@ class Attention:
         y -= np.log(np.exp(y).sum(axis=2, keepdims=True))
         return y, (x, q, k, v, a, c, h, z)
 
-    def step(self, ids: np.ndarray, goal: np.ndarray, rate: float, held: dict) -> None:
-        """One step of Adam towards the next ids (goal) of rows of WINDOW ids; held keeps the moments between steps.
+    def members(self, z: np.ndarray, goal: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each class that goals have: the class, the rows of z whose goal is in it, and the log probabilities of its members.
+        A goal below 0 is none."""
+        kind = np.where(goal < 0, CLASSES, goal // MEMBERS).astype(np.int16)
+        order = np.argsort(kind, kind="stable")
+        ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
+        for c in range(CLASSES):
+            rows = order[ends[c - 1] if c else 0 : ends[c]]
+            if len(rows):
+                t = z[rows] @ self.p["u"][c]
+                t += self.p["ub"][c]
+                np.minimum(t, 60, out=t)
+                t -= np.log(np.exp(t).sum(axis=1, keepdims=True))
+                yield c, rows, t
+
+    def log_probabilities(self, y: np.ndarray, z: np.ndarray, goal: np.ndarray) -> np.ndarray:
+        """Of goals (one axis; below 0: none, 0), natural logarithms; y and z are rows of class log probabilities and of the hidden
+        layer."""
+        out = np.where(goal < 0, 0, y[np.arange(len(goal)), np.maximum(goal, 0) // MEMBERS])
+        for _, rows, t in self.members(z, goal):
+            out[rows] += t[np.arange(len(rows)), goal[rows] % MEMBERS]
+        return out
 
-        Of the embedding, only the rows of the ids are moved.
-        """
+    def gradient(self, ids: np.ndarray, goal: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+        """The mean negative log probability of the next ids (goal) of rows of WINDOW ids, its gradient by weights, and the ids
+        that the rows of the embedding's gradient belong to."""
         p = self.p
         y, (x, q, k, v, a, c, h, z) = self.forward(ids)
         flat = lambda t: t.reshape(-1, t.shape[-1])
+        goal, all_ = goal.ravel(), np.arange(ids.size)
+        share = y.dtype.type(1 / ids.size)
+        loss = -float(flat(y)[all_, goal // MEMBERS].sum())
         dy = np.exp(y)
-        flat(dy)[np.arange(ids.size), self.kind[goal.ravel()]] -= 1
-        dy /= np.float32(ids.size)
-        dz = dense(dy, p["w2"].T) * (z > 0)
+        flat(dy)[all_, goal // MEMBERS] -= 1
+        dy *= share
+        dz = dense(dy, p["w2"].T)
+        du, dub = np.zeros_like(p["u"]), np.zeros_like(p["ub"])
+        for m, rows, t in self.members(flat(z), goal):
+            at = np.arange(len(rows)), goal[rows] % MEMBERS
+            loss -= float(t[at].sum())
+            np.exp(t, out=t)
+            t[at] -= 1
+            t *= share
+            du[m], dub[m] = flat(z)[rows].T @ t, t.sum(0)
+            flat(dz)[rows] += t @ p["u"][m].T
+        dz *= z > 0
         dh = dense(dz, p["w1"].T)
         dc = dense(dh, p["o"].T)
         da = dc @ v.transpose(0, 2, 1)
-        da = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk, dv = da @ k, da.transpose(0, 2, 1) @ (q * np.float32(WIDTH**0.5)), a.transpose(0, 2, 1) @ dc
+        da = a * (da - (da * a).sum(axis=2, keepdims=True)) * y.dtype.type(WIDTH**-0.5)
+        dq, dk, dv = da @ k, da.transpose(0, 2, 1) @ (q * y.dtype.type(WIDTH**0.5)), a.transpose(0, 2, 1) @ dc
         dx = dh + dense(dq, p["q"].T) + dense(dk, p["k"].T) + dense(dv, p["v"].T)
-        order = np.argsort(ids, axis=None, kind="stable")
+        order = np.argsort(ids.astype(np.int16), axis=None, kind="stable")
         own, at = np.unique(ids.ravel()[order], return_index=True)
-        g = {"e": np.add.reduceat(flat(dx)[order], at, axis=0), "pos": dx.sum(0), "q": flat(x).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv), "o": flat(c).T @ flat(dh), "w1": flat(h).T @ flat(dz), "b1": flat(dz).sum(0), "w2": flat(z).T @ flat(dy), "b2": flat(dy).sum(0)}
+        g = {"e": np.add.reduceat(flat(dx)[order], at, axis=0), "pos": dx.sum(0), "q": flat(x).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv), "o": flat(c).T @ flat(dh), "w1": flat(h).T @ flat(dz), "b1": flat(dz).sum(0), "w2": flat(z).T @ flat(dy), "b2": flat(dy).sum(0), "u": du, "ub": dub}
+        return loss / ids.size, g, own
+
+    def step(self, ids: np.ndarray, goal: np.ndarray, rate: float, held: dict) -> None:
+        """One step of Adam towards the next ids (goal) of rows of WINDOW ids; held keeps the moments between steps.
+
+        Of the embedding, only the rows of the ids are moved.
+        """
+        p = self.p
+        _, g, own = self.gradient(ids, goal)
         n = held["n"] = held.get("n", 0) + 1
         for name, d in g.items():
             m1, m2 = held.setdefault(name, (np.zeros_like(p[name]), np.zeros_like(p[name])))
@@ -192,11 +251,13 @@ class Attention:
             own = np.flatnonzero(late == is_late)
             for b in range(0, len(own), 1024):
                 k = own[b : b + 1024]
-                y, _ = self.forward(ids[k], first)
                 goal = to[k, first:]
-                g = np.maximum(goal, 0)
-                lp = np.take_along_axis(y, self.kind[g][..., None], 2)[..., 0] + self.share[g]
-                out += np.bincount(owner[k], np.where(goal >= 0, lp, 0.0).sum(axis=1), len(texts))
+                y, z = np.empty((*goal.shape, CLASSES), np.float32), np.empty((*goal.shape, HIDDEN), np.float32)
+                for i in range(0, len(k), CHUNK):  # what is made on the way stays in the processor's cache
+                    y[i : i + CHUNK], cache = self.forward(ids[k[i : i + CHUNK]], first)
+                    z[i : i + CHUNK] = cache[-1]
+                lp = self.log_probabilities(y.reshape(-1, CLASSES), z.reshape(-1, HIDDEN), goal.ravel())
+                out += np.bincount(owner[k], lp.reshape(goal.shape).sum(axis=1, dtype=np.float64), len(texts))
         return out / np.log(10)
 
 
@@ -215,18 +276,30 @@ def word_counts(train: DataFrame) -> DataFrame:
         yield out()
 
     rows = map_arrow(train, run, "hash long, word binary, n long")
-    return written(rows.groupBy("hash").agg(F.first("word").alias("word"), F.sum("n").alias("n")), "words")
+    return written(rows.groupBy("hash", "word").agg(F.sum("n").alias("n")), "words")
+
+
+def frequent_words(words: DataFrame, most: int = FREQUENT_WORDS) -> dict[bytes, int]:
+    """The words that are more frequent than some count, `most` at most. The driver gets how many words have each count, and
+    these words."""
+    by = sorted(((r["n"], r["k"]) for r in words.groupBy("n").agg(F.count("*").alias("k")).collect()), reverse=True)
+    total = np.cumsum([k for _, k in by])
+    some = int((total <= most).sum())
+    if not some:
+        return {}
+    return {bytes(x["word"]): x["n"] for x in words.where(F.col("n") >= by[some - 1][0]).select("word", "n").collect()}
 
 
 def _hash(w: bytes) -> int:
     return xxhash.xxh64_intdigest(w) - (1 << 63)
 
 
-def id_counts(words: DataFrame, path: str, end: int, n_docs: int) -> np.ndarray:
+def id_counts(words: DataFrame, pieces: tuple[bytes, ...], n_docs: int) -> np.ndarray:
     """Counts of subword ids and of the end over all training documents, from the word counts."""
+    size = subwords(pieces).end + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, total = subwords(path), np.zeros(end + 1)
+        tok, total = subwords(pieces), np.zeros(size)
         for b in batches:
             ws = b.column(0).to_pylist()
             for i in range(0, len(ws), 5000):
@@ -234,23 +307,33 @@ def id_counts(words: DataFrame, path: str, end: int, n_docs: int) -> np.ndarray:
                 spelt = [tok.word(w) for w in part]
                 ids = np.frombuffer(b"".join(spelt), "<i4")
                 k = np.repeat(b.column(1).to_numpy()[i : i + 5000], [len(x) // 4 for x in spelt])
-                total += np.bincount(ids, k, end + 1)
+                total += np.bincount(ids, k, size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some].astype(np.int64))], ["id", "n"])
 
     got = map_arrow(words.select("word", "n"), run, "id long, n long", rows=20_000).groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(end + 1)
+    out = np.zeros(size)
     out[got["id"].to_numpy()] = got["n"].to_numpy()
-    out[end] += n_docs
+    out[-1] += n_docs
     return out
 
 
-def start_windows(train: DataFrame, path: str, end: int, n_all: int, wanted: int = STEPS * BATCH) -> np.ndarray:
+def chosen_pieces(words: DataFrame, path: str, size: int = CLASSES * MEMBERS) -> tuple[bytes, ...]:
+    """The single bytes and the tokens of the file that are most frequent, when words are split over all its tokens; with the end
+    they are `size`."""
+    all_ = tuple(sorted(file_tokens(path)))
+    counts = id_counts(words, all_, 0)
+    tok = subwords(all_)
+    order = sorted((t for t in range(tok.end) if len(tok.pieces[t]) > 1), key=lambda t: (-counts[t], tok.pieces[t]))
+    return tuple(sorted([bytes([b]) for b in range(256)] + [tok.pieces[t] for t in order[: size - 257]]))
+
+
+def start_windows(train: DataFrame, pieces: tuple[bytes, ...], n_all: int, wanted: int = STEPS * BATCH) -> np.ndarray:
     """About `wanted` windows of WINDOW + 1 ids, from places of all training texts that the rows' hashes draw evenly."""
-    rate = min(4.0, wanted / max(1, n_all))
+    rate, end = min(4.0, wanted / max(1, n_all)), subwords(pieces).end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = subwords(path)
+        tok = subwords(pieces)
         for b in batches:
             out = []
             for t, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
@@ -266,17 +349,17 @@ def start_windows(train: DataFrame, path: str, end: int, n_all: int, wanted: int
     return np.sort(np.array(got, f"S{4 * (WINDOW + 1)}")).view("<i4").reshape(len(got), WINDOW + 1).astype(np.int64)
 
 
-def learn(model: Attention, train: DataFrame, path: str, end: int) -> int:
+def learn(model: Attention, train: DataFrame, pieces: tuple[bytes, ...]) -> int:
     """One pass of the model over every id of every training text, on the executors; returns the number of ids predicted.
 
     Each task goes on from the model given, over the whole texts of its partition. Then what the tasks changed is averaged: of an id's
     embedding by how often the tasks had the id, of the other weights by the tasks' ids. The sums are made by shuffle, in slices.
     """
     handle = train.sparkSession.sparkContext.broadcast(model)
-    n, rest = len(model.kind), [k for k in model.p if k != "e"]
+    n, rest, end = CLASSES * MEMBERS, [k for k in model.p if k != "e"], subwords(pieces).end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, tok, r, held, seen, total = handle.value, subwords(path), np.random.default_rng(7), {}, np.zeros(n), 0
+        start, tok, r, held, seen, total = handle.value, subwords(pieces), np.random.default_rng(7), {}, np.zeros(n), 0
         own = copy(start)
         own.p = {k: v.copy() for k, v in start.p.items()}
         waiting, size, tail = [], 1, np.full(WINDOW + 1, end)
@@ -350,20 +433,21 @@ def scores(docs: DataFrame, path: str) -> DataFrame:
     n_docs = train.count()
     r = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = r["n"] + n_docs, r["v"] + (n_docs > 0)
-    end = subwords(path).end
-    frequent = {bytes(x["word"]): x["n"] for x in words.orderBy(F.desc("n"), "hash").limit(FREQUENT_WORDS).collect()}
-    model = Attention(id_counts(words, path, end, n_docs))
+    frequent = frequent_words(words)
+    pieces = chosen_pieces(words, path)
+    end = subwords(pieces).end
+    model = Attention(id_counts(words, pieces, n_docs))
     if r["n"]:
-        start = start_windows(train, path, end, n_all)
+        start = start_windows(train, pieces, n_all)
         if len(start):
             model.fit(start)
-        learn(model, train, path, end)
+        learn(model, train, pieces)
     handle = docs.sparkSession.sparkContext.broadcast((model, {w: (float(np.log10(c + 1))) for w, c in frequent.items()}))
     end_log = float(np.log10(n_docs + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, logs = handle.value
-        tok = subwords(path)
+        tok = subwords(pieces)
         for b in batches:
             ids, out = [], [[] for _ in range(4)]
             for t in b.column(1).to_pylist():
