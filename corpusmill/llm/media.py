@@ -1,8 +1,11 @@
 """Media columns: bytes kept losslessly as 8-bit samples, with audio features and time spans.
 
 The stored form is a RIFF/WAVE file of one channel of unsigned 8-bit samples. Features: polyphase resampling to half the
-rate, overlapped log-mel filterbanks, and spans found by an energy gate with hysteresis. They are kept as a fixed-shape
-Arrow tensor (BANDS numbers a frame pool) and lists of span times.
+rate, overlapped log-mel filterbanks, and spans found by an energy gate with hysteresis.
+
+A media table is a Parquet table of blocks in the shared folder. A block is an Arrow stream with the columns doc_id, media, tensor
+(of the fixed-shape tensor type, POOLS x BANDS 32-bit floats) and spans (lists of start and end in seconds): Spark has no such
+type, Arrow streams keep it. Spark's committer makes rewriting after a lost executor safe.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents, map_arrow
+from .common import documents, map_arrow, written
 
 UNIT, FILL = 576, b"\xff"
 RATE, DOWN, TAPS = 8000, 2, 16
@@ -98,18 +101,12 @@ def features(samples: bytes) -> tuple[np.ndarray, list[tuple[float, float]]]:
     return pooled, [(round(a * second, 3), round(b * second, 3)) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
 
 
-MEDIA = "doc_id long, media binary"
-FEATURES = "doc_id long, media binary, tensor array<float>, spans array<struct<start:double,end:double>>"
-
-
-def stored(docs: DataFrame) -> DataFrame:
-    """doc_id and the media column of every text (null: empty, which is one unit of fill bytes)."""
+#: Bytes of media after which a block is closed.
+BLOCK_BYTES = 4 << 20
+BLOCK = "n long, block binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([to_wave(padded(t.encode())) for t in b.column(1).to_pylist()], pa.binary())], ["doc_id", "media"])
 
-    return map_arrow(documents(docs), run, MEDIA)
+SPANS = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
 
 
 def tensors(rows: list[np.ndarray]) -> pa.ExtensionArray:
@@ -119,33 +116,65 @@ def tensors(rows: list[np.ndarray]) -> pa.ExtensionArray:
     return pa.ExtensionArray.from_storage(kind, pa.FixedSizeListArray.from_arrays(flat, POOLS * BANDS))
 
 
-def with_features(media: DataFrame) -> DataFrame:
-    """The media column with its tensor (flat, row-major, of POOLS x BANDS) and its spans."""
+def blocks(docs: DataFrame) -> DataFrame:
+    """n and block (an Arrow stream) of the media, tensors and spans of all texts (null: empty, which is one unit of fill bytes)."""
+
+    def packed(ids: list, media: list[bytes]) -> pa.RecordBatch:
+        found = [features(from_wave(m)) for m in media]
+        spans = pa.array([[{"start": a, "end": z} for a, z in s] for _, s in found], SPANS)
+        batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(media, pa.binary()), tensors([t for t, _ in found]), spans], ["doc_id", "media", "tensor", "spans"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        return pa.RecordBatch.from_arrays([pa.array([len(ids)], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["n", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, media, held = [], [], 0
         for b in batches:
-            found = [features(from_wave(m)) for m in b.column(1).to_pylist()]
-            spans = pa.array([[{"start": a, "end": z} for a, z in s] for _, s in found], pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())])))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.binary()), tensors([t for t, _ in found]).storage.cast(pa.list_(pa.float32())), spans], ["doc_id", "media", "tensor", "spans"])
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ids.append(i)
+                media.append(to_wave(padded(t.encode())))
+                held += len(media[-1])
+                if held >= BLOCK_BYTES:
+                    yield packed(ids, media)
+                    ids, media, held = [], [], 0
+        if ids:
+            yield packed(ids, media)
+
+    return map_arrow(documents(docs), run, BLOCK, rows=256)
+
+
+def opened(block: bytes) -> pa.RecordBatch:
+    """The batch of a block: doc_id, media, tensor and spans."""
+    return pa.ipc.open_stream(block).read_next_batch()
+
 
-    return map_arrow(media, run, FEATURES, rows=256)
+def store(docs: DataFrame) -> DataFrame:
+    """The media table of all texts, written into the shared folder and read again."""
+    return written(blocks(docs), "media")
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """Per document, sizes and digests of the payload and of the stored form, both read from the media column, and a
+    """Per document, sizes and digests of the payload and of the stored form, both read from the media table, and a
     feature string: number of spans, their total time and the first numbers of the tensor. A text's values depend on
-    nothing but the text; repeated and null ids are kept as they are."""
+    nothing but the text; repeated and null ids are kept as they are; an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         for b in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for media, tensor, spans in zip(b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
-                payload = from_wave(media)
-                t = tensor.values.to_numpy()
-                feature = f"spans={len(spans)};active={sum(s['end'] - s['start'] for s in spans):.3f};mel=" + ",".join(f"{x:.2f}" for x in t.reshape(POOLS, BANDS).mean(axis=0) + 0.0)
-                for column, x in zip(out, (len(payload.rstrip(FILL)), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature), strict=True):
-                    column.append(x)
-            types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    return map_arrow(with_features(stored(docs)), run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string", rows=256)
+            for block in b.column(1):
+                got = opened(block.as_buffer())
+                mean = got.column(2).to_numpy_ndarray().mean(axis=1) + 0.0
+                out: list[list] = [[] for _ in types]
+                for media, mel, spans in zip(got.column(1).to_pylist(), mel_rows(mean), got.column(3).to_pylist(), strict=True):
+                    payload = from_wave(media)
+                    feature = f"spans={len(spans)};active={sum(s['end'] - s['start'] for s in spans):.3f};mel={mel}"
+                    for column, x in zip(out, (len(payload.rstrip(FILL)), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature), strict=True):
+                        column.append(x)
+                yield pa.RecordBatch.from_arrays([got.column(0), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+
+    return map_arrow(store(docs), run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string", rows=16)
+
+
+def mel_rows(mean: np.ndarray) -> list[str]:
+    return [",".join(f"{x:.2f}" for x in row) for row in mean]
