@@ -550,6 +550,50 @@ def test_byte_encoder_on_odd_strings():
     assert enc(texts) == want
 
 
+def test_media_table(odd):
+    """Blocks keep the tensor's type, and equal texts have equal values."""
+    rows = [media.opened(bytes(r["block"])) for r in media.store(odd).collect()]
+    assert sum(b.num_rows for b in rows) == odd.count()
+    for b in rows:
+        assert b.schema.field("tensor").type == pa.fixed_shape_tensor(pa.float32(), (media.POOLS, media.BANDS))
+        for m, t, spans in zip(b.column(1).to_pylist(), b.column(2).to_numpy_ndarray(), b.column(3).to_pylist(), strict=True):
+            tensor, found = media.features(media.from_wave(m))
+            assert np.array_equal(t, tensor.astype(np.float32)) and [(s["start"], s["end"]) for s in spans] == found
+    by = {}
+    for r in media.digests(odd.repartition(3)).collect():
+        by.setdefault(r["payload_sha256"], set()).add((r["feature"], r["media_sha256"]))
+    assert all(len(v) == 1 for v in by.values())
+
+
+def test_media_features_against_loops():
+    """Resampling, filterbanks and the gate, one number after the other."""
+    raw = bytes(np.random.default_rng(7).integers(60, 200, 4000, dtype=np.uint8)) + bytes([128] * 3000)
+    x = (np.frombuffer(raw, np.uint8).astype(float) - 128) / 128
+    taps = media.LOWPASS.astype(float)
+    n = -(-len(x) // 2)
+    y = media.resampled(x.astype(np.float32))
+    full = np.convolve(np.append(x, np.zeros(media.TAPS * 2)), taps)
+    want = [full[2 * (i + media.TAPS // 2) + 1] for i in range(n - media.TAPS)]
+    assert np.allclose(y[: n - media.TAPS], want, atol=1e-4)
+    power = []
+    for s in range(0, len(y) - media.FRAME + 1, media.HOP):
+        f = np.fft.rfft(y[s : s + media.FRAME].astype(float) * media.WINDOW)
+        power.append(np.abs(f) ** 2)
+    power = np.array(power)
+    mel = np.log10(np.maximum(power @ media.MEL.astype(float), 1e-8))
+    cuts = np.linspace(0, len(mel), media.POOLS + 1).astype(int)
+    tensor, spans = media.features(raw)
+    assert np.allclose(tensor, [mel[a : max(b, a + 1)].mean(axis=0) for a, b in zip(cuts, cuts[1:], strict=False)], atol=1e-3)
+    level = 10 * np.log10(np.maximum(power.sum(axis=1), 1e-8))
+    level -= level.mean()
+    on, state, second = [], False, media.HOP * media.DOWN / media.RATE
+    for v in level:
+        state = True if v > media.OPEN_DB else False if v < media.CLOSE_DB else state
+        on.append(state)
+    want = [(round(a * second, 3), round(b * second, 3)) for a, b in ((i, next((j for j in range(i, len(on)) if not on[j]), len(on))) for i in range(len(on)) if on[i] and (not i or not on[i - 1]))]
+    assert spans == want and spans
+
+
 def test_ann_recall_and_exactness(spark):
     """Thousands of vectors without clusters: the recall of the default, and equality of a recall of 1, copies and all."""
     r = np.random.default_rng(5)
