@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 
 def order_key(seed: int, key: str) -> Column:
@@ -87,6 +88,16 @@ def quota_plan(targets: DataFrame, existing: DataFrame, keys: list[str]) -> Data
     return rows.where("remaining > 0").withColumn("item", F.explode(F.sequence(F.lit(1), "remaining"))).drop("have")
 
 
+def crossed(rows: DataFrame, names: DataFrame, column: str, most: int = 10_000) -> DataFrame:
+    """rows, each with every value of a small dimension's column. The dimension becomes a literal; one of more than `most` rows is
+    an error, as it would multiply the rows without limit."""
+    values = [r[0] for r in names.select(column).limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} rows")
+    kind = names.schema[column].dataType
+    return rows.withColumn(column, F.explode(F.array(*[F.lit(v) for v in values]).cast(ArrayType(kind))))
+
+
 def not_done(plan: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return plan.join(done.select(*keys).distinct(), keys, "left_anti")
 

@@ -44,6 +44,12 @@ def answers(plan: DataFrame, teacher: Teacher, with_trace: bool = True, version:
     return got.withColumn("output", parts["answer"]).withColumn("cot_trace", parts["trace"]).withColumn("version", F.lit(version)).drop("_prompt", "response")
 
 
+def samples(plan: DataFrame, n: int, base: float = 0.3, step: float = 0.05) -> DataFrame:
+    """Each row of plan n times, for as many completions: with its sample (from 0) and a temperature that rises by `step`."""
+    rows = plan.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return rows.withColumn("temperature", F.round(F.lit(base) + F.col("sample") * F.lit(step), 6))
+
+
 def outline(description: Column, turns: Column) -> Column:
     """The prompt of a conversation from turns (role, summary)."""
     lines = F.array_join(F.transform(turns, lambda t: F.concat(F.lit("  "), F.upper(t["role"]), F.lit(": "), t["summary"])), "\n")

@@ -355,7 +355,8 @@ def resume_anti(spark, d):
 
 @query("SELECT a.r_name || ' ' || b.n_name AS prompt FROM region a CROSS JOIN nation b")
 def template_cross(spark, d):
-    return _t(spark, d, "region").select("r_name").crossJoin(F.broadcast(_t(spark, d, "nation").select("n_name"))).select(F.concat("r_name", F.lit(" "), "n_name").alias("prompt"))
+    rows = sampling.crossed(_t(spark, d, "region").select("r_name"), _t(spark, d, "nation"), "n_name")
+    return rows.select(F.concat("r_name", F.lit(" "), "n_name").alias("prompt"))
 
 
 _KINDS, _UNITS = ("ADT", "ORU", "ORM"), ("ICU", "ER")
@@ -639,3 +640,8 @@ def stream_window_counts(spark, d):
     counts = stream_events.window_counts(rows).select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n", F.round("total", 4).alias("total"))
     stream_events.run_available(counts, f"{seen}/state", lambda df, _: df.write.mode("overwrite").parquet(f"{seen}/out"), "complete").awaitTermination()
     return spark.read.parquet(f"{seen}/out")
+
+
+@query("SELECT doc_id, CAST(i AS INTEGER) AS sample, round(0.3 + 0.05 * i, 6)::DOUBLE AS temperature FROM documents, range(4) t(i)")
+def completion_samples(spark, d):
+    return synthesis.samples(_t(spark, d, "documents").select("doc_id"), 4)

@@ -179,8 +179,15 @@ def scan_repos(spark: SparkSession, root: str, patterns: Sequence[str], per_repo
 
 
 def context_pack(df: DataFrame, domain: str, order: str, text: str, each: int = 2000, stop: int = 6000) -> DataFrame:
-    """Per domain, the starts of texts in order, until `stop` characters have been taken."""
-    part = df.select(domain, order, F.substring(text, 1, each).alias("part"))
-    before = F.coalesce(F.sum(F.length("part")).over(Window.partitionBy(domain).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    kept = part.withColumn("before", before).where(F.col("before") < stop)
-    return kept.groupBy(domain).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "part"))), lambda x: x["part"]), "\n---\n").alias("context"), F.count("*").alias("n_parts"))
+    """Per domain, the starts of texts in order, until `stop` characters have been taken.
+
+    Where a domain ends is found among its first `stop` texts that aren't empty, which tasks cut before the shuffle: no domain
+    is gathered as a whole.
+    """
+    part = df.select(F.col(domain).alias("d"), F.col(order).alias("o"), F.coalesce(F.substring(text, 1, each), F.lit("")).alias("part"))
+    size = F.length("part")
+    first = capped(part.where(size > 0).select("d", "o", size.alias("n")), "d", stop, "o")
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("d").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = first.withColumn("before", before).where(F.col("before") < stop).groupBy(F.col("d").alias("of")).agg(F.max("o").alias("last"), F.sum("n").alias("total"))
+    kept = part.join(ends, F.col("d").eqNullSafe(F.col("of")), "left").where(F.col("last").isNull() | (F.col("total") < stop) | (F.col("o") <= F.col("last")))
+    return kept.groupBy(F.col("d").alias(domain)).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "part"))), lambda x: x["part"]), "\n---\n").alias("context"), F.count("*").alias("n_parts"))

@@ -359,3 +359,24 @@ def test_windows_and_first_seen(spark, tmp_path):
     s = events.first_seen(events.read_parquet_stream(spark, f"{tmp_path}/in", "t string, at timestamp"), "t", "at")
     events.run_available(s, f"{tmp_path}/cp", lambda df, _: seen.extend(r["t"].strip().lower() for r in df.collect())).awaitTermination()
     assert sorted(seen) == ["a", "b"]
+
+
+def test_context_pack_and_crossed(spark):
+    r = random.Random(14)
+    rows = [(i, r.choice(["a", "b", None]), r.choice([None, "", "x" * r.randrange(1, 9), "long " * 5])) for i in range(400)] + [(900, "c", ""), (901, "d", "y")]
+    want = {}
+    for domain in ("a", "b", "c", "d", None):
+        taken, parts = 0, []
+        for _, d, t in rows:
+            if d == domain and taken < 60:
+                parts.append((t or "")[:7])
+                taken += len(parts[-1])
+        want[domain] = ("\n---\n".join(parts), len(parts))
+    df = spark.createDataFrame(rows, "o int, d string, t string")
+    assert {x["d"]: (x["context"], x["n_parts"]) for x in files.context_pack(df.repartition(5), "d", "o", "t", 7, 60).collect()} == want
+    assert files.context_pack(df.where("o < 0"), "d", "o", "t").count() == 0
+    names = spark.createDataFrame([("p",), (None,)], "n string")
+    assert sorted((x["o"], x["n"] or "") for x in sampling.crossed(df.where("o < 2").select("o"), names, "n").collect()) == [(0, ""), (0, "p"), (1, ""), (1, "p")]
+    with pytest.raises(ValueError):
+        sampling.crossed(df, df, "o", most=5)
+    assert [(x["sample"], x["temperature"]) for x in synthesis.samples(names.limit(1), 3).collect()] == [(0, 0.3), (1, 0.35), (2, 0.4)]
