@@ -83,6 +83,60 @@ def test_toxicity(spark, odd, none):
     assert (np.diff(rate) > 0).all() and (np.diff(y) >= 0).all()
 
 
+def test_trees_against_loops():
+    """Trees are applied node by node; each round of boosting splits where an exhaustive search finds the largest gain."""
+    r = np.random.default_rng(21)
+    x = np.round(r.standard_normal((300, 4)), 1)
+    y = (r.random(300) < 1 / (1 + np.exp(-2 * x[:, 1] + x[:, 2] ** 2))).astype(float)
+    start, trees = toxicity.boost(x, y, rounds=5, depth=2)
+    raw = np.full(300, start)
+    for feature, cut, leaf in trees:
+        p = 1 / (1 + np.exp(-raw))
+        g, h = y - p, p * (1 - p)
+        gain = {}
+        for j in range(4):
+            for c in np.unique(np.quantile(x[:, j], np.linspace(0, 1, 65)[1:-1])):
+                left = x[:, j] <= c
+                part = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1.0)
+                gain[j, c] = part(left) + part(~left)
+        assert gain[feature[0], cut[0]] == pytest.approx(max(gain.values()))
+        add = []
+        for row in x:
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+            add.append(leaf[node - len(feature)])
+        assert np.allclose(toxicity.apply_tree((feature, cut, leaf), x), add)
+        raw += add
+    loss = lambda f: -(y * f - np.logaddexp(0, f)).mean()
+    assert loss(raw) < loss(np.full(300, start)) - 0.05
+
+
+def test_isotonic_against_all_intervals():
+    """The fit at a place is the largest, over intervals that begin before it, of the least mean over those that end after it."""
+    r = np.random.default_rng(22)
+    for _ in range(20):
+        raw = np.sort(r.standard_normal(30))
+        y = (r.random(30) < 1 / (1 + np.exp(-raw))).astype(float)
+        at, rate = toxicity.isotonic(raw, y)
+        want = [max(min(y[a : b + 1].mean() for b in range(i, 30)) for a in range(i + 1)) for i in range(30)]
+        steps = sorted(set(np.round(want, 9)))
+        sizes = [sum(abs(w - v) < 1e-6 for w in want) for v in steps]
+        assert np.allclose(rate[1:-1], [(v * n + 1e-3) / (n + 2e-3) for v, n in zip(steps, sizes, strict=True)], atol=1e-6)
+        assert (np.diff(at) > 0).all() and (np.diff(rate) > 0).all()
+
+
+def test_toxicity_held_out(spark):
+    """Documents of the fold that nothing was learnt from."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r for r in toxicity.scored(docs, toxicity.fit(docs, labels)).where("held_out").collect()}
+    assert all(zlib.crc32(str(i).encode()) % 5 == 0 for i in got)
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["doc_id"] in got}
+    hit = [got[i]["predicted"] for i, t in toxic.items() if t == 1]
+    wrong = [got[i]["predicted"] for i, t in toxic.items() if t == 0]
+    assert len(hit) > 50 and sum(hit) >= 0.8 * len(hit) and sum(wrong) <= 0.01 * len(wrong)
+
+
 def test_toxicity_nearness_in_long_texts():
     model = toxicity.Model(lexicon={b"=moron": 4.0})
     near = lambda t: model.features(t)[8]
