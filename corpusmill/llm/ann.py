@@ -5,7 +5,8 @@ lists as the square root of the vectors. Lists are put together into cells of CE
 longer lists are dealt over several cells by hash. How many lists a query probes is found on the sample: as few as give the
 recall that is asked for there (vectors without clusters need more than half of the lists; clustered ones few). In each cell
 that has some of its lists, asymmetric distance tables over all of them pick the query's RERANK best, whose inner products are
-computed exactly, in double precision, on the original vectors. A recall of 1 probes all lists and computes all products.
+computed exactly, in double precision, on the original vectors; so are those of all others that the tables' error, as seen on
+these, leaves room for. A recall of 1 probes all lists and computes all products.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from .common import map_arrow, written
 
 SAMPLE, PARTS, CODES, CELL, RERANK, TOP = 20_000, 16, 256, 16_384, 256, 20
 #: Lists at most; the recall that the number of probed lists gives on the sample; its queries for that; queries scored together.
-MOST_LISTS, RECALL, TRIALS, BLOCK = 1024, 0.95, 256, 64
+MOST_LISTS, RECALL, TRIALS, BLOCK = 1024, 0.97, 256, 64
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -85,6 +86,7 @@ class Quantiser:
     def probes_for(self, sample: np.ndarray, recall: float, top: int) -> int:
         """As few lists as hold that share of the `top` best of some of the sample's vectors among the sample."""
         k = len(self.coarse)
+        sample = np.unique(sample, axis=0)  # copies find each other in one list, and would make the rest look easy
         if recall >= 1 or len(sample) <= top:
             return k
         q = sample[:: max(1, len(sample) // TRIALS)][:TRIALS]
@@ -116,6 +118,19 @@ def cells_of(counts: dict[int, int], lists: int) -> tuple[np.ndarray, np.ndarray
     return first, many
 
 
+def needed(ids: np.ndarray, xs: np.ndarray, top: int) -> np.ndarray:
+    """Places of all rows but those that can be in no answer: copies of a vector beyond its top + 1 smallest ids, as equal scores
+    rank by id. So a vector with very many copies doesn't fill the shortlists."""
+    _, of = np.unique(np.ascontiguousarray(xs).view(np.dtype((np.void, xs.shape[1] * 8))).ravel(), return_inverse=True)
+    order = np.lexsort((ids, of))
+    g, i = of[order], ids[order]
+    new = np.append(True, (g[1:] != g[:-1]) | (i[1:] != i[:-1]))  # rows of one id and vector are one
+    order, g = order[new], g[new]
+    first = np.append(True, g[1:] != g[:-1])
+    rank = np.arange(len(g)) - np.maximum.accumulate(np.where(first, np.arange(len(g)), 0))
+    return np.sort(order[rank <= top])
+
+
 def search(vectors: DataFrame, every: int = 20, top: int = TOP, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id and score for the rows whose id is divisible by `every`, against all other ids.
 
@@ -164,7 +179,7 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, recall: float =
     together = placed.unionByName(asked).repartition(n, "cell").sortWithinPartitions("cell", "kind", "list", "id", "embedding")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, parts = None, ([], [], [], [])  # ids, vectors, codes and lists of the cell, in order of the lists
+        cell, joined, parts = None, False, ([], [], [], [])  # ids, vectors, codes and lists of the cell, in order of the lists
         for b in batches:
             at, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
             edges = np.flatnonzero((at[1:] != at[:-1]) | (kind[1:] != kind[:-1])) + 1
@@ -172,13 +187,17 @@ def search(vectors: DataFrame, every: int = 20, top: int = TOP, recall: float =
                 if e <= s:
                     continue
                 if at[s] != cell:
-                    cell, parts = at[s], ([], [], [], [])
+                    cell, joined, parts = at[s], False, ([], [], [], [])
                 own, x = b.column(2)[s:e].to_numpy(), _matrix(b.column(3)[s:e])
                 if kind[s] == 0:
                     for part, v in zip(parts, (own, x, np.frombuffer(b"".join(b.column(4)[s:e].to_pylist()), np.uint8).reshape(e - s, -1), b.column(5)[s:e].to_numpy()), strict=True):
                         part.append(v)
                 elif parts[0]:
-                    parts = tuple([np.concatenate(v)] for v in parts)
+                    if not joined:
+                        joined = True
+                        ids, xs, codes, lists = (np.concatenate(v) for v in parts)
+                        few = needed(ids, xs, top)
+                        parts = tuple([v[few]] for v in (ids, xs, codes, lists))
                     for i in range(0, e - s, BLOCK):
                         yield _best(quantiser, own[i : i + BLOCK], x[i : i + BLOCK], *(v[0] for v in parts), probes, top, len(parts[0][0]) if recall >= 1 else RERANK)
 
@@ -207,6 +226,12 @@ def _best(quantiser: Quantiser, own: np.ndarray, q: np.ndarray, ids: np.ndarray,
             over = np.flatnonzero(near[i] > least)  # of equal ones, such as copies of a vector, the smaller ids
             pick = np.concatenate([over, np.flatnonzero(near[i] == least)[: shortlist - len(over)]])
         score = (xs[pick] * query).sum(axis=1)
+        if len(pick) > top and len(pick) == shortlist:  # by how far tables are off here, others may be as good: near copies, say
+            off = np.quantile(np.abs(score - near[i, pick]), 0.95)
+            again = near[i] >= np.partition(score, -top)[-top] - off
+            again[pick] = False
+            again = np.flatnonzero(again)
+            pick, score = np.concatenate([pick, again]), np.concatenate([score, (xs[again] * query).sum(axis=1)])
         order = np.lexsort((ids[pick], -score))
         order = order[np.sort(np.unique(ids[pick][order], return_index=True)[1])][:top]  # an id's best alone
         for column, v in zip(out, (np.full(len(order), own[i]), ids[pick][order], score[order]), strict=True):
