@@ -408,6 +408,8 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     count = pairs.count()
+    if not count:  # no text is read for nothing
+        return spark.createDataFrame([], "x long, nx int, y long, ny int, both int")
     side = max(1, int(np.ceil(np.sqrt(count / TASK_PAIRS))))
     at = lambda c, salt: F.pmod(F.xxhash64(F.lit(salt), c), F.lit(side)).cast("int")
     placed = pairs.select("x", "nx", "y", "ny", (at("x", 1) * side + at("y", 2)).alias("task"))
