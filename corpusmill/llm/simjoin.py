@@ -24,7 +24,8 @@ No step gathers a list's pairs, links or components on the driver, and none caps
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -52,16 +53,17 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles; with fewer than five words, of the whole sequence; without, none."""
+def shingles(text: str | None, width: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of `width` words (five at most); with fewer words, of the whole sequence;
+    without, none."""
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    if len(h) < WORDS:
+    if len(h) < width:
         return _mixed((h * _MULT[: len(h)]).sum(keepdims=True) + np.uint64(len(h)))
-    n = len(h) - WORDS + 1
-    return np.unique(_mixed(sum(h[k : n + k] * _MULT[k] for k in range(WORDS))))
+    n = len(h) - width + 1
+    return np.unique(_mixed(sum(h[k : n + k] * _MULT[k] for k in range(width))))
 
 
 def prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -97,14 +99,14 @@ def folded(signs: list[bytes | None], bits: int) -> np.ndarray:
     return out
 
 
-def frequent_slots(docs: DataFrame) -> np.ndarray:
-    """A bitmap of COUNTERS bits: where shingles counted over all documents exceed chance by FREQUENT."""
+def frequent_slots(rows: DataFrame, sets: Callable = shingles) -> np.ndarray:
+    """A bitmap of COUNTERS bits: where the items of `sets`, applied to the second column of all rows, exceed chance by FREQUENT."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.uint8)
         n = 0
         for b in batches:
-            found = np.concatenate([np.zeros(0, np.uint64), *map(shingles, b.column(1).to_pylist())])
+            found = np.concatenate([np.zeros(0, np.uint64), *map(sets, b.column(1).to_pylist())])
             n += len(found)
             slot, k = np.unique((found >> np.uint64(40)).astype(np.int32), return_counts=True)
             total[slot] = np.minimum(total[slot].astype(np.int64) + k, 255)
@@ -122,7 +124,7 @@ def frequent_slots(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int32()), "counts": pa.array([s.astype("<u4").tobytes() for s in sums.values()], pa.binary()), "n": pa.array([n if i == 0 else 0 for i in range(len(sums))], pa.int64())})
 
     parts = COUNTERS // PART
-    counts = map_arrow(documents(docs), count, "part int, counts binary, n long")
+    counts = map_arrow(rows, count, "part int, counts binary, n long")
     summed = written(map_arrow(counts.repartition(min(parts, 16), "part"), add, "part int, counts binary, n long"), "sketch")
     least = FREQUENT + 2 * (summed.agg(F.sum("n")).first()[0] or 0) // COUNTERS
 
@@ -140,7 +142,7 @@ def frequent_slots(docs: DataFrame) -> np.ndarray:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """A written table of doc_id, n, digest of the set (null: empty), the prefix and the signature."""
-    frequent = frequent_slots(docs)
+    frequent = frequent_slots(documents(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -319,7 +321,17 @@ def _far(nx: np.ndarray, gx: list, ny: np.ndarray, gy: list) -> tuple[np.ndarray
     return ~known | (9 * (total - differ) >= 8 * total), np.where(known, differ / np.maximum(total, 1), 1.0)
 
 
-def leader_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
+class Bounds(NamedTuple):
+    """What sets may link, by sizes and places, and by what entries carry of their sets: see _may and _far."""
+
+    may: Callable
+    far: Callable
+
+
+SIGNATURES = Bounds(_may, _far)
+
+
+def leader_pairs(lists: DataFrame, of: DataFrame, by: Bounds = SIGNATURES) -> DataFrame:
     """The sets of each list of 8 * LONG_LIST or more, each with the NEAREST of its leaders, which are the LEADERS sets
     that come first in a seeded order of all sets. Which leaders are taken touches speed only."""
 
@@ -333,9 +345,9 @@ def leader_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
                 far = np.full((len(first), e - s), np.inf)
                 for k, i in enumerate(first):
                     lo, hi = np.searchsorted(n, -(-4 * n[i] // 5)), np.searchsorted(n, 5 * n[i] // 4, side="right")  # blocks outside are skipped
-                    at = lo + np.flatnonzero(_may(n[i], p[i], n[lo:hi], p[lo:hi]) & (x[lo:hi] != x[i]))
+                    at = lo + np.flatnonzero(by.may(n[i], p[i], n[lo:hi], p[lo:hi]) & (x[lo:hi] != x[i]))
                     if len(at):
-                        ok, share = _far(np.full(len(at), n[i]), [sign[i]] * len(at), n[at], sign[at])
+                        ok, share = by.far(np.full(len(at), n[i]), [sign[i]] * len(at), n[at], sign[at])
                         far[k, at] = np.where(ok, share, np.inf)
                 near = np.argsort(far, axis=0, kind="stable")[:NEAREST]
                 for k, i in enumerate(first):
@@ -348,7 +360,7 @@ def leader_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
     return map_arrow(entries(lists, of, True), run, PAIRS, rows=50_000).select("x", "nx", "y", "ny").distinct()
 
 
-def cross_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
+def cross_pairs(lists: DataFrame, of: DataFrame, by: Bounds = SIGNATURES) -> DataFrame:
     """Pairs of each list whose components differ, that sizes, positions and signatures leave room for, in the lists where
     they may meet first. Members of a long list's largest component are only met from outside it."""
 
@@ -358,10 +370,10 @@ def cross_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
         def look(cols: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> None:
             """Pairs of rows i and j."""
             n, p, q, c = cols[3].astype(np.int64), cols[4], cols[5], cols[7]
-            ok = (c[i] != c[j]) & ~(cols[6][i] & cols[6][j]) & _meet(p[i], q[i], p[j], q[j]) & _may(n[i], p[i], n[j], p[j])
+            ok = (c[i] != c[j]) & ~(cols[6][i] & cols[6][j]) & _meet(p[i], q[i], p[j], q[j]) & by.may(n[i], p[i], n[j], p[j])
             i, j = i[ok], j[ok]
             if len(i):
-                ok, far = _far(n[i], cols[8][i], n[j], cols[8][j])
+                ok, far = by.far(n[i], cols[8][i], n[j], cols[8][j])
                 i, j = i[ok], j[ok]
                 out.add(cols[2][i], n[i], cols[2][j], n[j], far[ok])
 
@@ -399,7 +411,7 @@ def cross_pairs(lists: DataFrame, of: DataFrame) -> DataFrame:
     return map_arrow(entries(lists, of, False), run, PAIRS, rows=50_000).distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, items: Callable = shingles) -> DataFrame:
     """Pairs (written) with `both`, the size of their intersection on whole sets.
 
     Pairs are dealt to a grid of tasks by the hash of either side, so that a set that is in many pairs goes to a row or a
@@ -420,7 +432,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shingles(t) for t in b.column(1).to_pylist()]
+            found = [items(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in found], pa.int32()), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "n", "items"])
 
     found = map_arrow(texts, sets, "id long, n int, items binary").join(F.broadcast(needs) if few else needs, "id")
@@ -537,11 +549,18 @@ def components(docs: DataFrame) -> DataFrame:
     rest = written(derived(left, first.unionByName(second)), "open")
     third = verified(docs, rest.where("link is null").select(pair))
     links = links.unionByName(rest.where("link").select("x", "y")).unionByName(third.where(_LINK).select("x", "y"))
+    out = labelled(prints, nodes, links)
+    discard(lists, signs, near, first, known, cross, derived_, likeliest, second, now, left, rest, third)
+    return out
+
+
+def labelled(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of prints, by links (x, y) of nodes; nodes have digest and n."""
+    usable = prints.where("digest is not null and doc_id is not null")
     same = usable.select("doc_id", "digest", "n").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id")
     classes = nodes.select("digest", "n", "node")
     twice = usable.select("doc_id", "digest", "n").join(same, "doc_id").join(classes, ["digest", "n"]).select(F.col("doc_id").alias("x"), F.col("node").alias("y"))
     found = connected(links.unionByName(twice))
-    discard(lists, signs, near, first, known, cross, derived_, likeliest, second, now, left, rest, third)
     rows = prints.select("doc_id", "n", "digest").join(classes, ["digest", "n"], "left").join(found, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
