@@ -7,7 +7,8 @@ A document's set is its distinct 4-word shingles; two sets link when 100 * inter
    share one of the first KEPT - LEAST + 1 in any common order: rare values come first, and the most frequent have no lists.
    Two sets meet in the list of the first value that they share.
 3. The KEPT smallest values of both sketches are the sketch of the union; those that both have estimate the similarity.
-   Pairs with fewer than LEAST of them go. Of sets that are retained whole the sketches decide exactly.
+   Pairs with fewer than LEAST of them go. Of sets that are retained whole the sketches decide exactly. Of the others, parity
+   signatures of the full sets bound the similarity from above, as a first step of the exact check.
 4. In long lists, sets meet their nearest leaders first, and later only those of other components.
 5. What is left is verified on full sets; links make components.
 
@@ -91,39 +92,50 @@ def estimated(nx: np.ndarray, gx: list, ny: np.ndarray, gy: list) -> tuple[np.nd
     return ok, far
 
 
-SKETCHES = simjoin.Bounds(_may, estimated)
+def _far(nx: np.ndarray, gx: list, ny: np.ndarray, gy: list) -> tuple[np.ndarray, np.ndarray]:
+    """`estimated`, and of what that leaves, what the signatures that follow the sketches leave."""
+    cut = lambda n, g: (None, None) if g is None else (g[: 4 * min(n, KEPT)], g[4 * min(n, KEPT) :])
+    (sx, px), (sy, py) = (zip(*(cut(int(n), g) for n, g in zip(ns, gs, strict=True)), strict=True) if len(ns) else ((), ()) for ns, gs in ((nx, gx), (ny, gy)))
+    ok, far = estimated(nx, sx, ny, sy)
+    at = np.flatnonzero(ok)
+    if len(at):
+        ok[at] = simjoin.SIGNATURES.far(nx[at], [px[i] for i in at], ny[at], [py[i] for i in at])[0]
+    return ok, far
+
+
+SKETCHES = simjoin.Bounds(_may, _far)
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """A written table of doc_id, n, digest of the set (null: empty) and its sketch."""
+    """A written table of doc_id, n, digest of the set (null: empty), its sketch and its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.array([s[:KEPT].tobytes() for s in sets], pa.binary())], ["doc_id", "n", "digest", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.array([s[:KEPT].tobytes() for s in sets], pa.binary()), pa.array([simjoin.signature(s) for s in sets], pa.binary())], ["doc_id", "n", "digest", "sketch", "parity"])
 
-    return written(map_arrow(documents(docs), run, "doc_id long, n long, digest binary, sketch binary"), "sketches")
+    return written(map_arrow(documents(docs), run, "doc_id long, n long, digest binary, sketch binary, parity binary"), "sketches")
 
 
 def _with_prefix(nodes: DataFrame) -> DataFrame:
-    """node, n, prefix (the values by which it is found) and sign (the sketch's highest 32 bits)."""
+    """node, n, prefix (the values by which it is found) and sign (the sketch's highest 32 bits, then the signature)."""
     frequent = simjoin.frequent_slots(nodes.select("node", "sketch"), _spread)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [_values(s) for s in b.column(2).to_pylist()]
             first = [indexed(s, n, frequent).tobytes() for s, n in zip(sets, b.column(1).to_pylist(), strict=True)]
-            high = [np.minimum(s >> np.uint64(32), np.uint64(_NONE - 1)).astype("<u4").tobytes() for s in sets]
+            high = [np.minimum(s >> np.uint64(32), np.uint64(_NONE - 1)).astype("<u4").tobytes() + g for s, g in zip(sets, b.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(first, pa.binary()), pa.array(high, pa.binary())], ["node", "n", "prefix", "sign"])
 
-    return map_arrow(nodes.select("node", "n", "sketch"), run, "node long, n long, prefix binary, sign binary")
+    return map_arrow(nodes.select("node", "n", "sketch", "parity"), run, "node long, n long, prefix binary, sign binary")
 
 
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the row's id is its component's) of every row."""
     prints = sketched(docs)
     usable = prints.where("digest is not null and doc_id is not null")
-    nodes = written(usable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")), "nodes")
+    nodes = written(usable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity")), "nodes")
     found = written(_with_prefix(nodes), "prefixes")
     lists = simjoin.index_lists(found)
     signs = written(found.groupBy("node").agg(F.when(F.count("*") == 1, F.first("sign")).alias("sign")), "signs")
