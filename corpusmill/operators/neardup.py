@@ -1,29 +1,37 @@
-"""Exact near-duplicate removal on character shingles: a rarest-first prefix join, then greedy leaders in input order.
-
-1. A sketch of fixed size counts shingles; each set is put in one order, rare shingles first. Sets with a Jaccard similarity
-   of t share one of their first c - ceil(t c) + 1 (the prefix).
-2. Prefix entries of one domain and shingle meet in an equi-join. A pair comes about only where the shingle may be the first
-   that both have (the shingles before it differ), and sizes and places leave room for the similarity.
-3. Signatures rule out most of what isn't similar; sets are made again, and compared, for the rest alone.
+"""Exact near-duplicate removal on character shingles: equal segments of sets, then greedy leaders in input order.
+
+1. Sets with a Jaccard similarity of t differ in at most (1 - t) / (1 + t) (a + b) shingles. The shingles are dealt to more
+   segments than that by their hash, so that two such sets agree in at least one whole segment. A key is the hash of a
+   segment's shingles, several of them, so that unrelated sets hardly ever share one, however frequent their shingles are.
+   The number of segments goes by size: a set has keys for its class of sizes and, at its lower end, for the class below.
+2. Rows of one domain and key meet in an equi-join, in the first of a run of segments that they share.
+3. Signatures rule out most of what isn't similar; sets are compared for the rest alone.
 4. Where lists are long, rows that no earlier row of their lists can remove are settled first, with what they remove, so that
    a large group of near copies is compared with one row and not all with all.
+
+A LeaderIndex holds keys, signatures and sets of the rows that stayed, so that later batches are cleaned without the texts of
+earlier ones.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import discard, stored
 
 SHINGLE = 5
-#: 64-bit words of a set's signature; counters of the sketch; entries of a list from which heads are settled first, and how
-#: often. The last three touch speed only.
-SIGN_WORDS, COUNTERS, LONG_LIST, ROUNDS = 64, 1 << 20, 256, 3
+#: 64-bit words of a set's signature; entries of a list from which heads are settled first, and how often. The last two touch
+#: speed only.
+SIGN_WORDS, LONG_LIST, ROUNDS = 64, 64, 8
+#: Sizes of a class, as a multiple of its least.
+CLASS = 1.5
 
 
 def shingle_hashes(text: str | None) -> np.ndarray:
@@ -47,131 +55,189 @@ def signature(s: np.ndarray) -> list[int]:
     return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view("<i8").tolist()
 
 
-def _slots(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+@cache
+def classes(threshold: float) -> tuple[list[int], list[int], list[int]]:
+    """Of each class of sizes: its least size, its segments, and how many of them agree at least."""
+    least, wide = [1], max(CLASS, 1 / threshold)  # so that similar sets are of one class or of neighbours
+    while least[-1] < 1 << 31 and threshold < 1:
+        least.append(max(least[-1] + 1, int(np.ceil(wide * least[-1]))))
+    least.append(1 << 32)
+    segments, agree = [], []
+    for above in least[1:]:
+        most = int((1 - threshold) / threshold * (above - 1) + 1e-6)  # one set of the class, and one that is larger by the threshold
+        agree.append(1 + int(most * (1 / 16 + 1.5 * np.exp(-threshold / max((1 - threshold) * wide, 1e-9)))))  # more than are empty by chance
+        segments.append(most + agree[-1])
+    return least[:-1], segments, agree
 
 
-def _frequencies(rows: DataFrame) -> np.ndarray:
-    """For each counter, the binary logarithm of how many sets have a shingle on it: COUNTERS bytes."""
+def keys(s: np.ndarray, threshold: float) -> np.ndarray:
+    """The keys of a set's segments, one class after the other, 0 before each class and for segments that have none.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.uint32)
-        for b in batches:
-            for t in b.column(2).to_pylist():
-                np.add.at(total, _slots(shingle_hashes(t)), 1)
-        parts = total.reshape(64, -1)
-        yield pa.RecordBatch.from_pydict({"part": pa.array(range(64), pa.int32()), "counts": pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary())})
+    Segments without shingles have keys only if a set has so many of them that all in which two sets agree may be empty.
+    """
+    least, segments, agree = classes(threshold)
+    own = int(np.searchsorted(least, len(s), side="right")) - 1
+    out = []
+    for k in [own] + ([own - 1] if own and threshold * len(s) - 1e-6 <= least[own] - 1 else []):
+        at = ((s >> np.uint64(32)) * np.uint64(segments[k]) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        used, first = np.unique(at[order], return_index=True)
+        h = np.zeros(segments[k], np.uint64)
+        h[used] = np.add.reduceat(_mixed(s[order]), first)
+        salted = _mixed(h + np.arange(segments[k], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k))
+        salted[salted == 0] = 1
+        if segments[k] - len(used) < agree[k]:
+            empty = np.ones(segments[k], bool)
+            empty[used] = False
+            salted[empty] = 0
+        out += [np.zeros(1, np.uint64), salted]
+    return np.concatenate(out)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
-    def add(t: pa.Table) -> pa.Table:
-        total = sum((np.frombuffer(c, "<u4").astype(np.uint64) for c in t["counts"].to_pylist()), np.zeros(COUNTERS // 64, np.uint64))
-        return pa.table({"part": t["part"][:1], "bits": pa.array([np.ceil(np.log2(total + 1)).astype(np.uint8).tobytes()], pa.binary())})
 
-    out = np.zeros((64, COUNTERS // 64), np.uint8)
-    for r in rows.mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(add, "part int, bits binary").collect():  # 1 MB in all
-        out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
-    return out.ravel()
+_PRINTS = "id long, dom string, c int, sign array<long>, keys array<long>, text string"
+
+
+def _rows(df: DataFrame, key: str, domain: str, text: str) -> DataFrame:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dom = F.coalesce(F.concat(F.lit("="), F.col(domain).cast("string")), F.lit(""))
+    return df.select(F.col(key).cast("long").alias("id"), dom.alias("dom"), F.col(text).alias("text")).repartition(parts, "id")  # shingling is the work: one task a file would be too few
+
+
+def _prints(rows: DataFrame, threshold: float) -> DataFrame:
+    """A stored table of _PRINTS; with the texts, so that what made the rows isn't run again for those that are compared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                part = b.slice(at, 1024)
+                sets = [shingle_hashes(t) for t in part.column(2).to_pylist()]
+                long = lambda x: pa.array(x, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int32()), long([signature(s) for s in sets]), long([keys(s, threshold).view(np.int64) if len(s) else s.view(np.int64) for s in sets]), part.column(2)], ["id", "dom", "c", "sign", "keys", "text"])
 
+    return stored(rows.mapInArrow(run, _PRINTS), "prints")
 
-def _least(c: Column, threshold: float) -> Column:
-    return F.ceil(F.lit(threshold) * c - 1e-9)
+
+def _entries(prints: DataFrame) -> DataFrame:
+    """h, id, c and `before`, the key of the segment before (0: none). The domain is part of the hash h."""
+    before = F.concat(F.array(F.lit(0).cast("long")), F.slice("keys", F.lit(1), F.greatest(F.size("keys") - 1, F.lit(0))))
+    e = prints.where("c > 0").select("id", "c", "dom", F.explode(F.arrays_zip("keys", before.alias("before"))).alias("e"))
+    return e.where("e.keys <> 0").select(F.xxhash64("dom", "e.keys").alias("h"), "id", "c", F.col("e.before").alias("before"))
 
 
 def _may(a: str, b: str, threshold: float) -> Column:
-    """Whether sizes and places of a first common shingle leave room for the similarity."""
-    ca, cb, pa_, pb = (F.col(f"{s}.{x}") for x in ("c", "place") for s in (a, b))
-    need = threshold / (1 + threshold) * (ca + cb) - 1e-6
-    return (F.least(ca, cb) >= threshold * F.greatest(ca, cb)) & (F.least(ca - pa_, cb - pb) >= need) & ((pa_ == 0) | (pb == 0) | (F.col(f"{a}.before") != F.col(f"{b}.before")))
+    """Whether sizes leave room for the similarity, and the segments before don't agree too (else the sets met there)."""
+    ca, cb, before, other = F.col(f"{a}.c"), F.col(f"{b}.c"), F.col(f"{a}.before"), F.col(f"{b}.before")
+    return (F.least(ca, cb) >= threshold * F.greatest(ca, cb) - 1e-6) & ((before == 0) | (before != other))
+
+
+def _sets(prints: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and s, the hashes, of the rows with one of the ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(x).view(np.int64) for x in part.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
+
+    return prints.select("id", "text").join(ids, "id", "left_semi").mapInArrow(run, "id long, s array<long>")
+
+
+class _Side:
+    """One side of a comparison: its signatures, and its sets by id."""
+
+    def __init__(self, prints: DataFrame, sets):
+        self.prints, self.sets = prints, sets
+
+    def signs(self, name: str) -> DataFrame:
+        return self.prints.select(F.col("id").alias(name), F.col("dom").alias(f"d{name}"), F.col("c").alias(f"c{name}"), F.col("sign").alias(f"g{name}"))
+
+
+def _similar(pairs: DataFrame, left: _Side, right: _Side, t: float) -> DataFrame:
+    """Those of the pairs (i of left, j of right) that are of one domain and whose similarity reaches the threshold."""
+    differ = F.aggregate(F.zip_with("gi", "gj", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    total, most = F.col("ci") + F.col("cj"), (F.col("ci") + F.col("cj") - differ) / 2
+    open_ = stored(pairs.join(left.signs("i"), "i").join(right.signs("j"), "j").where("di = dj").where(most + 1e-6 >= t * (total - most)).select("i", "j"), "open")
+    i, j = open_.select(F.col("i").alias("id")), open_.select(F.col("j").alias("id"))
+    if left is right:
+        a = b = stored(left.sets(i.unionByName(j).distinct()), "sets")
+    else:
+        a, b = left.sets(i.distinct()), right.sets(j.distinct())
+    made = a
+    a, b = a.select(F.col("id").alias("i"), F.col("s").alias("si")), b.select(F.col("id").alias("j"), F.col("s").alias("sj"))
+    whole = open_.join(a, "i").join(b, "j").select("i", "j", F.size(F.array_intersect("si", "sj")).alias("o"), F.size("si").alias("a"), F.size("sj").alias("b"))
+    out = stored(whole.where(F.col("o") / (F.col("a") + F.col("b") - F.col("o")) >= t).select("i", "j"), "similar")
+    discard(open_, made)
+    return out
 
 
 class _Join:
-    """The tables of one join: entries (dom, h, id, c, place, before) and signatures."""
+    """The tables of one comparison of rows with each other."""
 
     def __init__(self, df: DataFrame, key: str, domain: str, text: str, threshold: float):
         self.threshold = threshold
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.rows = df.select(F.col(key).cast("long").alias("id"), F.coalesce(F.concat(F.lit("="), F.col(domain).cast("string")), F.lit("")).alias("dom"), F.col(text).alias("text")).repartition(parts, "id")  # shingling is the work: one task a file would be too few
-        frequency = _frequencies(self.rows)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for at in range(0, b.num_rows, 1024):
-                    part = b.slice(at, 1024)
-                    sets = [shingle_hashes(t) for t in part.column(2).to_pylist()]
-                    first = [s[np.argsort(frequency[_slots(s)], kind="stable")[: len(s) - int(np.ceil(threshold * len(s) - 1e-9)) + 1]].view(np.int64) if len(s) else s.view(np.int64) for s in sets]
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array([signature(s) for s in sets], pa.list_(pa.int64()))], ["id", "dom", "c", "first", "sign"])
-
-        self.prints = stored(self.rows.mapInArrow(run, "id long, dom string, c int, first array<long>, sign array<long>"), "prints")
-        before = F.concat(F.array(F.lit(0).cast("long")), F.slice("first", F.lit(1), F.greatest(F.size("first") - 1, F.lit(0))))
-        at = self.prints.where("c > 0").select("dom", "id", "c", F.posexplode(F.arrays_zip("first", before.alias("before"))).alias("place", "e"))
-        self.entries = at.select("dom", F.col("e.first").alias("h"), "id", "c", "place", F.col("e.before").alias("before"))
+        self.prints = _prints(_rows(df, key, domain, text), threshold)
+        self.side = _Side(self.prints, lambda ids: _sets(self.prints, ids))
+
+    def met(self, prints: DataFrame | None = None) -> tuple[DataFrame, int]:
+        """(entries of the keys that two rows or more have, the length of the longest list)."""
+        entries = _entries(self.prints if prints is None else prints)
+        lists = stored(entries.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "lists")
+        out = stored(entries.join(lists, "h", "left_semi"), "entries")
+        longest = lists.agg(F.max("k")).first()[0] or 0
+        discard(lists)
+        return out, longest
 
     def candidates(self, entries: DataFrame) -> DataFrame:
         """(i, j), i before j, of all lists."""
         a, b = entries.alias("a"), entries.alias("b")
-        on = (F.col("a.dom") == F.col("b.dom")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id"))
+        on = (F.col("a.h") == F.col("b.h")) & (F.col("a.id") < F.col("b.id"))
         return a.join(b, on & _may("a", "b", self.threshold)).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
 
     def similar(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (i, j) whose similarity reaches the threshold."""
-        t = self.threshold
-        sign = lambda side: self.prints.select(F.col("id").alias(side), F.col("c").alias(f"c{side}"), F.col("sign").alias(f"g{side}"))
-        differ = F.aggregate(F.zip_with("gi", "gj", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-        total, most = F.col("ci") + F.col("cj"), (F.col("ci") + F.col("cj") - differ) / 2
-        open_ = stored(pairs.join(sign("i"), "i").join(sign("j"), "j").where(most + 1e-6 >= t * (total - most)).select("i", "j"), "open")
-        needed = open_.select(F.col("i").alias("id")).unionByName(open_.select(F.col("j").alias("id"))).distinct()
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for at in range(0, b.num_rows, 256):
-                    part = b.slice(at, 256)
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(x).view(np.int64) for x in part.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
-
-        sets = self.rows.join(needed, "id", "left_semi").select("id", "text").mapInArrow(run, "id long, s array<long>")
-        left, right = sets.select(F.col("id").alias("i"), F.col("s").alias("si")), sets.select(F.col("id").alias("j"), F.col("s").alias("sj"))
-        both = F.size(F.array_intersect("si", "sj"))
-        whole = open_.join(left, "i").join(right, "j").select("i", "j", both.alias("o"), F.size("si").alias("a"), F.size("sj").alias("b"))
-        out = stored(whole.where(F.col("o") / (F.col("a") + F.col("b") - F.col("o")) >= t).select("i", "j"), "similar")
-        discard(open_)
-        return out
+        return _similar(pairs, self.side, self.side, self.threshold)
 
 
 def similar_pairs(df: DataFrame, key: str, domain: str, text: str, threshold: float = 0.9) -> DataFrame:
     """(i, j), i before j, of one domain with a Jaccard similarity of at least the threshold. No pair is missed; blank texts
-    are in none."""
+    and rows without a key are in none."""
     join = _Join(df, key, domain, text, threshold)
-    return join.similar(join.candidates(join.entries))
+    entries, _ = join.met()
+    out = join.similar(join.candidates(entries))
+    discard(join.prints, entries)
+    return out
 
 
 def _settled(join: _Join, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entries that are left, rows that go), after settling the rows that come first in each of their lists: nothing can
     remove them, and they remove what is similar to them."""
-    head = F.min(F.struct("id", "c", "place", "before")).alias("head")
-    lists = stored(entries.groupBy("dom", "h").agg(head, F.count("*").alias("k")).where("k > 1").drop("k"), "lists")
-    on = entries.join(lists, ["dom", "h"])
+    lists = stored(entries.groupBy("h").agg(F.min(F.struct("id", "c", "before")).alias("head")), "lists")
+    on = entries.join(lists, "h")
     first = stored(on.groupBy("id").agg(F.bool_and(F.col("id") == F.col("head.id")).alias("is_first")).where("is_first").select("id"), "first")
     met = on.where("id <> head.id").join(first.select(F.col("id").alias("of")), F.col("head.id") == F.col("of"), "left_semi")
-    a, b = met.select("head.*").columns, ("c", "place", "before")
-    met = met.select(F.struct(*[F.col(f"head.{x}").alias(x) for x in a]).alias("a"), F.struct("id", *b).alias("b"))
-    gone = stored(join.similar(met.where(_may("a", "b", join.threshold)).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()).select(F.col("j").alias("d")).distinct(), "gone")
-    done = gone.select(F.col("d").alias("id")).unionByName(first)
-    left = stored(entries.join(done, "id", "left_anti"), "entries")
-    discard(lists, first, entries)
+    met = met.select(F.col("head").alias("a"), F.struct("id", "c", "before").alias("b")).where(_may("a", "b", join.threshold))
+    similar = join.similar(met.select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct())
+    gone = stored(similar.select(F.col("j").alias("d")).distinct(), "gone")
+    left = stored(entries.join(gone.select(F.col("d").alias("id")).unionByName(first), "id", "left_anti"), "entries")
+    discard(lists, first, entries, similar)
     return left, gone
 
 
-def leaders(df: DataFrame, key: str, domain: str, text: str, threshold: float = 0.9) -> DataFrame:
-    """(key) of the rows that go: a row goes if an earlier row that stays is similar to it.
-
-    Rounds: rows without an undecided or staying earlier neighbour stay, their later neighbours go; until none is undecided.
-    """
-    join = _Join(df, key, domain, text, threshold)
-    entries, gone = join.entries, []
+def _leaders(join: _Join, prints: DataFrame | None = None) -> DataFrame:
+    """(d) of the rows that go; see leaders(). `prints`: those of the join's rows that take part, if not all."""
+    entries, longest = join.met(prints)
+    gone = []
     for _ in range(ROUNDS):
-        longest = entries.groupBy("dom", "h").count().agg(F.max("count")).first()[0] or 0
         if longest < LONG_LIST:
             break
         entries, more = _settled(join, entries)
         gone.append(more)
+        longest = entries.groupBy("h").count().agg(F.max("count")).first()[0] or 0
     open_ = join.similar(join.candidates(entries))
     while not open_.isEmpty():
         later = open_.select(F.col("j").alias("n")).distinct()
@@ -180,8 +246,77 @@ def leaders(df: DataFrame, key: str, domain: str, text: str, threshold: float =
         gone.append(drop)
         before, open_ = open_, stored(open_.join(drop, open_["i"] == drop["d"], "left_anti").join(drop, open_["j"] == drop["d"], "left_anti"), "pairs")
         discard(before)
-    discard(join.prints, entries)
-    out = df.sparkSession.createDataFrame([], "d long")
+    discard(entries, open_)
+    out = join.prints.sparkSession.createDataFrame([], "d long")
     for g in gone:
         out = out.unionByName(g)
-    return out.select(F.col("d").alias(key)).distinct()
+    return out.distinct()
+
+
+def leaders(df: DataFrame, key: str, domain: str, text: str, threshold: float = 0.9) -> DataFrame:
+    """(key) of the rows that go: a row goes if an earlier row that stays is similar to it.
+
+    Rounds: rows without an undecided or staying earlier neighbour stay, their later neighbours go; until none is undecided.
+    Blank texts, and rows without a key, stay; a null domain is one of its own.
+    """
+    join = _Join(df, key, domain, text, threshold)
+    out = _leaders(join)
+    discard(join.prints)
+    return out.select(F.col("d").alias(key))
+
+
+class LeaderIndex:
+    """The rows that stayed of the batches cleaned so far, in a folder: keys, in buckets by hash, and signatures and sets.
+
+    A batch's rows are compared with the leaders of the batches before it, then with each other. What they cost grows with the
+    batch: of the index, keys are read without being shuffled, and signatures and sets of the leaders that a key points at are
+    picked by id; texts are kept nowhere. Cleaning the batches one after the other gives what one run over all of them gives, if
+    a batch's rows come after those of the batches before. A batch that is added again, after a failure or not, replaces what
+    it had added before; batches after it must then be added again too.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, threshold: float = 0.9, buckets: int = 64):
+        self.spark, self.threshold, self.buckets = spark, threshold, buckets
+        self.keys, self.sets = (f"leaders_{kind}_{hashlib.md5(path.encode()).hexdigest()}" for kind in ("keys", "sets"))
+        parts = lambda by: f"USING parquet PARTITIONED BY (batch) CLUSTERED BY ({by}) INTO {buckets} BUCKETS"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.keys} (h BIGINT, id BIGINT, c INT, before BIGINT, batch INT) {parts('h')} LOCATION '{path}/keys'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.sets} (id BIGINT, dom STRING, c INT, sign ARRAY<BIGINT>, s ARRAY<BIGINT>, batch INT) {parts('id')} LOCATION '{path}/sets'")
+        at = spark._jvm.org.apache.hadoop.fs.Path(path, "sets")
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            for table in (self.keys, self.sets):
+                spark.sql(f"MSCK REPAIR TABLE {table}")  # batches that another session added
+
+    def batches(self) -> list[int]:
+        return sorted(int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {self.sets}").collect())
+
+    def pairs(self, prints: DataFrame, batch: int) -> DataFrame:
+        """(i of the index, j of the prints) that a key points at."""
+        a, b = self.spark.table(self.keys).where(F.col("batch") < batch).alias("a"), _entries(prints).alias("b")
+        return b.join(a, (F.col("a.h") == F.col("b.h")) & _may("a", "b", self.threshold)).select(F.col("a.id").alias("i"), F.col("b.id").alias("j")).distinct()
+
+    def add(self, df: DataFrame, key: str, domain: str, text: str, batch: int) -> DataFrame:
+        """(key) of the batch's rows that go; those that stay become part of the index."""
+        if any(b > batch for b in self.batches()):
+            raise ValueError(f"batches after {batch} are in the index already")
+        join = _Join(df, key, domain, text, self.threshold)
+        old = self.spark.table(self.sets).where(F.col("batch") < batch)
+        leaders_ = _Side(old, lambda ids: old.join(ids, "id", "left_semi").select("id", "s"))
+        met = stored(self.pairs(join.prints, batch), "pairs")
+        needed = met.select(F.col("i").alias("id")).distinct()
+        leaders_.prints = old.join(needed, "id", "left_semi")
+        similar = _similar(met, leaders_, join.side, self.threshold)
+        known = stored(similar.select(F.col("j").alias("d")).distinct(), "gone")
+        rest = stored(join.prints.join(known, F.col("id") == F.col("d"), "left_anti"), "prints")
+        gone = stored(_leaders(join, rest).unionByName(known), "gone")
+        stay = stored(rest.where("c > 0 and id is not null").join(gone, F.col("id") == F.col("d"), "left_anti"), "prints")
+        self._put(self.keys, _entries(stay).select("h", "id", "c", "before"), batch)
+        sets = _sets(stay, stay.select("id"))
+        self._put(self.sets, stay.join(sets, "id").select("id", "dom", "c", "sign", "s"), batch)
+        discard(join.prints, met, similar, known, rest, stay)
+        return gone.select(F.col("d").alias(key))
+
+    def _put(self, table: str, rows: DataFrame, batch: int) -> None:
+        """Replaces the batch's part of a table: a task for each bucket."""
+        rows.repartition(self.buckets, rows.columns[0]).createOrReplaceTempView(f"{table}_new")
+        self.spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch = {batch}) SELECT * FROM {table}_new")
+        self.spark.catalog.dropTempView(f"{table}_new")

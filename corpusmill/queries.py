@@ -77,6 +77,17 @@ def near_dup_removed(spark, d):
     return neardup.leaders(rows, "doc_id", "lang", "text", 0.9)
 
 
+@query(f"WITH RECURSIVE {sql.NEAR_DUPLICATES} SELECT doc_id FROM gone")
+def near_dup_incremental(spark, d):
+    """The same rows, of three batches that are cleaned one after the other against an index of the rows that stayed."""
+    rows = records.exact_dedup(_t(spark, d, "documents").where("text is not null").select("doc_id", "lang", "text"), "text", "doc_id")
+    cuts = rows.selectExpr("percentile(doc_id, array(0.4, 0.8)) c").first().c or [0, 0]
+    index, out = neardup.LeaderIndex(spark, f"{checkpoint_dir(spark)}/leaders-{uuid.uuid4().hex}"), []
+    for k, part in enumerate((F.col("doc_id") < cuts[0], F.col("doc_id").between(*cuts), F.col("doc_id") > cuts[1])):
+        out.append(index.add(rows.where(part), "doc_id", "lang", "text", k))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def _records(spark, d) -> DataFrame:
     return _t(spark, d, "documents").select("doc_id", F.concat(F.lit("Write about "), "source").alias("instruction"), F.lit("").alias("input"), F.col("text").alias("output"), F.col("lang").alias("domain"))
 

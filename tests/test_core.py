@@ -8,6 +8,7 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,62 @@ def test_leaders(spark):
     assert {x["id"] for x in neardup.leaders(df, "id", "domain", "text").collect()} == gone
 
 
+@pytest.mark.parametrize("threshold", [0.6, 0.8, 0.9, 0.97, 1.0])
+def test_segment_keys(threshold):
+    """Sets whose similarity reaches the threshold share a key of the same class, whatever their sizes; others seldom do."""
+    r = np.random.default_rng(3)
+    met = others = 0
+    top = (1 << 64) - 1
+    for n in [*range(1, 40), *range(40, 1500, 37)]:
+        common = r.integers(0, top, n, dtype=np.uint64)
+        for more in {0, 1, 2, int(n * (1 / threshold - 1)), int(n * (1 / threshold - 1)) + 3, n}:
+            for k in {0, more // 2, more}:
+                x = np.unique(np.concatenate([common, r.integers(0, top, k, dtype=np.uint64)]))
+                y = np.unique(np.concatenate([common, r.integers(0, top, more - k, dtype=np.uint64)]))
+                shared = set(neardup.keys(x, threshold).tolist()) & set(neardup.keys(y, threshold).tolist()) - {0}
+                assert shared or len(common) < threshold * len(np.union1d(x, y))
+        met += bool(set(neardup.keys(x, threshold).tolist()) & set(neardup.keys(r.integers(0, top, len(x), dtype=np.uint64), threshold).tolist()) - {0})
+        others += 1
+    assert met <= {0.6: others, 0.8: 3}.get(threshold, 0)
+
+
+def test_frequent_shingles_make_no_lists(spark):
+    """A shingle in 3,000 distinct texts: hardly any two rows meet."""
+    r = random.Random(3)
+    rows = [(i, "p", "licensed under " + " ".join(f"{r.randrange(10**6)}" for _ in range(30))) for i in range(3000)] + [(5000, "p", None), (None, "p", "x")]
+    rows += [(6000, "p", rows[7][2] + "."), (6001, "q", rows[7][2] + ".")]
+    join = neardup._Join(spark.createDataFrame(rows, "id long, domain string, text string"), "id", "domain", "text", 0.9)
+    entries, longest = join.met()
+    assert longest < 40 and join.candidates(entries).count() < 1500  # of 4.5 million pairs
+    assert [tuple(x) for x in neardup._leaders(join).collect()] == [(6000,)]
+
+
+def test_leader_index(spark, tmp_path):
+    """Batches one after the other, with one of them added twice and an index that is opened again, against one run."""
+    r = random.Random(9)
+    base = ["".join(r.choice("abcdefg ") for _ in range(300)) for _ in range(8)]
+    rows = [(i, r.choice(["p", None]), t if r.random() < 0.2 else t[: (k := r.randrange(300))] + "x" + t[k + r.randrange(3) :]) for i, t in enumerate(base * 12)] + [(200, "p", None), (201, "p", " "), (202, "p", "ab"), (203, "p", "ab"), (None, "p", base[0])]
+    df = spark.createDataFrame(rows, "id long, domain string, text string").withColumns({"h": F.lit(1), "c": F.lit("x"), "batch": F.lit(9)})
+    want = {x["id"] for x in neardup.leaders(df, "id", "domain", "text").collect()}
+    parts = [df.where("id is null or id < 30"), df.where("id between 30 and 50"), df.where("id > 1000"), df.where("id > 50")]
+    got = []
+    for k, part in enumerate(parts):
+        index = neardup.LeaderIndex(spark, str(tmp_path), buckets=3)
+        index.add(part, "id", "domain", "text", k)  # as if it had failed after its last write
+        got += [x["id"] for x in index.add(part, "id", "domain", "text", k).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 20
+    assert spark.table(index.sets).count() == len({i for i, *_ in rows if i is not None} - want - {200, 201})
+    with pytest.raises(ValueError):
+        index.add(parts[0], "id", "domain", "text", 0)
+    prints = neardup._prints(neardup._rows(parts[3], "id", "domain", "text"), 0.9)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = index.pairs(prints, 9)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning(h#") == 1  # the new rows alone
+
+
 def test_dialogue(spark):
     texts = ["x\nUSER: a\nmore\nassistant: b\nUSER: c", "ASSISTANT: a\nUSER: b", "USER: a", "USER:\nASSISTANT: b", "USER: a\nASSISTANT: b"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
