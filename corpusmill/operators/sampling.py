@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, MapType, VariantType
 
 
 def order_key(seed: int, key: str) -> Column:
@@ -16,6 +16,13 @@ def order_key(seed: int, key: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+def _order(df: DataFrame, seed: int, key: str) -> tuple[Column, Column]:
+    """order_key() and what decides ties. A row without a key is ordered by the hash of its other columns, so that such rows
+    are neither lost nor gathered; rows that are equal in all of them are exchangeable."""
+    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]).cast("string")
+    return F.coalesce(order_key(seed, key), F.md5(F.concat(F.lit(f"{seed}:null:"), row))), row
+
+
 def first_in_order(df: DataFrame, key: str, wanted: DataFrame | int, by: str | None = None, seed: int = 42) -> DataFrame:
     """The first `wanted` rows in the seeded order, of all rows or of each value of `by` (wanted: by and n, one row each).
 
@@ -23,7 +30,8 @@ def first_in_order(df: DataFrame, key: str, wanted: DataFrame | int, by: str | N
     bucket (one of 4,096) are ranked. So no group is sorted as a whole, and no task has more than a bucket's rows.
     """
     groups = [] if by is None else [by]
-    marked = df.withColumn("_b", F.substring(order_key(seed, key), 1, 3))
+    order, tie = _order(df, seed, key)
+    marked = df.withColumn("_b", F.substring(order, 1, 3))
     counts = marked.groupBy(*groups, "_b").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     plan = counts.withColumn("_before", before)  # at most 4,096 rows a group
@@ -31,7 +39,7 @@ def first_in_order(df: DataFrame, key: str, wanted: DataFrame | int, by: str | N
     plan = plan.where("_want > _before").select(*[F.col(g).alias("_g") for g in groups], F.col("_b").alias("_c"), (F.col("_want") - F.col("_before")).alias("_left"), F.col("_n"))
     on = F.col("_b") == F.col("_c")
     rows = marked.join(plan, on if by is None else on & F.col(by).eqNullSafe(F.col("_g")))
-    rank = F.row_number().over(Window.partitionBy(*groups, "_b").orderBy(order_key(seed, key), key))
+    rank = F.row_number().over(Window.partitionBy(*groups, "_b").orderBy(order, key, tie))
     whole = rows.where("_left >= _n").select(df.columns)
     return whole.unionByName(rows.where("_left < _n").withColumn("_r", rank).where("_r <= _left").select(df.columns))
 
@@ -44,16 +52,18 @@ def exact_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) ->
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """All rows in a seeded order, by a range-partitioned sort."""
-    return df.orderBy(order_key(seed, key), key)
+    order, tie = _order(df, seed, key)
+    return df.orderBy(order, key, tie)
 
 
 def numbered(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """df with `place`, the number of a row in the seeded order (from 1): the rows of the hash buckets before its own, and its
     rank in that."""
-    marked = df.withColumn("_b", F.substring(order_key(seed, key), 1, 3))
+    order, tie = _order(df, seed, key)
+    marked = df.withColumn("_b", F.substring(order, 1, 3))
     counts = marked.groupBy("_b").agg(F.count("*").alias("_n"))
     before = counts.select(F.col("_b").alias("_c"), F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # 4,096 rows
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy(order_key(seed, key), key))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy(order, key, tie))
     return marked.withColumn("_r", rank).join(F.broadcast(before), F.col("_b") == F.col("_c")).select(*df.columns, (F.col("_before") + F.col("_r")).alias("place"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from . import schema
 from ..functions.text import blank, strip
 
 # Rules that results must agree with.
@@ -51,11 +52,14 @@ def _bad(kind: str, detail: Column | str, line: Column | None = None) -> Column:
     return F.struct(F.lit(False).alias("passed"), F.lit(kind).alias("error_type"), (F.lit(detail) if isinstance(detail, str) else detail).alias("error_detail"), (F.lit(None) if line is None else line).cast("int").alias("line_number"))
 
 
+#: What counts as no resourceType at all: blank, false, zero and empty containers.
+_NOTHING = ("", "false", "0", "0.0", "[]", "{}")
+
+
 def content_type(text: Column) -> Column:
     t = strip(text)
     v = F.try_parse_json(t)
-    resource = F.try_variant_get(v, "$.resourceType", "string")
-    is_json = F.when(v.isNull(), "javascript").when(F.coalesce(resource, F.lit("")).isin("", "false", "0"), "json").otherwise("fhir")
+    is_json = F.when(v.isNull(), "javascript").when(_resource(v).isin(*_NOTHING), "json").otherwise("fhir")
     return F.when(t.startswith("MSH|"), "hl7v2").when(t.startswith("<") & t.contains(">"), "xml").when(t.startswith("{"), is_json).otherwise("javascript")
 
 
@@ -147,11 +151,22 @@ def hl7(text: Column, required: Mapping[str, Sequence[str]] = REQUIRED_SEGMENTS)
     return F.when(F.size(lines) == 0, _bad("structure", "Empty message")).when(~first.startswith("MSH|"), _bad("structure", "Message must start with MSH segment")).when(F.length(first) < 8, _bad("structure", "MSH segment too short")).when(F.size(missing) > 0, _bad("structure", F.concat(F.lit("Missing required segments for "), name, F.lit(": "), F.array_join(missing, ", ")))).otherwise(_ok())
 
 
-def fhir(text: Column) -> Column:
+def _resource(v: Column) -> Column:
+    """The resourceType of a JSON object as text, containers as JSON; blank without one."""
+    inner = F.try_variant_get(v, "$.resourceType", "variant")
+    return F.coalesce(F.try_variant_get(v, "$.resourceType", "string"), F.when(F.schema_of_variant(inner) != "VOID", F.to_json(inner)), F.lit(""))
+
+
+def fhir(text: Column, schemas: Mapping[str, Mapping] | None = None) -> Column:
+    """A JSON object with a resourceType; where `schemas` has that type's JSON schema, the object is also held against it."""
     v = F.try_parse_json(text)
     kind = F.schema_of_variant(v)
-    resource = F.coalesce(F.try_variant_get(v, "$.resourceType", "string"), F.lit(""))
-    return F.when(v.isNull(), _bad("syntax", "Invalid JSON")).when(~kind.startswith("OBJECT"), _bad("structure", "Not a JSON object")).when(resource.isin("", "false", "0"), _bad("structure", "Missing resourceType")).otherwise(_ok())
+    resource = _resource(v)
+    fits = _ok()
+    for name, rules in (schemas or {}).items():
+        error = schema.error(v, rules)
+        fits = F.when((resource == name) & error.isNotNull(), _bad("structure", F.concat(F.lit("Schema: "), error))).otherwise(fits)
+    return F.when(v.isNull(), _bad("syntax", "Invalid JSON")).when(~kind.startswith("OBJECT"), _bad("structure", "Not a JSON object")).when(resource.isin(*_NOTHING), _bad("structure", "Missing resourceType")).otherwise(fits)
 
 
 def line_of(text: Column, pattern: str) -> Column:

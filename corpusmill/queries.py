@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import sql
 from .functions import render, rules
 from .functions.text import content_hash, jaccard, strip, truncated
-from .operators import dialogue, neardup, records, report, sampling, score, synthesis, validate
+from .operators import dialogue, neardup, records, report, sampling, schema, score, synthesis, validate
 from .plans import flows
 from .sources import files
 from .sources.tables import checkpoint_dir
@@ -34,6 +34,24 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+#: Rows for what no document of the tables has: secrets beside and away from allowed text, attributions, marks of code and
+#: of clarification, blank texts and languages, scripts with brackets that don't match, by-passed and not.
+_MORE = [
+    (-1, "en", "a number 219-09-9999 here"), (-2, "en", "SSN 219-09-9999"), (-3, "en", "password = 'hunter22'"), (-4, "en", "password = 'YOUR_OWN'"),
+    (-5, "de", "api_key: \"k-81\""), (-6, "de", "the secret = 'zq81'"), (-7, "fr", "Bearer zq81.k"), (-8, "fr", "select a from t where b = '' + x"),
+    (-9, "en", "As an AI language model I can't."), (-10, "es", "trained by some labs"), (-11, "en", "```\ntry it\n```"), (-12, "en", "Could you clarify? 219-09-9999"),
+    (-13, "en", " \n"), (-14, " ", "\t"), (-15, " ", "x"), (-16, "en", "f(a[1)"), (-17, "math", "f(a[1)"), (-18, "fr", "if (a { b(); }"), (-19, "es", "if (a { b(); }"),
+    (-22, "math", "api-key='k'"), (-23, "en", '{"resourceType":[]}'), (-24, "en", '{"resourceType":"Patient"}'),
+]
+
+
+def _more(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, lang and text of all documents and of _MORE."""
+    return _t(spark, d, "documents").select("doc_id", "lang", "text").unionByName(spark.createDataFrame(_MORE, "doc_id long, lang string, text string"))
+
+
+_MORE_SQL = "(SELECT doc_id, lang, text FROM documents UNION ALL SELECT * FROM (VALUES " + ", ".join(f"({i}, {sql.q(k)}, E" + sql.q(t.replace("\\", "\\\\").replace("\n", "\\n").replace("\t", "\\t")).replace("''", "\\'") + ")" for i, k, t in _MORE) + "))"
+
 _S = sql.strip("text")
 _HASH = sql.content_hash("text")
 
@@ -60,10 +78,10 @@ def dedup_stats(spark, d):
 _PHRASES = ("licensed under", "released under", *records.ATTRIBUTION)
 
 
-@query(f"SELECT doc_id, regexp_matches(lower(text), {sql.q('|'.join(records.ATTRIBUTION))}) AS attributed, regexp_matches(lower(text), {sql.q('|'.join(_PHRASES))}) AS with_phrases FROM documents")
+@query(f"SELECT doc_id, regexp_matches(lower(text), {sql.q('|'.join(records.ATTRIBUTION))}) AS attributed, regexp_matches(lower(text), {sql.q('|'.join(_PHRASES))}) AS with_phrases FROM {_MORE_SQL}")
 def attribution_filter(spark, d):
     t = F.col("text")
-    return _t(spark, d, "documents").select("doc_id", records.attributed(t).alias("attributed"), records.attributed(t, _PHRASES).alias("with_phrases"))
+    return _more(spark, d).select("doc_id", records.attributed(t).alias("attributed"), records.attributed(t, _PHRASES).alias("with_phrases"))
 
 
 @query(f"SELECT doc_id FROM documents WHERE length({_S}) >= 400")
@@ -169,10 +187,19 @@ def fhir_structure(spark, d):
     return _all_cases(spark, d).select("id", validate.fhir(F.col("text"))["passed"].alias("passed"))
 
 
-@query(f"SELECT doc_id, {', '.join(f'regexp_matches(text, {sql.q(chr(40) + chr(63) + chr(105) + chr(41) + p)}) AS rule{k}' for k, (p, _) in enumerate(validate.SECRETS))}, regexp_matches(text, {sql.q('(?i)' + validate.SQL_CONCATENATION)}) AS sql_concatenation FROM documents")
+_EVENT = {"type": "object", "required": ["k"], "properties": {"k": {"$ref": "#/definitions/count"}}, "additionalProperties": False, "definitions": {"count": {"type": "integer", "minimum": 10, "exclusiveMaximum": 90, "not": {"enum": [20, 21]}}}}
+
+
+@query("""SELECT event_id, CASE WHEN e IS NOT NULL THEN '$.k: ' || e END AS error FROM (SELECT event_id, CASE WHEN k < 10 THEN 'minimum' WHEN k >= 90 THEN 'exclusiveMaximum' WHEN k IN (20, 21) THEN 'not' END AS e
+FROM (SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events))""")
+def schema_events(spark, d):
+    return _t(spark, d, "events").select("event_id", schema.error(F.try_parse_json("props"), _EVENT).alias("error"))
+
+
+@query(f"SELECT doc_id, {', '.join(f'regexp_matches(text, {sql.q(chr(40) + chr(63) + chr(105) + chr(41) + p)}) AS rule{k}' for k, (p, _) in enumerate(validate.SECRETS))}, regexp_matches(text, {sql.q('(?i)' + validate.SQL_CONCATENATION)}) AS sql_concatenation FROM {_MORE_SQL}")
 def secret_flags(spark, d):
     t = F.col("text")
-    return _t(spark, d, "documents").select("doc_id", *[rules.matches_any(t, [p]).alias(f"rule{k}") for k, (p, _) in enumerate(validate.SECRETS)], t.rlike(f"(?id){validate.SQL_CONCATENATION}").alias("sql_concatenation"))
+    return _more(spark, d).select("doc_id", *[rules.matches_any(t, [p]).alias(f"rule{k}") for k, (p, _) in enumerate(validate.SECRETS)], t.rlike(f"(?id){validate.SQL_CONCATENATION}").alias("sql_concatenation"))
 
 
 @query(f"SELECT id, e IS NULL AS passed, e AS detail, CAST(n AS INTEGER) AS line FROM (SELECT id, {sql.security('text')} AS e, {sql.security_line('text')} AS n FROM {_ALL_SQL})")
@@ -185,15 +212,15 @@ _ERROR_TYPE = f"CASE WHEN {_S} = '' THEN 'structure' WHEN {sql.security('text')}
 
 
 @query(f"""SELECT CAST(sum(n) AS BIGINT) AS total, CAST(coalesce(sum(n) FILTER (k IS NULL), 0) AS BIGINT) AS passed, CAST(coalesce(sum(n) FILTER (k IS NOT NULL), 0) AS BIGINT) AS failed,
-'{{' || coalesce(string_agg('"' || k || '":' || n, ',' ORDER BY k) FILTER (k IS NOT NULL), '') || '}}' AS errors FROM (SELECT {_ERROR_TYPE} AS k, count(*) AS n FROM documents GROUP BY 1)""")
+'{{' || coalesce(string_agg('"' || k || '":' || n, ',' ORDER BY k) FILTER (k IS NOT NULL), '') || '}}' AS errors FROM (SELECT {_ERROR_TYPE} AS k, count(*) AS n FROM {_MORE_SQL} GROUP BY 1)""")
 def validation_report(spark, d):
-    rows = validate.validated(_t(spark, d, "documents").select("text", "lang"), "text", "lang", bypass=("math", "es"))
+    rows = validate.validated(_more(spark, d), "text", "lang", bypass=("math", "es"))
     return validate.report(rows, "_r").select("total", "passed", "failed", F.to_json("errors_by_category").alias("errors"))
 
 
-@query(f"SELECT doc_id, {_ERROR_TYPE} AS type, CASE {_ERROR_TYPE} WHEN 'structure' THEN 'Empty output' WHEN 'security' THEN {sql.security('text')} ELSE {sql.bracket_error(sql.brackets_left('text'))} END AS detail FROM documents WHERE {_ERROR_TYPE} IS NOT NULL")
+@query(f"SELECT doc_id, {_ERROR_TYPE} AS type, CASE {_ERROR_TYPE} WHEN 'structure' THEN 'Empty output' WHEN 'security' THEN {sql.security('text')} ELSE {sql.bracket_error(sql.brackets_left('text'))} END AS detail FROM {_MORE_SQL} WHERE {_ERROR_TYPE} IS NOT NULL")
 def validation_failures(spark, d):
-    rows = validate.validated(_t(spark, d, "documents").select("doc_id", "text", "lang"), "text", "lang", bypass=("math", "es"))
+    rows = validate.validated(_more(spark, d), "text", "lang", bypass=("math", "es"))
     e = F.col("_validation_error")
     return validate.split(rows, "_r")[1].select("doc_id", e["type"].alias("type"), F.regexp_replace(e["detail"], r" at position \d+\z", "").alias("detail"))
 
@@ -447,23 +474,33 @@ def conv_normalise(spark, d):
     return _turns(spark, d).select("conv_id", F.when(turns.isNotNull(), F.size(turns)).alias("n_turns"), F.sha2(whole, 256).alias("h"))
 
 
-@query(f"SELECT doc_id, {_S} = '' AS blank_output, {_S} = '' AND {sql.strip('lang')} = '' AS empty FROM documents")
+@query(f"SELECT doc_id, {_S} = '' AS blank_output, {_S} = '' AND {sql.strip('lang')} = '' AS empty FROM {_MORE_SQL}")
 def empty_records(spark, d):
-    return _t(spark, d, "documents").select("doc_id", records.is_empty(F.lit(" "), F.col("text")).alias("blank_output"), records.is_empty(F.col("lang"), F.col("text")).alias("empty"))
+    return _more(spark, d).select("doc_id", records.is_empty(F.lit(" "), F.col("text")).alias("blank_output"), records.is_empty(F.col("lang"), F.col("text")).alias("empty"))
+
+
+#: Conversations of one turn, of blank turns, without a role, with an attribution, and that ask who answers.
+_MORE_TURNS = [(-1, 0, "user", "alone"), (-2, 0, "user", " "), (-2, 1, "assistant", "yes"), (-3, 0, None, "who speaks"), (-3, 1, "user", "I do"), (-4, 0, "user", "go on"), (-4, 1, "assistant", "I am an AI model"), (-5, 0, "user", "Who are the people?"), (-5, 1, "assistant", "many"), (-6, 0, "user", "Is askme like that? " * 9), (-7, 0, "user", "what do you do")]
+_CONVERSATIONS = "(SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM (VALUES " + ", ".join(f"({c}, {n}, {sql.q(r) if r else 'NULL'}, {sql.q(t)})" for c, n, r, t in _MORE_TURNS) + "))"
+
+
+def _more_turns(spark, d) -> DataFrame:
+    more = spark.createDataFrame(_MORE_TURNS, "conv_id long, turn int, role string, content string").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "content"))).alias("t"))
+    return _turns(spark, d).unionByName(more.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))).alias("turns")))
 
 
-@query(f"SELECT conv_id, count(*) FILTER ({_S} <> '') < 2 AS empty, count(*) >= 2 AND bool_and(role IS NOT NULL) AS ok, regexp_matches(lower(string_agg(text, chr(10) ORDER BY turn)), {sql.q('|'.join(_PHRASES))}) AS attributed, coalesce(arg_max(text, turn) FILTER (role = 'user'), '') AS last_user FROM conversations GROUP BY conv_id")
+@query(f"SELECT conv_id, count(*) FILTER ({_S} <> '') < 2 AS empty, count(*) >= 2 AND bool_and(role IS NOT NULL) AS ok, regexp_matches(lower(string_agg(text, chr(10) ORDER BY turn)), {sql.q('|'.join(_PHRASES))}) AS attributed, coalesce(arg_max(text, turn) FILTER (role = 'user'), '') AS last_user FROM {_CONVERSATIONS} GROUP BY conv_id")
 def conversation_flags(spark, d):
     t = F.col("turns")
-    return _turns(spark, d).select("conv_id", records.conversation_empty(t).alias("empty"), records.conversation_ok(t).alias("ok"), records.conversation_attributed(t, _PHRASES).alias("attributed"), records.last_content(t).alias("last_user"))
+    return _more_turns(spark, d).select("conv_id", records.conversation_empty(t).alias("empty"), records.conversation_ok(t).alias("ok"), records.conversation_attributed(t, _PHRASES).alias("attributed"), records.last_content(t).alias("last_user"))
 
 
 _TRIGGERS, _MODELS = ("who made you", "your name", "introduce yourself"), ("helperbot", "askme")
 
 
-@query(f"SELECT conv_id, {' OR '.join(f'contains(lower(last), {sql.q(x)})' for x in (*_TRIGGERS, *_MODELS))} OR (length(last) < 100 AND (contains(lower(last), ' you ') OR contains(lower(last), ' your ') OR starts_with(lower(last), 'who are') OR starts_with(lower(last), 'what are') OR starts_with(lower(last), 'tell me about'))) AS identity FROM (SELECT conv_id, coalesce(arg_max(text, turn) FILTER (role = 'user'), '') AS last FROM conversations GROUP BY conv_id)")
+@query(f"SELECT conv_id, {' OR '.join(f'contains(lower(last), {sql.q(x)})' for x in (*_TRIGGERS, *_MODELS))} OR (length(last) < 100 AND (contains(lower(last), ' you ') OR contains(lower(last), ' your ') OR starts_with(lower(last), 'who are') OR starts_with(lower(last), 'what are') OR starts_with(lower(last), 'tell me about'))) AS identity FROM (SELECT conv_id, coalesce(arg_max(text, turn) FILTER (role = 'user'), '') AS last FROM {_CONVERSATIONS} GROUP BY conv_id)")
 def identity_questions(spark, d):
-    return _turns(spark, d).select("conv_id", rules.asks_identity(records.last_content(F.col("turns")), _TRIGGERS, _MODELS).alias("identity"))
+    return _more_turns(spark, d).select("conv_id", rules.asks_identity(records.last_content(F.col("turns")), _TRIGGERS, _MODELS).alias("identity"))
 
 
 @query("SELECT doc_id, sha256(CASE WHEN contains(lower(substr(text, 1, 200)), 'the') THEN text ELSE 'In short: ' || text END) AS h FROM documents")
@@ -487,9 +524,9 @@ def truncations(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.sha2(truncated(t, 300), 256).alias("preview"), F.sha2(truncated(t, 120), 256).alias("prompt"), F.length(truncated(t, 4000)).cast("long").alias("context"))
 
 
-@query("SELECT doc_id, contains(text, '```') AS has_code, regexp_matches(lower(text), 'try|catch|except') AS has_error_handling, regexp_matches(lower(text), 'could you clarify|can you provide|which version') AS has_clarification, regexp_matches(text, '\\b[0-9]{3}-[0-9]{2}-[0-9]{4}\\b') AS has_leak FROM documents")
+@query(f"SELECT doc_id, contains(text, '```') AS has_code, regexp_matches(lower(text), 'try|catch|except') AS has_error_handling, regexp_matches(lower(text), 'could you clarify|can you provide|which version') AS has_clarification, regexp_matches(text, '\\b[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}\\b') AS has_leak FROM {_MORE_SQL}")
 def feature_flags(spark, d):
-    return _t(spark, d, "documents").select("doc_id", *[c.alias(k) for k, c in rules.flags(F.col("text")).items()])
+    return _more(spark, d).select("doc_id", *[c.alias(k) for k, c in rules.flags(F.col("text")).items()])
 
 
 @query("SELECT doc_id, regexp_matches(lang || '-' || doc_id || '.txt', '^([de].-.*1|.*[^0-4]\\.txt)') AND regexp_matches(lang || '-' || doc_id || '.txt', '^[de].-.*1.*$|^[^/]*[^0-4]\\.txt$') AS hit FROM documents")

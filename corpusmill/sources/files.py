@@ -148,15 +148,26 @@ def openapi_summary(text: Column) -> Column:
     return F.concat(F.coalesce(title, F.lit("")), F.coalesce(about, F.lit("")), F.lit("\n"), F.coalesce(F.array_join(rows, "\n"), F.lit("")))
 
 
-def read_docs(spark: SparkSession, root: str, least: int = 20) -> DataFrame:
-    """path, domain (first folder below the root) and text of the files of a tree, by their suffix; short texts go.
+#: Suffixes of the files that a tree is read for (fixed values).
+SUFFIXES = ("pdf", "html", "htm", "json", "txt", "md", "xml", "yaml", "yml")
 
-    PDF files without a PDF library give an empty text, and so no row.
+
+def decoded(content: Column) -> Column:
+    """UTF-8 bytes as text; bytes that aren't UTF-8 are replaced, and end no job."""
+    return F.make_valid_utf8(content.cast("string"))
+
+
+def read_docs(spark: SparkSession, root: str, least: int = 20, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
+    """path, domain (first folder below the root) and text of the files of a tree, by their suffix; files with other
+    suffixes aren't read, and short texts go.
+
+    PDF files without a PDF library give an empty text, and so no row. Bytes that aren't UTF-8 are replaced.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     below = F.regexp_extract("path", r"(?:^|/)" + root.strip("/").rsplit("/", 1)[-1] + r"/(.*)", 1)
     suffix = F.lower(F.regexp_extract("path", r"\.([^./]+)\z", 1))
-    raw = F.decode("content", "utf-8")
+    files = files.where(suffix.isin(*suffixes))  # by path: other files' contents are never opened
+    raw = decoded(F.col("content"))
     text = F.when(suffix.isin("html", "htm"), html_blocks(F.when(suffix.isin("html", "htm"), raw))).when((suffix == "json") & is_openapi(raw), openapi_summary(raw)).when(suffix == "pdf", pdf_text(F.when(suffix == "pdf", F.col("content")))).otherwise(raw)
     return files.select("path", F.split_part(below, F.lit("/"), F.lit(1)).alias("domain"), text.alias("text")).where(F.length(strip(F.col("text"))) >= least)
 
@@ -167,12 +178,12 @@ def fallback_instruction(given: Column, domain: Column, path: Column) -> Column:
 
 
 def scan_repos(spark: SparkSession, root: str, patterns: Sequence[str], per_repo: int = 500, largest: int = 100_000, private: Sequence[str] = ()) -> DataFrame:
-    """Files of checked-out repositories by glob, without tool folders, private data or large files; per repository the
-    first by path, up to a limit."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where((F.col("length") <= largest) & ~F.col("path").rlike(r"/(?:\.git|node_modules|__pycache__|\.idea)/") & glob_match(F.col("path"), patterns))
+    """Files of checked-out repositories by glob, without tool folders; per repository the first by path, up to a limit, and of
+    these those that aren't too large or private. Bytes that aren't UTF-8 are replaced."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where(~F.col("path").rlike(r"/(?:\.git|node_modules|__pycache__|\.idea)/") & glob_match(F.col("path"), patterns))
     repo = F.split_part(F.regexp_extract("path", r"(?:^|/)" + root.strip("/").rsplit("/", 1)[-1] + r"/(.*)", 1), F.lit("/"), F.lit(1))
-    rows = files.select("path", repo.alias("source_repo"), F.decode("content", "utf-8").alias("output"))
-    rows = capped(rows, "source_repo", per_repo, "path")
+    first = capped(files.select("path", "length", repo.alias("source_repo")), "source_repo", per_repo, "path").where(F.col("length") <= largest).select("path", "source_repo")
+    rows = files.where(F.col("length") <= largest).select("path", decoded(F.col("content")).alias("output")).join(first, "path").select("path", "source_repo", "output")
     rows = rows.where(~matches_any(F.col("output"), private))
     domain = detect_domain(F.col("output"), F.col("path"))
     return rows.where(F.length(strip(F.col("output"))) >= 20).withColumn("domain", domain).withColumn("instruction", fallback_instruction(F.lit(None).cast("string"), F.col("domain"), F.col("path")))

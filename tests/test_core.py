@@ -1,7 +1,9 @@
 import hashlib
 import itertools
+import json
 import os
 import random
+import re
 import shutil
 import subprocess
 import sys
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from corpusmill import queries as core
 from corpusmill.functions import render, rules
-from corpusmill.operators import dialogue, neardup, records, sampling, score, synthesis, validate
+from corpusmill.operators import dialogue, neardup, records, sampling, schema, score, synthesis, validate
 from corpusmill.plans import config
 from corpusmill.sources import files
 
@@ -437,3 +439,96 @@ def test_context_pack_and_crossed(spark):
     with pytest.raises(ValueError):
         sampling.crossed(df, df, "o", most=5)
     assert [(x["sample"], x["temperature"]) for x in synthesis.samples(names.limit(1), 3).collect()] == [(0, 0.3), (1, 0.35), (2, 0.4)]
+
+
+def breaks(v, s, root=None, depth=8):
+    """Whether a JSON value breaks a schema, by a plain interpreter."""
+    root = s if root is None else root
+    if isinstance(s, bool):
+        return not s
+    number = isinstance(v, (int, float)) and not isinstance(v, bool)
+    kinds = {"object": isinstance(v, dict), "array": isinstance(v, list), "string": isinstance(v, str), "boolean": isinstance(v, bool), "null": v is None, "number": number, "integer": number and v == int(v)}
+    same = lambda a, b: json.dumps(a, sort_keys=True) == json.dumps(b, sort_keys=True) or (not isinstance(a, bool) and not isinstance(b, bool) and isinstance(a, (int, float)) and a == b)
+    again = lambda x, t: breaks(x, t, root, depth)
+    if "$ref" in s and depth:
+        at = root
+        for part in s["$ref"][2:].split("/"):
+            at = at[part]
+        if breaks(v, at, root, depth - 1):
+            return True
+    tests = {
+        "type": lambda k: not any(kinds[x] for x in ([k] if isinstance(k, str) else k)), "enum": lambda k: not any(same(v, x) for x in k), "const": lambda k: not same(v, k),
+        "minLength": lambda k: kinds["string"] and len(v) < k, "maxLength": lambda k: kinds["string"] and len(v) > k, "pattern": lambda k: kinds["string"] and not re.search(k, v),
+        "minimum": lambda k: number and v < k, "maximum": lambda k: number and v > k, "exclusiveMinimum": lambda k: number and v <= k, "exclusiveMaximum": lambda k: number and v >= k,
+        "minItems": lambda k: kinds["array"] and len(v) < k, "maxItems": lambda k: kinds["array"] and len(v) > k, "items": lambda k: kinds["array"] and any(again(x, k) for x in v),
+        "uniqueItems": lambda k: kinds["array"] and k and any(same(a, b) for a, b in itertools.combinations(v, 2)), "required": lambda k: kinds["object"] and any(x not in v for x in k),
+        "minProperties": lambda k: kinds["object"] and len(v) < k, "maxProperties": lambda k: kinds["object"] and len(v) > k, "properties": lambda k: kinds["object"] and any(x in v and again(v[x], t) for x, t in k.items()),
+        "additionalProperties": lambda k: kinds["object"] and any(again(x, k) for n, x in v.items() if n not in s.get("properties", {})),
+        "allOf": lambda k: any(again(v, t) for t in k), "anyOf": lambda k: all(again(v, t) for t in k), "oneOf": lambda k: sum(not again(v, t) for t in k) != 1, "not": lambda k: not again(v, k),
+    }
+    return any(tests[k](x) for k, x in s.items() if k in tests)
+
+
+SCHEMAS = [
+    *({"type": k} for k in ("object", "array", "string", "boolean", "null", "number", "integer")), {"type": ["string", "integer"]}, {"enum": [1, "a", None, [1, 2], {"a": 1}]}, {"const": 2}, {"const": "2"},
+    {"minLength": 2}, {"maxLength": 2}, {"pattern": "^a.c"}, {"minimum": 2}, {"maximum": 2}, {"exclusiveMinimum": 2}, {"exclusiveMaximum": 2.5}, {"minItems": 2}, {"maxItems": 1}, {"items": {"type": "integer"}}, {"uniqueItems": True},
+    {"required": ["a", "b"]}, {"minProperties": 2}, {"maxProperties": 1}, {"properties": {"a": {"type": "integer"}, "b": {"items": {"required": ["a"]}}}}, {"additionalProperties": False, "properties": {"a": True}}, {"additionalProperties": {"type": "string"}}, {"properties": {"a": False}},
+    {"allOf": [{"type": "object"}, {"required": ["a"]}]}, {"anyOf": [{"minimum": 3}, {"type": "string"}]}, {"oneOf": [{"type": "integer"}, {"minimum": 2}]}, {"not": {"required": ["a"]}}, True, False, {},
+    {"$ref": "#/definitions/tree", "definitions": {"tree": {"type": "object", "properties": {"a": {"type": ["integer", "array"]}, "b": {"items": {"$ref": "#/definitions/tree"}}}}}},
+]
+VALUES = [None, True, False, 0, 1, 2, 2.0, 2.5, 3, -1, 10**12, "", "a", "2", "abc", "xabc", "\U0001f642\U0001f642", [], [1], [1, 2], [1, 1.0], [1, "1", None], [{"a": 1}, {"a": 1}], [{"b": 1, "a": 2}, {"a": 2, "b": 1}], {}, {"a": 1}, {"a": "1"}, {"b": "x"}, {"a": 1, "b": [{"a": 1}, {}]}, {"a": 1, "b": [1]}, {"a": None}, {"c": 3}, {"a": [], "b": [{"a": 1, "b": [{"a": "deep"}]}]}, {"k": {"a": 1}}]
+
+
+def test_schemas(spark):
+    """Each keyword against a plain interpreter, with values that fit and values that don't."""
+    df = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(VALUES)] + [(-1, None), (-2, "{no json")], "i int, t string").withColumn("v", F.try_parse_json("t"))
+    for at in range(0, len(SCHEMAS), 9):
+        part = SCHEMAS[at : at + 9]
+        for r in df.select("i", *[schema.fits(F.col("v"), s).alias(f"s{k}") for k, s in enumerate(part)]).collect():
+            want = [None] * len(part) if r["i"] < 0 else [not breaks(VALUES[r["i"]], s) for s in part]
+            assert list(r)[1:] == want, (r["i"], [s for s, a, b in zip(part, list(r)[1:], want, strict=True) if a != b])
+    got = {r["i"]: r["e"] for r in df.select("i", schema.error(F.col("v"), SCHEMAS[25]).alias("e")).collect()}
+    assert got[VALUES.index({"a": "1"})] == "$.a: type" and got[VALUES.index({"a": 1, "b": [{"a": 1}, {}]})] == "$.b[*]: required a" and got[-1] is None
+    with pytest.raises(ValueError):
+        schema.error(F.lit(None).cast("variant"), {"$ref": "http://elsewhere"})
+
+
+def test_fhir_schemas_and_empty_containers(spark):
+    rules = {"Patient": {"required": ["id"], "properties": {"id": {"type": "string"}}}}
+    texts = ['{"resourceType":"Patient","id":"1"}', '{"resourceType":"Patient","id":1}', '{"resourceType":"Patient"}', '{"resourceType":"Other"}', '{"resourceType":[]}', '{"resourceType":{}}', '{"resourceType":["x"]}', '{"resourceType":null}', '{"resourceType":0.0}', None]
+    got = values(spark, validate.fhir(F.col("t"), rules), texts)
+    assert [x["passed"] for x in got] == [True, False, False, True, False, False, True, False, False, False]
+    assert got[2]["error_detail"] == "Schema: $: required id" and got[2]["error_type"] == "structure"
+    assert [x for x in values(spark, validate.content_type(F.col("t")), texts[:9])] == ["fhir", "fhir", "fhir", "fhir", "json", "json", "fhir", "json", "json"]
+
+
+def test_rows_without_a_key_are_sampled(spark):
+    """None is lost, reruns agree, and such rows aren't gathered in one place of the order."""
+    rows = [(None if i % 2 else i, f"t{i % 40}", {"m": 1}) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, t string, m map<string,int>")
+    assert sampling.exact_fraction(df, "k", 0.75).count() == 150 and sampling.cycled(df, "k", 1010).count() == 1010
+    place = {(r["k"], r["t"], r["place"]) for r in sampling.numbered(df, "k").collect()}
+    assert sorted(p for *_, p in place) == list(range(1, 201)) and 20 < sum(k is None for k, _, p in place if p <= 100) < 80
+    assert sampling.shuffled(df, "k").count() == 200
+    part = df.select("k", "t", F.lit("s").alias("s"))
+    again = [sorted(map(str, sampling.stratified(x, "k", "s", {"s": 70}).collect())) for x in (part, part.repartition(7))]
+    assert again[0] == again[1] and len(again[0]) == 70
+
+
+def test_files_of_other_encodings(spark, tmp_path):
+    (tmp_path / "r/one").mkdir(parents=True)
+    (tmp_path / "r/one/a.md").write_bytes("caf\u00e9 in a text that is long".encode("latin-1"))
+    (tmp_path / "r/one/b.png").write_bytes(bytes(range(256)))
+    (tmp_path / "r/one/c.md").write_bytes(b"\x00\xff\xfe binary that is long enough \xe2\x82")
+    got = {r["path"].rsplit("/", 1)[-1]: r["text"] for r in files.read_docs(spark, f"{tmp_path}/r").collect()}
+    assert set(got) == {"a.md", "c.md"} and got["a.md"] == "caf\ufffd in a text that is long"
+    assert files.scan_repos(spark, f"{tmp_path}/r", ["*.md"]).count() == 2
+
+
+def test_cap_comes_before_size(spark, tmp_path):
+    """The first files by path count towards the cap, too large or not."""
+    (tmp_path / "one").mkdir()
+    for name, size in (("a", 900), ("b", 900), ("c", 50), ("d", 50)):
+        (tmp_path / f"one/{name}.py").write_text("x" * size)
+    assert files.scan_repos(spark, str(tmp_path), ["*.py"], per_repo=2, largest=100).count() == 0
+    assert files.scan_repos(spark, str(tmp_path), ["*.py"], per_repo=3, largest=100).count() == 1
