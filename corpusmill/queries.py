@@ -15,6 +15,7 @@ from .plans import flows
 from .sources import files
 from .sources.tables import checkpoint_dir
 from .streaming import events as stream_events
+from .streaming import sink as stream_sink
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -690,6 +691,17 @@ def stream_window_counts(spark, d):
     return spark.read.parquet(f"{seen}/out")
 
 
+@query("SELECT doc_id, lang, sha256(text) AS h FROM documents")
+def stream_sink_once(spark, d):
+    """Documents as a stream into a sink whose batches are each written twice."""
+    seen = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    docs = _t(spark, d, "documents")
+    rows = stream_events.read_parquet_stream(spark, f"{d}/documents.parquet", docs.schema).select("doc_id", "lang", F.sha2("text", 256).alias("h"))
+    batches = stream_sink.BatchSink(spark, f"{seen}/out")
+    stream_events.run_available(rows, f"{seen}/state", lambda df, k: [batches.write(df, k), batches.write(df, k)]).awaitTermination()
+    return batches.read(rows.schema)
+
+
 @query("SELECT doc_id, CAST(i AS INTEGER) AS sample, round(0.3 + 0.05 * i, 6)::DOUBLE AS temperature FROM documents, range(4) t(i)")
 def completion_samples(spark, d):
     return synthesis.samples(_t(spark, d, "documents").select("doc_id"), 4)

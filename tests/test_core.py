@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -20,6 +21,7 @@ from corpusmill.functions import render, rules
 from corpusmill.operators import dialogue, neardup, records, sampling, schema, score, synthesis, validate
 from corpusmill.plans import config
 from corpusmill.sources import files
+from corpusmill.streaming import events, sink
 
 
 def values(spark, column, texts):
@@ -532,3 +534,30 @@ def test_cap_comes_before_size(spark, tmp_path):
         (tmp_path / f"one/{name}.py").write_text("x" * size)
     assert files.scan_repos(spark, str(tmp_path), ["*.py"], per_repo=2, largest=100).count() == 0
     assert files.scan_repos(spark, str(tmp_path), ["*.py"], per_repo=3, largest=100).count() == 1
+
+
+def test_batches_are_held_once(spark, tmp_path, monkeypatch):
+    """A stream that fails between a batch's rows and its mark, and is started again; batches written again by hand."""
+    (tmp_path / "in").mkdir()
+    spark.range(10).write.mode("append").parquet(f"{tmp_path}/in")
+    schema_ = spark.range(1).schema
+    batches = sink.BatchSink(spark, f"{tmp_path}/out")
+    assert batches.read(schema_).count() == 0 and batches.whole() == []
+
+    def run():
+        stream = spark.readStream.schema(schema_).parquet(f"{tmp_path}/in")
+        events.run_available(stream, f"{tmp_path}/state", batches.write).awaitTermination()
+
+    with monkeypatch.context() as m:
+        m.setattr(sink.BatchSink, "_mark", lambda *_: 1 / 0)
+        with pytest.raises(StreamingQueryException):
+            run()
+    assert batches.read(schema_).count() == 0 and list((tmp_path / "out").glob("batch-*"))  # rows are there, nobody sees them
+    run()
+    spark.range(10, 25).write.mode("append").parquet(f"{tmp_path}/in")
+    run()
+    assert sorted(x.id for x in batches.read(schema_).collect()) == list(range(25)) and batches.whole() == [0, 1]
+    assert batches.write(spark.range(99), 1) is False and batches.write(spark.range(25, 26), 2) is True
+    assert batches.read(schema_).count() == 26
+    with pytest.raises(Exception, match="(?i)exist"):
+        batches._mark(2)
