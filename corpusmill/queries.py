@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
-from .functions import render, rules
+from .functions import literals, render, rules
 from .functions.text import content_hash, jaccard, strip, truncated
-from .operators import dialogue, neardup, records, report, sampling, schema, score, synthesis, validate
+from .operators import dialogue, neardup, records, report, sampling, schema, score, synthesis, teacher, validate
 from .plans import flows
 from .sources import files
 from .sources.tables import checkpoint_dir
@@ -426,6 +427,26 @@ def ordered_replacement(spark, d):
     return _t(spark, d, "documents").select("doc_id", rules.replace_all(F.col("text"), (("the ", "THE "), ("THE a", "A"))).alias("text"))
 
 
+#: Sixty rules whose literals share their spaces, and some that later ones make.
+_LITTLE = "the of and to in is that it with as for by on this be at from or are an le la de et les des en un que qui pour dans der die und den von mit ist das zu ein el los y por con una las se del".split()
+_MANY = [*((f" {w} ", f" {w.upper()} ") for w in _LITTLE), (" THE OF ", " OF THE "), ("IN T", "in, t"), ("S E", "s-e"), ("nothing of that kind", ""), ("-e", ""), (" OF THE ", " of the "), ("re", "er"), ("er", "RE"), ("RER", "r")]
+
+
+@query(f"SELECT doc_id, sha256({reduce(lambda t, p: f'replace({t}, {sql.q(p[0])}, {sql.q(p[1])})', _MANY, 'text')}) AS h FROM documents")
+def many_replacements(spark, d):
+    """Sixty ordered rules by one automaton."""
+    return _t(spark, d, "documents").select("doc_id", F.sha2(literals.replaced(F.col("text"), _MANY), 256).alias("h"))
+
+
+_GROUPS = {"attributed": ("licensed under", "released under", "as an ai language model", "trained by"), "identity": ("who made you", "could you", "tell me"), "code": ("```", "select ", "def ", "return "), "secret": ("password", "api_key", "api-key", "bearer ", "secret"), "common": ("with", " la ", " un ")}
+
+
+@query(f"SELECT doc_id, {', '.join('(' + ' OR '.join(f'contains(lower(text), {sql.q(x)})' for x in xs) + f') AS {g}' for g, xs in _GROUPS.items())} FROM {_MORE_SQL}")
+def literal_groups(spark, d):
+    """Which of five groups of literals stand in each text, by one automaton."""
+    return _more(spark, d).select("doc_id", literals.occurring(F.lower("text"), _GROUPS).alias("g")).select("doc_id", "g.*")
+
+
 def _responses(spark, d) -> DataFrame:
     return _t(spark, d, "events").select(F.col("event_type").alias("category"), F.when(F.col("value") > 5, "ok").otherwise("error").alias("status"), F.col("value").alias("latency_sec"), F.length("props").alias("response_length"), F.col("props").contains("1").alias("has_code"))
 
@@ -646,6 +667,20 @@ def synthesized_answers(spark, d):
     return synthesis.answers(plan, teacher).select("doc_id", "cot_trace", "output", "version")
 
 
+@query("SELECT doc_id, CASE WHEN source LIKE '%1%' THEN 'second ' ELSE 'first ' END || upper(source) AS response FROM documents WHERE source IS NOT NULL")
+def logged_answers(spark, d):
+    """Two runs with one log: the first teacher fails for some sources, and the second is asked for these alone."""
+
+    def first(prompt: str) -> str:
+        if "1" in prompt:
+            raise OSError
+        return f"first {prompt.upper()}"
+
+    log, plan = f"{checkpoint_dir(spark)}/answers-{uuid.uuid4().hex}", _t(spark, d, "documents").select("doc_id", "source")
+    teacher.ask(plan, "doc_id", "source", first, log, retries=0, buckets=16).write.format("noop").mode("overwrite").save()
+    return teacher.ask(plan, "doc_id", "source", lambda prompt: f"second {prompt.upper()}", log, buckets=16).select("doc_id", "response")
+
+
 @query("SELECT doc_id, sha256(text) AS h, 'ok' AS state FROM documents")
 def jsonl_round_trip(spark, d):
     """Documents written as JSON lines and read again as text lines with their records."""

@@ -7,6 +7,7 @@ import re
 import shutil
 import subprocess
 import sys
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from corpusmill import queries as core
-from corpusmill.functions import render, rules
-from corpusmill.operators import dialogue, neardup, records, sampling, schema, score, synthesis, validate
+from corpusmill.functions import literals, render, rules
+from corpusmill.operators import dialogue, neardup, records, sampling, schema, score, synthesis, teacher, validate
 from corpusmill.plans import config
 from corpusmill.sources import files
 from corpusmill.streaming import events, sink
@@ -561,3 +562,100 @@ def test_batches_are_held_once(spark, tmp_path, monkeypatch):
     assert batches.read(schema_).count() == 26
     with pytest.raises(Exception, match="(?i)exist"):
         batches._mark(2)
+
+
+def one_by_one(text, pairs):
+    for a, b in pairs:
+        text = text.replace(a, b) if a else text
+    return text
+
+
+def test_many_rules_by_one_automaton(spark):
+    """Random rules that overlap, hold and make each other, repeat, or are empty, against one pass a rule."""
+    r = random.Random(8)
+    for _ in range(3000):
+        letters = r.choice(["ab", "abcdefghij", "aé字😀"])
+        pairs = [("".join(r.choices(letters, k=r.choice([0, 1, 1, 2, 2, 3, 4]))), "".join(r.choices(letters + "XY", k=r.randrange(4)))) for _ in range(r.choice([1, 2, 3, 6, 60]))]
+        text = "".join(r.choices(letters + " ", k=r.randrange(60)))
+        assert literals.OrderedRules(pairs)(text) == one_by_one(text, pairs)
+    apart = literals.OrderedRules([("one", "1"), ("six", "2"), ("zz", "?")])
+    assert not any(apart.after) and not any(apart.near) and apart("onesix zzz six") == "12 ?z 2"  # the way in one go
+    texts = ["", None, "the of and", "in that thing " * 4000, "nothing of that kind", "S E -e"]
+    assert values(spark, literals.replaced(F.col("t"), core._MANY), texts) == [t and one_by_one(t, core._MANY) for t in texts]
+    assert values(spark, literals.replaced(F.col("t"), []), texts) == texts
+    same = spark.createDataFrame([("x",)] * 3, "t string").select(literals.replaced(F.col("t"), [("x", "y")]).alias("v"))
+    assert [x.v for x in same.collect()] == ["y"] * 3 and same.where("false").count() == 0
+
+
+def test_groups_of_literals(spark):
+    groups = {"a": ("he", "she"), "b": ("hers", "é"), "none": (), "always": ("", "x")}
+    texts = ["ushers", "hé", "", None, "s h e", "x" * 100_000 + "she"]
+    want = [None if t is None else tuple(any(x in t for x in xs) for xs in groups.values()) for t in texts]
+    assert [None if x["a"] is None else tuple(x) for x in values(spark, literals.occurring(F.col("t"), groups), texts)] == want
+
+
+def test_calls_at_once(spark, tmp_path):
+    """Eight calls under way, results in order, and as many calls as different prompts of a key."""
+    plan = spark.range(48).selectExpr("id AS k", "concat('p', id) AS prompt").unionByName(spark.sql("SELECT 0L AS k, 'p0' AS prompt UNION ALL SELECT 0L, 'other' UNION ALL SELECT NULL, 'p0' UNION ALL SELECT NULL, 'p0' UNION ALL SELECT 9L, NULL"))
+
+    def slow(prompt):
+        with open(f"{tmp_path}/calls", "a") as f:
+            f.write(prompt + "\n")
+        time.sleep(0.1)
+        return prompt.upper()
+
+    took = []
+    for at_once in (1, 8):
+        began = time.time()
+        got = teacher.ask(plan, "k", "prompt", slow, f"{tmp_path}/log{at_once}", at_once=at_once, buckets=1).collect()
+        took.append(time.time() - began)
+        assert Counter((x.k, x.response) for x in got) == Counter([(k, f"P{k}") for k in range(48)] + [(0, "P0"), (0, "OTHER"), (None, "P0"), (None, "P0")])
+    assert took[1] < took[0] / 3
+    calls = Counter(Path(f"{tmp_path}/calls").read_text().split())
+    assert calls.pop("p0") == 4 and set(calls.values()) == {2}  # two runs; the null key asks for itself
+    kept = teacher.logged(spark, f"{tmp_path}/log8")
+    assert kept.count() == 50 and kept.where("key IS NULL").count() == 1 and teacher.logged(spark, f"{tmp_path}/no").count() == 0
+    assert teacher.ask(plan, "k", "prompt", lambda p: 1 / 0, f"{tmp_path}/log8", buckets=1).count() == 52  # nobody is asked again
+    assert teacher.ask(plan.where("false"), "k", "prompt", slow, f"{tmp_path}/none").count() == 0
+
+
+def test_late_and_failing_teachers(spark, tmp_path):
+    began = time.time()
+    late = teacher.patient(lambda p: time.sleep(30) or "x", timeout=0.1, retries=1, wait=0)
+    assert late("p") == "" and time.time() - began < 5
+    tries = iter([OSError, None, "", "yes"])
+
+    def fails(prompt):
+        x = next(tries)
+        if x is OSError:
+            raise x
+        return x
+
+    assert teacher.patient(fails, timeout=5, retries=3, wait=0)("p") == "yes"
+    plan = spark.createDataFrame([(1, "a"), (2, "b")], "k int, instruction string")
+    assert synthesis.answers(plan, lambda p: "" if p.endswith("a") else "<think>t</think>z", key="k", log=f"{tmp_path}/log").count() == 1
+    again = synthesis.answers(plan, lambda p: "new" if p.endswith("a") else 1 / 0, key="k", log=f"{tmp_path}/log").orderBy("k").collect()
+    assert [(x.k, x.output, x.cot_trace) for x in again] == [(1, "new", None), (2, "z", "t")]  # empty answers aren't logged
+    with pytest.raises(ValueError, match="key"):
+        synthesis.answers(plan, str, log="x")
+
+
+def test_a_killed_task_asks_no_logged_call_again(spark, tmp_path):
+    plan = spark.range(60).selectExpr("id AS k", "concat('p', id) AS prompt")
+
+    def dies(prompt):
+        with open(f"{tmp_path}/calls", "a") as f:
+            f.write(prompt + "\n")
+        if len(Path(f"{tmp_path}/calls").read_text().split()) == 40 and not Path(f"{tmp_path}/dead").exists():
+            Path(f"{tmp_path}/dead").touch()
+            os._exit(1)
+        return prompt.upper()
+
+    ask = lambda: teacher.ask(plan, "k", "prompt", dies, f"{tmp_path}/log", at_once=2, every=4, buckets=1)
+    with pytest.raises(Exception, match="(?i)worker|crash|EOF"):
+        ask().collect()
+    kept = {x.key for x in teacher.logged(spark, f"{tmp_path}/log").collect()}
+    asked = Path(f"{tmp_path}/calls").read_text().split()
+    assert 20 <= len(kept) < 40
+    assert Counter(x.response for x in ask().collect()) == Counter(f"P{k}" for k in range(60))
+    assert not {f"p{k}" for k in kept} & set(Path(f"{tmp_path}/calls").read_text().split()[len(asked) :])
