@@ -13,9 +13,10 @@ from .functions import literals, render, rules
 from .functions.text import content_hash, jaccard, strip, truncated
 from .operators import dialogue, neardup, records, report, sampling, schema, score, synthesis, teacher, validate
 from .plans import flows
-from .sources import files
+from .sources import files, lines
 from .sources.tables import checkpoint_dir
 from .streaming import events as stream_events
+from .streaming import first as stream_first
 from .streaming import sink as stream_sink
 
 QUERIES: dict = {}
@@ -689,6 +690,14 @@ def jsonl_round_trip(spark, d):
     return files.read_jsonl(spark, path, "doc_id long, text string").select("record.doc_id", F.sha2("record.text", 256).alias("h"), "state")
 
 
+@query("SELECT doc_id, sha256(text) AS h, 'ok' AS state FROM documents")
+def jsonl_ranges(spark, d):
+    """Documents written as JSON lines and read again by ranges of a megabyte."""
+    path = f"{checkpoint_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    files.write_jsonl(_t(spark, d, "documents").select("doc_id", "text"), path)
+    return lines.read_jsonl(spark, path, "doc_id long, text string", 1 << 20).select("record.doc_id", F.sha2("record.text", 256).alias("h"), "state")
+
+
 @query(f"""WITH r AS (SELECT 0 AS o, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark UNION ALL SELECT 2, doc_id, text FROM documents)
 SELECT CAST(src_ord AS INTEGER) AS src_ord, id FROM (SELECT o AS src_ord, id, row_number() OVER (PARTITION BY {_HASH} ORDER BY o, id) AS r FROM r WHERE text IS NOT NULL) WHERE r = 1""")
 def ordered_concat(spark, d):
@@ -737,6 +746,21 @@ def stream_sink_once(spark, d):
     return batches.read(rows.schema)
 
 
+@query(f"SELECT doc_id, lang, h FROM (SELECT doc_id, lang, {_HASH} AS h, row_number() OVER (PARTITION BY {_HASH} ORDER BY doc_id) AS r FROM documents WHERE text IS NOT NULL) WHERE r = 1")
+def stream_first_seen(spark, d):
+    """exact_dedup of documents that come as a stream of two halves, which starts again between them."""
+    seen, docs = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}", _t(spark, d, "documents")
+    half = docs.selectExpr("percentile(doc_id, 0.5) c").first().c or 0
+    other = stream_first.stateful(spark)
+    batches = stream_sink.BatchSink(other, f"{seen}/out")
+    for part in (F.col("doc_id") < half, F.col("doc_id") >= half):
+        docs.where(part).write.mode("append").parquet(f"{seen}/in")
+        rows = stream_first.first_ids(stream_events.read_parquet_stream(other, f"{seen}/in", docs.schema), "text", "doc_id")
+        stream_events.run_available(rows, f"{seen}/state", batches.write).awaitTermination()
+    found = stream_sink.BatchSink(spark, f"{seen}/out").read("h string, id long")
+    return found.join(docs.select("doc_id", "lang"), F.col("id") == F.col("doc_id")).select("doc_id", "lang", "h")
+
+
 @query("SELECT doc_id, CAST(i AS INTEGER) AS sample, round(0.3 + 0.05 * i, 6)::DOUBLE AS temperature FROM documents, range(4) t(i)")
 def completion_samples(spark, d):
     return synthesis.samples(_t(spark, d, "documents").select("doc_id"), 4)

@@ -29,6 +29,13 @@ def present(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     return out
 
 
+def as_record(line: Column, schema: str) -> tuple[Column, Column]:
+    """A line's state (blank, malformed, ok) and its record."""
+    v = F.try_parse_json(line)
+    state = F.when(blank(line), "blank").when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), "malformed").otherwise("ok")
+    return state, F.from_json(line, schema)
+
+
 def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
     """Every line: its place, the raw line, its record, and its state (blank, malformed, ok). Lines that aren't objects are
     malformed; files that aren't there are left out with a warning.
@@ -45,9 +52,8 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: str) ->
     name = lambda p: F.regexp_replace(p, "^file:/*", "/")  # noqa: E731  a path has one or three slashes after its scheme
     places = F.transform(F.array(*map(F.lit, found)), name)
     at = F.array_position(F.transform(places, lambda p: F.startswith(name(F.col("file")), p)), True) - 1  # a folder's files share its place
-    v = F.try_parse_json(F.col("value"))
-    state = F.when(blank(F.col("value")), "blank").when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), "malformed").otherwise("ok")
-    return lines.select("file", at.cast("int").alias("file_ord"), "block", "row_ord", F.col("value").alias("raw"), state.alias("state"), F.from_json("value", schema).alias("record"))
+    state, record = as_record(F.col("value"), schema)
+    return lines.select("file", at.cast("int").alias("file_ord"), "block", "row_ord", F.col("value").alias("raw"), state.alias("state"), record.alias("record"))
 
 
 #: Columns that order the rows of read_jsonl() as they were read.

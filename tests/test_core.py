@@ -1,4 +1,5 @@
 import hashlib
+import io
 import itertools
 import json
 import os
@@ -21,8 +22,8 @@ from corpusmill import queries as core
 from corpusmill.functions import literals, render, rules
 from corpusmill.operators import dialogue, neardup, records, sampling, schema, score, synthesis, teacher, validate
 from corpusmill.plans import config
-from corpusmill.sources import files
-from corpusmill.streaming import events, sink
+from corpusmill.sources import files, lines
+from corpusmill.streaming import events, first, sink
 
 
 def values(spark, column, texts):
@@ -659,3 +660,55 @@ def test_a_killed_task_asks_no_logged_call_again(spark, tmp_path):
     assert 20 <= len(kept) < 40
     assert Counter(x.response for x in ask().collect()) == Counter(f"P{k}" for k in range(60))
     assert not {f"p{k}" for k in kept} & set(Path(f"{tmp_path}/calls").read_text().split()[len(asked) :])
+
+
+def test_lines_of_ranges():
+    """Random bytes, cut and read in all sizes, against a split of the whole."""
+    r = random.Random(5)
+    for _ in range(800):
+        raw = bytes(r.choices(b"ab\n\n\r\xe9", k=r.randrange(40)))
+        want, at = [], 0
+        for k, line in enumerate(parts := raw.split(b"\n")):
+            if line or k < len(parts) - 1:
+                want.append((at, line.removesuffix(b"\r")))
+            at += len(line) + 1
+        for size, read in itertools.product((1, 3, 7, 100), (1, 2, 5, 64)):
+            assert [x for s in range(0, len(raw), size) for x in lines.lines_of(io.BytesIO(raw), s, min(s + size, len(raw)), read)] == want
+
+
+def test_lines_by_ranges(spark, tmp_path):
+    """The same rows from one range a file and from very many; other encodings, binary, empty and hidden files, long lines."""
+    (tmp_path / "in/b").mkdir(parents=True)
+    (tmp_path / "in/a.jsonl").write_bytes(b'{"k": 1, "t": "x"}\r\n\n  \n[1]\n{"k": 2\n{"k": 3, "t": "caf\xe9"}\n{"k": 4, "z": 0}')
+    (tmp_path / "in/b/long.jsonl").write_text(json.dumps({"k": 5, "t": "é" * 300_000}) + "\n" + json.dumps({"k": 6}) + "\n")
+    (tmp_path / "in/binary").write_bytes(bytes(range(256)) * 3)
+    (tmp_path / "in/empty.jsonl").touch()
+    (tmp_path / "in/.hidden").write_text("x\n")
+    seen = []
+    for size in (1 << 20, 50_000, 17):
+        where = [str(tmp_path / "in/a.jsonl"), str(tmp_path / "in")] if size > 17 else [str(tmp_path / "in/a.jsonl")] * 2
+        rows = lines.read_jsonl(spark, where, "k int, t string", size)
+        seen.append([tuple(x) for x in rows.where("file LIKE '%a.jsonl'").orderBy("file_ord", "file", "place").select("file_ord", "place", "raw", "state", "record").collect()])
+    assert seen[0] == seen[1] == seen[2] and [x[3] for x in seen[0][:7]] == ["ok", "blank", "blank", "malformed", "malformed", "ok", "ok"]
+    assert seen[0][5][4] == (3, "caf\ufffd") and seen[0][0][1:3] == (0, '{"k": 1, "t": "x"}')
+    rest = lines.read_lines(spark, str(tmp_path / "in"), 50_000)
+    long_ = rest.where("file LIKE '%long.jsonl'").orderBy("place").collect()
+    assert [json.loads(x.value) for x in long_] == [{"k": 5, "t": "é" * 300_000}, {"k": 6}]
+    assert rest.where("file LIKE '%binary'").count() == 4 and rest.where("file LIKE '%hidden' OR file LIKE '%empty%'").count() == 0
+    with pytest.warns(UserWarning, match="no file"):
+        assert lines.read_jsonl(spark, f"{tmp_path}/no", "k int").count() == 0
+    with pytest.raises(Exception, match="rangeBytes"):
+        lines.read_lines(spark, str(tmp_path / "in"), 0).count()
+
+
+def test_first_seen_by_state(spark, tmp_path):
+    """Pieces of a table, one run of the stream each, against one pass over the whole; nulls, copies within and across pieces."""
+    texts = [(1, "a"), (2, "b"), (3, " A "), (4, None), (5, "c"), (None, "z"), (6, "c"), (7, "b"), (8, ""), (9, " "), (10, "d"), (10, "d")]
+    docs = spark.createDataFrame(texts, "k long, t string")
+    other, got = first.stateful(spark), []
+    for piece in ((1, 2, 3, 4), (5, 6, 7), (8, 9, 10)):
+        docs.where(F.col("k").isin(*piece) | F.col("k").isNull()).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        rows = first.first_ids(events.read_parquet_stream(other, f"{tmp_path}/in", docs.schema), "t", "k")
+        events.run_available(rows, f"{tmp_path}/state", lambda df, _: got.append([x.id for x in df.collect()])).awaitTermination()
+    assert [sorted(x) for x in got if x] == [[1, 2], [5], [8, 10]]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != first.STORE  # the caller's session is as it was
