@@ -2,8 +2,8 @@
 
 Texts stream through the automaton, which gives at each word the longest run of words ending there that occurs in some
 notice (matching statistics). Runs of MIN_RUN words or more that can't be extended are chained, in order in text and
-notice, into spans of a notice; a span that covers enough of it yields the notice's label. Fixed phrases yield theirs
-wherever their words stand consecutively.
+notice, into spans of a notice; a span that covers enough of it, and has the words that tell the licence from its neighbours,
+yields the notice's label. Fixed phrases yield theirs wherever their words stand consecutively.
 """
 
 from __future__ import annotations
@@ -77,8 +77,36 @@ misrepresented; you must not claim that you wrote the original software."""),
     ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
 compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
 non-commercial, and by any means."""),
+    # openings, which often stand alone
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction"""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met"""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("apache-2", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License."""),
+    ("gpl-3", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
 )
-MIN_RUN, MAX_GAP, MIN_COVER, MIN_WORDS = 3, 6, 0.75, 12
+#: Words that must stand consecutively in a span for its label: one phrase of every group. They tell a licence from its
+#: neighbours of other versions and terms, whose texts differ in these words alone.
+NEEDED = {
+    "gpl-3": (("the gnu general public license",), ("version 3",)),
+    "gpl-2": (("the gnu general public license",), ("version 2 of", "license version 2")),
+    "lgpl-3": (("gnu lesser general public license",), ("version 3",)),
+    "agpl-3": (("gnu affero general public license",), ("version 3",)),
+    "apache-2": (("version 2",),),
+    "mpl-2": (("v 2", "version 2"),),
+    "cc-by": (("attribution 4", "attribution 3", "attribution 2"),),
+    "cc-by-nc": (("by nc 4", "by nc 3", "by nc 2", "attribution noncommercial 4", "attribution noncommercial 3", "attribution noncommercial 2"),),
+    "cc-by-sa": (("attribution sharealike 4", "attribution sharealike 3", "attribution sharealike 2"),),
+    "bsd": (("are permitted provided that the following conditions are met",),),
+    "zlib": (("origin of this software must not be misrepresented",),),
+}
+#: MIN_COVER: the share of a notice, of whatever size, that a span must cover.
+MIN_RUN, MAX_GAP, MIN_COVER = 3, 6, 0.75
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -133,7 +161,8 @@ class SuffixAutomaton:
 
 
 class Scanner:
-    def __init__(self, notices=NOTICES, phrases=PHRASES):
+    def __init__(self, notices=NOTICES, phrases=PHRASES, needed=NEEDED):
+        self.needed = {label: [[b" %s " % b" ".join(words_of(p)) for p in group] for group in groups] for label, groups in needed.items()}
         self.labels = [label for label, _ in notices]
         sequences = [words_of(t) for _, t in notices]
         self.ids: dict[bytes, int] = {}
@@ -203,6 +232,13 @@ class Scanner:
                 open_[k] = first, first + length, end + 1, length
         return done + [(k, f, e, cover) for k, (f, e, _, cover) in open_.items()]
 
+    def tells(self, label: str, span: list[bytes]) -> bool:
+        """Whether a span has a phrase of each group that its label needs."""
+        if label not in self.needed:
+            return True
+        text = b" %s " % b" ".join(span)
+        return all(any(p in text for p in group) for group in self.needed[label])
+
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, str]], list[tuple[str, int, int, float]]]:
         """Number of words, base places, and (label, first word, end, covered share) of the spans that suffice."""
         words = words_of(text)
@@ -210,7 +246,7 @@ class Scanner:
         hits = [i for i, w in enumerate(words) if w in ids]
         found = []
         for k, f, e, cover in self.spans(self.runs(words, hits)):
-            if cover >= min(MIN_WORDS, MIN_COVER * self.sizes[k]):
+            if cover >= MIN_COVER * self.sizes[k] and self.tells(self.labels[k], words[f:e]):
                 found.append((cover, self.labels[k], f, e, min(1.0, cover / self.sizes[k])))
         # licences share sentences: a span yields to one of another label that covers more of the same words
         kept: list[tuple[str, int, int, float]] = []

@@ -392,6 +392,30 @@ def test_license(odd, none):
             assert {x[0] for x in s.scan(b" ".join(cut).decode())[2]} == {label}
 
 
+FOREIGN = (
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
+    ("", "This work is licensed under the GNU General Public License, version 1."),
+    ("", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 1, or (at your option) any later version."),
+    ("", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("", "Licensed under CC BY-NC-ND 4.0."),
+    ("", "Redistribution and use in source and binary forms, with or without modification, are strictly forbidden"),
+    ("", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("", "Permission to use this text is hereby granted, free of charge, to any person who asks for it in writing."),
+)
+
+
+@pytest.mark.parametrize(("label", "text"), FOREIGN)
+def test_licences_next_to_the_known_ones(label, text):
+    """Other versions and terms, and sentences that licences share, have no label of a neighbour, alone or in a long text."""
+    s = license.scanner()
+    for t in (text, "word " * 500 + text + " word" * 500, text.upper()):
+        assert {x[0] for x in s.scan(t)[2]} == ({label} if label else set())
+
+
 def license_base(text):
     """Words and the places of the phrases, by looking at every place."""
     words = [w for w in re.split("[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text)) if w]
