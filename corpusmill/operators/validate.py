@@ -10,9 +10,10 @@ from xml.parsers import expat
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType
+from pyspark.sql.types import StringType
 
 from . import schema
+from ..functions import brackets
 from ..functions.text import blank, strip
 
 # Rules that results must agree with.
@@ -63,23 +64,6 @@ def content_type(text: Column) -> Column:
     return F.when(t.startswith("MSH|"), "hl7v2").when(t.startswith("<") & t.contains(">"), "xml").when(t.startswith("{"), is_json).otherwise("javascript")
 
 
-def brackets_left(text: Column) -> Column:
-    """What a stack holds after all brackets outside strings: '!' and what follows once a closing one doesn't match.
-
-    Escapes go first, then strings (unclosed ones reach the end); the fold looks at brackets alone.
-    """
-    bare = F.regexp_replace(text, r"(?s)\\(?:.|\z)", "")
-    bare = F.regexp_replace(bare, r"""'[^']*(?:'|\z)|"[^"]*(?:"|\z)|`[^`]*(?:`|\z)""", "")
-    kept = F.regexp_replace(bare, r"[^()\[\]{}]", "")
-
-    def step(stack: Column, c: Column) -> Column:
-        opener = F.translate(c, ")]}", "([{")
-        top = F.right(stack, F.lit(1))
-        return F.when(stack.startswith("!"), stack).when(c.isin("(", "[", "{"), F.concat(stack, c)).when(top == opener, F.substring(stack, F.lit(1), F.length(stack) - 1)).otherwise(F.concat(F.lit("!"), c))
-
-    return F.when(kept == "", "").otherwise(F.aggregate(F.split(kept, ""), F.lit(""), lambda s, c: F.when(c == "", s).otherwise(step(s, c))))
-
-
 _LIVE = re.compile(r"\\(?:.|\Z)|'(?:[^'\\]|\\.)*(?:'|\\?\Z)|\"(?:[^\"\\]|\\.)*(?:\"|\\?\Z)|`(?:[^`\\]|\\.)*(?:`|\\?\Z)|[()\[\]{}]", re.DOTALL)
 
 
@@ -96,21 +80,26 @@ def first_unmatched(text: str) -> int:
     return -1
 
 
-@F.pandas_udf(StructType().add("at", IntegerType()).add("line", IntegerType()))
-def _unmatched(texts: pd.Series) -> pd.DataFrame:
-    """For the rows that fail alone: the others are null, and aren't looked at."""
-    at = [None if t is None else first_unmatched(t) for t in texts]
-    return pd.DataFrame({"at": pd.array(at, "Int32"), "line": pd.array([None if i is None else t.count("\n", 0, i) + 1 for t, i in zip(texts, at, strict=True)], "Int32")})
+def brackets_left(text: Column) -> Column:
+    """The brackets outside strings that stay open; '!' and the closing one where one doesn't match."""
+    return brackets.balance(text)["left"]
+
+
+def _script(found: Column, text: Column, places: bool) -> Column:
+    """The result of brackets.balance() as a validator's; `places`: whether errors tell the character and the line."""
+    left = found["left"]
+    said = F.concat(F.lit("Unmatched '"), F.substring(left, 2, 1), F.lit("'"))
+    bad = _bad("syntax", said)
+    if places:
+        where = brackets.place(text, found["nth"])
+        bad = F.transform(F.array(where), lambda w: _bad("syntax", F.concat(said, F.lit(" at position "), w["at"].cast("string")), w["line"]))[0]
+    return F.when(left == "", _ok()).when(left.startswith("!"), bad).otherwise(_bad("syntax", F.concat(F.lit("Unclosed brackets: "), left)))
 
 
 def javascript(text: Column, places: bool = True) -> Column:
-    """Bracket balance. `places`: whether errors tell the character and the line, for which failing texts go to Python."""
-    left = brackets_left(text)
-    closer, unclosed = F.substring(left, 2, 1), _bad("syntax", F.concat(F.lit("Unclosed brackets: "), left))
-    if not places:
-        return F.when(left == "", _ok()).when(left.startswith("!"), _bad("syntax", F.concat(F.lit("Unmatched '"), closer, F.lit("'")))).otherwise(unclosed)
-    where = _unmatched(F.when(left.startswith("!"), text))
-    return F.when(left == "", _ok()).when(left.startswith("!"), _bad("syntax", F.concat(F.lit("Unmatched '"), closer, F.lit("' at position "), where["at"].cast("string")), where["line"])).otherwise(unclosed)
+    """Bracket balance. `places`: whether errors tell the character and the line. A null text counts as an empty one, which passes."""
+    text = F.coalesce(text, F.lit(""))
+    return F.transform(F.array(brackets.balance(text)), lambda found: _script(found, text, places))[0]
 
 
 def _entity(*_) -> None:
@@ -174,7 +163,8 @@ def line_of(text: Column, pattern: str) -> Column:
 
 
 def security(text: Column, secrets: Sequence[tuple[str, str]] = SECRETS, allowed: Sequence[str] = ALLOWED_NEAR) -> Column:
-    """The first rule that hits: SQL built by concatenation, then secrets whose first match has no allowed text within 40 characters."""
+    """The first rule that hits: SQL built by concatenation, then secrets whose first match has no allowed text within 40 characters.
+    A null text passes, as an empty one does."""
     out = F.when(text.rlike(f"(?id){SQL_CONCATENATION}"), _bad("security", "Possible SQL injection", line_of(text, SQL_CONCATENATION)))
     allow = "(?i)" + "|".join(f"(?:{a})" for a in allowed)
     for pattern, what in secrets:
@@ -219,18 +209,11 @@ def validated(df: DataFrame, output: str, domain: str, to: str = "_r", bypass: S
     first = first.withColumn(f"{to}_sec", F.when(~at("blank"), security(t)))
     go = ~at("blank") & at("sec")["passed"] & ~at("skip")
     first = first.withColumn(f"{to}_kind", F.when(go, content_type(t)))
-    first = first.withColumn(f"{to}_left", F.when(at("kind") == "javascript", brackets_left(t)))
-    bad = at("left").startswith("!")
-    if places:
-        first = first.withColumn(f"{to}_where", _unmatched(F.when(bad, t)))
-        text = F.concat(F.lit("Unmatched '"), F.substring(at("left"), 2, 1), F.lit("' at position "), at("where")["at"].cast("string"))
-        unmatched = _bad("syntax", text, at("where")["line"])
-    else:
-        unmatched = _bad("syntax", F.concat(F.lit("Unmatched '"), F.substring(at("left"), 2, 1), F.lit("'")))
-    script = F.when(at("left") == "", _ok()).when(bad, unmatched).otherwise(_bad("syntax", F.concat(F.lit("Unclosed brackets: "), at("left"))))
+    first = first.withColumn(f"{to}_left", F.when(at("kind") == "javascript", brackets.balance(t)))
+    script = _script(at("left"), t, places)
     kinds = F.when(at("kind") == "hl7v2", hl7(t)).when(at("kind") == "xml", xml(F.when(at("kind") == "xml", t))).when(at("kind") == "fhir", fhir(t)).when(at("kind") == "json", _ok()).otherwise(script)
     result = F.when(at("blank"), _bad("structure", "Empty output")).when(~at("sec")["passed"], at("sec")).when(at("skip"), _ok()).otherwise(kinds)
-    parts = [f"{to}_{c}" for c in ("blank", "skip", "sec", "kind", "left", *(["where"] if places else []))]
+    parts = [f"{to}_{c}" for c in ("blank", "skip", "sec", "kind", "left")]
     return first.withColumn(to, result).drop(*parts)
 
 

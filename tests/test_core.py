@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from corpusmill import queries as core
-from corpusmill.functions import literals, render, rules
+from corpusmill.functions import brackets, literals, render, rules
 from corpusmill.operators import dialogue, neardup, records, sampling, schema, score, synthesis, teacher, validate
 from corpusmill.plans import config
 from corpusmill.sources import files, lines
@@ -281,6 +281,33 @@ def test_bracket_places(spark):
             assert x["passed"] == balance(t) and x["line_number"] is None
 
 
+def test_brackets_merge_in_any_grouping(spark, monkeypatch):
+    """Long and deep texts, whose stretches are folded and merged, against a stack; spans of 1, 3 and 32 brackets."""
+    r = random.Random(5)
+
+    def nested(n):
+        out, stack = [], []
+        for _ in range(n):
+            if stack and r.random() < 0.48:
+                out.append(")]}"["([{".index(stack.pop())])
+            else:
+                stack.append(r.choice("([{"))
+                out.append(stack[-1] + r.choice(["", "\n", " x '(' "]))
+        return "".join(out + [")]}"["([{".index(c)] for c in reversed(stack)])
+
+    whole = [nested(r.randrange(1, 700)) for _ in range(60)]
+    texts = whole + [t[:k] + r.choice(")]}") + t[k:] for t in whole for k in [r.randrange(len(t))]] + [t[: len(t) // 2] for t in whole] + ["(" * 5000 + ")" * 5000, "[" * 4999 + "\n)"]
+    for span in (1, 3, 32):
+        monkeypatch.setattr(brackets, "SPAN", span)
+        got = values(spark, validate.javascript(F.col("t")), texts)
+        assert [x["passed"] for x in got] == [balance(t) for t in texts]
+        for t, x in zip(texts, got, strict=True):
+            at = validate.first_unmatched(t)
+            assert x["line_number"] == (None if at < 0 else t[:at].count("\n") + 1)
+            assert at < 0 or x["error_detail"].endswith(f"'{t[at]}' at position {at}")
+    assert values(spark, validate.javascript(F.col("t")), [None])[0]["passed"]
+
+
 def test_validated_agrees_with_example(spark):
     texts = ["", "  ", "f(", "f(x)", "a\n)", "<a/>", "<a></b>", "<!DOCTYPE a><a/>", "<a><![CDATA[<!DOCTYPE x>]]></a>", '<!DOCTYPE a [<!ENTITY b "c">]><a>&b;</a>', '{"resourceType":"A"}', '{"a":1}', "MSH|^~\\&|A", "password = 'zq81kk'", None]
     rows = spark.createDataFrame([(i, t, d) for i, t in enumerate(texts) for d in ("hl7v2", "math", None)], "i int, t string, d string")
