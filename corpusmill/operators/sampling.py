@@ -23,14 +23,33 @@ def _order(df: DataFrame, seed: int, key: str) -> tuple[Column, Column]:
     return F.coalesce(order_key(seed, key), F.md5(F.concat(F.lit(f"{seed}:null:"), row))), row
 
 
+#: Rows of a group up to which tasks keep no more than these of a group before the shuffle (Spark limits ranks there up to 1,000).
+FEW = 1000
+
+
+def first_few(df: DataFrame, key: str, quotas: dict, by: str, seed: int = 42) -> DataFrame:
+    """Of each value of `by` that has a quota, the rows that come first in the seeded order, by one shuffle: each task keeps as
+    many rows of a value as the largest quota asks for, and what tasks kept is merged. For quotas up to FEW."""
+    order, tie = _order(df, seed, key)
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(order, key, tie))
+    wanted = F.lit(0)
+    for value, n in quotas.items():
+        wanted = F.when(F.col(by).eqNullSafe(value), n).otherwise(wanted)
+    kept = df.where(wanted > 0).withColumn("_r", rank).where(F.col("_r") <= max(quotas.values(), default=0))
+    return kept.where(F.col("_r") <= wanted).drop("_r")
+
+
 def first_in_order(df: DataFrame, key: str, wanted: DataFrame | int, by: str | None = None, seed: int = 42) -> DataFrame:
     """The first `wanted` rows in the seeded order, of all rows or of each value of `by` (wanted: by and n, one row each).
 
     Rows are counted by hash bucket; whole buckets are taken up to the one that a group is cut in, and only rows of such a
-    bucket (one of 4,096) are ranked. So no group is sorted as a whole, and no task has more than a bucket's rows.
+    bucket (one of 4,096) are ranked. So no group is sorted as a whole, and no task has more than a bucket's rows. Of all rows, up
+    to FEW are taken by tasks that keep as many each.
     """
     groups = [] if by is None else [by]
     order, tie = _order(df, seed, key)
+    if by is None and wanted <= FEW:
+        return top(df, wanted, order, key, tie)
     marked = df.withColumn("_b", F.substring(order, 1, 3))
     counts = marked.groupBy(*groups, "_b").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -74,6 +93,8 @@ def top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
 
 def stratified(df: DataFrame, key: str, stratum: str, quotas: dict[str, int], seed: int = 42) -> DataFrame:
     """Of each stratum, as many rows as its quota, the first in the seeded order."""
+    if max(quotas.values(), default=0) <= FEW:
+        return first_few(df, key, quotas, stratum, seed)
     wanted = df.sparkSession.createDataFrame(list(quotas.items()), f"`{stratum}` string, n long")
     return first_in_order(df.where(F.col(stratum).isin(*quotas)), key, F.broadcast(wanted), stratum, seed)
 

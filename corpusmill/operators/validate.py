@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import schema
+from .report import observed
 from ..functions import brackets
 from ..functions.text import blank, strip
 
@@ -235,3 +236,19 @@ def report(df: DataFrame, result: str) -> DataFrame:
     pairs = F.array_sort(F.filter(F.collect_list(F.struct("k", "n")), lambda x: x["k"].isNotNull()))
     count = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
     return by.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), count(F.col("k").isNull()).alias("passed"), count(F.col("k").isNotNull()).alias("failed"), F.map_from_entries(pairs).alias("errors_by_category"))
+
+
+#: The categories of errors that validators give.
+CATEGORIES = ("security", "structure", "syntax")
+
+
+def written(df: DataFrame, result: str, path: str) -> dict:
+    """Writes rows with a result column to a Parquet folder, those that pass and those that fail apart (passed=true, passed=false), and
+    returns what report() would, counted while the rows were written: one scan. Rows that fail carry _validation_error."""
+    flags = {c: F.col(f"{result}.error_type") == c for c in CATEGORIES}
+    seen, counters = observed(df, passed=F.col(f"{result}.passed"), **flags)
+    error = F.struct(F.col(f"{result}.error_type").alias("type"), F.col(f"{result}.error_detail").alias("detail"), F.col(f"{result}.line_number").alias("line"))
+    out = seen.withColumn("_validation_error", F.when(~F.col(f"{result}.passed"), error)).withColumn("passed", F.col(f"{result}.passed")).drop(result)
+    out.write.partitionBy("passed").parquet(path)
+    got = counters.get
+    return {"total": got["total"], "passed": got["passed"], "failed": got["total"] - got["passed"], "errors_by_category": {c: got[c] for c in CATEGORIES if got[c]}}

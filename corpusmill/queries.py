@@ -13,6 +13,7 @@ from .functions import literals, render, rules
 from .functions.text import content_hash, jaccard, strip, truncated
 from .operators import dialogue, neardup, records, report, sampling, schema, score, synthesis, teacher, validate
 from .plans import flows
+from .plans import session as plan_session
 from .sources import files, lines
 from .sources.tables import checkpoint_dir
 from .streaming import events as stream_events
@@ -221,6 +222,17 @@ def validation_report(spark, d):
     return validate.report(rows, "_r").select("total", "passed", "failed", F.to_json("errors_by_category").alias("errors"))
 
 
+@query(f"SELECT doc_id, {_ERROR_TYPE} IS NULL AS passed, {_ERROR_TYPE} AS type, count(*) OVER () AS total, count(*) FILTER ({_ERROR_TYPE} IS NULL) OVER () AS n_passed, count(*) FILTER ({_ERROR_TYPE} = 'security') OVER () AS n_security FROM {_MORE_SQL}")
+def validated_written(spark, d):
+    """Rows written apart by whether they pass, with the counters that were taken while they were written."""
+    path = f"{checkpoint_dir(spark)}/validated-{uuid.uuid4().hex}"
+    rows = validate.validated(_more(spark, d), "text", "lang", bypass=("math", "es")).select("doc_id", "_r")
+    counts = validate.written(rows, "_r", path)
+    back = spark.read.schema("doc_id long, _validation_error struct<type:string,detail:string,line:int>, passed boolean").parquet(path)
+    numbers = {"total": counts["total"], "n_passed": counts["passed"], "n_security": counts["errors_by_category"].get("security", 0)}
+    return back.select("doc_id", "passed", F.col("_validation_error.type").alias("type"), *[F.lit(n).cast("long").alias(k) for k, n in numbers.items()])
+
+
 @query(f"SELECT doc_id, {_ERROR_TYPE} AS type, CASE {_ERROR_TYPE} WHEN 'structure' THEN 'Empty output' WHEN 'security' THEN {sql.security('text')} ELSE {sql.bracket_error(sql.brackets_left('text'))} END AS detail FROM {_MORE_SQL} WHERE {_ERROR_TYPE} IS NOT NULL")
 def validation_failures(spark, d):
     rows = validate.validated(_more(spark, d), "text", "lang", bypass=("math", "es"))
@@ -322,20 +334,35 @@ def prompt_extraction(spark, d):
     return _t(spark, d, "documents").select("doc_id", render.user_prompt(text).alias("prompt"))
 
 
-@query(f"""WITH t AS (SELECT conv_id, string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn) AS x FROM conversations WHERE role <> 'system' GROUP BY conv_id),
+_DIALOGUES = f"""WITH t AS (SELECT conv_id, string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn) AS x FROM conversations WHERE role <> 'system' GROUP BY conv_id),
 l AS (SELECT conv_id, unnest(string_split(x, chr(10))) AS line, generate_subscripts(string_split(x, chr(10)), 1) AS pos FROM t),
 m AS (SELECT *, {sql.strip('line')} AS s, CASE WHEN starts_with(upper({sql.strip('line')}), 'USER:') THEN 'user' WHEN starts_with(upper({sql.strip('line')}), 'ASSISTANT:') THEN 'assistant' END AS role FROM l),
 g AS (SELECT *, count(role) OVER (PARTITION BY conv_id ORDER BY pos) AS turn FROM m),
 u AS (SELECT conv_id, turn, max(role) AS role, {sql.strip("string_agg(CASE role WHEN 'user' THEN " + sql.strip('substr(s, 6)') + " WHEN 'assistant' THEN " + sql.strip('substr(s, 11)') + " ELSE line END, chr(10) ORDER BY pos)")} AS content FROM g WHERE turn > 0 GROUP BY conv_id, turn),
 v AS (SELECT conv_id, max(turn) AS n, arg_min(role, turn) AS first, arg_max(role, turn) AS last FROM u GROUP BY conv_id)
 SELECT conv_id, CAST(count(*) AS INTEGER) AS n_turns, sha256(string_agg(role || chr(10) || content || chr(10), '' ORDER BY turn)) AS h
-FROM u JOIN v USING (conv_id) WHERE first = 'user' AND n >= 2 AND NOT (turn = n AND last = 'user') GROUP BY conv_id HAVING count(*) >= 2 AND bool_and(content <> '')""")
-def dialogue_parse(spark, d):
+FROM u JOIN v USING (conv_id) WHERE first = 'user' AND n >= 2 AND NOT (turn = n AND last = 'user') GROUP BY conv_id HAVING count(*) >= 2 AND bool_and(content <> '')"""
+
+
+def _marked(spark, d) -> DataFrame:
+    """conv_id and text: conversations as marked dialogues."""
     c = _t(spark, d, "conversations").where("role <> 'system'")
     line = F.concat(F.upper("role"), F.lit(": "), "text")
-    texts = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
+    return c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
+
+
+@query(_DIALOGUES)
+def dialogue_parse(spark, d):
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["content"], F.lit("\n"))), "")
-    return dialogue.parse(texts, "conv_id", "text").select("conv_id", F.size("turns").alias("n_turns"), F.sha2(whole, 256).alias("h"))
+    return dialogue.parse(_marked(spark, d), "conv_id", "text").select("conv_id", F.size("turns").alias("n_turns"), F.sha2(whole, 256).alias("h"))
+
+
+@query(_DIALOGUES)
+def sql_dialogue_turns(spark, d):
+    """The same from SQL text, with turns as rows of a table function."""
+    plan_session.register(spark)
+    turns = "SELECT conv_id, t.* FROM {marked}, LATERAL dialogue_turns(text) t"
+    return spark.sql(f"SELECT conv_id, CAST(count(*) AS INT) AS n_turns, sha2(array_join(transform(array_sort(collect_list(struct(turn, role, content))), x -> x.role || '\n' || x.content || '\n'), ''), 256) AS h FROM ({turns}) GROUP BY conv_id", marked=_marked(spark, d))
 
 
 _Q = f"least(1.0, greatest(0.0, 0.5 + CASE WHEN length({_S}) > 100 THEN 0.15 ELSE 0 END + CASE WHEN length({_S}) > 500 THEN 0.1 ELSE 0 END + CASE WHEN contains({_S}, '```') OR contains({_S}, 'function ') OR contains({_S}, 'def ') THEN 0.1 ELSE 0 END + CASE WHEN contains({_S}, '//') OR contains({_S}, '#') OR contains({_S}, '/*') THEN 0.1 ELSE 0 END - CASE WHEN length({_S}) < 50 THEN 0.2 ELSE 0 END))"
@@ -478,6 +505,18 @@ def overall_report(spark, d):
     return r.select("n", "n_ok", *[F.round(c, 6).alias(c) for c in ("avg_latency", "avg_length", "avg_tokens", "code_pct")])
 
 
+_SIDES = {"click": "active", "purchase": "active"}
+
+
+@query("SELECT CASE GROUPING(category, side) WHEN 3 THEN 'overall' WHEN 2 THEN 'side' ELSE 'category' END AS level, category, side, count(*) AS n, count(*) FILTER (status = 'ok') AS n_ok, count(*) FILTER (status <> 'ok') AS n_err, round(avg(latency_sec) FILTER (status = 'ok'), 6) AS avg_latency, round(avg(CAST(has_code AS INTEGER)), 6) AS code_rate FROM (SELECT *, CASE WHEN category IN ('click', 'purchase') THEN 'active' ELSE 'passive' END AS side FROM " + _R + ") GROUP BY GROUPING SETS ((), (side), (category))")
+def metrics_by_level(spark, d):
+    """Overall, group and category metrics of one scan."""
+    rows = _responses(spark, d).withColumn("side", F.when(F.col("category").isin(*_SIDES), "active").otherwise("passive"))
+    ok = F.col("status") == "ok"
+    metrics = {"n": F.count("*"), "n_ok": F.count_if(ok), "n_err": F.count_if(~ok), "avg_latency": F.round(F.avg(F.when(ok, F.col("latency_sec"))), 6), "code_rate": F.round(F.avg(F.col("has_code").cast("double")), 6)}
+    return report.by_sets(rows, {"overall": (), "side": ("side",), "category": ("category",)}, metrics).select("level", "category", "side", *metrics)
+
+
 @query("SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL")
 def counts_by_domain(spark, d):
     return report.counted(_t(spark, d, "documents"), "source", "lang")
@@ -682,6 +721,17 @@ def logged_answers(spark, d):
     return teacher.ask(plan, "doc_id", "source", lambda prompt: f"second {prompt.upper()}", log, buckets=16).select("doc_id", "response")
 
 
+_CLOSER = sql.q(r"[)\]}]")
+
+
+@query(f"SELECT doc_id, {_LEAK} AS leaks, regexp_matches({sql.brackets_left('text')}, {_CLOSER}) AS unmatched FROM (SELECT doc_id, text FROM {_MORE_SQL} UNION ALL SELECT * FROM (VALUES {', '.join(f'({i} - 100, {sql.q(t)})' for i, t in _LOG_CASES)}))")
+def sql_checks(spark, d):
+    """Checks from SQL text."""
+    plan_session.register(spark)
+    cases = spark.createDataFrame([(i - 100, t) for i, t in _LOG_CASES], "doc_id long, text string")
+    return spark.sql("SELECT doc_id, leaks_to_log(text) AS leaks, unmatched_bracket(text) >= 0 AS unmatched FROM {rows}", rows=_more(spark, d).select("doc_id", "text").unionByName(cases))
+
+
 @query("SELECT doc_id, sha256(text) AS h, 'ok' AS state FROM documents")
 def jsonl_round_trip(spark, d):
     """Documents written as JSON lines and read again as text lines with their records."""

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from corpusmill import queries as core
 from corpusmill.functions import brackets, literals, render, rules
-from corpusmill.operators import dialogue, neardup, records, sampling, schema, score, synthesis, teacher, validate
-from corpusmill.plans import config
+from corpusmill.operators import dialogue, neardup, records, report, sampling, schema, score, synthesis, teacher, validate
+from corpusmill.plans import config, session
 from corpusmill.sources import files, lines
 from corpusmill.streaming import events, first, sink
 
@@ -739,3 +739,60 @@ def test_first_seen_by_state(spark, tmp_path):
         events.run_available(rows, f"{tmp_path}/state", lambda df, _: got.append([x.id for x in df.collect()])).awaitTermination()
     assert [sorted(x) for x in got if x] == [[1, 2], [5], [8, 10]]
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != first.STORE  # the caller's session is as it was
+
+
+def test_few_rows_of_a_group_by_one_shuffle(spark, monkeypatch):
+    """The same rows as by hash buckets, ranks limited before the only shuffle; null and unknown values, null keys, empty tables."""
+    rows = [(None if i % 9 == 0 else i, None if i % 7 == 0 else "ab"[i % 2], i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, g string, v int").repartition(6)
+    quotas = {"a": 40, "b": 3, "c": 5}
+    few = sampling.stratified(df, "k", "g", quotas)
+    got = sorted(r["v"] for r in few.collect())
+    first = [sorted(r["v"] for r in sampling.first_in_order(df, "k", n).collect()) for n in (0, 1, 200, 600, 700)]
+    assert [len(x) for x in first] == [0, 1, 200, 600, 600] and len(got) == 43
+    plan = sampling.stratified(df, "k", "g", quotas)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan and "Join" not in plan
+    assert sampling.stratified(df.where("false"), "k", "g", quotas).count() == 0 and sampling.stratified(df, "k", "g", {}).count() == 0
+    nulls = sampling.first_few(df, "k", {None: 8}, "g").collect()
+    assert len(nulls) == 8 and all(r["g"] is None for r in nulls)
+    monkeypatch.setattr(sampling, "FEW", -1)
+    assert sorted(r["v"] for r in sampling.stratified(df, "k", "g", quotas).collect()) == got
+    assert [sorted(r["v"] for r in sampling.first_in_order(df, "k", n).collect()) for n in (0, 1, 200, 600, 700)] == first
+
+
+def test_metrics_of_several_groupings(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), (None, "x", 3), (None, None, 4)], "a string, b string, v int").cache()
+    sets = {"all": (), "a": ("a",), "both": ("a", "b")}
+    got = report.by_sets(df, sets, {"n": F.count("*"), "s": F.sum("v")})
+    rows = Counter((r["level"], r["a"], r["b"], r["n"], r["s"]) for r in got.collect())
+    assert rows == Counter({("all", None, None, 4, 10): 1, ("a", "a", None, 2, 3): 1, ("a", None, None, 2, 7): 1, ("both", "a", "x", 1, 1): 1, ("both", "a", "y", 1, 2): 1, ("both", None, "x", 1, 3): 1, ("both", None, None, 1, 4): 1})
+    plan = report.by_sets(df, sets, {"n": F.count("*")})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("InMemoryTableScan") == 1
+    assert [r["level"] for r in report.by_sets(df.where("false"), sets, {"n": F.count("*")}).collect()] in ([], ["all"])
+    with pytest.raises(ValueError):
+        report.by_sets(df, {"x": ("a", "b"), "y": ("b", "a")}, {"n": F.count("*")})
+
+
+def test_counted_while_written(spark, tmp_path):
+    texts = ["f(x)", "f(", "", "password = 'zq81kk'", None, "a]"]
+    df = spark.createDataFrame([(i, t, d) for i, t in enumerate(texts) for d in ("x", "math")], "i int, t string, d string").repartition(5)
+    done = validate.validated(df, "t", "d")
+    counts = validate.written(done, "_r", f"{tmp_path}/out")
+    whole = validate.report(done, "_r").first()
+    assert counts == {"total": whole["total"], "passed": whole["passed"], "failed": whole["failed"], "errors_by_category": whole["errors_by_category"]}
+    back = spark.read.parquet(f"{tmp_path}/out").withColumn("passed", F.col("passed").cast("boolean"))
+    assert back.where("not passed").where("_validation_error is not null").count() == counts["failed"] > 0
+    assert back.where("passed").where("_validation_error is null").count() == counts["passed"] > 0
+    assert validate.written(done.where("false"), "_r", f"{tmp_path}/none") == {"total": 0, "passed": 0, "failed": 0, "errors_by_category": {}}
+
+
+def test_functions_for_sql(spark):
+    session.register(spark)
+    texts = ["USER: a\nb\nASSISTANT: c\nUSER: d", "x\nuser: a\nassistant:\u00a0b ", "ASSISTANT: a\nUSER: b", "USER: \nASSISTANT: b", "USER: a", "", None, "no marks", "USER: a\nASSISTANT: b\n\n c \nUSER: d\nASSISTANT: e"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    rows = spark.sql("SELECT i, t.* FROM {df}, LATERAL dialogue_turns(text) t", df=df).collect()
+    want = [(r["i"], k, t["role"], t["content"]) for r in dialogue.parse(df, "i", "text").collect() for k, t in enumerate(r["turns"], 1)]
+    assert sorted(map(tuple, rows)) == sorted(want) and want
+    checks = spark.sql("SELECT unmatched_bracket(t) AS b, xml_error(t) AS x, leaks_to_log(t) AS l FROM VALUES ('a)'), ('<a/>'), ('print(patient.ssn)'), (CAST(NULL AS STRING)) v(t)").collect()
+    assert [r["b"] for r in checks] == [1, -1, -1, None] and [r["x"] is None for r in checks] == [False, True, False, True]
+    assert [r["l"] for r in checks] == [False, False, True, None]
