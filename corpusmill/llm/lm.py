@@ -9,8 +9,8 @@ in the order of their bytes and cut into classes; a piece's probability is that
 softmax layers over what one layer of causal attention and a hidden layer make of the ids before it. So every piece has a
 probability of its own in each context. Windows overlap; each id is scored once, in the first window that has it among its
 last STRIDE places (or in a text's first window).
-The network's weights start from a fit on the driver to windows drawn from all places of all training texts. Then the executors
-train on every id of every training text, and what their tasks learnt is averaged.
+The network's weights start from a fit on the driver to windows drawn from all places of all training texts. Then workers on the
+executors train on every id of every training text, in rounds between which what they learnt is averaged.
 """
 
 from __future__ import annotations
@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_symbols
-from .common import documents, map_arrow, written
+from .common import discard, documents, map_arrow, written
 
 FOLDS, HELD_OUT = 7, 2
 FREQUENT_WORDS, STEPS, BATCH = 100_000, 900, 96
-#: The pass over all training texts: windows of a step, the rate, ids that wait for steps at least, ids of a slice of the sums.
-PASS_BATCH, PASS_RATE, PASS_IDS, SLICE = 256, 0.003, 60_000, 256
+#: The pass over all training texts: windows of a step, the rate that falls from round to round, ids that wait for steps at least, ids of a slice of the sums.
+PASS_BATCH, PASS_RATE, PASS_IDS, SLICE = 256, 0.001, 60_000, 256
+#: The rounds of that pass, the words of a worker, the most workers of a round, and how much of a round's move the next one adds.
+ROUNDS, WORKER_WORDS, WORKERS, MOMENTUM = 4, 200_000, 1024, 0.3
 CLASSES, MEMBERS, WIDTH, HIDDEN, WINDOW, STRIDE = 32, 32, 24, 48, 24, 16
 #: Windows that go through the network together when texts are scored.
 CHUNK = 64
@@ -349,75 +351,110 @@ def start_windows(train: DataFrame, pieces: tuple[bytes, ...], n_all: int, wante
     return np.sort(np.array(got, f"S{4 * (WINDOW + 1)}")).view("<i4").reshape(len(got), WINDOW + 1).astype(np.int64)
 
 
-def learn(model: Attention, train: DataFrame, pieces: tuple[bytes, ...]) -> int:
+class Learner:
+    """A worker of a round: goes on from a model over texts in the order given, and tells what that changed."""
+
+    def __init__(self, start: Attention, end: int, rate: float, batch: int):
+        self.start, self.own, self.rate, self.batch = start, copy(start), rate, batch
+        self.own.p = {k: v.copy() for k, v in start.p.items()}
+        self.r, self.held, self.seen, self.total = np.random.default_rng(7), {}, np.zeros(CLASSES * MEMBERS), 0
+        self.waiting, self.size, self.tail = [], 1, np.full(WINDOW + 1, end)
+
+    def take(self, ids: np.ndarray) -> None:
+        self.seen += np.bincount(ids, minlength=len(self.seen))
+        self.total += len(ids)
+        self.waiting.append(ids)
+        self.size += len(ids)
+        if self.size > PASS_IDS:
+            self._cut(False)
+
+    def _steps(self, windows: np.ndarray) -> None:
+        for k in np.array_split(self.r.permutation(len(windows)), -(-len(windows) // self.batch)):
+            self.own.step(windows[k, :-1], windows[k, 1:], self.rate, self.held)
+
+    def _cut(self, last: bool) -> None:
+        flat = np.concatenate([self.tail[-1:], *self.waiting])
+        k = (len(flat) - 1) // WINDOW
+        if k:
+            self._steps(flat[np.arange(k)[:, None] * WINDOW + np.arange(WINDOW + 1)])
+        left = flat[k * WINDOW :]
+        self.tail = np.concatenate([self.tail, flat[1 : k * WINDOW + 1]])[-WINDOW - 1 :]
+        if last and len(left) > 1:  # the last window reaches back to ids that were predicted before
+            self._steps(np.concatenate([self.tail, left[1:]])[None, -WINDOW - 1 :])
+        self.waiting, self.size = [left[1:]], len(left)
+
+    def sums(self) -> Iterator[tuple[int, bytes]]:
+        """(slice, sums): of each slice of the embedding, what its rows moved by times how often the worker had their ids, and that;
+        of all other weights (slice -1), what they moved by times the worker's ids, and these."""
+        self._cut(True)
+        moved = {k: self.own.p[k] - self.start.p[k] for k in self.own.p}
+        e = np.concatenate([moved.pop("e") * self.seen[:, None], self.seen[:, None]], 1)
+        for i in range(0, len(e), SLICE):
+            if self.seen[i : i + SLICE].any():
+                yield i, e[i : i + SLICE].tobytes()
+        yield -1, np.concatenate([*(d.ravel() * float(self.total) for d in moved.values()), [self.total]]).astype(float).tobytes()
+
+
+def learn(model: Attention, train: DataFrame, pieces: tuple[bytes, ...], n_all: int = 0) -> int:
     """One pass of the model over every id of every training text, on the executors; returns the number of ids predicted.
 
-    Each task goes on from the model given, over the whole texts of its partition. Then what the tasks changed is averaged: of an id's
-    embedding by how often the tasks had the id, of the other weights by the tasks' ids. The sums are made by shuffle, in slices.
+    Rows are dealt to ROUNDS rounds and, in each, to workers by their hash, so that what is learnt doesn't depend on partitions or on
+    how many executors there are. `n_all` is about how many words there are: a worker has some WORKER_WORDS, or more where a
+    round would have more than WORKERS. A worker goes on from the round's model over its texts in the order of their hashes, as
+    they stream by. Then what workers changed is averaged, of an id's embedding by how often they had the id, of the other weights by
+    their ids; sums are made by shuffle, in slices. The model moves by that average and by MOMENTUM of its last move.
     """
-    handle = train.sparkSession.sparkContext.broadcast(model)
-    n, rest, end = CLASSES * MEMBERS, [k for k in model.p if k != "e"], subwords(pieces).end
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, tok, r, held, seen, total = handle.value, subwords(pieces), np.random.default_rng(7), {}, np.zeros(n), 0
-        own = copy(start)
-        own.p = {k: v.copy() for k, v in start.p.items()}
-        waiting, size, tail = [], 1, np.full(WINDOW + 1, end)
-
-        def steps(windows: np.ndarray) -> None:
-            for k in np.array_split(r.permutation(len(windows)), -(-len(windows) // PASS_BATCH)):
-                own.step(windows[k, :-1], windows[k, 1:], PASS_RATE, held)
-
-        def cut(last: bool) -> None:
-            nonlocal waiting, size, tail
-            flat = np.concatenate([tail[-1:], *waiting])
-            k = (len(flat) - 1) // WINDOW
-            if k:
-                steps(flat[np.arange(k)[:, None] * WINDOW + np.arange(WINDOW + 1)])
-            left = flat[k * WINDOW :]
-            tail = np.concatenate([tail, flat[1 : k * WINDOW + 1]])[-WINDOW - 1 :]
-            if last and len(left) > 1:  # the last window reaches back to ids that were predicted before
-                steps(np.concatenate([tail, left[1:]])[None, -WINDOW - 1 :])
-            waiting, size = [left[1:]], len(left)
-
-        for b in batches:
-            for t in b.column(1).to_pylist():
-                ids = np.append(tok(t.encode().lower().split()), end)
-                seen += np.bincount(ids, minlength=n)
-                total += len(ids)
-                waiting.append(ids)
-                size += len(ids)
-                if size > PASS_IDS:
-                    cut(False)
-        if total:
-            cut(True)
-            moved = np.concatenate([(own.p["e"] - start.p["e"]) * seen[:, None], seen[:, None]], 1)
-            for i in range(0, n, SLICE):
-                if seen[i : i + SLICE].any():
-                    yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int64()), "sums": pa.array([moved[i : i + SLICE].tobytes()], pa.binary())})
-            other = np.concatenate([*((own.p[k] - start.p[k]).ravel() * float(total) for k in rest), [total]])
-            yield pa.RecordBatch.from_pydict({"slice": pa.array([-1], pa.int64()), "sums": pa.array([other.astype(float).tobytes()], pa.binary())})
+    n_workers = min(WORKERS, max(1, -(-n_all // (ROUNDS * WORKER_WORDS))))
+    end, total, last = subwords(pieces).end, 0, {}
+    h = F.xxhash64("doc_id", "text")
+    rows = train.select("text", h.alias("h"), F.pmod(h, F.lit(n_workers)).alias("worker"), F.pmod(F.shiftright(h, 40), F.lit(ROUNDS)).alias("round"))
 
     def added(t: pa.Table) -> pa.Table:
         parts = sorted(t["sums"].to_pylist())
-        return pa.table({"slice": t["slice"][:1], "sums": pa.array([np.sum([np.frombuffer(x) for x in parts], axis=0).tobytes()], pa.binary())})
-
-    sums = written(map_arrow(train.select("doc_id", "text"), run, "slice long, sums binary"), "learnt").groupBy("slice").applyInArrow(added, "slice long, sums binary")
-    total = 0
-    for i, x in ((r["slice"], np.frombuffer(bytes(r["sums"]))) for r in sums.collect()):
-        if i >= 0:
-            x = x.reshape(-1, WIDTH + 1)
-            model.p["e"][i : i + SLICE] += (x[:, :-1] / np.maximum(x[:, -1:], 1)).astype(np.float32)
-        else:
-            total, at = int(x[-1]), 0
-            for k in rest:
-                d = x[at : at + model.p[k].size] / total
-                model.p[k] += d.reshape(model.p[k].shape).astype(np.float32)
-                at += d.size
-    handle.unpersist()
+        out = np.frombuffer(parts[0]).copy()
+        for x in parts[1:]:
+            out += np.frombuffer(x)
+        return pa.table({"slice": t["slice"][:1], "sums": pa.array([out.tobytes()], pa.binary())})
+
+    for k in range(ROUNDS):
+        handle = train.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch], handle=handle, rate=PASS_RATE * (1 - k / ROUNDS), size=PASS_BATCH) -> Iterator[pa.RecordBatch]:
+            tok, at, own = subwords(pieces), None, None
+            batch = lambda: pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*own.sums(), strict=True), (pa.int64(), pa.binary()), strict=True)], ["slice", "sums"])
+            for b in batches:
+                for text, worker in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    if worker != at:
+                        if own:
+                            yield batch()
+                        at, own = worker, Learner(handle.value, end, rate, size)
+                    own.take(np.append(tok(text.encode().lower().split()), end))
+            if own:
+                yield batch()
+
+        dealt = rows.where(F.col("round") == k).repartition(2 * n_workers, "worker").sortWithinPartitions("worker", "h", "text").select("text", "worker")
+        moved = written(map_arrow(dealt, run, "slice long, sums binary"), "learnt")
+        for i, x in ((r["slice"], np.frombuffer(bytes(r["sums"]))) for r in moved.groupBy("slice").applyInArrow(added, "slice long, sums binary").collect()):
+            if i >= 0:
+                x = x.reshape(-1, WIDTH + 1)
+                _move(model.p["e"][i : i + SLICE], x[:, :-1] / np.maximum(x[:, -1:], 1), last, i)
+            else:
+                total, at = total + int(x[-1]), 0
+                for name in (w for w in model.p if w != "e"):
+                    size = model.p[name].size
+                    _move(model.p[name], (x[at : at + size] / x[-1]).reshape(model.p[name].shape), last, name)
+                    at += size
+        discard(moved)
+        handle.unpersist()
     return total
 
 
+def _move(weights: np.ndarray, by: np.ndarray, last: dict, name) -> None:
+    """Adds an average move and MOMENTUM of the last one, in place."""
+    last[name] = by + MOMENTUM * last.get(name, 0.0)
+    weights += last[name].astype(np.float32)
+
+
 PARTIAL = "doc_id long, n_tokens long, known long, logs double, score double, rare binary"
 
 
@@ -441,7 +478,7 @@ def scores(docs: DataFrame, path: str) -> DataFrame:
         start = start_windows(train, pieces, n_all)
         if len(start):
             model.fit(start)
-        learn(model, train, pieces)
+        learn(model, train, pieces, n_all)
     handle = docs.sparkSession.sparkContext.broadcast((model, {w: (float(np.log10(c + 1))) for w, c in frequent.items()}))
     end_log = float(np.log10(n_docs + 1))
 

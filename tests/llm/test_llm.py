@@ -563,6 +563,30 @@ def test_lm_learns_from_every_id(spark):
     assert windows.shape[1] == lm.WINDOW + 1 and set(np.concatenate(ids)) == set(np.unique(windows))
 
 
+def test_lm_pass_gains_wherever_rows_lie(spark, monkeypatch):
+    """Held-out texts gain by the pass itself, with one and with several workers a round; partitions change nothing."""
+    docs = lm.documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    train, rest = docs.where(lm.fold(F.col("doc_id")) != lm.HELD_OUT).cache(), docs.where(lm.fold(F.col("doc_id")) == lm.HELD_OUT)
+    words = lm.word_counts(train)
+    n = words.agg(F.sum("n")).first()[0]
+    pieces = lm.chosen_pieces(words, BYTE_BPE)
+    tok = lm.subwords(pieces)
+    start = lm.Attention(lm.id_counts(words, pieces, train.count()))
+    start.fit(lm.start_windows(train, pieces, n), steps=300)
+    texts = [tok(r["text"].encode().lower().split()) for r in rest.collect()]
+    held = lambda m: sum(m.score(texts[i : i + 64], tok.end).sum() for i in range(0, len(texts), 64))
+    for size in (lm.WORKER_WORDS, 30_000):
+        monkeypatch.setattr(lm, "WORKER_WORDS", size)
+        learnt = []
+        for parts in (1, 64):
+            model = lm.Attention(np.ones(tok.end + 1))
+            model.p = {k: v.copy() for k, v in start.p.items()}
+            lm.learn(model, train.repartition(parts), pieces, n)
+            learnt.append(model)
+        assert all(np.array_equal(learnt[0].p[k], learnt[1].p[k]) for k in start.p)
+        assert held(learnt[0]) > held(start) * 0.999
+
+
 def test_lm_beats_counts(spark):
     """On held-out documents, the model is better than its own ids' unigram counts by a quarter of their logarithms, and than
     their bigram counts (backed off to the unigram by the number of kinds that follow)."""
