@@ -4,18 +4,21 @@
    segments than that by their hash, so that two such sets agree in at least one whole segment. A key is the hash of a
    segment's shingles, several of them, so that unrelated sets hardly ever share one, however frequent their shingles are.
    The number of segments goes by size: a set has keys for its class of sizes and, at its lower end, for the class below.
+   Of many segments similar sets agree in a third or more, so that the first few of them (some 80) are enough: none of these
+   agrees with a chance below MISSED. Segments of few shingles, which unrelated sets do share, have no key then.
 2. Rows of one domain and key meet in an equi-join, in the first of a run of segments that they share.
 3. Signatures rule out most of what isn't similar; sets are compared for the rest alone.
 4. Where lists are long, rows that no earlier row of their lists can remove are settled first, with what they remove, so that
-   a large group of near copies is compared with one row and not all with all.
+   a large group of near copies is compared with one row and not all with all. That ends when it no longer halves the work.
 
-A LeaderIndex holds keys, signatures and sets of the rows that stayed, so that later batches are cleaned without the texts of
-earlier ones.
+A LeaderIndex holds keys, signatures and texts of the rows that stayed (sets of shingles take several times as much), so that
+later batches are cleaned without the tables of earlier ones.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import cache
 
@@ -27,11 +30,15 @@ from pyspark.sql import functions as F
 from ..sources.tables import discard, stored
 
 SHINGLE = 5
-#: 64-bit words of a set's signature; entries of a list from which heads are settled first, and how often. The last two touch
-#: speed only.
-SIGN_WORDS, LONG_LIST, ROUNDS = 64, 64, 8
+#: 64-bit words of a set's signature; entries of a list from which heads are settled first, where lists have more pairs than so
+#: many an entry, and how often. The last three touch speed only.
+SIGN_WORDS, LONG_LIST, FEW, ROUNDS = 64, 64, 4, 8
 #: Sizes of a class, as a multiple of its least.
 CLASS = 1.5
+#: The chance at most that two sets, similar just at the threshold, of so many segments that only some have keys, share none.
+MISSED = 1e-15
+#: As many keys of a class, if need be, for segments of more shingles each.
+MANY = 96
 
 
 def shingle_hashes(text: str | None) -> np.ndarray:
@@ -55,9 +62,29 @@ def signature(s: np.ndarray) -> list[int]:
     return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).view("<i8").tolist()
 
 
+def _agrees(shared: float, segments: int, threshold: float, fewest: int) -> float:
+    """The chance that a segment holds none of the shingles that differ and `fewest` or more of those that two sets share, whose
+    similarity is the threshold. Segments that are full leave others empty, so that many of them fail together more seldom
+    than if they were independent."""
+    mean = shared / segments
+    fewer = sum(math.exp(i * math.log(mean) - mean - math.lgamma(i + 1)) for i in range(fewest))
+    return (1 - 1 / segments) ** ((1 - threshold) / threshold * shared) * max(1 - fewer, 0)
+
+
+def _sampled(least: int, above: int, segments: int, threshold: float) -> tuple[int, int]:
+    """(how many of a class's segments have keys, the fewest shingles of one that has); (segments, 0): all, in need of no chance."""
+    best = (segments, 0)
+    for fewest in range(1, 9):
+        p = min(_agrees(shared, segments, threshold, fewest) for shared in (2 * threshold / (1 + threshold) * least, above - 1))
+        n = math.ceil(math.log(MISSED) / math.log1p(-p)) if 0 < p < 1 else segments
+        if n < segments and (fewest == 1 or n <= MANY):
+            best = n, fewest
+    return best
+
+
 @cache
-def classes(threshold: float) -> tuple[list[int], list[int], list[int]]:
-    """Of each class of sizes: its least size, its segments, and how many of them agree at least."""
+def classes(threshold: float) -> tuple[list[int], list[int], list[int], list[tuple[int, int]]]:
+    """Of each class of sizes: its least size, its segments, how many of them agree at least, and _sampled()."""
     least, wide = [1], max(CLASS, 1 / threshold)  # so that similar sets are of one class or of neighbours
     while least[-1] < 1 << 31 and threshold < 1:
         least.append(max(least[-1] + 1, int(np.ceil(wide * least[-1]))))
@@ -67,29 +94,34 @@ def classes(threshold: float) -> tuple[list[int], list[int], list[int]]:
         most = int((1 - threshold) / threshold * (above - 1) + 1e-6)  # one set of the class, and one that is larger by the threshold
         agree.append(1 + int(most * (1 / 16 + 1.5 * np.exp(-threshold / max((1 - threshold) * wide, 1e-9)))))  # more than are empty by chance
         segments.append(most + agree[-1])
-    return least[:-1], segments, agree
+    return least[:-1], segments, agree, [_sampled(*x, threshold) for x in zip(least, least[1:], segments)]
 
 
 def keys(s: np.ndarray, threshold: float) -> np.ndarray:
     """The keys of a set's segments, one class after the other, 0 before each class and for segments that have none.
 
-    Segments without shingles have keys only if a set has so many of them that all in which two sets agree may be empty.
+    Where all segments have keys, those without shingles have one only if a set has so many of them that all in which two sets
+    agree may be empty.
     """
-    least, segments, agree = classes(threshold)
+    least, segments, agree, sampled = classes(threshold)
     own = int(np.searchsorted(least, len(s), side="right")) - 1
     out = []
     for k in [own] + ([own - 1] if own and threshold * len(s) - 1e-6 <= least[own] - 1 else []):
+        n, fewest = sampled[k]
         at = ((s >> np.uint64(32)) * np.uint64(segments[k]) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        used, first = np.unique(at[order], return_index=True)
-        h = np.zeros(segments[k], np.uint64)
-        h[used] = np.add.reduceat(_mixed(s[order]), first)
-        salted = _mixed(h + np.arange(segments[k], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k))
+        mine = np.flatnonzero(at < n)
+        part = s[mine[np.argsort(at[mine], kind="stable")]]
+        size = np.bincount(at[mine], minlength=n)
+        used = np.flatnonzero(size)
+        h = np.zeros(n, np.uint64)
+        if len(part):
+            h[used] = np.add.reduceat(_mixed(part), (np.cumsum(size) - size)[used])
+        salted = _mixed(h + np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k))
         salted[salted == 0] = 1
-        if segments[k] - len(used) < agree[k]:
-            empty = np.ones(segments[k], bool)
-            empty[used] = False
-            salted[empty] = 0
+        if fewest:
+            salted[size < fewest] = 0
+        elif n - len(used) < agree[k]:
+            salted[size == 0] = 0
         out += [np.zeros(1, np.uint64), salted]
     return np.concatenate(out)
 
@@ -193,6 +225,12 @@ class _Join:
         discard(lists)
         return out, longest
 
+    def pairs(self, entries: DataFrame) -> tuple[int, int, int]:
+        """(the length of the longest list, entries, pairs that lists have at most)."""
+        k = F.col("count")
+        x = entries.groupBy("h").count().agg(F.max(k), F.sum(k), F.sum(k * (k - 1) / 2)).first()
+        return x[0] or 0, x[1] or 0, int(x[2] or 0)
+
     def candidates(self, entries: DataFrame) -> DataFrame:
         """(i, j), i before j, of all lists."""
         a, b = entries.alias("a"), entries.alias("b")
@@ -232,12 +270,16 @@ def _leaders(join: _Join, prints: DataFrame | None = None) -> DataFrame:
     """(d) of the rows that go; see leaders(). `prints`: those of the join's rows that take part, if not all."""
     entries, longest = join.met(prints)
     gone = []
+    before = math.inf
     for _ in range(ROUNDS):
         if longest < LONG_LIST:
             break
+        longest, n, pairs = join.pairs(entries)
+        if longest < LONG_LIST or pairs <= FEW * n or pairs > before / 2:
+            break
+        before = pairs
         entries, more = _settled(join, entries)
         gone.append(more)
-        longest = entries.groupBy("h").count().agg(F.max("count")).first()[0] or 0
     open_ = join.similar(join.candidates(entries))
     while not open_.isEmpty():
         later = open_.select(F.col("j").alias("n")).distinct()
@@ -266,11 +308,11 @@ def leaders(df: DataFrame, key: str, domain: str, text: str, threshold: float =
 
 
 class LeaderIndex:
-    """The rows that stayed of the batches cleaned so far, in a folder: keys, in buckets by hash, and signatures and sets.
+    """The rows that stayed of the batches cleaned so far, in a folder: keys, in buckets by hash, and signatures and texts.
 
     A batch's rows are compared with the leaders of the batches before it, then with each other. What they cost grows with the
-    batch: of the index, keys are read without being shuffled, and signatures and sets of the leaders that a key points at are
-    picked by id; texts are kept nowhere. Cleaning the batches one after the other gives what one run over all of them gives, if
+    batch: of the index, keys are read without being shuffled, and signatures and texts of the leaders that a key points at are
+    picked by id. Cleaning the batches one after the other gives what one run over all of them gives, if
     a batch's rows come after those of the batches before. A batch that is added again, after a failure or not, replaces what
     it had added before; batches after it must then be added again too.
     """
@@ -280,7 +322,7 @@ class LeaderIndex:
         self.keys, self.sets = (f"leaders_{kind}_{hashlib.md5(path.encode()).hexdigest()}" for kind in ("keys", "sets"))
         parts = lambda by: f"USING parquet PARTITIONED BY (batch) CLUSTERED BY ({by}) INTO {buckets} BUCKETS"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.keys} (h BIGINT, id BIGINT, c INT, before BIGINT, batch INT) {parts('h')} LOCATION '{path}/keys'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.sets} (id BIGINT, dom STRING, c INT, sign ARRAY<BIGINT>, s ARRAY<BIGINT>, batch INT) {parts('id')} LOCATION '{path}/sets'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.sets} (id BIGINT, dom STRING, c INT, sign ARRAY<BIGINT>, text STRING, batch INT) {parts('id')} LOCATION '{path}/sets'")
         at = spark._jvm.org.apache.hadoop.fs.Path(path, "sets")
         if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
             for table in (self.keys, self.sets):
@@ -299,20 +341,21 @@ class LeaderIndex:
         if any(b > batch for b in self.batches()):
             raise ValueError(f"batches after {batch} are in the index already")
         join = _Join(df, key, domain, text, self.threshold)
-        old = self.spark.table(self.sets).where(F.col("batch") < batch)
-        leaders_ = _Side(old, lambda ids: old.join(ids, "id", "left_semi").select("id", "s"))
-        met = stored(self.pairs(join.prints, batch), "pairs")
-        needed = met.select(F.col("i").alias("id")).distinct()
-        leaders_.prints = old.join(needed, "id", "left_semi")
-        similar = _similar(met, leaders_, join.side, self.threshold)
-        known = stored(similar.select(F.col("j").alias("d")).distinct(), "gone")
-        rest = stored(join.prints.join(known, F.col("id") == F.col("d"), "left_anti"), "prints")
-        gone = stored(_leaders(join, rest).unionByName(known), "gone")
-        stay = stored(rest.where("c > 0 and id is not null").join(gone, F.col("id") == F.col("d"), "left_anti"), "prints")
+        rest, known, used = join.prints, None, []
+        if any(b < batch for b in self.batches()):
+            old = self.spark.table(self.sets).where(F.col("batch") < batch)
+            met = stored(self.pairs(join.prints, batch), "pairs")
+            leaders_ = _Side(old.join(met.select(F.col("i").alias("id")).distinct(), "id", "left_semi"), lambda ids: _sets(old, ids))
+            similar = _similar(met, leaders_, join.side, self.threshold)
+            known = stored(similar.select(F.col("j").alias("d")).distinct(), "gone")
+            rest = join.prints.join(known, F.col("id") == F.col("d"), "left_anti")
+            used = [met, similar, known]
+        gone = _leaders(join, rest)
+        gone = stored(gone.unionByName(known) if known is not None else gone, "gone")
+        stay = join.prints.where("c > 0 and id is not null").join(gone, F.col("id") == F.col("d"), "left_anti")
         self._put(self.keys, _entries(stay).select("h", "id", "c", "before"), batch)
-        sets = _sets(stay, stay.select("id"))
-        self._put(self.sets, stay.join(sets, "id").select("id", "dom", "c", "sign", "s"), batch)
-        discard(join.prints, met, similar, known, rest, stay)
+        self._put(self.sets, stay.select("id", "dom", "c", "sign", "text"), batch)
+        discard(join.prints, *used)
         return gone.select(F.col("d").alias(key))
 
     def _put(self, table: str, rows: DataFrame, batch: int) -> None:

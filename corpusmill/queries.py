@@ -15,7 +15,7 @@ from .operators import dialogue, neardup, records, report, sampling, schema, sco
 from .plans import flows
 from .plans import session as plan_session
 from .sources import files, lines
-from .sources.tables import checkpoint_dir
+from .sources.tables import checkpoint_dir, discard, stored
 from .streaming import events as stream_events
 from .streaming import first as stream_first
 from .streaming import sink as stream_sink
@@ -102,11 +102,12 @@ def near_dup_removed(spark, d):
 @query(f"WITH RECURSIVE {sql.NEAR_DUPLICATES} SELECT doc_id FROM gone")
 def near_dup_incremental(spark, d):
     """The same rows, of three batches that are cleaned one after the other against an index of the rows that stayed."""
-    rows = records.exact_dedup(_t(spark, d, "documents").where("text is not null").select("doc_id", "lang", "text"), "text", "doc_id")
+    rows = stored(records.exact_dedup(_t(spark, d, "documents").where("text is not null").select("doc_id", "lang", "text"), "text", "doc_id"), "rows")
     cuts = rows.selectExpr("percentile(doc_id, array(0.4, 0.8)) c").first().c or [0, 0]
     index, out = neardup.LeaderIndex(spark, f"{checkpoint_dir(spark)}/leaders-{uuid.uuid4().hex}"), []
     for k, part in enumerate((F.col("doc_id") < cuts[0], F.col("doc_id").between(*cuts), F.col("doc_id") > cuts[1])):
         out.append(index.add(rows.where(part), "doc_id", "lang", "text", k))
+    discard(rows)
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 

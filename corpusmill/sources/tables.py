@@ -21,7 +21,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, kind: str) -> DataFrame:
     """df written to the checkpoint folder and read again: lineage ends there."""
     path = f"{checkpoint_dir(df.sparkSession)}/{kind}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

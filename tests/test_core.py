@@ -802,3 +802,22 @@ def test_html_references_without_semicolons_stay(spark):
     """As the SQL has it; those with one are read."""
     texts = ["<title>a &amp; b&amp</title><p>&lt;i&gt; &quot;q&quot; &#39;&quot", "<p>x &am</p>&<p>&ampx; AT&T &lt", "<b>&copy; &copy</b><script>if (a &amp&& b) x</script>&nosuch;"]
     assert values(spark, files.html_blocks(F.col("t")), texts) == ["a & b&amp\n<i> \"q\" '&quot", "x &am\n&\n&ampx; AT&T &lt", "© &copy\n&nosuch;"]
+
+
+def test_keys_do_not_grow_with_texts(tmp_path, spark):
+    """Of large sets a bounded number of segments have keys, none of them of few shingles, and similar sets still share some;
+    the index has texts instead of sets."""
+    r = np.random.default_rng(5)
+    top = (1 << 64) - 1
+    for n in (2000, 4700, 20000, 60000):
+        common = r.integers(0, top, n, dtype=np.uint64)
+        for _ in range(20):
+            x, y = (np.unique(np.concatenate([common, r.integers(0, top, n // 18, dtype=np.uint64)])) for _ in "xy")
+            a, b = neardup.keys(x, 0.9), neardup.keys(y, 0.9)
+            assert len(a) <= 2 * (neardup.MANY + 1) and len((set(a.tolist()) & set(b.tolist())) - {0}) > 5
+    at = neardup.classes(0.9)[0].index(max(k for k in neardup.classes(0.9)[0] if k <= 2000))
+    few = neardup.keys(np.arange(2000, dtype=np.uint64) << np.uint64(20), 0.9)  # all in the first segment
+    assert neardup.classes(0.9)[3][at][1] >= 4 and (few != 0).sum() <= 2
+    index = neardup.LeaderIndex(spark, str(tmp_path), buckets=2)
+    index.add(spark.createDataFrame([(1, "p", "abcdefgh" * 900)], "id long, domain string, text string"), "id", "domain", "text", 0)
+    assert spark.table(index.sets).columns == ["id", "dom", "c", "sign", "text", "batch"] and spark.table(index.keys).count() <= 2 * neardup.MANY
