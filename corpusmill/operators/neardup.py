@@ -168,23 +168,37 @@ def _may(a: str, b: str, threshold: float) -> Column:
     return (F.least(ca, cb) >= threshold * F.greatest(ca, cb) - 1e-6) & ((before == 0) | (before != other))
 
 
-def _sets(prints: DataFrame, ids: DataFrame) -> DataFrame:
-    """id and s, the hashes, of the rows with one of the ids."""
+def _texts(prints: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and text of the rows with one of the ids."""
+    return prints.select("id", "text").join(ids, "id", "left_semi")
+
+
+def _reach(pairs: DataFrame, t: float) -> DataFrame:
+    """(i, j) of the pairs (i, j, ti, tj) whose texts' sets are similar. Texts are shuffled rather than sets, which take several
+    times as much."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(x).view(np.int64) for x in part.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
+                made: dict[str | None, np.ndarray] = {}
+                keep = []
+                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+                    for text in (x, y):
+                        if text not in made:
+                            made[text] = shingle_hashes(text)
+                    both = len(np.intersect1d(made[x], made[y], assume_unique=True))
+                    keep.append(both / (len(made[x]) + len(made[y]) - both) >= t)
+                yield part.select(["i", "j"]).filter(pa.array(keep, pa.bool_()))
 
-    return prints.select("id", "text").join(ids, "id", "left_semi").mapInArrow(run, "id long, s array<long>")
+    return pairs.select("i", "j", "ti", "tj").mapInArrow(run, "i long, j long")
 
 
 class _Side:
-    """One side of a comparison: its signatures, and its sets by id."""
+    """One side of a comparison: its signatures, and its texts by id."""
 
-    def __init__(self, prints: DataFrame, sets):
-        self.prints, self.sets = prints, sets
+    def __init__(self, prints: DataFrame, texts):
+        self.prints, self.texts = prints, texts
 
     def signs(self, name: str) -> DataFrame:
         return self.prints.select(F.col("id").alias(name), F.col("dom").alias(f"d{name}"), F.col("c").alias(f"c{name}"), F.col("sign").alias(f"g{name}"))
@@ -197,13 +211,12 @@ def _similar(pairs: DataFrame, left: _Side, right: _Side, t: float) -> DataFrame
     open_ = stored(pairs.join(left.signs("i"), "i").join(right.signs("j"), "j").where("di = dj").where(most + 1e-6 >= t * (total - most)).select("i", "j"), "open")
     i, j = open_.select(F.col("i").alias("id")), open_.select(F.col("j").alias("id"))
     if left is right:
-        a = b = stored(left.sets(i.unionByName(j).distinct()), "sets")
+        a = b = stored(left.texts(i.unionByName(j).distinct()), "texts")
     else:
-        a, b = left.sets(i.distinct()), right.sets(j.distinct())
+        a, b = left.texts(i.distinct()), right.texts(j.distinct())
     made = a
-    a, b = a.select(F.col("id").alias("i"), F.col("s").alias("si")), b.select(F.col("id").alias("j"), F.col("s").alias("sj"))
-    whole = open_.join(a, "i").join(b, "j").select("i", "j", F.size(F.array_intersect("si", "sj")).alias("o"), F.size("si").alias("a"), F.size("sj").alias("b"))
-    out = stored(whole.where(F.col("o") / (F.col("a") + F.col("b") - F.col("o")) >= t).select("i", "j"), "similar")
+    a, b = a.select(F.col("id").alias("i"), F.col("text").alias("ti")), b.select(F.col("id").alias("j"), F.col("text").alias("tj"))
+    out = stored(_reach(open_.join(a, "i").join(b, "j"), t), "similar")
     discard(open_, made)
     return out
 
@@ -214,7 +227,7 @@ class _Join:
     def __init__(self, df: DataFrame, key: str, domain: str, text: str, threshold: float):
         self.threshold = threshold
         self.prints = _prints(_rows(df, key, domain, text), threshold)
-        self.side = _Side(self.prints, lambda ids: _sets(self.prints, ids))
+        self.side = _Side(self.prints, lambda ids: _texts(self.prints, ids))
 
     def met(self, prints: DataFrame | None = None) -> tuple[DataFrame, int]:
         """(entries of the keys that two rows or more have, the length of the longest list)."""
@@ -345,7 +358,7 @@ class LeaderIndex:
         if any(b < batch for b in self.batches()):
             old = self.spark.table(self.sets).where(F.col("batch") < batch)
             met = stored(self.pairs(join.prints, batch), "pairs")
-            leaders_ = _Side(old.join(met.select(F.col("i").alias("id")).distinct(), "id", "left_semi"), lambda ids: _sets(old, ids))
+            leaders_ = _Side(old.join(met.select(F.col("i").alias("id")).distinct(), "id", "left_semi"), lambda ids: _texts(old, ids))
             similar = _similar(met, leaders_, join.side, self.threshold)
             known = stored(similar.select(F.col("j").alias("d")).distinct(), "gone")
             rest = join.prints.join(known, F.col("id") == F.col("d"), "left_anti")
