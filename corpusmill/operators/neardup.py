@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..sources.tables import discard, stored
+from ..sources.tables import bucketed, discard, stored
 
 SHINGLE = 5
 #: 64-bit words of a set's signature; entries of a list from which heads are settled first, where lists have more pairs than so
@@ -135,14 +136,20 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 _PRINTS = "id long, dom string, c int, sign array<long>, keys array<long>, text string"
 
 
-def _rows(df: DataFrame, key: str, domain: str, text: str) -> DataFrame:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _rows(df: DataFrame, key: str, domain: str, text: str, whole: bool = False) -> DataFrame:
+    """id, dom, text and, where whole rows are asked for, the other columns as a struct `rest`; dealt by id."""
     dom = F.coalesce(F.concat(F.lit("="), F.col(domain).cast("string")), F.lit(""))
-    return df.select(F.col(key).cast("long").alias("id"), dom.alias("dom"), F.col(text).alias("text")).repartition(parts, "id")  # shingling is the work: one task a file would be too few
+    rest = [F.struct(*(c for c in df.columns if c != text)).alias("rest")] if whole else []
+    return df.select(F.col(key).cast("long").alias("id"), dom.alias("dom"), F.col(text).alias("text"), *rest).repartition(_parts(df), "id")  # shingling is the work: one task a file would be too few
+
+
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _prints(rows: DataFrame, threshold: float) -> DataFrame:
-    """A stored table of _PRINTS; with the texts, so that what made the rows isn't run again for those that are compared."""
+    """A stored table of _PRINTS and `rest`; with the texts, so that what made the rows isn't run again for those that are compared.
+    It is in buckets by id, as what follows joins it by id again and again and picks few of its texts each time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -150,9 +157,9 @@ def _prints(rows: DataFrame, threshold: float) -> DataFrame:
                 part = b.slice(at, 1024)
                 sets = [shingle_hashes(t) for t in part.column(2).to_pylist()]
                 long = lambda x: pa.array(x, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int32()), long([signature(s) for s in sets]), long([keys(s, threshold).view(np.int64) if len(s) else s.view(np.int64) for s in sets]), part.column(2)], ["id", "dom", "c", "sign", "keys", "text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int32()), long([signature(s) for s in sets]), long([keys(s, threshold).view(np.int64) if len(s) else s.view(np.int64) for s in sets]), *part.columns[2:]], ["id", "dom", "c", "sign", "keys", *part.schema.names[2:]])
 
-    return stored(rows.mapInArrow(run, _PRINTS), "prints")
+    return bucketed(rows.mapInArrow(run, StructType([*StructType.fromDDL(_PRINTS), *rows.schema.fields[3:]])), "prints", "id", _parts(rows))
 
 
 def _entries(prints: DataFrame) -> DataFrame:
@@ -208,7 +215,8 @@ def _similar(pairs: DataFrame, left: _Side, right: _Side, t: float) -> DataFrame
     """Those of the pairs (i of left, j of right) that are of one domain and whose similarity reaches the threshold."""
     differ = F.aggregate(F.zip_with("gi", "gj", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     total, most = F.col("ci") + F.col("cj"), (F.col("ci") + F.col("cj") - differ) / 2
-    open_ = stored(pairs.join(left.signs("i"), "i").join(right.signs("j"), "j").where("di = dj").where(most + 1e-6 >= t * (total - most)).select("i", "j"), "open")
+    one = F.least("di", "dj") == F.greatest("di", "dj")  # di = dj would be one of the second join's keys, for which signatures would be shuffled
+    open_ = stored(pairs.join(left.signs("i"), "i").join(right.signs("j"), "j").where(one).where(most + 1e-6 >= t * (total - most)).select("i", "j"), "open")
     i, j = open_.select(F.col("i").alias("id")), open_.select(F.col("j").alias("id"))
     if left is right:
         a = b = stored(left.texts(i.unionByName(j).distinct()), "texts")
@@ -224,9 +232,9 @@ def _similar(pairs: DataFrame, left: _Side, right: _Side, t: float) -> DataFrame
 class _Join:
     """The tables of one comparison of rows with each other."""
 
-    def __init__(self, df: DataFrame, key: str, domain: str, text: str, threshold: float):
+    def __init__(self, df: DataFrame, key: str, domain: str, text: str, threshold: float, whole: bool = False):
         self.threshold = threshold
-        self.prints = _prints(_rows(df, key, domain, text), threshold)
+        self.prints = _prints(_rows(df, key, domain, text, whole), threshold)
         self.side = _Side(self.prints, lambda ids: _texts(self.prints, ids))
 
     def met(self, prints: DataFrame | None = None) -> tuple[DataFrame, int]:
@@ -320,6 +328,16 @@ def leaders(df: DataFrame, key: str, domain: str, text: str, threshold: float =
     return out.select(F.col("d").alias(key))
 
 
+def kept(df: DataFrame, key: str, domain: str, text: str, threshold: float = 0.9) -> DataFrame:
+    """The rows of df that leaders() leaves, with all their columns: from the one table that comparing them made, so that df is run
+    once and its texts aren't shuffled again."""
+    join = _Join(df, key, domain, text, threshold, whole=True)
+    gone = F.col("d").isNotNull()
+    rows = join.prints.join(_leaders(join), F.col("id") == F.col("d"), "left").where(~gone)
+    staying = F.when(~gone, F.col("text"))  # else what is made of texts would be made before the join, in Python, after which buckets don't count
+    return rows.select(*(staying.alias(c) if c == text else F.col("rest")[c].alias(c) for c in df.columns))
+
+
 class LeaderIndex:
     """The rows that stayed of the batches cleaned so far, in a folder: keys, in buckets by hash, and signatures and texts.
 

@@ -14,8 +14,7 @@ def clean(df: DataFrame, key: str, threshold: float = 0.9) -> DataFrame:
     earlier of two rows (by key) stays."""
     rows = records.single_turn(df).where(~records.is_empty(F.col("instruction"), F.col("output")))
     rows = rows.where(~records.attributed(F.concat_ws("\n", "instruction", "output")))
-    rows = records.exact_dedup(rows, "output", key)
-    return rows.join(neardup.leaders(rows, key, "domain", "output", threshold), key, "left_anti")
+    return neardup.kept(records.exact_dedup(rows, "output", key), key, "domain", "output", threshold)
 
 
 def clean_validate_format(df: DataFrame, key: str, template: str = "llama", threshold: float = 0.9) -> tuple[DataFrame, DataFrame]:

@@ -27,9 +27,21 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, kind: str, by: str, buckets: int) -> DataFrame:
+    """stored() in buckets by the hash of a column, which df should be dealt by: joins on the column don't shuffle the table."""
+    name = f"{kind}_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, by).saveAsTable(name, format="parquet")
+    out = df.sparkSession.table(name)
+    out._stored_at, out._stored_as = path, name
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
-    """Deletes tables that stored() made, once nothing reads them any more."""
+    """Deletes tables that stored() and bucketed() made, once nothing reads them any more."""
     for t in tables:
         if path := getattr(t, "_stored_at", None):
+            if name := getattr(t, "_stored_as", None):
+                t.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
             at = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)

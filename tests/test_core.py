@@ -821,3 +821,26 @@ def test_keys_do_not_grow_with_texts(tmp_path, spark):
     index = neardup.LeaderIndex(spark, str(tmp_path), buckets=2)
     index.add(spark.createDataFrame([(1, "p", "abcdefgh" * 900)], "id long, domain string, text string"), "id", "domain", "text", 0)
     assert spark.table(index.sets).columns == ["id", "dom", "c", "sign", "text", "batch"] and spark.table(index.keys).count() <= 2 * neardup.MANY
+
+
+def test_cleaning_shuffles_no_signatures_and_no_text_again(spark, monkeypatch):
+    """What stays is df's rows without the leaders' losses, with all columns; tables of prints are joined in their buckets."""
+    r = random.Random(4)
+    base = ["".join(r.choice("abcdefg ") for _ in range(300)) for _ in range(6)]
+    rows = [(i, r.choice(["p", "q", None]), t if r.random() < 0.2 else t[: (k := r.randrange(300))] + "x" + t[k + r.randrange(3) :], float(i)) for i, t in enumerate(base * 9)] + [(200, "p", None, 1.0), (201, "p", " ", None), (None, "p", base[0], 2.0), (None, None, base[0], 2.0)]
+    df = spark.createDataFrame(rows, "k long, domain string, t string, more double").select("more", "t", "k", "domain")
+    gone = {x["k"] for x in neardup.leaders(df, "k", "domain", "t").collect()}
+    plans, stored = [], neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda df, kind: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stored(df, kind) if kind == "open" else stored(df, kind))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = neardup.kept(df, "k", "domain", "t").where(F.coalesce(F.length("t"), F.lit(0)) >= 0)
+        plans.append(kept._jdf.queryExecution().executedPlan().toString())
+        got = kept.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert gone and kept.columns == df.columns
+    assert sorted(map(str, got)) == sorted(str(x) for x in df.collect() if x["k"] not in gone)
+    assert len(plans) == 2 and all("prints_" in x for x in plans)
+    assert plans[0].count("Exchange hashpartitioning") == 5  # two of entries by key, then pairs: distinct, by i, by j
+    assert not re.search(r"Exchange hashpartitioning\(id#", plans[1])
