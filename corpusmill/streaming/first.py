@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -30,18 +29,12 @@ class _First(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", f"id {self.kind}")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
         if self.first.exists():
             return
-        least = None
-        for part in rows:  # whatever number of rows: one id is held
-            if not part.empty:
-                x = part["id"].min()
-                least = x if least is None or x < least else least
-        if least is not None:
-            least = least.item() if hasattr(least, "item") else least
-            self.first.update((least,))
-            yield pd.DataFrame({"h": [key[0]], "id": [least]})
+        least = min(r["id"] for r in rows)  # whatever number of rows: one id is held
+        self.first.update((least,))
+        yield Row(h=key[0], id=least)
 
     def close(self) -> None:
         pass
@@ -58,4 +51,4 @@ def first_ids(stream: DataFrame, text: str, key: str) -> DataFrame:
     """
     kind = stream.schema[key].dataType.simpleString()
     rows = stream.select(content_hash(F.col(text)).alias("h"), F.col(key).alias("id")).where("h IS NOT NULL AND id IS NOT NULL")
-    return rows.groupBy("h").transformWithStateInPandas(_First(kind), f"h string, id {kind}", "append", "none")
+    return rows.groupBy("h").transformWithState(_First(kind), f"h string, id {kind}", "append", "none")

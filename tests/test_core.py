@@ -844,3 +844,18 @@ def test_cleaning_shuffles_no_signatures_and_no_text_again(spark, monkeypatch):
     assert len(plans) == 2 and all("prints_" in x for x in plans)
     assert plans[0].count("Exchange hashpartitioning") == 5  # two of entries by key, then pairs: distinct, by i, by j
     assert not re.search(r"Exchange hashpartitioning\(id#", plans[1])
+
+
+def test_first_seen_takes_rows_of_a_content_as_they_are():
+    """No data frame is made for each content: of rows, the smallest id, once."""
+    from pyspark.sql import Row
+
+    class Value:
+        held = None
+        exists = lambda self: self.held is not None
+        update = lambda self, x: setattr(self, "held", x)
+
+    p = first._First("bigint")
+    p.first = Value()
+    assert [tuple(x) for x in p.handleInputRows(("a",), iter([Row(h="a", id=7), Row(h="a", id=3)]), None)] == [("a", 3)]
+    assert p.first.held == (3,) and not list(p.handleInputRows(("a",), iter([Row(h="a", id=1)]), None))
