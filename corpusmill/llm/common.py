@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -57,6 +58,20 @@ def discard(*tables: DataFrame) -> None:
             at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def give_back() -> None:
+    """Returns the memory that a worker has freed to the machine. Else a worker that waits for its next task holds the most that its last
+    one took, while the others of its executor need it."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+        trim(0)
+
+
+def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, after which its memory is given back."""
+    yield from batches
+    give_back()
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = 1024) -> DataFrame:
     """mapInArrow with batches of `rows` rows at most, so that what a function makes of a batch stays small. Spark itself ends
     a batch at spark.sql.execution.arrow.maxBytesPerBatch; no setting of the session is touched."""
@@ -66,4 +81,4 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
             for at in range(0, max(1, b.num_rows), rows):
                 yield b.slice(at, rows)
 
-    return df.mapInArrow(lambda batches: fn(small(batches)), schema)
+    return df.mapInArrow(lambda batches: ended(fn(small(batches))), schema)

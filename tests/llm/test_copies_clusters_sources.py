@@ -238,3 +238,24 @@ def test_divergence_tokens():
     assert rows[0] == rows[1] and rows[0][1] == ("ab", 900_001, 1)
     count, n = np.array([0, 1, 10**14, 8 * 10**15]), np.array([10**15, 7, 10**14, 9 * 10**15])
     assert divergence.shares(count, n, 3).tolist() == [1 + 10**9 * (c + 5) // (m + 15) for c, m in zip(count.tolist(), n.tolist(), strict=True)]
+
+
+def test_a_task_gives_its_memory_back():
+    """What a task held in many pieces, below one that stays."""
+    import re
+    from pathlib import Path
+
+    from corpusmill.llm import common
+
+    mb = lambda: int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+    kept = []
+
+    def task():
+        held = [bytearray(b"x" * 60_000) for _ in range(4000)]
+        kept.append(bytearray(b"y" * 60_000))
+        yield mb()
+        held.clear()
+        yield mb()
+
+    most, freed = common.ended(task())
+    assert most - mb() > 200 and freed - mb() > 100
