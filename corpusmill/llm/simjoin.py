@@ -42,8 +42,9 @@ WORDS, LEADERS, NEAREST, LONG_LIST, SPLIT = 5, 64, 2, 8, 100_000
 COUNTERS, FREQUENT, PART = 1 << 24, 24, 1 << 18
 #: Bits of a set's signature: the power of two from its size on, within these.
 LEAST_BITS, MOST_BITS = 512, 4096
-#: Ids up to which those needed for verification are broadcast; pairs in a task of it; pairs that are looked at together.
-BROADCAST_IDS, TASK_PAIRS, TOGETHER = 2_000_000, 256, 1 << 20
+#: Ids up to which those needed for verification are broadcast; pairs in a task of it; pairs that are looked at together, in
+#: long lists, and by their signatures.
+BROADCAST_IDS, TASK_PAIRS, TOGETHER, AT_ONCE, FAR_AT_ONCE = 2_000_000, 256, 1 << 20, 1 << 17, 1 << 13
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -371,8 +372,9 @@ def cross_pairs(lists: DataFrame, of: DataFrame, by: Bounds = SIGNATURES) -> Dat
             """Pairs of rows i and j."""
             n, p, q, c = cols[3].astype(np.int64), cols[4], cols[5], cols[7]
             ok = (c[i] != c[j]) & ~(cols[6][i] & cols[6][j]) & _meet(p[i], q[i], p[j], q[j]) & by.may(n[i], p[i], n[j], p[j])
-            i, j = i[ok], j[ok]
-            if len(i):
+            some, other = i[ok], j[ok]
+            for at in range(0, len(some), FAR_AT_ONCE):
+                i, j = some[at : at + FAR_AT_ONCE], other[at : at + FAR_AT_ONCE]
                 ok, far = by.far(n[i], cols[8][i], n[j], cols[8][j])
                 i, j = i[ok], j[ok]
                 out.add(cols[2][i], n[i], cols[2][j], n[j], far[ok])
@@ -401,11 +403,17 @@ def cross_pairs(lists: DataFrame, of: DataFrame, by: Bounds = SIGNATURES) -> Dat
                 n, c = cols[3][s:e].astype(np.int64), cols[7][s:e]
                 _, own, size = np.unique(c, return_inverse=True, return_counts=True)
                 largest = own == size.argmax()
-                for i in np.flatnonzero(~largest):
-                    lo, hi = np.searchsorted(n, -(-4 * n[i] // 5)), np.searchsorted(n, 5 * n[i] // 4, side="right")
-                    j = lo + np.flatnonzero(largest[lo:hi] | (np.arange(lo, hi) > i))
-                    look(cols, np.full(len(j), s + i), s + j)
+                rest = np.flatnonzero(~largest)
+                lo, hi = np.searchsorted(n, -(-4 * n[rest] // 5)), np.searchsorted(n, 5 * n[rest] // 4, side="right")
+                sums, at = np.cumsum(hi - lo), 0
+                while at < len(rest):  # many sets at once
+                    z = max(at + 1, int(np.searchsorted(sums, (sums[at - 1] if at else 0) + AT_ONCE)))
+                    k = (hi - lo)[at:z]
+                    i, j = np.repeat(rest[at:z], k), np.repeat(lo[at:z] - np.cumsum(k) + k, k) + np.arange(k.sum())
+                    ok = largest[j] | (j > i)
+                    look(cols, s + i[ok], s + j[ok])
                     yield from out.take(300_000)
+                    at = z
         yield from out.take()
 
     return map_arrow(entries(lists, of, False), run, PAIRS, rows=50_000).distinct()
@@ -492,23 +500,27 @@ def derived(pairs: DataFrame, answers: DataFrame) -> DataFrame:
 def connected(links: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) of every node in a link (x, y).
 
-    Large-star and small-star steps alternate, each a minimum by node and an equi-join, until nothing changes.
+    Large-star and small-star steps alternate, each a minimum by node and an equi-join, until every component is a star: each
+    node has one edge to a smaller one, which has none. Links that are stars already take no step.
     """
     edges = written(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
     while True:
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).agg(F.count_if(F.expr("up + down > 1 and up > 0"))).first()[0]:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        before_, edges = edges, written(small, "edges")
-        discard(before_)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = now
+        before, edges = edges, written(small, "edges")
+        discard(before)
+
+
+def stars(components: DataFrame) -> DataFrame:
+    """The links (x, y) of nodes with their components, from which connected() goes on."""
+    return components.where("node <> component").select(F.col("node").alias("x"), F.col("component").alias("y"))
 
 
 def placed_in(pairs: DataFrame, components: DataFrame) -> DataFrame:
@@ -533,11 +545,10 @@ def components(docs: DataFrame) -> DataFrame:
     pair = ["x", "nx", "y", "ny"]
     near = written(leader_pairs(lists, signs.withColumn("component", F.col("node"))), "pairs")
     first = verified(docs, near)
-    links = first.where(_LINK).select("x", "y")
-    known = written(connected(links), "components")
+    known = written(connected(first.where(_LINK).select("x", "y")), "components")
     cross = written(cross_pairs(lists, signs.join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "sign")), "pairs")
     derived_ = written(derived(cross, first), "open")
-    links = links.unionByName(derived_.where("link").select("x", "y"))
+    links = stars(known).unionByName(derived_.where("link").select("x", "y"))
     # one link joins two components, so that each set's likeliest pair comes first
     open_ = derived_.where("link is null").select(*pair, "far")
     both_ways = open_.select(F.col("x").alias("s"), F.col("nx").alias("ns"), F.struct("far", *pair).alias("p")).unionByName(open_.select(F.col("y").alias("s"), F.col("ny").alias("ns"), F.struct("far", *pair).alias("p")))
@@ -548,7 +559,7 @@ def components(docs: DataFrame) -> DataFrame:
     left = written(placed_in(open_.join(likeliest.select(pair), pair, "left_anti"), now).where("cx <> cy").drop("cx", "cy"), "pairs")
     rest = written(derived(left, first.unionByName(second)), "open")
     third = verified(docs, rest.where("link is null").select(pair))
-    links = links.unionByName(rest.where("link").select("x", "y")).unionByName(third.where(_LINK).select("x", "y"))
+    links = stars(now).unionByName(rest.where("link").select("x", "y")).unionByName(third.where(_LINK).select("x", "y"))
     out = labelled(prints, nodes, links)
     discard(lists, signs, near, first, known, cross, derived_, likeliest, second, now, left, rest, third)
     return out

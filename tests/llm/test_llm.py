@@ -240,6 +240,17 @@ def test_verified_holds_sets_of_one_side(spark):
     assert Counter(map(tuple, got.collect())) == Counter(set(pairs))
 
 
+def test_connected_goes_on_from_stars(spark, monkeypatch):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "x long, y long")
+    first = simjoin.connected(chain)
+    assert sorted(map(tuple, first.collect())) == [(i, 0) for i in range(41)] + [(100, 100), (101, 100)]
+    tables = []
+    monkeypatch.setattr(simjoin, "written", lambda df, kind, f=simjoin.written: tables.append(kind) or f(df, kind))
+    assert sorted(map(tuple, simjoin.connected(simjoin.stars(first)).collect())) == sorted(map(tuple, first.collect())) and tables == ["edges"]
+    more = spark.createDataFrame([(40, 101)], "x long, y long")
+    assert {tuple(r) for r in simjoin.connected(simjoin.stars(first).unionByName(more)).collect()} == {(i, 0) for i in [*range(41), 100, 101]}
+
+
 def test_runs_over_batches():
     keys = [[1, 1], [1], [1, 2, 2, 3], [3], [4], [5, 5]]
     batches = (pa.RecordBatch.from_arrays([pa.array(k, pa.int64())], ["k"]) for k in keys)
