@@ -663,6 +663,21 @@ def test_byte_encoder_on_odd_strings():
     assert enc(texts) == want
 
 
+def test_byte_encoder_reads_many_words_in_one_call():
+    enc, calls = tokenbin.ByteEncoder(BYTE_BPE), []
+    model = enc.model
+    want = [enc.word(f" w{i}xé") for i in range(1000)]
+    enc.model = type("Counted", (), {"tokenize": lambda self, symbols: calls.append(1) or model.tokenize(symbols)})()
+    assert enc([" ".join([""] + [f"w{i}xé" for i in range(1000)])]) == [b"".join(enc.encoded([w for i in range(1000) for w in enc.split(f" w{i}xé")]))]
+    assert len(calls) < 50 and enc.encoded([f" w{i}xé" for i in range(1000)]) == want
+
+
+def test_blocks_of_token_files_are_not_shuffled_to_their_starts(odd, spark, tmp_path):
+    tokenbin.write(odd, BYTE_BPE, f"{tmp_path}/t")
+    plan = tokenbin.read(spark, f"{tmp_path}/t")._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan.split("== Physical Plan ==")[1] and "SortMergeJoin [shard" not in plan
+
+
 def test_media_table(odd):
     """Blocks keep the tensor's type, and equal texts have equal values."""
     rows = [media.opened(bytes(r["block"])) for r in media.store(odd).collect()]
