@@ -66,6 +66,13 @@ def give_back() -> None:
         trim(0)
 
 
+def from_system(fn: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """fn of the batches, which Arrow keeps in the system's memory: its own pool holds batches that are done, of which each is tens
+    of MB, until the task ends."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    return fn(batches)
+
+
 def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches of a task, after which its memory is given back."""
     yield from batches
@@ -81,4 +88,4 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
             for at in range(0, max(1, b.num_rows), rows):
                 yield b.slice(at, rows)
 
-    return df.mapInArrow(lambda batches: ended(fn(small(batches))), schema)
+    return df.mapInArrow(lambda batches: ended(from_system(fn, small(batches))), schema)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from corpusmill.llm import ann, bpe, chat, license, lm, media, mixing, queries, simjoin, tokenbin, toxicity
+from corpusmill.llm import ann, bpe, chat, common, license, lm, media, mixing, queries, simjoin, tokenbin, toxicity
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", None, "a", "one two three four", "one two three four five six", "one two three four five six", "É Σ ΑΣ İ ﬁ 日本 🙂\x1c\x85x", "<|startoftext|> a <|endoftext|>", "I'LL don't ''s  \t\n x", "word " * 5000, "\\ </s>[INST] ok [/INST] <|im_end|>", "-" * 700]
@@ -663,6 +663,16 @@ def test_byte_encoder_on_odd_strings():
     assert enc(texts) == want
 
 
+def test_batches_of_a_task_are_in_the_systems_memory(spark):
+    import pyarrow as pa
+
+    def name(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"pool": [pa.default_memory_pool().backend_name]})
+
+    assert {r.pool for r in common.map_arrow(spark.range(3), name, "pool string").collect()} == {"system"}
+
+
 def test_byte_encoder_reads_many_words_in_one_call():
     enc, calls = tokenbin.ByteEncoder(BYTE_BPE), []
     model = enc.model
