@@ -26,6 +26,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +40,8 @@ PASS_BATCH, PASS_RATE, PASS_IDS, SLICE = 256, 0.001, 60_000, 256
 #: The rounds of that pass, the words of a worker, the most workers of a round, and how much of a round's move the next one adds.
 ROUNDS, WORKER_WORDS, WORKERS, MOMENTUM = 4, 200_000, 1024, 0.3
 CLASSES, MEMBERS, WIDTH, HIDDEN, WINDOW, STRIDE = 32, 32, 24, 48, 24, 16
-#: Windows that go through the network together when texts are scored.
-CHUNK = 64
+#: Windows that go through the network together, and places of a sum of products.
+CHUNK, PART = 32, 384
 CACHE_WORDS = 200_000
 
 
@@ -110,8 +111,29 @@ def dense(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (np.ascontiguousarray(x).reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
 
 
+ROOM: dict = {}
+
+
+def room(name: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+    """An array of any content, in memory that the next call with this name takes again, so that steps don't ask the system for pages."""
+    size = int(np.prod(shape))
+    held = ROOM.get((name, dtype))
+    if held is None or len(held) < size:
+        held = ROOM[name, dtype] = np.empty(size, dtype)
+    return held[:size].reshape(shape)
+
+
+def by_class(kind: np.ndarray) -> list[tuple[int, slice]]:
+    """The classes that places have, each with its rows when places are in the order of their classes."""
+    ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
+    return [(i, slice(lo, hi)) for i, (lo, hi) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if hi > lo]
+
+
 class Attention:
-    """One layer of causal self-attention and a hidden layer, then classes of ids and their members, for the next id."""
+    """One layer of causal self-attention and a hidden layer, then classes of ids and their members, for the next id.
+
+    forward(), members() and log_probabilities() are the plain form, which tests hold gradient() and score() against.
+    """
 
     def __init__(self, counts: np.ndarray, seed: int = 3):
         n = len(counts)
@@ -172,39 +194,98 @@ class Attention:
             out[rows] += t[np.arange(len(rows)), goal[rows] % MEMBERS]
         return out
 
+    def heads(self) -> np.ndarray:
+        """For each class, the weights from the hidden layer and a one to the classes and to the class's own members."""
+        p = self.p
+        out = np.empty((CLASSES, HIDDEN + 1, CLASSES + MEMBERS), p["u"].dtype)
+        out[:, :HIDDEN, :CLASSES], out[:, HIDDEN, :CLASSES], out[:, :HIDDEN, CLASSES:], out[:, HIDDEN, CLASSES:] = p["w2"], p["b2"], p["u"], p["ub"]
+        return out
+
     def gradient(self, ids: np.ndarray, goal: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
         """The mean negative log probability of the next ids (goal) of rows of WINDOW ids, its gradient by weights, and the ids
-        that the rows of the embedding's gradient belong to."""
-        p = self.p
-        y, (x, q, k, v, a, c, h, z) = self.forward(ids)
-        flat = lambda t: t.reshape(-1, t.shape[-1])
-        goal, all_ = goal.ravel(), np.arange(ids.size)
-        share = y.dtype.type(1 / ids.size)
-        loss = -float(flat(y)[all_, goal // MEMBERS].sum())
-        dy = np.exp(y)
-        flat(dy)[all_, goal // MEMBERS] -= 1
-        dy *= share
-        dz = dense(dy, p["w2"].T)
-        du, dub = np.zeros_like(p["u"]), np.zeros_like(p["ub"])
-        for m, rows, t in self.members(flat(z), goal):
-            at = np.arange(len(rows)), goal[rows] % MEMBERS
-            loss -= float(t[at].sum())
-            np.exp(t, out=t)
-            t[at] -= 1
-            t *= share
-            du[m], dub[m] = flat(z)[rows].T @ t, t.sum(0)
-            flat(dz)[rows] += t @ p["u"][m].T
-        dz *= z > 0
-        dh = dense(dz, p["w1"].T)
-        dc = dense(dh, p["o"].T)
-        da = dc @ v.transpose(0, 2, 1)
-        da = a * (da - (da * a).sum(axis=2, keepdims=True)) * y.dtype.type(WIDTH**-0.5)
-        dq, dk, dv = da @ k, da.transpose(0, 2, 1) @ (q * y.dtype.type(WIDTH**0.5)), a.transpose(0, 2, 1) @ dc
-        dx = dh + dense(dq, p["q"].T) + dense(dk, p["k"].T) + dense(dv, p["v"].T)
-        order = np.argsort(ids.astype(np.int16), axis=None, kind="stable")
-        own, at = np.unique(ids.ravel()[order], return_index=True)
-        g = {"e": np.add.reduceat(flat(dx)[order], at, axis=0), "pos": dx.sum(0), "q": flat(x).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv), "o": flat(c).T @ flat(dh), "w1": flat(h).T @ flat(dz), "b1": flat(dz).sum(0), "w2": flat(z).T @ flat(dy), "b2": flat(dy).sum(0), "u": du, "ub": dub}
-        return loss / ids.size, g, own
+        that the rows of the embedding's gradient belong to.
+
+        As forward() and members() have it, in fewer products: a column of ones brings biases and sums, o and w1 are one matrix, and
+        places in the order of their goals' classes get classes and members by one product a class.
+        """
+        p, n, size, d = self.p, len(ids), ids.size, WIDTH
+        t = p["e"].dtype
+        scale, share, one = t.type(d**-0.5), t.type(1 / size), np.ones(CLASSES, t)
+        qkv = np.concatenate([p["q"] * scale, p["k"], p["v"]], 1)
+        both = np.zeros((2 * d + 1, HIDDEN + 1), t)
+        both[:d, :-1], both[d:-1, :-1], both[-1, :-1], both[-1, -1] = p["o"] @ p["w1"], p["w1"], p["b1"], 1
+        cap = np.where(self.mask < 0, self.mask, t.type(60))
+        x, a, s, c, z = (room(name, (n, WINDOW, k), t) for name, k in (("x", 3 * d + 1), ("a", WINDOW), ("s", 1), ("c", 2 * d + 1), ("z", HIDDEN + 1)))
+        x[..., -1] = c[..., -1] = 1
+        chunks = [slice(i, i + CHUNK) for i in range(0, n, CHUNK)]
+        rows = lambda m: m.reshape(-1, m.shape[-1])
+        for k in chunks:
+            own = np.take(p["e"], ids[k], axis=0)
+            own += p["pos"]
+            c[k, :, d:-1] = own
+            np.matmul(rows(own), qkv, out=rows(x[k])[:, :-1])
+            np.matmul(x[k, :, :d], x[k, :, d : 2 * d].transpose(0, 2, 1), out=a[k])
+            np.minimum(a[k], cap, out=a[k])
+            np.exp(a[k], out=a[k])
+            got = a[k] @ x[k, :, 2 * d :]
+            np.divide(1, got[..., -1:], out=s[k])
+            np.multiply(got[..., :-1], s[k], out=c[k, :, :d])
+            np.matmul(rows(c[k]), both, out=rows(z[k]))
+            np.maximum(z[k], 0, out=z[k])
+        goal = goal.ravel()
+        kind = (goal // MEMBERS).astype(np.int16)
+        order, spans = np.argsort(kind, kind="stable"), by_class(kind)
+        heads, g = self.heads(), goal[order]
+        turned = np.ascontiguousarray(heads[:, :-1].transpose(0, 2, 1))
+        zs, y, dz = (room(name, (size, k), t) for name, k in (("zs", HIDDEN + 1), ("y", CLASSES + MEMBERS), ("dz", HIDDEN)))
+        np.take(rows(z), order, axis=0, out=zs, mode="clip")
+        for i, k in spans:
+            np.matmul(zs[k], heads[i], out=y[k])
+        if y.max() > 60:
+            np.minimum(y, 60, out=y)
+        at, flat = np.arange(size) * (CLASSES + MEMBERS), y.reshape(-1)
+        at = np.concatenate([at + g // MEMBERS, at + CLASSES + g % MEMBERS])
+        loss = -float(np.take(flat, at).sum())
+        np.exp(y, out=y)
+        total = y.reshape(-1, CLASSES) @ one
+        loss += float(np.log(total).sum())
+        y2 = y.reshape(-1, CLASSES)
+        y2 *= (share / total)[:, None]
+        flat[at] -= share
+        dw = np.zeros((CLASSES, HIDDEN + 1, CLASSES + MEMBERS), t)
+        for i, k in spans:
+            np.matmul(zs[k].T, y[k], out=dw[i])
+            np.matmul(y[k], turned[i], out=dz[k])
+        dz *= np.greater(zs[:, :-1], 0, out=room("on", dz.shape, np.dtype(bool)))
+        back = np.empty(size, np.int64)
+        back[order] = np.arange(size)
+        dz = np.take(dz, back, axis=0, out=room("back", dz.shape, t), mode="clip")
+        db, dqkv, dx = np.zeros((2 * d + 1, HIDDEN), t), np.zeros((d, 3 * d), t), room("dx", (n, WINDOW, d), t)
+        down, up = np.ascontiguousarray(both[:-1, :-1].T), np.ascontiguousarray(qkv.T)
+        for k in chunks:
+            own = dz[k.start * WINDOW : k.stop * WINDOW]
+            dc = (own @ down).reshape(-1, WINDOW, 2 * d)
+            to = room("to", (len(dc), WINDOW, d + 1), t)
+            np.multiply(dc[..., :d], s[k], out=to[..., :-1])
+            np.negative(np.einsum("bwd,bwd->bw", to[..., :-1], c[k, :, :d]), out=to[..., -1])
+            da = to @ x[k, :, 2 * d :].transpose(0, 2, 1)
+            da *= a[k]
+            m = room("m", (len(dc), WINDOW, 3 * d), t)
+            np.matmul(da, x[k, :, d : 2 * d], out=m[..., :d])
+            np.matmul(da.transpose(0, 2, 1), x[k, :, :d], out=m[..., d : 2 * d])
+            np.matmul(a[k].transpose(0, 2, 1), to[..., :-1], out=m[..., 2 * d :])
+            m, cx = rows(m), rows(c[k])
+            for i in range(0, len(m), PART):
+                db += cx[i : i + PART].T @ own[i : i + PART]
+                dqkv += cx[i : i + PART, d:-1].T @ m[i : i + PART]
+            np.matmul(m, up, out=rows(dx[k]))
+            dx[k] += dc[..., d:]
+        count = np.bincount(ids.ravel(), minlength=len(p["e"]))
+        own = np.flatnonzero(count)
+        de = np.bincount((ids.reshape(-1, 1) * d + np.arange(d)).ravel(), dx.ravel(), len(p["e"]) * d).reshape(-1, d)[own].astype(t)
+        d2 = dw[..., :CLASSES].sum(0)
+        g = {"e": de, "pos": dx.sum(0), "q": dqkv[:, :d] * scale, "k": dqkv[:, d : 2 * d], "v": dqkv[:, 2 * d :], "o": db[:d] @ p["w1"].T, "w1": p["o"].T @ db[:d] + db[d:-1], "b1": db[-1], "w2": d2[:-1], "b2": d2[-1], "u": dw[:, :-1, CLASSES:], "ub": dw[:, -1, CLASSES:]}
+        return loss / size, g, own
 
     def step(self, ids: np.ndarray, goal: np.ndarray, rate: float, held: dict) -> None:
         """One step of Adam towards the next ids (goal) of rows of WINDOW ids; held keeps the moments between steps.
@@ -215,11 +296,27 @@ class Attention:
         _, g, own = self.gradient(ids, goal)
         n = held["n"] = held.get("n", 0) + 1
         for name, d in g.items():
-            m1, m2 = held.setdefault(name, (np.zeros_like(p[name]), np.zeros_like(p[name])))
-            rows = own if name == "e" else slice(None)
-            m1[rows] = f1 = 0.9 * m1[rows] + 0.1 * d
-            m2[rows] = f2 = 0.99 * m2[rows] + 0.01 * d * d
-            p[name][rows] -= (rate * (f1 / (1 - 0.9**n)) / (np.sqrt(f2 / (1 - 0.99**n)) + 1e-8)).astype(np.float32)
+            w = p[name]
+            m1, m2 = held.setdefault(name, (np.zeros_like(w), np.zeros_like(w)))
+            if rows := name == "e" and len(own) < len(w):
+                (all1, m1), (all2, m2) = (m1, m1[own]), (m2, m2[own])
+            by = room("by", d.shape, w.dtype)
+            m1 *= 0.9
+            m1 += np.multiply(d, 0.1, out=by)
+            m2 *= 0.99
+            np.multiply(d, d, out=by)
+            by *= 0.01
+            m2 += by
+            np.multiply(m2, 1 / (1 - 0.99**n), out=by)
+            np.sqrt(by, out=by)
+            by += 1e-8
+            np.divide(m1, by, out=by)
+            by *= rate / (1 - 0.9**n)
+            if rows:
+                w[own] -= by
+                all1[own], all2[own] = m1, m2
+            else:
+                w -= by
 
     def train(self, texts: list[np.ndarray], end: int, steps: int = STEPS, batch: int = BATCH, rate: float = 0.01, seed: int = 5) -> None:
         """Steps on random windows of the id sequences (each with the end before and after it)."""
@@ -234,32 +331,62 @@ class Attention:
             self.step(own[:, :-1], own[:, 1:], rate * (1 - step / (steps + 1)), held)
 
     def score(self, texts: list[np.ndarray], end: int) -> np.ndarray:
-        """log10 probability of each id sequence and its end."""
-        rows, to, owner, late = [], [], [], []
-        for i, t in enumerate(texts):
-            s = np.concatenate([[end], t, [end]])  # place j predicts s[j + 1]
-            n = len(s) - 1
-            starts = np.arange(0, max(1, n - WINDOW + STRIDE), STRIDE) if n > WINDOW else np.zeros(1, int)
-            j = starts[:, None] + np.arange(WINDOW)
-            rows.append(s[np.minimum(j, n - 1)])
-            goal = np.where(j < n, s[np.minimum(j + 1, n)], -1)
-            to.append(goal)
-            owner.append(np.full(len(starts), i))
-            late.append(starts > 0)
-        ids, to, owner, late = (np.concatenate(x) for x in (rows, to, owner, late))
+        """log10 probability of each id sequence and its end.
+
+        As forward() and log_probabilities() have it: what an id brings to queries, to keys, through v, o and w1 to the hidden layer by
+        being attended, and by standing there itself, is looked up in tables. Of later windows only the last STRIDE places are asked.
+        """
+        p, d = self.p, WIDTH
+        t = p["e"].dtype
+        one = lambda x, last: np.concatenate([x, np.full((len(x), 1), last, t)], 1)
+        turn = p["v"] @ p["o"] @ p["w1"]
+        (ask, ask_at), (own, own_at), (met, met_at) = (((p["e"] @ m), (p["pos"] @ m)) for m in (p["q"] * t.type(d**-0.5), p["w1"], np.concatenate([p["k"], turn], 1)))
+        own, own_at, met, met_at, heads = one(own, 1), one(own_at + p["b1"], 0), one(met, 1), one(met_at, 0), self.heads()
+        cap = np.where(self.mask < 0, self.mask, t.type(60))
+        n = np.array([len(x) + 1 for x in texts])  # places; place j predicts the id of place j + 1
+        flat = np.concatenate([*(y for x in texts for y in ([end], x)), [end] * (WINDOW + 1)]).astype(np.int64)
+        windows = np.where(n > WINDOW, -(-(n - WINDOW + STRIDE) // STRIDE), 1)
+        owner = np.repeat(np.arange(len(texts)), windows)
+        start = (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)) * STRIDE
         out = np.zeros(len(texts))
         for is_late in (False, True):
             first = WINDOW - STRIDE if is_late else 0
-            own = np.flatnonzero(late == is_late)
-            for b in range(0, len(own), 1024):
-                k = own[b : b + 1024]
-                goal = to[k, first:]
-                y, z = np.empty((*goal.shape, CLASSES), np.float32), np.empty((*goal.shape, HIDDEN), np.float32)
+            which = np.flatnonzero((start > 0) == is_late)
+            for b in range(0, len(which), 512):
+                k = which[b : b + 512]
+                place = ((np.cumsum(n) - n)[owner[k]] + start[k])[:, None] + np.arange(WINDOW)
+                ids, goal = flat[np.minimum(place, len(flat) - 2)], flat[np.minimum(place[:, first:] + 1, len(flat) - 1)]
+                z = room("hidden", (len(k), WINDOW - first, HIDDEN + 1), t)
                 for i in range(0, len(k), CHUNK):  # what is made on the way stays in the processor's cache
-                    y[i : i + CHUNK], cache = self.forward(ids[k[i : i + CHUNK]], first)
-                    z[i : i + CHUNK] = cache[-1]
-                lp = self.log_probabilities(y.reshape(-1, CLASSES), z.reshape(-1, HIDDEN), goal.ravel())
-                out += np.bincount(owner[k], lp.reshape(goal.shape).sum(axis=1, dtype=np.float64), len(texts))
+                    x, m = ids[i : i + CHUNK, first:], np.take(met, ids[i : i + CHUNK], axis=0)
+                    m += met_at
+                    q = np.take(ask, x, axis=0)
+                    q += ask_at[first:]
+                    a = q @ m[..., :d].transpose(0, 2, 1)
+                    np.minimum(a, cap[first:], out=a)
+                    np.exp(a, out=a)
+                    c = a @ m[..., d:]
+                    c *= 1 / c[..., -1:]
+                    c[..., -1] = 0
+                    h = np.take(own, x, axis=0)
+                    h += own_at[first:]
+                    h += c
+                    np.maximum(h, 0, out=z[i : i + CHUNK])
+                there = np.flatnonzero((start[k][:, None] + np.arange(first, WINDOW) < n[owner[k]][:, None]).ravel())
+                kind = (goal.ravel()[there] // MEMBERS).astype(np.int16)
+                there = there[np.argsort(kind, kind="stable")]
+                g = goal.ravel()[there]
+                zs, y = room("zs", (len(there), HIDDEN + 1), t), room("y", (len(there), CLASSES + MEMBERS), t)
+                np.take(z.reshape(-1, HIDDEN + 1), there, axis=0, out=zs, mode="clip")
+                for i, rows in by_class(kind):
+                    np.matmul(zs[rows], heads[i], out=y[rows])
+                if len(y) and y.max() > 60:
+                    np.minimum(y, 60, out=y)
+                at = np.arange(len(y)) * (CLASSES + MEMBERS)
+                lp = np.take(y, at + g // MEMBERS) + np.take(y, at + CLASSES + g % MEMBERS)
+                np.exp(y, out=y)
+                lp -= np.log(y.reshape(-1, CLASSES) @ np.ones(CLASSES, t)).reshape(-1, 2).sum(1)
+                out += np.bincount(owner[k][there // (WINDOW - first)], lp, len(texts))
         return out / np.log(10)
 
 
@@ -330,24 +457,51 @@ def chosen_pieces(words: DataFrame, path: str, size: int = CLASSES * MEMBERS) ->
     return tuple(sorted([bytes([b]) for b in range(256)] + [tok.pieces[t] for t in order[: size - 257]]))
 
 
+SPELT = "doc_id long, h long, n_tokens long, known long, logs double, rare binary, ids binary"
+
+
+def spelt(rows: DataFrame, pieces: tuple[bytes, ...], logs: Broadcast | None = None) -> DataFrame:
+    """Of each row of doc_id and text: the hash of both; the number of tokens, and of those whose logarithms are given, with their sum and
+    the hashes of the other words; the ids of its words, as two bytes each. So texts are split and spelt once for training and scoring."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok, log = subwords(pieces), logs.value if logs else {}
+        for b in batches:
+            out = [[] for _ in range(5)]
+            for t in b.column(1).to_pylist():
+                ws = t.encode().lower().split()
+                got = [log.get(w) for w in ws]
+                rare = [_hash(w) for w, x in zip(ws, got, strict=True) if x is None] if logs else []
+                known = [x for x in got if x is not None]
+                for column, x in zip(out, (len(ws) + 1, len(known), float(sum(known)), np.array(rare, "<i8").tobytes(), tok(ws, log if logs else None).astype("<i2").tobytes()), strict=True):
+                    column.append(x)
+            types = pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array(x, t) for x, t in zip(out, types, strict=True))], [c.split()[0] for c in SPELT.split(", ")])
+
+    return map_arrow(rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")), run, SPELT)
+
+
+def ids_of(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<i2").astype("<i4") for x in column.to_pylist()]
+
+
 def start_windows(train: DataFrame, pieces: tuple[bytes, ...], n_all: int, wanted: int = STEPS * BATCH) -> np.ndarray:
-    """About `wanted` windows of WINDOW + 1 ids, from places of all training texts that the rows' hashes draw evenly."""
+    """About `wanted` windows of WINDOW + 1 ids, from places of all training texts that the rows' hashes draw evenly. `n_all` is about
+    how many places there are; rows are texts, or spelt."""
     rate, end = min(4.0, wanted / max(1, n_all)), subwords(pieces).end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = subwords(pieces)
         for b in batches:
             out = []
-            for t, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for h, ids in zip(b.column(0).to_pylist(), ids_of(b.column(1)), strict=True):
                 r = np.random.default_rng(h & (1 << 64) - 1)
-                ws = t.encode().lower().split()
-                for i in r.integers(0, len(ws) + 1, r.poisson(rate * (len(ws) + 1))):
-                    ids = np.concatenate([[end] * int(i == 0), tok(ws[i : i + WINDOW + 1]), [end] * (WINDOW + 1)])
-                    out.append(ids[: WINDOW + 1].astype("<i4").tobytes())
+                if k := r.poisson(rate * (len(ids) + 1)):
+                    s = np.concatenate([[end], ids, [end] * (WINDOW + 1)]).astype("<i4")
+                    out += [s[i : i + WINDOW + 1].tobytes() for i in r.integers(0, len(ids) + 1, k)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
-    hashed = train.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
-    got = map_arrow(hashed, run, "ids binary").toArrow()["ids"].to_pylist()
+    rows = train if "ids" in train.columns else spelt(train, pieces)
+    got = map_arrow(rows.select("h", "ids"), run, "ids binary").toArrow()["ids"].to_pylist()
     return np.sort(np.array(got, f"S{4 * (WINDOW + 1)}")).view("<i4").reshape(len(got), WINDOW + 1).astype(np.int64)
 
 
@@ -399,15 +553,15 @@ def learn(model: Attention, train: DataFrame, pieces: tuple[bytes, ...], n_all:
     """One pass of the model over every id of every training text, on the executors; returns the number of ids predicted.
 
     Rows are dealt to ROUNDS rounds and, in each, to workers by their hash, so that what is learnt doesn't depend on partitions or on
-    how many executors there are. `n_all` is about how many words there are: a worker has some WORKER_WORDS, or more where a
+    how many executors there are. Rows are texts, or spelt. `n_all` is about how many words there are: a worker has some WORKER_WORDS, or more where a
     round would have more than WORKERS. A worker goes on from the round's model over its texts in the order of their hashes, as
     they stream by. Then what workers changed is averaged, of an id's embedding by how often they had the id, of the other weights by
     their ids; sums are made by shuffle, in slices. The model moves by that average and by MOMENTUM of its last move.
     """
     n_workers = min(WORKERS, max(1, -(-n_all // (ROUNDS * WORKER_WORDS))))
     end, total, last = subwords(pieces).end, 0, {}
-    h = F.xxhash64("doc_id", "text")
-    rows = train.select("text", h.alias("h"), F.pmod(h, F.lit(n_workers)).alias("worker"), F.pmod(F.shiftright(h, 40), F.lit(ROUNDS)).alias("round"))
+    own = None if "ids" in train.columns else written(spelt(train, pieces), "spelt")
+    rows = (own or train).select("ids", "h", F.pmod("h", F.lit(n_workers)).alias("worker"), F.pmod(F.shiftright("h", 40), F.lit(ROUNDS)).alias("round"))
 
     def added(t: pa.Table) -> pa.Table:
         parts = sorted(t["sums"].to_pylist())
@@ -420,19 +574,19 @@ def learn(model: Attention, train: DataFrame, pieces: tuple[bytes, ...], n_all:
         handle = train.sparkSession.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], handle=handle, rate=PASS_RATE * (1 - k / ROUNDS), size=PASS_BATCH) -> Iterator[pa.RecordBatch]:
-            tok, at, own = subwords(pieces), None, None
+            at, own = None, None
             batch = lambda: pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*own.sums(), strict=True), (pa.int64(), pa.binary()), strict=True)], ["slice", "sums"])
             for b in batches:
-                for text, worker in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for ids, worker in zip(ids_of(b.column(0)), b.column(1).to_pylist(), strict=True):
                     if worker != at:
                         if own:
                             yield batch()
                         at, own = worker, Learner(handle.value, end, rate, size)
-                    own.take(np.append(tok(text.encode().lower().split()), end))
+                    own.take(np.append(ids, end))
             if own:
                 yield batch()
 
-        dealt = rows.where(F.col("round") == k).repartition(2 * n_workers, "worker").sortWithinPartitions("worker", "h", "text").select("text", "worker")
+        dealt = rows.where(F.col("round") == k).repartition(2 * n_workers, "worker").sortWithinPartitions("worker", "h", "ids").select("ids", "worker")
         moved = written(map_arrow(dealt, run, "slice long, sums binary"), "learnt")
         for i, x in ((r["slice"], np.frombuffer(bytes(r["sums"]))) for r in moved.groupBy("slice").applyInArrow(added, "slice long, sums binary").collect()):
             if i >= 0:
@@ -446,6 +600,7 @@ def learn(model: Attention, train: DataFrame, pieces: tuple[bytes, ...], n_all:
                     at += size
         discard(moved)
         handle.unpersist()
+    discard(own)
     return total
 
 
@@ -455,7 +610,7 @@ def _move(weights: np.ndarray, by: np.ndarray, last: dict, name) -> None:
     weights += last[name].astype(np.float32)
 
 
-PARTIAL = "doc_id long, n_tokens long, known long, logs double, score double, rare binary"
+PARTIAL = "key long, doc_id long, n_tokens long, known long, logs double, score double"
 
 
 def scores(docs: DataFrame, path: str) -> DataFrame:
@@ -473,32 +628,28 @@ def scores(docs: DataFrame, path: str) -> DataFrame:
     frequent = frequent_words(words)
     pieces = chosen_pieces(words, path)
     end = subwords(pieces).end
-    model = Attention(id_counts(words, pieces, n_docs))
+    share = docs.sparkSession.sparkContext.broadcast
+    all_ = written(spelt(rows, pieces, share({w: (float(np.log10(c + 1))) for w, c in frequent.items()})).withColumn("key", F.monotonically_increasing_id()), "spelt")
+    counts = id_counts(words, pieces, n_docs)
+    model = Attention(counts)
     if r["n"]:
-        start = start_windows(train, pieces, n_all)
+        train = all_.where(fold(F.col("doc_id")) != HELD_OUT)
+        start = start_windows(train, pieces, int(counts.sum()))
         if len(start):
             model.fit(start)
         learn(model, train, pieces, n_all)
-    handle = docs.sparkSession.sparkContext.broadcast((model, {w: (float(np.log10(c + 1))) for w, c in frequent.items()}))
+    handle = share(model)
     end_log = float(np.log10(n_docs + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, logs = handle.value
-        tok = subwords(pieces)
         for b in batches:
-            ids, out = [], [[] for _ in range(4)]
-            for t in b.column(1).to_pylist():
-                ws = t.encode().lower().split()
-                ids.append(tok(ws, logs))
-                got = [logs.get(w) for w in ws]
-                rare = [_hash(w) for w, x in zip(ws, got, strict=True) if x is None]
-                known = [x for x in got if x is not None]
-                for column, x in zip(out, (len(ws) + 1, len(known) + (n_docs > 0), sum(known) + end_log, np.array(rare, "<i8").tobytes()), strict=True):
-                    column.append(x)
-            score = np.concatenate([np.zeros(0), *(model.score(ids[i : i + 64], end) for i in range(0, len(ids), 64))])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(score), pa.array(out[3], pa.binary())], ["doc_id", "n_tokens", "known", "logs", "score", "rare"])
+            ids = ids_of(b.column(5))
+            score = np.concatenate([np.zeros(0), *(handle.value.score(ids[i : i + 64], end) for i in range(0, len(ids), 64))])
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(score)], [c.split()[0] for c in PARTIAL.split(", ")])
 
-    part = written(map_arrow(rows, run, PARTIAL).withColumn("key", F.monotonically_increasing_id()), "scores")
+    columns = F.col("known") + int(n_docs > 0), F.col("logs") + end_log
+    part = all_.select("key", "doc_id", "n_tokens", columns[0].alias("known"), columns[1].alias("logs"), "ids")
+    part = written(map_arrow(part, run, PARTIAL), "scores")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -506,8 +657,8 @@ def scores(docs: DataFrame, path: str) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), [len(u) for u, _ in found])), pa.array(np.concatenate([u for u, _ in found])), pa.array(np.concatenate([c for _, c in found]).astype(np.int32))], ["key", "hash", "k"])
 
-    rare = map_arrow(part.select("key", "rare"), spread, "key long, hash long, k int").join(words.select("hash", "n"), "hash")
+    rare = map_arrow(all_.select("key", "rare"), spread, "key long, hash long, k int").join(words.select("hash", "n"), "hash")
     rare = rare.groupBy("key").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("more_logs"))
-    all_ = part.drop("rare").join(rare, "key", "left")
+    all_ = part.join(rare, "key", "left")
     base = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(n_all + v_all + 1)))
     return all_.select("doc_id", (fold(F.col("doc_id")) == HELD_OUT).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

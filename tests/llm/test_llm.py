@@ -555,6 +555,38 @@ def test_lm_pieces_and_context():
     assert len(seq) + 1 == lm.WINDOW and not np.array_equal(y, z)  # 22 places further back
 
 
+def test_lm_spells_each_text_once(odd, monkeypatch):
+    """Training, its start and the scores read one table of ids; it has what each text's own spelling has."""
+    docs = common.documents(odd)
+    pieces = lm.chosen_pieces(lm.word_counts(docs), BYTE_BPE)
+    tok = lm.Subwords(pieces)
+    table = lm.spelt(docs, pieces)
+    want = Counter((i, len(w := t.encode().lower().split()) + 1, tok(w).astype("<i2").tobytes()) for i, t in texts_of(odd))
+    assert Counter((r["doc_id"], r["n_tokens"], bytes(r["ids"])) for r in table.collect()) == want
+    by_text, by_ids = lm.Attention(np.ones(tok.end + 1)), lm.Attention(np.ones(tok.end + 1))
+    assert lm.learn(by_text, docs, pieces) == lm.learn(by_ids, table, pieces)
+    assert all(np.array_equal(by_text.p[k], by_ids.p[k]) for k in by_text.p)
+    made, spelt = [], lm.spelt
+    monkeypatch.setattr(lm, "spelt", lambda *a: made.append(a) or spelt(*a))
+    assert lm.scores(odd, BYTE_BPE).count() == odd.count() and len(made) == 1
+
+
+def test_lm_gradient_and_score_are_those_of_the_plain_form():
+    """Also where windows are more or fewer than a chunk, and where earlier calls left larger arrays."""
+    m = exact(lm.Attention(np.arange(1.0, 1000)))
+    r = np.random.default_rng(4)
+    for n in (2 * lm.CHUNK + 3, 1):
+        ids, goal = r.integers(0, 999, (n, lm.WINDOW)), r.integers(0, 999, (n, lm.WINDOW))
+        y, cache = m.forward(ids)
+        plain = m.log_probabilities(y.reshape(-1, lm.CLASSES), cache[-1].reshape(-1, lm.HIDDEN), goal.ravel())
+        assert m.gradient(ids, goal)[0] == pytest.approx(-plain.mean(), rel=1e-10)
+        ids[:, 0] = 999  # a text of WINDOW - 1 ids after the end is one window
+        y, cache = m.forward(ids)
+        goal = np.append(ids[:, 1:], np.full((n, 1), 999), axis=1)
+        plain = m.log_probabilities(y.reshape(-1, lm.CLASSES), cache[-1].reshape(-1, lm.HIDDEN), goal.ravel()).reshape(n, -1).sum(1)
+        assert np.allclose(m.score(list(ids[:, 1:]), 999), plain / np.log(10), rtol=1e-10)
+
+
 def test_lm_learns_from_every_id(spark):
     rows = [(1, "some plain words " * 1500 + "late zebra quokka " * 40), (2, ""), (3, "short"), (4, "other words again " * 30), (5, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
